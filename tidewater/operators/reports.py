@@ -116,9 +116,9 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def daily_normalised(df: DataFrame, value: str = "tpm", count_col: str = "play_counted",
-                     date_col: str = "date") -> DataFrame:
+                     date_col="date") -> DataFrame:
     """Min-max normalise the count per day, scaled by the day's max value."""
-    w = Window.partitionBy(date_col)
+    w = Window.partitionBy(*([date_col] if isinstance(date_col, str) else date_col))
     lo, hi = F.min(count_col).over(w), F.max(count_col).over(w)
     return df.withColumn("play_normalized",
                          F.try_divide((F.col(count_col) - lo).cast("double"), (hi - lo).cast("double"))

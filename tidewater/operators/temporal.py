@@ -211,3 +211,43 @@ def back_fill(df: DataFrame, keys, order, cols: Sequence[str], ts: str | None =
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.first(c, ignorenulls=True).over(wb), F.col(f"_n_{c}")))
     return out.drop(BLK, *[f"_n_{c}" for c in cols])
+
+
+def forward_fill(df: DataFrame, keys, order, cols: Sequence[str], ts: str | None = None,
+                 bucket: str = "day") -> DataFrame:
+    """Replace NULLs by the latest earlier non-NULL value in order (per key).
+
+    Mirror of ``back_fill``: last non-NULL up to the current row inside the
+    bucket, else the last non-NULL value of any earlier bucket.
+    """
+    keys, order, cols = _cols(keys), _cols(order), list(cols)
+    ts = ts or order[0]
+    b = add_bucket(df, ts, bucket)
+    lasts = b.groupBy(*keys, BLK).agg(*[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_l_{c}")
+        for c in cols])
+    wp = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    prv = lasts.select(*keys, BLK, *[F.last(f"_l_{c}", ignorenulls=True).over(wp).alias(f"_p_{c}")
+                                     for c in cols])
+    wb = Window.partitionBy(*keys, BLK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = b.join(prv, [*keys, BLK], "left")
+    for c in cols:
+        out = out.withColumn(c, F.coalesce(F.last(c, ignorenulls=True).over(wb), F.col(f"_p_{c}")))
+    return out.drop(BLK, *[f"_p_{c}" for c in cols])
+
+
+def positional_targets(w: Window, col: str, horizons: Sequence[int], granularity_minutes: float,
+                       fill_current: bool = True) -> dict[str, Column]:
+    """W8 + W10: value ``int(h / granularity)`` rows ahead; tail filled with the current value."""
+    out = {}
+    for h in horizons:
+        k = int(h / granularity_minutes)
+        ahead = F.col(col) if k == 0 else F.lead(col, k).over(w)
+        out[f"target_{h}min"] = F.coalesce(ahead, F.col(col)) if fill_current else ahead
+    return out
+
+
+def time_targets(w: Window, col: str, order_seconds: str, horizons_seconds: dict[str, int]):
+    """Latest value at or before ts + h (RANGE frame on epoch seconds)."""
+    return {name: F.last(col).over(w.orderBy(order_seconds).rangeBetween(0, s))
+            for name, s in horizons_seconds.items()}
