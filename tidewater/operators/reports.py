@@ -90,15 +90,18 @@ def top_n_per_group(df: DataFrame, group, order: Sequence[Column], n: int,
 
 
 def numeric_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, mean, std, min, quartiles, max per column (exact percentiles), long form."""
+    """Count, mean, std, min, quartiles, max per column, long form.
+
+    Quartiles are exact (histogram quantiles), not ``summary()``'s approximate text.
+    """
+    from tidewater.operators.quantiles import quantile_row
     parts = []
     for c in cols:
-        parts.append(df.agg(
-            F.lit(c).alias("column"),
-            F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-            F.min(c).cast("double").alias("min"),
-            F.percentile(c, 0.25).alias("p25"), F.percentile(c, 0.5).alias("p50"),
-            F.percentile(c, 0.75).alias("p75"), F.max(c).cast("double").alias("max")))
+        base = df.agg(F.lit(c).alias("column"), F.count(c).alias("count"),
+                      F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                      F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
+        q = quantile_row(df, c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+        parts.append(base.crossJoin(q))  # one row x one row
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -3,3 +3,4 @@
 from tidewater.plans import flagship  # noqa: F401
 from tidewater.plans import q_traffic  # noqa: F401
 from tidewater.plans import q_windows  # noqa: F401
+from tidewater.plans import q_reports  # noqa: F401
