@@ -5,3 +5,4 @@ from tidewater.plans import q_traffic  # noqa: F401
 from tidewater.plans import q_windows  # noqa: F401
 from tidewater.plans import q_reports  # noqa: F401
 from tidewater.plans import q_functions  # noqa: F401
+from tidewater.plans import q_prep  # noqa: F401
