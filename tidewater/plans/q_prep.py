@@ -11,6 +11,13 @@ from tidewater.plans.registry import query
 from tidewater.sources.tables import table
 
 HASH_SQL = "CAST(('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8)) AS UBIGINT) / 4294967296.0"
+# lineitem has no single-column key: (orderkey, linenumber) repeats in the test data
+LID_SQL = "concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+
+
+def lineitem_id():
+    return F.concat_ws("|", *[F.col(c).cast("string") for c in
+                              ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
@@ -153,13 +160,13 @@ def e3(spark, sf_dir):
 
 def _li_split(spark, sf_dir, f=0.2):
     li = table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("rid"), "l_returnflag",
+        lineitem_id().alias("rid"), "l_returnflag",
         "l_quantity", "l_extendedprice")
     return prep.hash_split(li, "rid", f)
 
 
-LI_SPLIT_SQL = f"""li AS (SELECT l_orderkey * 8 + l_linenumber AS rid, l_returnflag, l_quantity, l_extendedprice,
-       CAST(CASE WHEN {HASH_SQL.format(k='l_orderkey * 8 + l_linenumber')} < 0.2 THEN 1 ELSE 0 END AS INTEGER)
+LI_SPLIT_SQL = f"""li AS (SELECT {LID_SQL} AS rid, l_returnflag, l_quantity, l_extendedprice,
+       CAST(CASE WHEN {HASH_SQL.format(k=LID_SQL)} < 0.2 THEN 1 ELSE 0 END AS INTEGER)
        AS is_test FROM lineitem)"""
 
 
@@ -203,12 +210,12 @@ def e6x(spark, sf_dir):
     return prep.exact_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 0.2)
 
 
-@query("E7_stratified_split", f"""WITH li AS (SELECT l_orderkey * 8 + l_linenumber AS rid, l_returnflag
+@query("E7_stratified_split", f"""WITH li AS (SELECT {LID_SQL} AS rid, l_returnflag
        FROM lineitem)
        SELECT rid, l_returnflag, CAST(CASE WHEN row_number() OVER (PARTITION BY l_returnflag ORDER BY
        {HASH_SQL.format(k='rid')}, rid) <= ceil(count(*) OVER (PARTITION BY l_returnflag) * 0.25)
        THEN 1 ELSE 0 END AS INTEGER) AS is_test FROM li""")
 def e7(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("rid"), "l_returnflag")
+        lineitem_id().alias("rid"), "l_returnflag")
     return prep.exact_split(li, "rid", 0.25, strata=["l_returnflag"])
