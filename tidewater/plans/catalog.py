@@ -7,3 +7,4 @@ from tidewater.plans import q_reports  # noqa: F401
 from tidewater.plans import q_functions  # noqa: F401
 from tidewater.plans import q_prep  # noqa: F401
 from tidewater.plans import q_models  # noqa: F401
+from tidewater.plans import q_sources  # noqa: F401

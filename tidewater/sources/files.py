@@ -120,7 +120,9 @@ def nest_series_as_metrics_json(v: DataFrame, period_minutes: int = 60) -> DataF
                                    F.lit("max_response_time"), F.col("max_response_time")).alias("values"))
     per = (v.withColumn("_day", F.to_date("ts"))
            .groupBy("series", "_day")
-           .agg(F.array_sort(F.collect_list(slice_)).alias("timeslices")))
+           .agg(F.array_sort(F.collect_list(slice_),
+                             lambda a, b: F.when(a["from"] < b["from"], -1)
+                             .when(a["from"] > b["from"], 1).otherwise(0)).alias("timeslices")))
     return per.select(
         F.create_map(F.lit("collection_strategy"), F.lit("1hour_granularity"),
                      F.lit("requested_period"), F.lit(str(period_minutes * 60))).alias("_metadata"),
