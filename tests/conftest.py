@@ -13,7 +13,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from tidewater.session import get_session, checkpoint_dir
-    s = get_session("local[4]", 8, extra={"spark.sql.execution.arrow.pyspark.enabled": "true"})
+    s = get_session("local[4]", 8, extra={"spark.sql.execution.arrow.pyspark.enabled": "true",
+                                              "spark.driver.memory": "8g"})
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)
     yield s

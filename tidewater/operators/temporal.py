@@ -251,3 +251,20 @@ def time_targets(w: Window, col: str, order_seconds: str, horizons_seconds: dict
     """Latest value at or before ts + h (RANGE frame on epoch seconds)."""
     return {name: F.last(col).over(w.orderBy(order_seconds).rangeBetween(0, s))
             for name, s in horizons_seconds.items()}
+
+
+def mask_short_groups(df: DataFrame, keys, lags: dict[str, int], windows: dict[str, int]) -> DataFrame:
+    """W2 parity: NULL a lag column when its group has <= i rows, a rolling column when < w rows.
+
+    The reference only creates such columns for long enough periods; after
+    concatenation they are NULL for short ones. Group sizes come from one
+    grouped count joined back (no window over the whole group).
+    """
+    keys = _cols(keys)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_gn"))
+    out = df.join(sizes, keys, "left")
+    for c, i in lags.items():
+        out = out.withColumn(c, F.when(F.col("_gn") > i, F.col(c)))
+    for c, w in windows.items():
+        out = out.withColumn(c, F.when(F.col("_gn") >= w, F.col(c)))
+    return out.drop("_gn")
