@@ -117,17 +117,17 @@ def residuals(df: DataFrame, actual: str = "actual", pred: str = "prediction") -
 def category_aware_evaluation(df: DataFrame, horizons: Sequence[int]) -> DataFrame:
     """V7: per horizon, MAE of standard vs category-aware predictions and the improvement %.
 
-    ``df`` holds target_{h}min, pred_{h}, adjusted_{h} columns (from R4).
+    ``df`` holds target_{h}min, pred_{h}, adjusted_{h} columns (from R4). One
+    aggregate computes every horizon; ``stack`` turns it into rows.
     """
-    parts = []
+    aggs = []
     for h in horizons:
         t = F.col(f"target_{h}min")
-        parts.append(df.agg(F.lit(h).alias("horizon_minutes"),
-                            F.avg(F.abs(t - F.col(f"pred_{h}"))).alias("standard_mae"),
-                            F.avg(F.abs(t - F.col(f"adjusted_{h}"))).alias("category_mae")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("improvement_pct",
-                          F.when(F.col("standard_mae") != 0,
-                                 (F.col("standard_mae") - F.col("category_mae")) / F.col("standard_mae") * 100))
+        aggs += [F.avg(F.abs(t - F.col(f"pred_{h}"))).alias(f"s_{h}"),
+                 F.avg(F.abs(t - F.col(f"adjusted_{h}"))).alias(f"c_{h}")]
+    wide = df.agg(*aggs)
+    body = ", ".join(f"{h}, s_{h}, c_{h}" for h in horizons)
+    out = wide.selectExpr(f"stack({len(horizons)}, {body}) AS (horizon_minutes, standard_mae, category_mae)")
+    return out.withColumn("horizon_minutes", F.col("horizon_minutes").cast("int")).withColumn(
+        "improvement_pct", F.when(F.col("standard_mae") != 0,
+                                  (F.col("standard_mae") - F.col("category_mae")) / F.col("standard_mae") * 100))

@@ -17,6 +17,7 @@ Everything stays lazy; the result is a one-row-per-probability DataFrame.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -25,10 +26,74 @@ from pyspark.sql import functions as F
 BUCKETS = 65536
 
 
+def global_quantiles(df: DataFrame, col: str, probs: Sequence[float],
+                     buckets: int = BUCKETS) -> list[float | None]:
+    """Exact quantiles of a whole column as Python floats (a barrier of three small jobs).
+
+    Only scalars reach the driver: (n, min, max), the at most 2 * len(probs)
+    hit buckets with their preceding counts, and the order statistics found
+    in them. Thresholds are needed before any row can be labelled, so the
+    barrier costs nothing a lazy plan would not, and it keeps every later
+    plan from re-deriving the threshold (and re-scanning its source).
+    """
+    x = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    n, lo, hi = x.agg(F.count(F.lit(1)), F.min("_x"), F.max("_x")).first()
+    if not n:
+        return [None for _ in probs]
+    if lo == hi:
+        return [float(lo) for _ in probs]
+    width = (hi - lo) / buckets
+    bucket = F.least(F.floor((F.col("_x") - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
+    xb = x.withColumn("_b", bucket)
+    ranks = {}
+    for p in probs:
+        h = p * (n - 1)
+        ranks[p] = (h, int(math.floor(h)), int(math.ceil(h)))
+    need = sorted({r for _, r0, r1 in ranks.values() for r in (r0, r1)})
+    hist = xb.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+    # one row per non-empty bucket (at most ``buckets`` rows): a single ordered pass is fine
+    hist = hist.withColumn("_cum", F.sum("_c").over(Window.orderBy("_b")))
+    hit_cond = None
+    for r in need:
+        c = (F.col("_cum") - F.col("_c") <= r) & (F.col("_cum") > r)
+        hit_cond = c if hit_cond is None else hit_cond | c
+    hits = {row["_b"]: row["_cum"] - row["_c"] for row in hist.filter(hit_cond).select("_b", "_c", "_cum").collect()}
+    vals = (xb.filter(F.col("_b").isin(list(hits)))
+            .groupBy("_b", "_x").agg(F.count(F.lit(1)).alias("_vc"))
+            .withColumn("_vcum", F.sum("_vc").over(Window.partitionBy("_b").orderBy("_x"))))
+    offs = F.col("_vcum") - F.col("_vc")
+    before = F.create_map(*[v for b, c in hits.items() for v in (F.lit(b), F.lit(int(c)))])[F.col("_b")]
+    cond = None
+    for r in need:
+        c = (before + offs <= r) & (before + F.col("_vcum") > r)
+        cond = c if cond is None else cond | c
+    found = vals.filter(cond).select("_b", "_x", "_vc", "_vcum").collect()
+    at = {}
+    for row in found:
+        start = hits[row["_b"]] + row["_vcum"] - row["_vc"]
+        for r in need:
+            if start <= r < start + row["_vc"]:
+                at[r] = row["_x"]
+    out = []
+    for p in probs:
+        h, r0, r1 = ranks[p]
+        out.append(at[r0] + (h - r0) * (at[r1] - at[r0]))
+    return out
+
+
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], groups: Sequence[str] = (),
               buckets: int = BUCKETS) -> DataFrame:
-    """Rows (``*groups``, q_index, p, value) with exact quantiles of ``col`` per group."""
+    """Rows (``*groups``, q_index, p, value) with exact quantiles of ``col`` per group.
+
+    Without groups the barrier form (``global_quantiles``) runs and the result
+    is a literal table; per group everything stays one lazy plan.
+    """
     groups = list(groups)
+    if not groups:
+        vals = global_quantiles(df, col, probs, buckets)
+        return df.sparkSession.createDataFrame(
+            [(i, float(p), v) for i, (p, v) in enumerate(zip(probs, vals))],
+            "q_index int, p double, value double")
     whole = not groups
     if whole:  # a constant key keeps every step an equi-join
         df, groups = df.withColumn("_all", F.lit(0)), ["_all"]

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import timefn
 from tidewater.operators import reports, temporal, traffic
+from tidewater.session import materialize
 from tidewater.sources.tables import table
 
 
 def busiest_hours(events: DataFrame, n_days: int = 2, top: int = 5) -> DataFrame:
-    v = traffic.traffic_series(events, with_play_count=False)
+    # the hourly table is read by the halo and the own-row branches: compute it once
+    v = materialize(traffic.traffic_series(events, with_play_count=False))
     v = temporal.windowed(v, "series", "ts",
                           lambda w: {"tpm_ma_6": temporal.rolling_mean(w, "tpm", 6)},
                           before=5)

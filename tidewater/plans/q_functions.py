@@ -358,7 +358,9 @@ cal AS (SELECT week, thursday,
 
 
 def calendar(spark, sf_dir):
-    anchors = _ev(spark, sf_dir).agg(F.max("ts").alias("anchor_utc"))
+    """12 weekend periods back from the latest event (the anchor is a scalar barrier)."""
+    anchor = _ev(spark, sf_dir).agg(F.max("ts")).first()[0]
+    anchors = spark.range(1).select(F.lit(anchor).cast("timestamp_ntz").alias("anchor_utc"))
     return periods.weekend_periods(anchors, "anchor_utc", 12)
 
 

@@ -171,9 +171,10 @@ ADJ = """CASE WHEN cur = 'high' AND NOT (ph = 1 OR pd = 1) THEN 0.9
        doubles="adjustment_factor adjusted_5 adjusted_30", times="ts")
 def r4(spark, sf_dir):
     v = _v_dated(spark, sf_dir)
-    peaks = categories.peak_times(categories.categorise(v, "tpm", 3))
+    e = categories.edges(v, "tpm", 3)
+    peaks = categories.peak_times(categories.categorise(v, "tpm", 3, thresholds=e))
     cur = v.withColumn("pred_5", F.col("tpm")).withColumn("pred_30", F.col("tpm"))
-    out = scoring.category_aware(cur, categories.edges(v, "tpm", 3), peaks, [5, 30], value="tpm")
+    out = scoring.category_aware(cur, e, peaks, [5, 30], value="tpm")
     return out.select("series", "ts", "tpm_category", "is_peak_hour", "is_peak_day", "adjustment_factor",
                       "adjusted_5", "adjusted_30", "adjustment_applied")
 
@@ -213,10 +214,11 @@ def v7(spark, sf_dir):
     hz = [5, 10, 20, 30]
     v5 = temporal.windowed(v5, "series", "ts", lambda w: temporal.positional_targets(w, "tpm", hz, 5.0), after=6)
     v5 = v5.withColumn("hour", F.hour("ts")).withColumn("day_of_week", timefn.day_of_week("ts"))
-    peaks = categories.peak_times(categories.categorise(v5, "tpm", 3))
+    e = categories.edges(v5, "tpm", 3)
+    peaks = categories.peak_times(categories.categorise(v5, "tpm", 3, thresholds=e))
     for h in hz:
         v5 = v5.withColumn(f"pred_{h}", F.col("tpm"))
-    adj = scoring.category_aware(v5, categories.edges(v5, "tpm", 3), peaks, hz, value="tpm")
+    adj = scoring.category_aware(v5, e, peaks, hz, value="tpm")
     return metrics.category_aware_evaluation(adj, hz)
 
 

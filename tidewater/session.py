@@ -66,3 +66,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage (reliable checkpoint in the shared folder).
+
+    Used for small aggregated tables (series x period) that several branches
+    of a plan read: without it each branch re-scans and re-aggregates the raw
+    events, because differently pruned branches cannot share an exchange.
+    The checkpoint survives executor loss; it is never a machine-local copy.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
