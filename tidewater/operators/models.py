@@ -32,6 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_TREE_DEPTH = 30
+# Execution settings for deep ensembles (they change how trees are grown, not
+# which trees): keep each row's node id cached instead of re-walking the tree
+# per level, and let one pass aggregate statistics for more nodes.
+TREE_MEMORY_MB = 1024
 
 
 # ------------------------------------------------------------ closed form (M1)
@@ -81,7 +85,7 @@ def random_forest(n_trees: int = 10, max_depth: int = MAX_TREE_DEPTH, min_instan
     rf = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=n_trees,
                                 maxDepth=min(max_depth, MAX_TREE_DEPTH), impurity=impurity,
                                 minInstancesPerNode=min_instances, featureSubsetStrategy="sqrt",
-                                seed=seed)
+                                seed=seed, cacheNodeIds=True, maxMemoryInMB=TREE_MEMORY_MB)
     if weight:
         rf.setWeightCol(weight)
     return rf
@@ -100,7 +104,8 @@ def forest_regressor(n_trees: int = 200, max_depth: int = 15, min_leaf: int = 4,
     """The forecaster's forest (200 trees, depth 15, leaf 4, sqrt features)."""
     rf = RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=n_trees,
                                maxDepth=min(max_depth, MAX_TREE_DEPTH), minInstancesPerNode=min_leaf,
-                               featureSubsetStrategy="sqrt", seed=seed)
+                               featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True,
+                               maxMemoryInMB=TREE_MEMORY_MB)
     if weight:
         rf.setWeightCol(weight)
     return rf

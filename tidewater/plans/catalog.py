@@ -9,3 +9,4 @@ from tidewater.plans import q_prep  # noqa: F401
 from tidewater.plans import q_models  # noqa: F401
 from tidewater.plans import q_sources  # noqa: F401
 from tidewater.plans import q_stream  # noqa: F401
+from tidewater.plans import q_ml  # noqa: F401
