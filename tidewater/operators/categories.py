@@ -38,7 +38,7 @@ def high_label(df: DataFrame, col: str = "tpm", percentile: float = 75.0,
                out: str = "is_high_tpm") -> DataFrame:
     """Flag rows >= the exact percentile; keeps the threshold as a column."""
     t = threshold(df, col, percentile)
-    return (df.crossJoin(F.broadcast(t))
+    return (df.crossJoin(F.broadcast(t))  # one-row threshold table
             .withColumn(out, F.when(F.col(col) >= F.col("threshold"), 1).otherwise(0)))
 
 
@@ -58,7 +58,8 @@ def categorise(df: DataFrame, col: str = "tpm", n: int = 3, out: str = "tpm_cate
     """A10: n-way quantile categories; ``thresholds`` from a training set if given."""
     e = thresholds if thresholds is not None else edges(df, col, n)
     labels = labels_for(n)
-    return (df.crossJoin(F.broadcast(e)).withColumn(out, category_expr(col, n, labels))
+    return (df.crossJoin(F.broadcast(e))  # one-row edge table
+            .withColumn(out, category_expr(col, n, labels))
             .drop(*[f"edge_{i}" for i in range(n + 1)]))
 
 
@@ -67,7 +68,7 @@ def category_stats(df: DataFrame, col: str = "tpm", cat: str = "tpm_category") -
     per = df.groupBy(cat).agg(F.count(F.lit(1)).alias("count"), F.avg(col).alias("mean_tpm"),
                               F.min(col).alias("min_tpm"), F.max(col).alias("max_tpm"))
     total = per.agg(F.sum("count").alias("_total"))
-    return (per.crossJoin(F.broadcast(total))
+    return (per.crossJoin(F.broadcast(total))  # one-row total
             .withColumn("percentage", F.col("count") * F.lit(100.0) / F.col("_total")).drop("_total"))
 
 
@@ -108,7 +109,7 @@ def assign_category(df: DataFrame, thresholds: DataFrame, col: str = "current_tp
     """Category of a value from saved 3-way thresholds (<= low_to_medium -> low, ...)."""
     t = thresholds.select("edge_1", "edge_2")
     x = F.col(col)
-    return (df.crossJoin(F.broadcast(t))
+    return (df.crossJoin(F.broadcast(t))  # one-row threshold table
             .withColumn(out, F.when(x <= F.col("edge_1"), "low")
                         .when(x <= F.col("edge_2"), "medium").otherwise("high"))
             .drop("edge_1", "edge_2"))

@@ -170,7 +170,8 @@ def fit_standardiser(df: DataFrame, cols: Sequence[str], groups: Sequence[str] =
 def apply_standardiser(df: DataFrame, stats: DataFrame, cols: Sequence[str], groups: Sequence[str] = (),
                        prefix: str = "z_") -> DataFrame:
     """(x - mean) / std with broadcast statistics (one row, or one per group)."""
-    j = df.join(F.broadcast(stats), list(groups), "inner") if groups else df.crossJoin(F.broadcast(stats))
+    # one row (broadcast), or one row per group (plain join; AQE decides from its measured size)
+    j = df.join(stats, list(groups), "inner") if groups else df.crossJoin(F.broadcast(stats))
     for c in cols:
         j = j.withColumn(f"{prefix}{c}", (F.col(c) - F.col(f"_mu_{c}")) / F.col(f"_sd_{c}"))
     return j.drop(*[f"_mu_{c}" for c in cols], *[f"_sd_{c}" for c in cols])
@@ -212,7 +213,7 @@ def exact_split(df: DataFrame, key: str, test_fraction: float, strata: Sequence[
     # per stratum: the cut bucket and how many of its rows go to test
     cut = (hist.filter((F.col("_before") < F.col("_k")) & (F.col("_cum") >= F.col("_k")))
            .select(*strata, F.col("_hb").alias("_cut"), (F.col("_k") - F.col("_before")).alias("_take")))
-    j = d.join(F.broadcast(cut), strata, "left")
+    j = d.join(cut, strata, "left")  # one row per stratum: AQE broadcasts it when small
     inside = F.coalesce(F.col("_hb") == F.col("_cut"), F.lit(False))
     # only the cut bucket's rows (about n / buckets per stratum) are ranked
     in_cut = j.filter(inside).withColumn(

@@ -104,7 +104,8 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], groups: Sequence[
     bucket_of = F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_lo")) / width),
                                           F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
     # stats is one row per group: broadcast
-    xb = x.join(F.broadcast(stats), groups, "inner")
+    # one row per group: a plain join, so AQE broadcasts it only when its measured size is small
+    xb = x.join(stats, groups, "inner")
     xb = xb.withColumn("_b", bucket_of)
     hist = xb.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_c"))
     wcum = Window.partitionBy(*groups).orderBy("_b")
@@ -124,7 +125,7 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], groups: Sequence[
         (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_cum")))
     hit = located.select(*groups, "_b").distinct()
     # distinct values with counts inside the hit buckets only
-    vals = (xb.join(F.broadcast(hit), [*groups, "_b"], "left_semi")
+    vals = (xb.join(hit, [*groups, "_b"], "left_semi")
             .groupBy(*groups, "_b", "_x").agg(F.count(F.lit(1)).alias("_vc")))
     wv = Window.partitionBy(*groups, "_b").orderBy("_x")
     vals = vals.withColumn("_vcum", F.sum("_vc").over(wv))

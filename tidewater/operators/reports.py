@@ -29,7 +29,7 @@ def frequency_table(df: DataFrame, key: str, pct_name: str = "pct") -> DataFrame
     """A2: count and percent of total per key, most frequent first (ties by key)."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("_total"))
-    return (counts.crossJoin(F.broadcast(total))
+    return (counts.crossJoin(F.broadcast(total))  # one-row total
             .withColumn(pct_name, F.col("n") * F.lit(100.0) / F.col("_total"))
             .drop("_total"))
 

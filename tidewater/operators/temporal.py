@@ -184,6 +184,7 @@ def sequence_number(df: DataFrame, order, out: str = "sequence_id", ts: str | No
     # one row per bucket: a single-partition window here is over a tiny table
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wt), F.lit(0))).drop("_n")
     wb = Window.partitionBy(BLK).orderBy(*order)
+    # one row per day of the covered span (calendar-bounded, not volume-bounded)
     return (b.join(F.broadcast(offsets), BLK, "left")
             .withColumn(out, (F.col("_off") + F.row_number().over(wb) - 1 + start).cast("long"))
             .drop("_off", BLK))

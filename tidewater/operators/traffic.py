@@ -62,7 +62,7 @@ def downsample_by_age(events: DataFrame, anchor_col: str | None = None,
     Rows are grouped on ``floor(epoch / period)``.
     """
     latest = events.agg(F.max("ts").alias("_latest"))
-    e = events.crossJoin(F.broadcast(latest)) if anchor_col is None else events
+    e = events.crossJoin(F.broadcast(latest)) if anchor_col is None else events  # one-row side
     anchor = F.col("_latest") if anchor_col is None else F.col(anchor_col)
     age = F.datediff(F.to_date(anchor), F.to_date("ts"))
     strat = scalar.granularity_strategy(F.lit(48.0), age)

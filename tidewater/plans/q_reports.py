@@ -123,7 +123,8 @@ def a8g(spark, sf_dir):
 def a9(spark, sf_dir):
     lab = categories.high_label(common.view_v(spark, sf_dir))
     share = lab.agg((F.avg("is_high_tpm") * 100).alias("high_pct"))
-    return lab.crossJoin(F.broadcast(share)).select("series", "ts", "tpm", "threshold",
+    return lab.crossJoin(F.broadcast(share)).select(  # one-row side
+       "series", "ts", "tpm", "threshold",
                                                     "is_high_tpm", "high_pct")
 
 
