@@ -31,12 +31,12 @@ def test_period_tagging_is_broadcast_equi_join(spark):
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_no_python_udf_on_row_path(spark, name):
     if name == "M5_knn_classify":
         pytest.skip("distance kernel is an Arrow-batched mapInPandas by design")
-    if name in ("S1_csv_round_trip", "S2_metrics_json_unnest"):
-        pytest.skip("writes files when built")
+    if name in ("S1_csv_round_trip", "S2_metrics_json_unnest") or name.startswith("X"):
+        pytest.skip("writes files when built; the result is a parquet read")
     p = plan(E.queries()[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
         assert node not in p, (name, node)

@@ -173,21 +173,27 @@ def cumulative_sum(df: DataFrame, keys, order, value: str, out: str,
             .drop("_off", BLK))
 
 
-def sequence_number(df: DataFrame, order, out: str = "sequence_id", ts: str | None = None,
-                    bucket: str = "day", start: int = 0) -> DataFrame:
-    """Global 0-based position in ``order`` without a single-partition window."""
+def sequence_number(df: DataFrame, order, out: str = "sequence_id", start: int = 0) -> DataFrame:
+    """Global 0-based position in ``order`` that holds up under skew.
+
+    ``orderBy`` range-partitions on the full key (sampling splits a hot
+    timestamp by the next key), ``monotonically_increasing_id`` then carries
+    (partition, position) of each row in sorted order. The marked table is
+    checkpointed so a retried task cannot renumber rows; per-partition counts
+    (one row per partition) give each partition its offset.
+    """
+    from tidewater.session import materialize
     order = _cols(order)
-    ts = ts or order[0]
-    b = add_bucket(df, ts, bucket)
-    counts = b.groupBy(BLK).agg(F.count(F.lit(1)).alias("_n"))
-    wt = Window.orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per bucket: a single-partition window here is over a tiny table
+    marked = materialize(df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()))
+    pid = F.shiftright(F.col("_mid"), 33)
+    counts = marked.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per sorted partition: an ordered pass over a partition-count-sized table
+    wt = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wt), F.lit(0))).drop("_n")
-    wb = Window.partitionBy(BLK).orderBy(*order)
-    # one row per day of the covered span (calendar-bounded, not volume-bounded)
-    return (b.join(F.broadcast(offsets), BLK, "left")
-            .withColumn(out, (F.col("_off") + F.row_number().over(wb) - 1 + start).cast("long"))
-            .drop("_off", BLK))
+    local = F.col("_mid") - F.shiftleft(F.col("_pid"), 33)
+    return (marked.join(F.broadcast(offsets), pid == F.col("_pid"), "inner")
+            .withColumn(out, (F.col("_off") + local + start).cast("long"))
+            .drop("_mid", "_pid", "_off"))
 
 
 def back_fill(df: DataFrame, keys, order, cols: Sequence[str], ts: str | None = None,

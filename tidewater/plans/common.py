@@ -22,6 +22,12 @@ def view_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(traffic.traffic_series(events(spark, sf_dir)))
 
 
+def series_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5-minute traffic per series (tpm only), computed once for the windows that follow."""
+    return materialize(traffic.traffic_series(events(spark, sf_dir), period_seconds=300,
+                                              with_play_count=False).select("series", "ts", "tpm"))
+
+
 def features_v(spark: SparkSession, sf_dir: str, parity: bool = True) -> DataFrame:
     v = view_v(spark, sf_dir)
     return traffic.series_features(traffic.calendar_features(v), parity=parity)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators import categories, metrics, models, periods, prep, temporal, traffic
-from tidewater.session import checkpoint_dir
+from tidewater.session import checkpoint_dir, materialize
 
 HORIZONS = (5, 10, 20, 30)
 
@@ -37,7 +37,8 @@ CLASSIFIER_FEATURES = [
 
 def forecast_table(events: DataFrame, period_seconds: int = 300, weeks_back: int = 12) -> DataFrame:
     """Training rows: features, target_{h}min and ml_weight (calendar weight, 1 outside periods)."""
-    v = traffic.traffic_series(events, period_seconds, with_play_count=False)
+    # several window branches read the series: aggregate the events once
+    v = materialize(traffic.traffic_series(events, period_seconds, with_play_count=False))
     v = traffic.calendar_features(v)
     v = traffic.series_features(v, parity=False)
     gran = period_seconds / 60.0
@@ -77,7 +78,7 @@ def train_forecaster(table: DataFrame, features=FORECAST_FEATURES, horizons=HORI
 
 def classifier_table(events: DataFrame) -> DataFrame:
     """Hourly traffic with the classifier features and the high-traffic label."""
-    v = traffic.traffic_series(events)
+    v = materialize(traffic.traffic_series(events))
     v = traffic.calendar_features(v)
     v = traffic.series_features(v, parity=True)
     v = temporal.windowed(v, "series", "ts", lambda w: {

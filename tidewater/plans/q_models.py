@@ -210,7 +210,7 @@ vc AS (SELECT v5t.*, CASE WHEN tpm >= q[1] AND tpm <= q[2] THEN 'low'
               AS improvement_pct FROM m""", doubles="standard_mae category_mae improvement_pct")
 def v7(spark, sf_dir):
     from tidewater.functions import timefn
-    v5 = traffic.traffic_series(common.events(spark, sf_dir), 300, with_play_count=False).select("series", "ts", "tpm")
+    v5 = common.series_5min(spark, sf_dir)
     hz = [5, 10, 20, 30]
     v5 = temporal.windowed(v5, "series", "ts", lambda w: temporal.positional_targets(w, "tpm", hz, 5.0), after=6)
     v5 = v5.withColumn("hour", F.hour("ts")).withColumn("day_of_week", timefn.day_of_week("ts"))

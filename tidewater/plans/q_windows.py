@@ -91,8 +91,7 @@ v5 AS (
        FROM v5 WINDOW w AS (PARTITION BY series ORDER BY ts)""",
        doubles="tpm target_5min target_10min target_20min target_30min", times="ts")
 def w8(spark, sf_dir):
-    v5 = traffic.traffic_series(common.events(spark, sf_dir), period_seconds=300,
-                                with_play_count=False).select("series", "ts", "tpm")
+    v5 = common.series_5min(spark, sf_dir)
     return temporal.windowed(
         v5, "series", "ts",
         lambda w: temporal.positional_targets(w, "tpm", [5, 10, 20, 30], 5.0), after=6)
@@ -121,8 +120,7 @@ def w9(spark, sf_dir):
        FROM v5 WINDOW w AS (PARTITION BY series ORDER BY ts)""",
        doubles="raw_target_30min target_30min", times="ts")
 def w10(spark, sf_dir):
-    v5 = traffic.traffic_series(common.events(spark, sf_dir), period_seconds=300,
-                                with_play_count=False).select("series", "ts", "tpm")
+    v5 = common.series_5min(spark, sf_dir)
 
     def build(w):
         raw = temporal.positional_targets(w, "tpm", [30], 5.0, fill_current=False)["target_30min"]
