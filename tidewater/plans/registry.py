@@ -73,8 +73,13 @@ def query(name: str, sql: str | None = None, doubles="", times="", dates="", not
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from tidewater.session import configure
+
     def mk(e: Entry):
-        return lambda spark, sf_dir: normalise(e.fn(spark, sf_dir))
+        def run(spark, sf_dir):
+            configure(spark)  # UTC session zone: timestamps are naive UTC wall times
+            return normalise(e.fn(spark, sf_dir))
+        return run
     return {n: mk(e) for n, e in REGISTRY.items()}
 
 
