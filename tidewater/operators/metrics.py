@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.session import materialize
+
 
 def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """V1."""
@@ -35,7 +37,9 @@ def confusion_matrix(df: DataFrame, labels: Sequence, label: str = "label",
 
 def classification_report(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """V3: precision, recall, f1, support per class, plus accuracy, macro and weighted averages."""
-    pairs = df.groupBy(F.col(label).alias("_t"), F.col(pred).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    # classes x classes rows, read by six branches: aggregate the input once
+    pairs = materialize(df.groupBy(F.col(label).alias("_t"), F.col(pred).alias("_p"))
+                        .agg(F.count(F.lit(1)).alias("_n")))
     tp = pairs.filter(F.col("_t") == F.col("_p")).select(F.col("_t").alias("cls"), F.col("_n").alias("tp"))
     sup = pairs.groupBy(F.col("_t").alias("cls")).agg(F.sum("_n").alias("support"))
     npred = pairs.groupBy(F.col("_p").alias("cls")).agg(F.sum("_n").alias("n_pred"))
@@ -86,8 +90,8 @@ def running_sum_by_value(df: DataFrame, order: str, value: str, out: str, bucket
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """V4: exact ROC AUC with ties (Mann-Whitney), on the distinct-score histogram."""
-    hist = df.groupBy(F.col(score).cast("double").alias("_s")).agg(
-        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
+    hist = materialize(df.groupBy(F.col(score).cast("double").alias("_s")).agg(
+        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg")))
     cum = running_sum_by_value(hist, "_s", "_neg", "_neg_below")
     return cum.agg(
         (F.sum(F.col("_pos") * (F.col("_neg_below") + 0.5 * F.col("_neg")))

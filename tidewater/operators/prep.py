@@ -210,6 +210,8 @@ def exact_split(df: DataFrame, key: str, test_fraction: float, strata: Sequence[
     hist = (hist.withColumn("_cum", F.sum("_c").over(w))
             .withColumn("_k", F.ceil(F.sum("_c").over(tot) * F.lit(float(test_fraction))).cast("long"))
             .withColumn("_before", F.col("_cum") - F.col("_c")))
+    from tidewater.session import materialize
+    hist = materialize(hist)  # strata x 65,536 rows at most
     # per stratum: the cut bucket and how many of its rows go to test
     cut = (hist.filter((F.col("_before") < F.col("_k")) & (F.col("_cum") >= F.col("_k")))
            .select(*strata, F.col("_hb").alias("_cut"), (F.col("_k") - F.col("_before")).alias("_take")))

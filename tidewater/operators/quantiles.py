@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.session import materialize
+
 BUCKETS = 65536
 
 
@@ -98,8 +100,9 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], groups: Sequence[
     if whole:  # a constant key keeps every step an equi-join
         df, groups = df.withColumn("_all", F.lit(0)), ["_all"]
     x = df.select(*groups, F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    stats = x.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),
-                                   F.max("_x").alias("_hi"))
+    # per-group stats and the bucket histogram are read by several branches: compute each once
+    stats = materialize(x.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),
+                                               F.max("_x").alias("_hi")))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(buckets))
     bucket_of = F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_lo")) / width),
                                           F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
@@ -109,7 +112,8 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], groups: Sequence[
     xb = xb.withColumn("_b", bucket_of)
     hist = xb.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_c"))
     wcum = Window.partitionBy(*groups).orderBy("_b")
-    hist = hist.withColumn("_cum", F.sum("_c").over(wcum)).withColumn("_before", F.col("_cum") - F.col("_c"))
+    hist = materialize(hist.withColumn("_cum", F.sum("_c").over(wcum))
+                       .withColumn("_before", F.col("_cum") - F.col("_c")))
     # needed ranks (0-based) per probability: floor and ceil of p*(n-1)
     pr = F.explode(F.array(*[F.struct(F.lit(i).alias("q_index"), F.lit(float(p)).alias("p"))
                              for i, p in enumerate(probs)]))
