@@ -62,28 +62,34 @@ LAG_STATE_SCHEMA = "buf string"
 
 
 def _lag_update(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Per series: append the batch to the kept history, compute features, keep the last 12 rows."""
     buf = json.loads(state.get[0]) if state.exists else {"ts": [], "tpm": [], "push": [], "late": 0}
     rows = pd.concat(list(pdfs), ignore_index=True).sort_values("ts", kind="stable")
-    last_ts = buf["ts"][-1] if buf["ts"] else None
     ts_ns = rows["ts"].astype("int64")
-    late = buf.get("late", 0) + (int((ts_ns <= last_ts).sum()) if last_ts is not None else 0)
-    rows = rows[ts_ns > last_ts] if last_ts is not None else rows
-    out = []
-    hist_ts, hist_tpm, hist_push = list(buf["ts"]), list(buf["tpm"]), list(buf["push"])
-    for r in rows.itertuples(index=False):
-        hist_ts.append(int(pd.Timestamp(r.ts).value))
-        hist_tpm.append(float(r.tpm))
-        hist_push.append(int(r.is_push_notification))
-        n = len(hist_tpm)
-        lag = [hist_tpm[n - 1 - i] if n - 1 - i >= 0 else None for i in (1, 2, 3)]
-        last_push = max((i for i in range(max(0, n - 9), n) if hist_push[i] == 1), default=None)
-        out.append((key[0], r.ts, float(r.tpm), *lag, sum(hist_tpm[-6:]) / len(hist_tpm[-6:]),
-                    sum(hist_tpm[-12:]) / len(hist_tpm[-12:]),
-                    0 if last_push is None else (n - 1 - last_push) * 5, late))
-        hist_ts, hist_tpm, hist_push = hist_ts[-KEEP:], hist_tpm[-KEEP:], hist_push[-KEEP:]
-    state.update((json.dumps({"ts": hist_ts, "tpm": hist_tpm, "push": hist_push, "late": late}),))
-    cols = [c.split()[0] for c in LAG_OUT_SCHEMA.split(", ")]
-    yield pd.DataFrame(out, columns=cols)
+    last_ts = buf["ts"][-1] if buf["ts"] else None
+    late = buf.get("late", 0)
+    if last_ts is not None:
+        late += int((ts_ns <= last_ts).sum())
+        rows, ts_ns = rows[ts_ns > last_ts], ts_ns[ts_ns > last_ts]
+    hist = pd.DataFrame({"ts": buf["ts"], "tpm": buf["tpm"], "push": buf["push"]})
+    new = pd.DataFrame({"ts": ts_ns.to_numpy(), "tpm": rows["tpm"].astype(float).to_numpy(),
+                        "push": rows["is_push_notification"].astype(int).to_numpy()})
+    allr = pd.concat([hist, new], ignore_index=True)
+    pos = pd.Series(range(len(allr)), dtype="float64")
+    last_push = pos.where(allr["push"] == 1).ffill(limit=8)          # latest push within 9 rows
+    feats = pd.DataFrame({
+        "tpm_lag_1": allr["tpm"].shift(1), "tpm_lag_2": allr["tpm"].shift(2),
+        "tpm_lag_3": allr["tpm"].shift(3),
+        "tpm_ma_6": allr["tpm"].rolling(6, min_periods=1).mean(),
+        "tpm_ma_12": allr["tpm"].rolling(12, min_periods=1).mean(),
+        "minutes_since_push": ((pos - last_push) * 5).fillna(0).astype("int32")}).iloc[len(hist):]
+    out = pd.DataFrame({"series": key[0], "ts": rows["ts"].to_numpy(), "tpm": new["tpm"].to_numpy()})
+    out = pd.concat([out, feats.reset_index(drop=True)], axis=1)
+    out["late_rows"] = late
+    keep = allr.iloc[-KEEP:]
+    state.update((json.dumps({"ts": keep["ts"].astype("int64").tolist(), "tpm": keep["tpm"].tolist(),
+                              "push": keep["push"].astype(int).tolist(), "late": late}),))
+    yield out
 
 
 def keyed_lags(series_rows: DataFrame) -> DataFrame:
