@@ -182,7 +182,9 @@ def best_regressor_per_horizon(train: DataFrame, test: DataFrame, feature_cols:
     for h in horizons:
         label = f"target_{h}min"
         cands = {"forest": forest_regressor(n_trees=20 if quick else 200, label=label),
-                 "boosting": GBTRegressor(labelCol=label, maxIter=10 if quick else 100, maxDepth=5, seed=0),
+                 # scikit-learn's boosting defaults: 100 stages of depth 3, rate 0.1
+                 "boosting": GBTRegressor(labelCol=label, maxIter=10 if quick else 100, maxDepth=3,
+                                          stepSize=0.1, seed=0),
                  "linear": linear_regression(label=label)}
         best = None
         for name, est in cands.items():

@@ -14,7 +14,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from tidewater.operators import categories, metrics, models, prep, scoring
+from tidewater.operators import metrics, models, prep, scoring
 from tidewater.plans import common, forecast, ingest
 from tidewater.plans.registry import query
 from tidewater.session import materialize, scratch_path
@@ -74,7 +74,6 @@ def m8(spark, sf_dir):
 
 @query("G8_naive_bayes")
 def g8(spark, sf_dir):
-    t, cols = labelled_documents(spark, sf_dir)
     # gaussian NB takes any real features
     return _fit_eval(spark, sf_dir, models.naive_bayes_gaussian(), "naive_bayes")
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.operators import categories, metrics, models, neighbors, prep, scoring, temporal, traffic
+from tidewater.operators import categories, metrics, models, neighbors, prep, scoring, temporal
 from tidewater.plans import common
 from tidewater.plans.common import V_CTE
 from tidewater.plans.q_prep import HASH_SQL, LID_SQL, lineitem_id
-from tidewater.plans.q_reports import P3, PEAKS_SQL, VC3_CTE, _v_dated, v_categorised
+from tidewater.plans.q_reports import P3, PEAKS_SQL, VC3_CTE, _v_dated
 from tidewater.plans.registry import query
 from tidewater.sources.tables import table
 
