@@ -132,3 +132,12 @@ def test_exact_split_sizes(spark):
     import math
     sizes = {r["k"]: r["c"] for r in df.groupBy("k").agg(F.count(F.lit(1)).alias("c")).collect()}
     assert got == {k: math.ceil(v * 0.2) for k, v in sizes.items()}
+
+
+def test_nan_becomes_null_on_csv_read(spark, tmp_path):
+    from tidewater.sources import files
+    p = tmp_path / "d.csv"
+    p.write_text("Country,Age,Salary\nFrance,44,72000\nSpain,NaN,\nGermany,30,54000\n")
+    df = files.read_csv(spark, str(p), "Country string, Age double, Salary double")
+    r = df.agg(F.avg("Age").alias("a"), F.count("Age").alias("n"), F.count("Salary").alias("s")).first()
+    assert r["a"] == 37.0 and r["n"] == 2 and r["s"] == 2

@@ -112,6 +112,13 @@ def mean_impute(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = N
     return res.drop(*tmp, *[f"_imp_out_{i}" for i in range(len(cols))])
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN -> NULL in floating columns (``avg`` over a NaN is NaN; NULL is skipped)."""
+    return df.select(*[F.when(~F.isnan(F.col(f"`{f.name}`")), F.col(f"`{f.name}`")).alias(f.name)
+                       if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def fill_zero(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """NULL (and NaN) -> 0."""
     return df.na.fill(0, subset=list(cols) if cols else None)

@@ -42,10 +42,11 @@ VALUE_KEYS = {
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              header: bool = True) -> DataFrame:
     """CSV with header; pass ``schema`` in production (inference reads the data twice)."""
+    from tidewater.operators.prep import nan_to_null
     r = spark.read.option("header", header).option("mode", "PERMISSIVE")
     if schema is not None:
-        return r.schema(schema).csv(path)
-    return r.option("inferSchema", True).csv(path)
+        return nan_to_null(r.schema(schema).csv(path))
+    return nan_to_null(r.option("inferSchema", True).csv(path))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
