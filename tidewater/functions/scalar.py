@@ -133,16 +133,31 @@ def post_push_flag(minutes_since_push, limit: int = 45) -> Column:
     return F.when(_c(minutes_since_push) <= limit, 1).otherwise(0)
 
 
+# Category-aware adjustment factors.
+HIGH_OFF_PEAK = 0.9      # high category, neither peak hour nor peak day
+LOW_AT_PEAK = 1.15       # low category, peak hour and peak day
+MEDIUM_AT_PEAK = 1.05    # medium category, peak hour and peak day
+MEDIUM_OFF_PEAK = 0.95   # medium category, neither
+
+
 def category_adjustment(category, is_peak_hour, is_peak_day) -> Column:
     """multiplier from the (category, peak hour, peak day) rule."""
     cat, ph, pd_ = _c(category), _c(is_peak_hour) == 1, _c(is_peak_day) == 1
-    return (F.when((cat == "high") & ~(ph | pd_), 0.9)
-            .when((cat == "low") & (ph & pd_), 1.15)
-            .when((cat == "medium") & (ph & pd_), 1.05)
-            .when((cat == "medium") & ~(ph | pd_), 0.95)
+    return (F.when((cat == "high") & ~(ph | pd_), HIGH_OFF_PEAK)
+            .when((cat == "low") & (ph & pd_), LOW_AT_PEAK)
+            .when((cat == "medium") & (ph & pd_), MEDIUM_AT_PEAK)
+            .when((cat == "medium") & ~(ph | pd_), MEDIUM_OFF_PEAK)
             .otherwise(1.0))
 
 
+def category_adjustment_sql(cat: str, ph: str, pd_: str) -> str:
+    """The same rule as SQL text (used by the oracle queries)."""
+    return (f"CASE WHEN {cat} = 'high' AND NOT ({ph} = 1 OR {pd_} = 1) THEN {HIGH_OFF_PEAK}"
+            f" WHEN {cat} = 'low' AND ({ph} = 1 AND {pd_} = 1) THEN {LOW_AT_PEAK}"
+            f" WHEN {cat} = 'medium' AND ({ph} = 1 AND {pd_} = 1) THEN {MEDIUM_AT_PEAK}"
+            f" WHEN {cat} = 'medium' AND NOT ({ph} = 1 OR {pd_} = 1) THEN {MEDIUM_OFF_PEAK} ELSE 1.0 END")
+
+
 def any_changed(pairs) -> Column:
     """1 when any (standard, adjusted) pair differs."""
     cond = None
@@ -152,12 +167,15 @@ def any_changed(pairs) -> Column:
     return F.when(cond, 1).otherwise(0)
 
 
-# Documented push boost per horizon (minutes -> factor).
-PUSH_BOOST = {5: 1.2, 10: 1.4, 15: 1.5, 20: 1.3, 30: 1.3}
+# Documented push boost per horizon in minutes (20 to 30 share one factor).
+PUSH_BOOST = {5: 1.2, 10: 1.4, 15: 1.5}
+PUSH_BOOST_20_TO_30 = 1.3
 
 
 def push_boost(horizon_minutes) -> Column:
     """Boost factor for a forecast horizon while a push is active."""
     h = _c(horizon_minutes)
-    return (F.when(h == 5, 1.2).when(h == 10, 1.4).when(h == 15, 1.5)
-            .when((h >= 20) & (h <= 30), 1.3).otherwise(1.0))
+    out = F.when((h >= 20) & (h <= 30), PUSH_BOOST_20_TO_30).otherwise(1.0)
+    for minutes, factor in sorted(PUSH_BOOST.items(), reverse=True):
+        out = F.when(h == minutes, factor).otherwise(out)
+    return out

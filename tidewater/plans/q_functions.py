@@ -262,11 +262,7 @@ F21_SQL = """, fl AS (SELECT series, ts, tpm_category,
          CAST(EXISTS (SELECT 1 FROM peaks p WHERE p.kind = 'day' AND p.tpm_category = vc.tpm_category
                       AND p.key = vc.day_of_week) AS INTEGER) AS is_peak_day, tpm
        FROM vc)"""
-ADJ_SQL = """CASE WHEN tpm_category = 'high' AND NOT (is_peak_hour = 1 OR is_peak_day = 1) THEN 0.9
-            WHEN tpm_category = 'low' AND (is_peak_hour = 1 AND is_peak_day = 1) THEN 1.15
-            WHEN tpm_category = 'medium' AND (is_peak_hour = 1 AND is_peak_day = 1) THEN 1.05
-            WHEN tpm_category = 'medium' AND NOT (is_peak_hour = 1 OR is_peak_day = 1) THEN 0.95
-            ELSE 1.0 END"""
+ADJ_SQL = scalar.category_adjustment_sql("tpm_category", "is_peak_hour", "is_peak_day")
 
 
 def _f21_sql():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewater.functions.scalar import category_adjustment_sql
 from tidewater.operators import categories, metrics, models, neighbors, prep, scoring, temporal
 from tidewater.plans import common
 from tidewater.plans.common import V_CTE
@@ -150,10 +151,7 @@ def r3(spark, sf_dir):
     return categories.assign_category(v, categories.edges(v, "tpm", 3), "tpm").select("series", "ts", "tpm_category")
 
 
-ADJ = """CASE WHEN cur = 'high' AND NOT (ph = 1 OR pd = 1) THEN 0.9
-              WHEN cur = 'low' AND (ph = 1 AND pd = 1) THEN 1.15
-              WHEN cur = 'medium' AND (ph = 1 AND pd = 1) THEN 1.05
-              WHEN cur = 'medium' AND NOT (ph = 1 OR pd = 1) THEN 0.95 ELSE 1.0 END"""
+ADJ = category_adjustment_sql("cur", "ph", "pd")
 
 
 @query("R4_category_aware_prediction", "WITH " + VC3_CTE + "," + PEAKS_SQL + """,
