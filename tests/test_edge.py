@@ -141,3 +141,19 @@ def test_nan_becomes_null_on_csv_read(spark, tmp_path):
     df = files.read_csv(spark, str(p), "Country string, Age double, Salary double")
     r = df.agg(F.avg("Age").alias("a"), F.count("Age").alias("n"), F.count("Salary").alias("s")).first()
     assert r["a"] == 37.0 and r["n"] == 2 and r["s"] == 2
+
+
+def test_time_halo_range_frame_equals_plain(spark):
+    rnd = random.Random(11)
+    data = []
+    for s in range(2):
+        for d in range(1, 6):
+            for m in sorted(rnd.sample(range(24 * 60), rnd.choice([0, 3, 40]))):
+                data.append((s, ts(f"2024-01-{d:02d} {m // 60:02d}:{m % 60:02d}"), rnd.random(), 1.0, 0))
+    df = rows(spark, data).withColumn("_sec", F.unix_seconds(F.col("ts").cast("timestamp")))
+
+    def build(w):
+        return temporal.time_targets(w, "tpm", "_sec", {"t2h": 7200})
+    a = temporal.windowed(df, "series", "ts", build, after_seconds=7200).select("series", "ts", "t2h")
+    b = temporal.windowed(df, "series", "ts", build, bucket=None).select("series", "ts", "t2h")
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0

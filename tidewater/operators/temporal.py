@@ -68,12 +68,31 @@ def halo_frame(df: DataFrame, keys, order, before: int, after: int = 0) -> DataF
     return out
 
 
+BUCKET_SECONDS = {"hour": 3600, "day": 86400, "week": 7 * 86400}
+
+
+def time_halo(df: DataFrame, ts: str, bucket: str, seconds: int) -> DataFrame:
+    """Rows within ``seconds`` after a bucket start, copied into the previous bucket.
+
+    Exact look-ahead by time (RANGE frames up to ``seconds`` ahead) for any
+    number of rows per period, as long as ``seconds`` <= the bucket length.
+    """
+    if seconds > BUCKET_SECONDS.get(bucket, 0):
+        raise ValueError(f"time halo of {seconds}s exceeds one {bucket}")
+    start = F.date_trunc(bucket, F.col(ts))
+    ahead = F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))
+    prev = (F.date_trunc(bucket, start - F.expr("INTERVAL 1 SECOND")))
+    return (df.filter(F.col(ts) <= start + ahead)
+            .withColumn(BLK, prev).withColumn(HALO, F.lit(1)))
+
+
 def windowed(df: DataFrame, keys, order, build: Callable[[Window], dict[str, Column]],
              before: int = 0, after: int = 0, ts: str | None = None,
-             bucket: str | None = "day") -> DataFrame:
+             bucket: str | None = "day", after_seconds: int = 0) -> DataFrame:
     """Add the columns returned by ``build(w)``, w = window over keys ordered by ``order``.
 
-    ``before``/``after`` bound how many rows any frame looks back/ahead. With
+    ``before``/``after`` bound how many rows any frame looks back/ahead;
+    ``after_seconds`` bounds a RANGE frame's look-ahead by time. With
     ``bucket=None`` the plain per-key window is used (fine for short series).
     """
     keys, order = _cols(keys), _cols(order)
@@ -85,6 +104,8 @@ def windowed(df: DataFrame, keys, order, build: Callable[[Window], dict[str, Col
     ts = ts or order[0]
     base = add_bucket(df, ts, bucket)
     framed = halo_frame(base, keys, order, before, after)
+    if after_seconds:
+        framed = framed.unionByName(time_halo(base, ts, bucket, after_seconds).select(*framed.columns))
     w = Window.partitionBy(*keys, BLK).orderBy(*order)
     for name, col in build(w).items():
         framed = framed.withColumn(name, col)

@@ -106,11 +106,11 @@ def w8(spark, sf_dir):
 def w9(spark, sf_dir):
     v = common.view_v(spark, sf_dir).select("series", "ts", "tpm")
     v = v.withColumn("_sec", F.unix_seconds(F.col("ts").cast("timestamp")))
-    # hourly rows are unique per series, so 2 rows ahead cover a 2-hour reach
+    # a 2-hour time halo: exact however many rows a period holds
     out = temporal.windowed(v, "series", "ts",
                             lambda w: temporal.time_targets(w, "tpm", "_sec",
                                                             {"target_1h": 3600, "target_2h": 7200}),
-                            after=2)
+                            after_seconds=7200)
     return out.drop("_sec")
 
 
