@@ -55,3 +55,12 @@ def test_results_invariant_to_shuffle_partitions(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert outs[0] == outs[1] == outs[2]
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_sources_scanned_at_most_twice(spark, name):
+    """Shared aggregates are computed once: no plan re-reads its inputs per branch."""
+    if name.startswith(("S1", "S2", "X")):
+        pytest.skip("writes files when built; the result is a parquet read")
+    p = plan(E.queries()[name](spark, SF_SMALL))
+    assert p.count("FileScan") <= 2, (name, p.count("FileScan"))
