@@ -18,12 +18,12 @@ from tidewater.sources.tables import table
 
 def busiest_hours(events: DataFrame, n_days: int = 2, top: int = 5) -> DataFrame:
     # the hourly table is read by the halo and the own-row branches: compute it once
-    v = materialize(traffic.traffic_series(events, with_play_count=False))
-    v = temporal.windowed(v, "series", "ts",
+    base = materialize(traffic.traffic_series(events, with_play_count=False))
+    v = temporal.windowed(base, "series", "ts",
                           lambda w: {"tpm_ma_6": temporal.rolling_mean(w, "tpm", 6)},
                           before=5)
     v = v.withColumn("date", F.to_date("ts"))
-    days = reports.latest_dates(v, n_days)
+    days = reports.latest_dates(base.withColumn("date", F.to_date("ts")), n_days)
     picked = reports.keep_dates(v, days)
     top_rows = reports.top_n_per_group(picked, "date",
                                        [F.col("tpm").desc(), F.col("ts"), F.col("series")], top)
