@@ -31,12 +31,12 @@ def frequency_table(df: DataFrame, key: str, pct_name: str = "pct") -> DataFrame
     total = counts.agg(F.sum("n").alias("_total"))
     return (counts.crossJoin(F.broadcast(total))  # one-row total
             .withColumn(pct_name, F.col("n") * F.lit(100.0) / F.col("_total"))
-            .drop("_total"))
+            .drop("_total").orderBy(F.col("n").desc(), F.col(key)))
 
 
 def ordered_frequency(df: DataFrame, key: str) -> DataFrame:
     """A3: count per key in key order."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).orderBy(key)
 
 
 def global_profile(df: DataFrame, value: str, ts: str | None = None) -> DataFrame:
@@ -68,7 +68,7 @@ def category_interval_stats(df: DataFrame, key: str, interval: str) -> DataFrame
 def distinct_dates(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Distinct dates with day names."""
     return (df.select(F.to_date(ts).alias("date")).distinct()
-            .withColumn("day_name", timefn.day_name("date")))
+            .withColumn("day_name", timefn.day_name("date")).orderBy("date"))
 
 
 def latest_dates(df: DataFrame, n: int = 2, date_col: str = "date") -> DataFrame:
