@@ -157,3 +157,15 @@ def test_time_halo_range_frame_equals_plain(spark):
     a = temporal.windowed(df, "series", "ts", build, after_seconds=7200).select("series", "ts", "t2h")
     b = temporal.windowed(df, "series", "ts", build, bucket=None).select("series", "ts", "t2h")
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_auc_exact_with_ties_and_crowded_scores(spark):
+    from tidewater.operators import metrics
+    rnd = random.Random(3)
+    data = [(rnd.choice([0, 1]), rnd.choice([0.1, 0.2, 0.2, 0.9]) if i % 2 else 0.5 + rnd.random() * 1e-6)
+            for i in range(3000)]
+    pos = [s for y, s in data if y == 1]
+    neg = [s for y, s in data if y == 0]
+    want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    got = metrics.roc_auc(spark.createDataFrame(data, "label int, score double")).first()["roc_auc"]
+    assert abs(got - want) < 1e-12

@@ -67,19 +67,21 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
     return classes.unionByName(macro).unionByName(weighted).unionByName(acc)
 
 
-def running_sum_by_value(df: DataFrame, order: str, value: str, out: str, buckets: int = 4096) -> DataFrame:
+def running_sum_by_value(df: DataFrame, order: str, value: str, out: str, buckets: int = 1024) -> DataFrame:
     """Exclusive running sum of ``value`` in ascending ``order`` over the whole table.
 
-    Rows are range-bucketed on ``order``; bucket totals get offsets on the small
-    bucket table and the within-bucket sum runs per bucket.
+    Rows are cut into equal-frequency buckets (``approxQuantile`` splits, at
+    most ``buckets`` floats to the driver, applied by the JVM ``Bucketizer``),
+    so a crowded value range cannot put most rows in one task. Bucket totals
+    get offsets on the small bucket table; the within-bucket sum runs per bucket.
     """
-    st = df.agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"), F.lit(0).alias("_k"))
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(buckets))
-    b = (df.withColumn("_k", F.lit(0)).join(F.broadcast(st), "_k")
-         .withColumn("_b", F.when(width > 0, F.least(F.floor((F.col(order) - F.col("_lo")) / width),
-                                                     F.lit(buckets - 1))).otherwise(0).cast("int"))
-         .drop("_lo", "_hi", "_k"))
+    from pyspark.ml.feature import Bucketizer
+    qs = df.approxQuantile(order, [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
+    splits = [float("-inf")] + sorted(set(q for q in qs if q is not None)) + [float("inf")]
+    b = Bucketizer(splits=splits, inputCol=order, outputCol="_bf", handleInvalid="keep").transform(df) \
+        .withColumn("_b", F.col("_bf").cast("int")).drop("_bf")
     tot = b.groupBy("_b").agg(F.sum(value).alias("_t"))
+    # one row per bucket (<= ``buckets``): an ordered pass over a tiny table
     offs = tot.withColumn("_off", F.coalesce(F.sum("_t").over(
         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t")
     w = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
