@@ -169,3 +169,16 @@ def test_auc_exact_with_ties_and_crowded_scores(spark):
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     got = metrics.roc_auc(spark.createDataFrame(data, "label int, score double")).first()["roc_auc"]
     assert abs(got - want) < 1e-12
+
+
+def test_quantile_zoom_on_crowded_values(spark, monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(quantiles, "ZOOM_LIMIT", 50)
+    rnd = random.Random(9)
+    # most values crowded into a range ~1e-9 wide next to two far outliers
+    vals = [1.0 + rnd.random() * 1e-9 for _ in range(3000)] + [-1e6, 1e6] + [1.0] * 200
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.0, 0.01, 0.33, 0.5, 0.77, 0.999, 1.0]
+    got = quantiles.global_quantiles(df, "x", probs)
+    for p, g in zip(probs, got):
+        assert g == pytest.approx(float(np.quantile(vals, p)), rel=0, abs=1e-15)

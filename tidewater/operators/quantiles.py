@@ -28,15 +28,27 @@ from tidewater.session import materialize
 BUCKETS = 65536
 
 
+ZOOM_LIMIT = 1 << 22   # rows a final bucket may hold before it is histogrammed again
+MAX_ZOOMS = 4
+
+
+def _bucket(x, lo: float, width: float, nb: int):
+    idx = F.floor((x - F.lit(lo)) / F.lit(width))
+    return F.least(F.greatest(idx, F.lit(0)), F.lit(nb - 1)).cast("long")
+
+
 def global_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                      buckets: int = BUCKETS) -> list[float | None]:
-    """Exact quantiles of a whole column as Python floats (a barrier of three small jobs).
-
-    Only scalars reach the driver: (n, min, max), the at most 2 * len(probs)
-    hit buckets with their preceding counts, and the order statistics found
-    in them. Thresholds are needed before any row can be labelled, so the
-    barrier costs nothing a lazy plan would not, and it keeps every later
-    plan from re-deriving the threshold (and re-scanning its source).
+    """Exact quantiles of a whole column as Python floats (a barrier of a few small jobs).
+
+    Only scalars and bucket counts reach the driver: (n, min, max), the
+    histogram rows of the buckets holding the needed ranks, and the order
+    statistics found in them. A hit bucket holding more than ``ZOOM_LIMIT``
+    rows (values crowded into a narrow range) is histogrammed again within its
+    own range, up to ``MAX_ZOOMS`` times, so the final exact step never sorts
+    a crowded range in one task. Thresholds are needed before any row can be
+    labelled, so the barrier costs nothing a lazy plan would not, and it keeps
+    every later plan from re-deriving the threshold.
     """
     x = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     n, lo, hi = x.agg(F.count(F.lit(1)), F.min("_x"), F.max("_x")).first()
@@ -44,37 +56,61 @@ def global_quantiles(df: DataFrame, col: str, probs: Sequence[float],
         return [None for _ in probs]
     if lo == hi:
         return [float(lo) for _ in probs]
-    width = (hi - lo) / buckets
-    bucket = F.least(F.floor((F.col("_x") - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1)).cast("int")
-    xb = x.withColumn("_b", bucket)
-    ranks = {}
-    for p in probs:
-        h = p * (n - 1)
-        ranks[p] = (h, int(math.floor(h)), int(math.ceil(h)))
+    ranks = {p: (p * (n - 1), int(math.floor(p * (n - 1))), int(math.ceil(p * (n - 1)))) for p in probs}
     need = sorted({r for _, r0, r1 in ranks.values() for r in (r0, r1)})
-    hist = xb.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
-    # one row per non-empty bucket (at most ``buckets`` rows): a single ordered pass is fine
-    hist = hist.withColumn("_cum", F.sum("_c").over(Window.orderBy("_b")))
-    hit_cond = None
-    for r in need:
-        c = (F.col("_cum") - F.col("_c") <= r) & (F.col("_cum") > r)
-        hit_cond = c if hit_cond is None else hit_cond | c
-    hits = {row["_b"]: row["_cum"] - row["_c"] for row in hist.filter(hit_cond).select("_b", "_c", "_cum").collect()}
-    vals = (xb.filter(F.col("_b").isin(list(hits)))
-            .groupBy("_b", "_x").agg(F.count(F.lit(1)).alias("_vc"))
-            .withColumn("_vcum", F.sum("_vc").over(Window.partitionBy("_b").orderBy("_x"))))
-    offs = F.col("_vcum") - F.col("_vc")
-    before = F.create_map(*[v for b, c in hits.items() for v in (F.lit(b), F.lit(int(c)))])[F.col("_b")]
+    xc = F.col("_x")
+    # a state = one bucket chain: predicate, value range start, width, rows before it, rows in it, ranks
+    states = [{"pred": F.lit(True), "lo": lo, "width": (hi - lo) / buckets, "before": 0, "count": n,
+               "ranks": need, "top": True}]
+    for level in range(MAX_ZOOMS + 1):
+        big = [st for st in states if st["top"] or (st["count"] > ZOOM_LIMIT and st["width"] > 0)]
+        if not big or level == MAX_ZOOMS:
+            break
+        sid = None
+        for i, st in enumerate(big):
+            sid = F.when(st["pred"], i) if sid is None else sid.when(st["pred"], i)
+        sub = None
+        for i, st in enumerate(big):
+            width = st["width"] if st["top"] else st["width"] / buckets
+            e = _bucket(xc, st["lo"], width, buckets)
+            sub = F.when(F.col("_s") == i, e) if sub is None else sub.when(F.col("_s") == i, e)
+        hist = (x.withColumn("_s", sid).filter(F.col("_s").isNotNull()).withColumn("_b", sub)
+                .groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_c")).collect())
+        per = {}
+        for row in hist:
+            per.setdefault(row["_s"], []).append((row["_b"], row["_c"]))
+        big_ids = {id(st) for st in big}
+        new_states = [st for st in states if id(st) not in big_ids]
+        for i, st in enumerate(big):
+            width = st["width"] if st["top"] else st["width"] / buckets
+            e = _bucket(xc, st["lo"], width, buckets)
+            chosen = {}
+            acc = st["before"]
+            for b, c in sorted(per.get(i, [])):
+                hit = [r for r in st["ranks"] if acc <= r < acc + c]
+                if hit:
+                    chosen[b] = {"pred": st["pred"] & (e == b), "lo": st["lo"] + b * width, "width": width,
+                                 "before": acc, "count": c, "ranks": hit, "top": False}
+                acc += c
+            new_states.extend(chosen.values())
+        states = new_states
+    # exact step: distinct values with counts inside each final bucket only
+    sid = None
+    for i, st in enumerate(states):
+        sid = F.when(st["pred"], i) if sid is None else sid.when(st["pred"], i)
+    before = F.create_map(*[v for i, st in enumerate(states) for v in (F.lit(i), F.lit(int(st["before"])))])
+    vals = (x.withColumn("_s", sid).filter(F.col("_s").isNotNull())
+            .groupBy("_s", "_x").agg(F.count(F.lit(1)).alias("_vc"))
+            .withColumn("_vcum", F.sum("_vc").over(Window.partitionBy("_s").orderBy("_x")))
+            .withColumn("_start", before[F.col("_s")] + F.col("_vcum") - F.col("_vc")))
     cond = None
     for r in need:
-        c = (before + offs <= r) & (before + F.col("_vcum") > r)
+        c = (F.col("_start") <= r) & (F.col("_start") + F.col("_vc") > r)
         cond = c if cond is None else cond | c
-    found = vals.filter(cond).select("_b", "_x", "_vc", "_vcum").collect()
     at = {}
-    for row in found:
-        start = hits[row["_b"]] + row["_vcum"] - row["_vc"]
+    for row in vals.filter(cond).select("_x", "_vc", "_start").collect():
         for r in need:
-            if start <= r < start + row["_vc"]:
+            if row["_start"] <= r < row["_start"] + row["_vc"]:
                 at[r] = row["_x"]
     out = []
     for p in probs:
