@@ -59,12 +59,25 @@ def global_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     ranks = {p: (p * (n - 1), int(math.floor(p * (n - 1))), int(math.ceil(p * (n - 1)))) for p in probs}
     need = sorted({r for _, r0, r1 in ranks.values() for r in (r0, r1)})
     xc = F.col("_x")
+    # level 0: running counts on the (<= buckets rows) histogram; only hit buckets reach the driver
+    width0 = (hi - lo) / buckets
+    b0 = _bucket(xc, lo, width0, buckets)
+    hist0 = (x.groupBy(b0.alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
+             .withColumn("_cum", F.sum("_c").over(Window.orderBy("_b"))))
+    hit = None
+    for r in need:
+        c = (F.col("_cum") - F.col("_c") <= r) & (F.col("_cum") > r)
+        hit = c if hit is None else hit | c
     # a state = one bucket chain: predicate, value range start, width, rows before it, rows in it, ranks
-    states = [{"pred": F.lit(True), "lo": lo, "width": (hi - lo) / buckets, "before": 0, "count": n,
-               "ranks": need, "top": True}]
-    for level in range(MAX_ZOOMS + 1):
-        big = [st for st in states if st["top"] or (st["count"] > ZOOM_LIMIT and st["width"] > 0)]
-        if not big or level == MAX_ZOOMS:
+    states = []
+    for row in hist0.filter(hit).collect():
+        before = row["_cum"] - row["_c"]
+        states.append({"pred": b0 == row["_b"], "lo": lo + row["_b"] * width0, "width": width0,
+                       "before": before, "count": row["_c"],
+                       "ranks": [r for r in need if before <= r < row["_cum"]], "top": False})
+    for level in range(MAX_ZOOMS):
+        big = [st for st in states if st["count"] > ZOOM_LIMIT and st["width"] > 0]
+        if not big:
             break
         sid = None
         for i, st in enumerate(big):
