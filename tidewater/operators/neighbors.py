@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 MAX_QUERY_ROWS = 50_000
 QUERY_BLOCK = 2048
+CANDIDATE_MARGIN = 8  # extra candidates re-ranked by exact distance
 
 
 def _partial_topk(q_ids, q_mat, k):
@@ -31,16 +32,19 @@ def _partial_topk(q_ids, q_mat, k):
             r_lab = pdf["_y"].to_numpy()
             r2 = (r * r).sum(axis=1)
             kk = min(k, len(r_ids))
+            pre = min(k + CANDIDATE_MARGIN, len(r_ids))
             out_q, out_r, out_d, out_y = [], [], [], []
             for s in range(0, len(q_ids), QUERY_BLOCK):
                 q = q_mat[s:s + QUERY_BLOCK]
                 d2 = (q * q).sum(axis=1)[:, None] + r2[None, :] - 2.0 * q @ r.T
                 np.maximum(d2, 0, out=d2)
-                # exact distances for the candidates only
-                idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk] if kk < len(r_ids) else \
+                # fast expansion preselects k + margin candidates; exact distances rank them
+                pidx = np.argpartition(d2, pre - 1, axis=1)[:, :pre] if pre < len(r_ids) else \
                     np.tile(np.arange(len(r_ids)), (len(q), 1))
-                cand = r[idx]                                  # (nq, kk, dim)
-                dist = np.sqrt(((cand - q[:, None, :]) ** 2).sum(axis=2))
+                exact = np.sqrt(((r[pidx] - q[:, None, :]) ** 2).sum(axis=2))
+                order = np.lexsort((r_ids[pidx], exact), axis=1)[:, :kk]
+                idx = np.take_along_axis(pidx, order, axis=1)
+                dist = np.take_along_axis(exact, order, axis=1)
                 out_q.append(np.repeat(q_ids[s:s + QUERY_BLOCK], kk))
                 out_r.append(r_ids[idx].ravel())
                 out_d.append(dist.ravel())
@@ -55,9 +59,11 @@ def knn_candidates(queries: DataFrame, refs: DataFrame, k: int = 5, id_col: str
                    max_query_rows: int = MAX_QUERY_ROWS) -> DataFrame:
     """(query_id, ref_id, distance, ref_label, rank) for the k nearest references per query.
 
-    Partial top-k candidates are kept per reference partition; at the
-    boundary a near-tie of float rounding could swap the k-th neighbour,
-    which the exact distance recomputation in the task keeps to ties only.
+    Partial top-k candidates are kept per reference partition. Each task
+    preselects k + 8 candidates with the fast dot-product expansion and ranks
+    them by exactly recomputed distances (ties by id); rounding in the
+    expansion could only change the k-th neighbour if more than 8 other
+    candidates tied with it to within that rounding.
     """
     spark = queries.sparkSession
     n = queries.count()  # size check of the broadcast side
