@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import keep_table
+
 SPACE_CHARS = " \t\n\x0b\f\r"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -31,6 +33,7 @@ MAX_DUP_LINE_SHARE = 0.3
 WORD_LENGTH = (2.0, 15.0)
 MAX_HOST_RATE = 0.5
 MAX_PRIOR_STRENGTH = 1e6
+SALTS = 32
 
 RULES = ("few_words", "repeats", "symbols", "dup_lines", "word_length")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -132,10 +135,17 @@ def host_verdicts(measured: DataFrame, max_host_rate: float = MAX_HOST_RATE) ->
     return out.withColumn("worst_rate", worst).withColumn("host_ok", worst <= max_host_rate)
 
 
-def judge(measured: DataFrame, hosts: DataFrame) -> DataFrame:
-    """Host verdicts joined back to documents; ``kept`` is the document's verdict."""
-    back = hosts.select("host", "host_ok", "worst_rate")
-    return (measured.join(back, "host", "left")
+def judge(measured: DataFrame, hosts: DataFrame, key: str) -> DataFrame:
+    """Host verdicts joined back to documents; ``kept`` is the document's verdict.
+
+    A host may have a third of all documents, so each verdict is repeated for
+    SALTS parts of its documents, dealt by ``key``. Where the verdicts are small
+    by the size of their table, Spark broadcasts them and shuffles no document.
+    """
+    part = F.pmod(F.xxhash64(key), F.lit(SALTS))
+    back = hosts.select("host", "host_ok", "worst_rate",
+                        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("part"))
+    return (measured.withColumn("part", part).join(back, ["host", "part"], "left").drop("part")
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("host_ok"), F.lit(True))))
 
 
@@ -143,7 +153,8 @@ def keep_good(docs: DataFrame, max_host_rate: float = MAX_HOST_RATE) -> DataFram
     """The rows of ``docs`` that are kept, with their own columns.
 
     Texts are measured once for the host rates and once more for the filter,
-    so that whole texts are never shuffled by document.
+    so that whole texts need not be shuffled by document.
     """
     measured = measure(docs)
-    return judge(measured, host_verdicts(measured, max_host_rate)).where("kept").select("doc.*")
+    hosts = keep_table(host_verdicts(measured, max_host_rate), "hosts")
+    return judge(measured, hosts, "doc.doc_id").where("kept").select("doc.*")

@@ -6,22 +6,39 @@ to the whole table it is meant for.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import quality, sql
-from tidewater.session import materialize
+from tidewater.llm import bpe, lengths, packing, quality, sql
+from tidewater.llm.common import keep_table
 from tidewater.sources.tables import table
 
 
+def op1_token_id_output(spark, sf_dir):
+    return packing.packed(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_token_counts(spark, sf_dir):
+    counted = lengths.encoded_lengths(table(spark, sf_dir, "documents"), bpe.rank_file())
+    return lengths.cumulative(lengths.histogram(counted))
+
+
+def op8_byte_level_bpe(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.rank_file())
+
+
 def op10_quality_rules(spark, sf_dir):
     measured = quality.measure(table(spark, sf_dir, "documents"))
-    narrow = materialize(measured.select(F.col("doc.doc_id").alias("doc_id"), "host", "n_lines",
-                                         *quality.MEASURES, "base_failed"))
-    judged = quality.judge(narrow, quality.host_verdicts(narrow))
+    narrow = keep_table(measured.select(F.col("doc.doc_id").alias("doc_id"), "host", "n_lines",
+                                        *quality.MEASURES, "base_failed"), "measures")
+    judged = quality.judge(narrow, keep_table(quality.host_verdicts(narrow), "hosts"), "doc_id")
     return judged.select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
 QUERIES = {
+    "op1_token_id_output": op1_token_id_output,
+    "op7_token_counts": op7_token_counts,
+    "op8_byte_level_bpe": op8_byte_level_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
 
