@@ -142,9 +142,9 @@ def judge(measured: DataFrame, hosts: DataFrame, key: str) -> DataFrame:
     SALTS parts of its documents, dealt by ``key``. Where the verdicts are small
     by the size of their table, Spark broadcasts them and shuffles no document.
     """
-    part = F.pmod(F.xxhash64(key), F.lit(SALTS))
-    back = hosts.select("host", "host_ok", "worst_rate",
-                        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("part"))
+    part = F.pmod(F.xxhash64(key), F.lit(SALTS).cast("long"))
+    parts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    back = hosts.select("host", "host_ok", "worst_rate", F.explode(parts).alias("part"))
     return (measured.withColumn("part", part).join(back, ["host", "part"], "left").drop("part")
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("host_ok"), F.lit(True))))
 
