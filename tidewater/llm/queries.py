@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, lengths, packing, quality, secret_scan, sql
+from tidewater.llm import bpe, katz, lengths, packing, quality, secret_scan, sql
 from tidewater.llm.common import keep_table
 from tidewater.sources.tables import table
 
@@ -18,6 +18,10 @@ def op1_token_id_output(spark, sf_dir):
     return packing.packed(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_lm_scoring(spark, sf_dir):
+    return katz.learn(table(spark, sf_dir, "documents")).scores()
+
+
 def op6_secret_scans(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return secret_scan.scan(docs, secret_scan.learn_formats(docs))
@@ -42,6 +46,7 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_token_id_output": op1_token_id_output,
+    "op3_lm_scoring": op3_lm_scoring,
     "op6_secret_scans": op6_secret_scans,
     "op7_token_counts": op7_token_counts,
     "op8_byte_level_bpe": op8_byte_level_bpe,
