@@ -68,6 +68,11 @@ class CachedTokenizer:
         pre = spec.get("pre_tokenizer") or {}
         self.cuts = (pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
                      and not spec.get("normalizer") and not spec["model"].get("dropout"))
+        self.bytes_of = np.ones(1, np.int64)
+        if self.cuts:  # a byte-level token has one character for each byte
+            self.bytes_of = np.zeros(self.vocabulary, np.int64)
+            for token, i in self.library.get_vocab(with_added_tokens=True).items():
+                self.bytes_of[i] = len(token)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -78,6 +83,22 @@ class CachedTokenizer:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts: those like words are given to the library side by side and told apart by their bytes."""
+        words = [p for p in parts if p[0] == " " and not p[-1].isspace()]
+        out = dict.fromkeys(parts, b"")
+        for i in range(0, len(words), 512):
+            some = words[i:i + 512]
+            ids = np.array(self.library.encode("".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(w.encode()) for w in some])) + 1
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(some, (4 * ends).tolist(), strict=True):
+                out[w] = raw[at:end]
+                at = end
+        rest = [p for p in parts if p[0] != " " or p[-1].isspace()]
+        out.update(zip(rest, self._whole(rest), strict=True))
+        return [out[p] for p in parts]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts = [self._PART.findall(t) if self.cuts and not self._RARE_SPACE.search(t) else None
@@ -88,7 +109,7 @@ class CachedTokenizer:
         missing = set().union(*filter(None, parts)).difference(known)
         known.update((p, older[p]) for p in missing if p in older)
         new = list(missing.difference(older))
-        known.update(zip(new, self._whole(new), strict=True))
+        known.update(zip(new, self._parts(new), strict=True))
         lookup = known.__getitem__
         whole = iter(self._whole([t for t, row in zip(texts, parts, strict=True) if row is None]))
         return [next(whole) if row is None else b"".join(map(lookup, row)) for row in parts]
