@@ -133,6 +133,20 @@ class Plan:
     v: float = 0.0  # distinct training tokens
     discounts: tuple[tuple[float, ...], ...] = ()  # of orders 2, 3, ...
 
+    def unit(self, level: int) -> float:
+        """Lower-order probabilities of level 2 are odd multiples of this; others have no unit."""
+        return 0.5 / (self.n + 0.5 * (self.v + 1)) if level == 2 else 0.0
+
+
+def _masses(values: np.ndarray, unit: float) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities, few of them different, as codes and values; values in units where there is one."""
+    codes, values = coded(values)
+    return codes, _small(np.rint(values / unit).astype(np.uint64)) if unit else values
+
+
+def _masses_of(codes: np.ndarray, values: np.ndarray, unit: float) -> np.ndarray:
+    return values[codes] * unit if unit else values[codes]
+
 
 def good_turing(of_counts: list[float]) -> tuple[float, ...]:
     """Discount factors of counts 1 to k by Katz's formula from n_1 to n_{k+1}.
@@ -190,7 +204,11 @@ def word_answers(requests: DataFrame, plan: Plan) -> DataFrame:
         counts = np.concatenate([x[2] for x in asked])
         known, inverse = np.unique(hashes, return_inverse=True)
         total = np.bincount(inverse, counts, len(known)).astype(np.int64)
-        names = (np.arange(1, len(known) + 1, dtype=np.uint64)) * np.uint64(plan.buckets) + np.uint64(bucket)
+        # the most frequent words get the smallest names, which makes sorted lists of names small
+        rank = np.empty(len(known), np.uint64)
+        rank[np.argsort(-total, kind="stable")] = np.arange(1, len(known) + 1, dtype=np.uint64)
+        falling, each = np.unique(-total, return_counts=True)  # counts by rank: a few steps
+        last = np.cumsum(each).astype(np.uint64)
         rows = [{"kind": "model", "bucket": bucket, "chunk": -1, "payload": put(steps(known), total),
                  "sums": [float(total.sum()), float((total > 0).sum())]}]
         at = 0
@@ -198,7 +216,7 @@ def word_answers(requests: DataFrame, plan: Plan) -> DataFrame:
             i = inverse[at:at + len(mine)]
             at += len(mine)
             rows.append({"kind": "answer", "bucket": bucket, "chunk": chunk,
-                         "payload": put(names[i], total[i]), "sums": None})
+                         "payload": put(_small(rank[i]), -falling, last), "sums": None})
         return pa.Table.from_pylist(rows, schema=ANSWER_SCHEMA)
 
     return requests.groupBy("bucket").applyInArrow(run, ANSWERS)
@@ -225,7 +243,9 @@ class ChunkState:
         self.count = np.zeros(len(self.hashes), np.int64)
         for b, at in _by_bucket(self.hashes % np.uint64(self.plan.buckets), self.plan.buckets):
             at = at[np.argsort(self.hashes[at])]
-            self.word[at], self.count[at] = get(payloads[b])
+            rank, counts, last = get(payloads[b])
+            self.word[at] = rank.astype(np.uint64) * np.uint64(self.plan.buckets) + np.uint64(b)
+            self.count[at] = counts[np.searchsorted(last, rank)]
         by_word = (self.count + 0.5) / (self.plan.n + 0.5 * (self.plan.v + 1))
         self.known = (self.count > 0)[self.tokens]
         self.base = by_word[self.tokens]
@@ -234,6 +254,10 @@ class ChunkState:
         self.gram_count = self.count[self.tokens]
         self.level = 1
 
+    @property
+    def unit(self) -> float:
+        return self.plan.unit(self.level + 1)
+
     def _pairs(self) -> None:
         """The distinct (history, word) of the next level, in order of local numbers."""
         before = np.concatenate([[np.uint64(START)], self.gram[:-1]])
@@ -280,9 +304,8 @@ class ChunkState:
             gaps = np.diff(words, prepend=np.uint64(0))  # wraps around where a history begins
             begin = (np.cumsum(each) - each)[each > 0]
             gaps[begin] = words[begin]
-            codes, lower = coded(self.pair_lower[mine])
             yield b, put(steps(self.history[histories]), each.astype(np.uint32), gaps,
-                         counts[mine].astype(np.uint32), codes, lower)
+                         counts[mine].astype(np.uint32), *_masses(self.pair_lower[mine], self.unit))
 
     def answers(self, payloads: dict[int, bytes], discounts: tuple[float, ...]) -> None:
         """Answers of the next level: counts of pairs and sums of histories; moves one level up."""
@@ -292,10 +315,10 @@ class ChunkState:
         gram = np.zeros(len(self.pair_word), np.uint64)
         sums = np.zeros((len(self.history), k + 3))  # total, types, lower mass, types of count 1 to k
         for b, histories, mine, _ in self._layout():
-            count[mine], gram[mine], *columns, codes, lower = get(payloads[b])
+            count[mine], gram[mine], *columns, parts, values = get(payloads[b])
             sums[histories, :2] += np.column_stack(columns[:2])
             sums[histories, 3:] += np.column_stack(columns[2:])
-            sums[histories, 2] += lower[codes]
+            sums[histories, 2] += _masses_of(parts, values, self.unit)
         total, types, lower = sums[:, 0], sums[:, 1], sums[:, 2]
         off = np.array([r * (1 - d) for r, d in enumerate(discounts, 1)])
         saved = sums[:, 3:] @ off
@@ -313,21 +336,21 @@ class ChunkState:
         self.level += 1
 
 
-def pair_answers(requests: DataFrame, plan: Plan, more: bool) -> DataFrame:
-    """One bucket: its table of n-grams, and answers to each chunk; ``more``: another level needs names."""
-    k = LARGEST_DISCOUNTED
+def pair_answers(requests: DataFrame, plan: Plan, level: int) -> DataFrame:
+    """One bucket of a level: its table of n-grams, and answers to each chunk."""
+    k, unit, more = LARGEST_DISCOUNTED, plan.unit(level), level < plan.order  # more: names are needed
 
     def run(key, table):
         bucket = key[0].as_py()
         asked = []
         for row in table.to_pylist():
-            h, each, gaps, counts, codes, lower = get(row["payload"])
+            h, each, gaps, counts, *lower = get(row["payload"])
             h = np.cumsum(h, dtype=np.uint64)
             words = np.cumsum(gaps, dtype=np.uint64)
             begin = np.cumsum(each, dtype=np.int64) - each
             offset = np.where(begin > 0, words[np.maximum(begin, 1) - 1], 0).astype(np.uint64) if len(words) else h * 0
             words = words - np.repeat(offset, each)
-            asked.append((row["chunk"], h, each, words, counts, lower[codes]))
+            asked.append((row["chunk"], h, each, words, counts, _masses_of(*lower, unit)))
         history = np.concatenate([np.repeat(x[1], x[2]) for x in asked])
         word = np.concatenate([x[3] for x in asked])
         order = np.lexsort((word, history))
@@ -357,7 +380,7 @@ def pair_answers(requests: DataFrame, plan: Plan, more: bool) -> DataFrame:
             j = np.searchsorted(known, h)
             name = names[i] if more else np.zeros(len(i), np.uint64)
             rows.append({"kind": "answer", "bucket": bucket, "chunk": chunk, "sums": None,
-                         "payload": put(_small(total[i]), name, *[_small(s[j]) for s in sums], *coded(mass[j]))})
+                         "payload": put(_small(total[i]), name, *[_small(s[j]) for s in sums], *_masses(mass[j], unit))})
         return pa.Table.from_pylist(rows, schema=ANSWER_SCHEMA)
 
     return requests.groupBy("bucket").applyInArrow(run, ANSWERS)
@@ -441,7 +464,7 @@ def learn(docs: DataFrame, order: int = 2, key: str = "doc_id", text: str = "tex
     plan = replace(plan, n=of_model[0] or 0.0, v=of_model[1] or 0.0)
     for level in range(2, order + 1):
         requests = _with_answers(chunks, levels, plan, _requests_of, REQUESTS)
-        levels.append(keep_table(pair_answers(requests, plan, level < order), f"katz-{level}", "kind"))
+        levels.append(keep_table(pair_answers(requests, plan, level), f"katz-{level}", "kind"))
         of_counts = levels[-1].where("kind = 'model'").agg(
             *[F.sum(F.col("sums")[r]) for r in range(LARGEST_DISCOUNTED + 1)]).first()
         plan = replace(plan, discounts=(*plan.discounts, good_turing([x or 0.0 for x in of_counts])))
