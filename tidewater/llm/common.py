@@ -44,6 +44,15 @@ def keep_table(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As ``keep_table``, bucketed by ``key``, so that joins and groups by it need not shuffle the table again."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", new_folder(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
 def open_store(path: str):
     """(file system, path) of a folder or file in the shared store, local or remote."""
     from pyarrow import fs

@@ -28,7 +28,6 @@ token has the unknown word's probability, 1.
 from __future__ import annotations
 
 import math
-import uuid
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -40,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.columns import coded, get, put, steps
-from tidewater.llm.common import bounded_batches, keep_table, map_batches, new_folder, texts_of
+from tidewater.llm.common import bounded_batches, keep_bucketed, keep_table, map_batches, texts_of
 
 CHUNK_TOKENS = 2_000_000
 BUCKET_TOKENS = 3_000_000
@@ -64,7 +63,6 @@ def write_chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
     Columns: chunk, n_tokens, n_train_docs, docs (key, validity, training flag, length),
     words (hashes, the most frequent first), tokens (positions in words).
     """
-    spark = docs.sparkSession
     source = docs.select(F.col(key).cast("long").alias("key"), training_rule(key).alias("train"), F.col(text))
 
     def run(batches):
@@ -106,12 +104,8 @@ def write_chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
         if keys:
             yield flush()
 
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"chunks_{uuid.uuid4().hex}"
-    chunks = map_batches(source, run, "chunk bigint, n_tokens bigint, n_train_docs bigint, "
-                                      "docs binary, words binary, tokens binary")
-    (chunks.write.bucketBy(buckets, "chunk").option("path", new_folder(spark, "chunks")).saveAsTable(name))
-    return spark.table(name)
+    return keep_bucketed(map_batches(source, run, "chunk bigint, n_tokens bigint, n_train_docs bigint, "
+                                                  "docs binary, words binary, tokens binary"), "katz_chunks", "chunk")
 
 
 CHUNKS = pa.schema([("chunk", pa.int64()), ("n_tokens", pa.int64()), ("n_train_docs", pa.int64()),

@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, katz, lengths, packing, quality, secret_scan, setjoin, sql
+from tidewater.llm import bpe, katz, lengths, packing, quality, secret_scan, setjoin, sql, substrings
 from tidewater.llm.common import keep_table
 from tidewater.sources.tables import table
 
@@ -26,6 +26,10 @@ def op4_ngram_jaccard_join(spark, sf_dir):
     return setjoin.join(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark, sf_dir):
+    return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scans(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return secret_scan.scan(docs, secret_scan.learn_formats(docs))
@@ -52,6 +56,7 @@ QUERIES = {
     "op1_token_id_output": op1_token_id_output,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_secret_scans": op6_secret_scans,
     "op7_token_counts": op7_token_counts,
     "op8_byte_level_bpe": op8_byte_level_bpe,
