@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, katz, lengths, packing, quality, secret_scan, setjoin, sql, substrings
+from tidewater.llm import bpe, decontamination, katz, lengths, packing, quality, secret_scan, setjoin, sql, substrings
 from tidewater.llm.common import keep_table
 from tidewater.sources.tables import table
 
@@ -18,6 +18,10 @@ def op1_token_id_output(spark, sf_dir):
     return packing.packed(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_benchmark_decontamination(spark, sf_dir):
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_lm_scoring(spark, sf_dir):
     return katz.learn(table(spark, sf_dir, "documents")).scores()
 
@@ -54,6 +58,7 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_token_id_output": op1_token_id_output,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_substring_dedup": op5_substring_dedup,
