@@ -8,10 +8,13 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.session import scratch_path
 
 BATCH_BYTES = 16 << 20
+#: A side of a join is broadcast up to this size, by its counted rows; larger ones are shuffled.
+BROADCAST_BYTES = 64 << 20
 
 
 def bounded_batches(spark: SparkSession) -> SparkSession:
@@ -53,6 +56,11 @@ def keep_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     return spark.table(table)
 
 
+def broadcast_if_small(table: DataFrame, row_bytes: int) -> DataFrame:
+    """A kept table, marked for broadcast where its rows, counted from the files, are few enough."""
+    return F.broadcast(table) if table.count() * row_bytes <= BROADCAST_BYTES else table
+
+
 def open_store(path: str):
     """(file system, path) of a folder or file in the shared store, local or remote."""
     from pyarrow import fs

@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, decontamination, katz, lengths, packing, quality, secret_scan, setjoin, sql, substrings
+from tidewater.llm import bpe, decontamination, katz, lengths, packing, page_text, quality, secret_scan, setjoin, sql, substrings
 from tidewater.llm.common import keep_table
 from tidewater.sources.tables import table
 
@@ -48,6 +48,10 @@ def op8_byte_level_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.rank_file())
 
 
+def op9_html_extraction(spark, sf_dir):
+    return page_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark, sf_dir):
     measured = quality.measure(table(spark, sf_dir, "documents"))
     narrow = keep_table(measured.select(F.col("doc.doc_id").alias("doc_id"), "host", "n_lines",
@@ -65,6 +69,7 @@ QUERIES = {
     "op6_secret_scans": op6_secret_scans,
     "op7_token_counts": op7_token_counts,
     "op8_byte_level_bpe": op8_byte_level_bpe,
+    "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
 }
 

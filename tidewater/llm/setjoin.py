@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.columns import get, put, steps
-from tidewater.llm.common import keep_table, map_batches, texts_of
+from tidewater.llm.common import broadcast_if_small, keep_table, map_batches, texts_of
 from tidewater.llm.components import components
 
 WORDS = 4
@@ -259,7 +259,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataF
     ``wanted`` has node, doc_id and digest; rows of that doc_id with another set fall away.
     """
     found = (docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("body"))
-             .join(wanted, F.col("key").eqNullSafe(F.col("doc_id"))).select("node", "digest", "body"))
+             .join(broadcast_if_small(wanted, 40), F.col("key").eqNullSafe(F.col("doc_id"))).select("node", "digest", "body"))
 
     def run(batches):
         hashes = WordHashes()
@@ -433,11 +433,13 @@ def join(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str
     # one node for each set: the row that stands for it, and the smallest doc_id
     classes = keep_table(sets.where("size > 0").groupBy("digest").agg(
         F.min("row").alias("node"), F.min("doc_id").alias("least_id"), F.count("*").alias("copies")), "classes")
-    nodes = sets.join(classes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
+    copied = keep_table(classes.where("copies > 1").select("digest", "node"), "copied")
+    nodes = (sets.where("size > 0").join(broadcast_if_small(copied, 40), "digest", "left")
+             .where("node IS NULL OR node = row").drop("node").withColumnRenamed("row", "node"))
 
     lists = keep_table(inverted_lists(nodes), "lists")
     listed = lists.select("node").distinct()
-    held = keep_table(nodes.join(listed, "node", "left_semi")
+    held = keep_table(sets.withColumnRenamed("row", "node").join(listed, "node", "left_semi")
                       .select("node", "doc_id", "digest", "size", "bitmap"), "listed")
     whole = keep_table(whole_sets(docs, held.select("node", "doc_id", "digest"), key, text), "whole-sets")
 
