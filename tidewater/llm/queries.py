@@ -27,7 +27,7 @@ def op3_lm_scoring(spark, sf_dir):
 
 
 def op4_ngram_jaccard_join(spark, sf_dir):
-    return setjoin.join(table(spark, sf_dir, "documents"))
+    return setjoin.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op5_substring_dedup(spark, sf_dir):

@@ -18,8 +18,9 @@ list's members to its smallest member, which joins groups of near copies with
 as many tests as members. What is left are pairs in different components; their
 bitmaps of shingle parities bound the symmetric difference from below, which
 rejects nearly all in the task that holds the list, and long lists are cut in
-blocks, dealt pair by pair of blocks. Every pair that the bound lets through is
-verified on the whole sets, so no link is lost and none is made up.
+blocks, dealt pair by pair of blocks. Pairs that the bound lets through are verified
+on the whole sets, unless links already found join their components, so no component
+is torn and none is made up, and what a task returns does not exceed what it reads.
 
 Defined results: null and empty texts have no shingles and are their own
 component; with fewer words than a shingle the whole sequence is one; rows of one
@@ -50,12 +51,15 @@ CHUNK_SHINGLES = 2_000_000
 BUCKET_SHINGLES = 4_000_000
 #: Counting names shingles by this many bits; a clash only makes one look more frequent.
 COUNT_BITS = 44
-#: A shingle in more sets than this is frequent; doubled until at most so many are.
+#: A shingle in more sets than this is frequent; doubled until at most so many are. Below it,
+#: shingles in at least so many sets are marked in bitmaps of 2 ** MARK_BITS bits by their names' top bits.
 FREQUENT = 64
 MOST_FREQUENT = 2_000_000
+MARKED = (2, 8)
+MARK_BITS = 27
 LIGHT_SIZES = 24  # sizes for which subsets can pay at all
 BITMAP_WORDS = 16
-BLOCK = 256
+BLOCK = 1024
 PAIRS_AT_ONCE = 1 << 18
 
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -99,6 +103,11 @@ def least_overlap(size: int, percent: int) -> int:
 
 # ---- frequencies -----------------------------------------------------------------------------
 
+def _mark_ranges(buckets: int) -> np.ndarray:
+    """First mark of each bucket, in whole bytes, and the end of the last."""
+    return (np.arange(buckets + 1, dtype=np.uint64) * np.uint64(2**MARK_BITS // 8) // np.uint64(buckets)) * np.uint64(8)
+
+
 def count_shingles(docs: DataFrame, text: str, buckets: int) -> DataFrame:
     """Per bucket: frequent shingles, document frequencies by powers of 2, and sizes of small sets."""
 
@@ -111,12 +120,10 @@ def count_shingles(docs: DataFrame, text: str, buckets: int) -> DataFrame:
         def flush():
             nonlocal held, n, sizes
             names, counts = np.unique(np.concatenate(held), return_counts=True)
-            of = names % np.uint64(buckets)
-            order = np.argsort(of, kind="stable")
-            ends = np.searchsorted(of[order], np.arange(buckets + 1))
-            rows = [{"bucket": b, "sizes": None,
-                     "payload": put(steps(names[at]), counts[at].astype(np.uint32))}
-                    for b in range(buckets) if len(at := order[ends[b]:ends[b + 1]])]
+            # buckets are ranges of the marks, so each owns a part of the bitmaps
+            ends = np.searchsorted(names >> np.uint64(COUNT_BITS - MARK_BITS), _mark_ranges(buckets))
+            rows = [{"bucket": b, "sizes": None, "payload": put(steps(names[a:z]), counts[a:z].astype(np.uint32))}
+                    for b, (a, z) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if z > a]
             rows.append({"bucket": 0, "sizes": sizes.tolist(), "payload": None})
             held, n, sizes = [], 0, np.zeros(LIGHT_SIZES + 1, np.int64)
             return pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -148,7 +155,14 @@ def count_shingles(docs: DataFrame, text: str, buckets: int) -> DataFrame:
         total = np.bincount(inverse, np.concatenate(counts), len(known)).astype(np.int64)
         often = total > FREQUENT
         level = np.log2(np.maximum(total, 1)).astype(np.int64)
+        first, end = (int(x) for x in _mark_ranges(buckets)[key[0].as_py():][:2])
+        marks = []
+        for least in MARKED:
+            bits = np.zeros(end - first, np.uint8)
+            bits[(known[total >= least] >> np.uint64(COUNT_BITS - MARK_BITS)).astype(np.int64) - first] = 1
+            marks.append(np.packbits(bits))
         return pa.table({
+            "first": pa.array([first], pa.int64()), "marks": pa.array([put(*marks)], pa.binary()),
             "sizes": pa.array([sizes.tolist()], pa.list_(pa.int64())),
             "levels": pa.array([np.bincount(level[often], minlength=64).tolist()], pa.list_(pa.int64())),
             "entries": pa.array([int(total[~often].sum())], pa.int64()),
@@ -157,23 +171,31 @@ def count_shingles(docs: DataFrame, text: str, buckets: int) -> DataFrame:
 
     counted = map_batches(docs.select(text), chunks, "bucket bigint, sizes array<bigint>, payload binary")
     return counted.groupBy("bucket").applyInArrow(
-        merge, "sizes array<bigint>, levels array<bigint>, entries bigint, scans double, names binary")
+        merge, "first bigint, marks binary, sizes array<bigint>, levels array<bigint>, entries bigint, scans double, names binary")
 
 
 class ShingleOrder:
-    """The order of all shingles: by level of frequency (0: not frequent), then by hash."""
+    """The order of all shingles: by level of frequency, then by hash.
+
+    Its size is fixed: two bitmaps, and at most MOST_FREQUENT names. The level is the number
+    of bitmaps that mark the shingle or, for the frequent ones, comes with their names.
+    Any order is right; a mark by mistake only makes a rare shingle come later.
+    """
 
-    def __init__(self, names: np.ndarray, levels: np.ndarray):
+    def __init__(self, names: np.ndarray, levels: np.ndarray, marks: list[np.ndarray]):
         order = np.argsort(names)
-        self.names, self.levels = names[order], levels[order]
+        self.names, self.levels, self.marks = names[order], levels[order], marks
 
     def prefix(self, s: np.ndarray, percent: int) -> np.ndarray:
         n = len(s) - least_overlap(len(s), percent) + 1
+        short = s >> np.uint64(64 - COUNT_BITS)
+        mark = (short >> np.uint64(COUNT_BITS - MARK_BITS)).astype(np.int64)
         level = np.zeros(len(s), np.uint8)
+        for bits in self.marks:
+            level += bits[mark >> 3] >> (7 - (mark & 7)).astype(np.uint8) & 1
         if len(self.names):
-            short = s >> np.uint64(64 - COUNT_BITS)
             at = np.minimum(np.searchsorted(self.names, short), len(self.names) - 1)
-            level = np.where(self.names[at] == short, self.levels[at], 0)
+            level = np.where(self.names[at] == short, self.levels[at] + len(self.marks), level)
         return s[np.lexsort((s, level))[:n]]
 
 
@@ -224,7 +246,7 @@ def digest(s: np.ndarray) -> bytes:
 
 
 def document_sets(docs: DataFrame, key: str, text: str, order: ShingleOrder, light: int, percent: int) -> DataFrame:
-    """(doc_id, digest, size, prefix, subset_sizes, subset_keys, bitmap) of every document.
+    """(doc_id, text_hash, digest, size, prefix, subset_sizes, subset_keys, bitmap) of every document.
 
     Light sets have subsets; sets that can link with a heavy one have a prefix.
     """
@@ -234,7 +256,7 @@ def document_sets(docs: DataFrame, key: str, text: str, order: ShingleOrder, lig
         hashes = WordHashes()
         for batch in batches:
             cols: list[list] = [[], [], [], [], [], []]
-            for t in texts_of(batch.column(1)):
+            for t in texts_of(batch.column(2)):
                 s = shingles(t, hashes)
                 n = len(s)
                 prefix = order.prefix(s, percent).view(np.int64) if n >= max(1, heavy_from) else None
@@ -245,12 +267,12 @@ def document_sets(docs: DataFrame, key: str, text: str, order: ShingleOrder, lig
             longs = pa.list_(pa.int64())
             kinds = (pa.binary(), pa.int64(), longs, longs, longs, pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
-                ["doc_id", "digest", "size", "prefix", "subset_sizes", "subset_keys", "bitmap"])
+                [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
+                ["doc_id", "text_hash", "digest", "size", "prefix", "subset_sizes", "subset_keys", "bitmap"])
 
-    return map_batches(docs.select(F.col(key).cast("long").alias("doc_id"), text), run,
-                       "doc_id bigint, digest binary, size bigint, prefix array<bigint>, "
-                       "subset_sizes array<bigint>, subset_keys array<bigint>, bitmap binary")
+    return map_batches(docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text),
+                       run, "doc_id bigint, text_hash bigint, digest binary, size bigint, prefix array<bigint>, "
+                            "subset_sizes array<bigint>, subset_keys array<bigint>, bitmap binary")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
@@ -354,18 +376,49 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ok = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = (np.cumsum(get(s)[0], dtype=np.uint64) for s in (x, y))
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * shared >= percent * (len(x) + len(y) - shared))
+                ok.append(_linked(x, y, percent))
             ok = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], ["a", "b"])
 
     return map_batches(both.select("a", "b", "set_a", "set_b"), run, "a bigint, b bigint")
 
 
-def scanned_pairs(lists: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a list's members in different components that sizes and bitmaps allow.
+def _whole_units(batches):
+    """Tables that hold whole units of the sorted input, and where each unit begins in them (with the end)."""
+    rest = None
+    for batch in batches:
+        rest = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables(
+            [rest, pa.Table.from_batches([batch])])
+        unit = np.array(rest.column("unit").to_pylist(), object)
+        begins = np.flatnonzero(np.append(True, unit[1:] != unit[:-1])) if len(unit) else []
+        if len(begins) > 1:  # the last unit may go on in the next batch
+            yield rest.slice(0, begins[-1]), begins
+            rest = rest.slice(begins[-1])
+    if rest is not None and rest.num_rows:
+        yield rest, np.array([0, rest.num_rows])
+
+
+def _candidates(table: pa.Table, percent: int):
+    """(first, end, i, j) of each unit: pairs of different components that sizes and bitmaps allow."""
+    sizes, roots, mine = (table.column(c).to_numpy() for c in ("size", "root", "mine"))
+    apart = np.array(table.column("apart").to_pylist(), bool)
+    maps = _maps(table.column("bitmap"))
+
+    def of(first, end):
+        i, j = np.triu_indices(end - first, 1)
+        i, j = i + first, j + first
+        ok = (roots[i] != roots[j]) & (~apart[i] | (mine[i] != mine[j]))
+        i, j = i[ok], j[ok]
+        ok = _close(maps, sizes, i, j, percent)
+        return i[ok], j[ok]
 
-    A list longer than BLOCK is cut by hash; each pair of its blocks is a unit of work,
+    return of
+
+
+def scanned_members(lists: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The members of lists that have a possible partner in another component, by unit of work.
+
+    A list longer than BLOCK is cut by hash; each pair of its blocks is a unit,
     so a long list is compared by many tasks, each with two blocks at a time.
     """
     now = (lists.join(roots, "node", "left")
@@ -377,52 +430,77 @@ def scanned_pairs(lists: DataFrame, roots: DataFrame, nodes: DataFrame, percent:
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     units = cut.select(F.concat_ws("/", "list", F.least("mine", "other").cast("string"),
                                    F.greatest("mine", "other").cast("string")).alias("unit"),
-                       (F.col("mine") != F.col("other")).alias("apart"), "mine", "node", "size", "root")
-    dealt = (units.join(nodes.select("node", "bitmap"), "node")
+                       "mine", "node", "size", "root")
+    # in a unit of two blocks only pairs across them count; pairs within a block have their own unit
+    two = F.split("unit", "/")
+    dealt = (units.withColumn("apart", two[1] != two[2]).join(nodes.select("node", "bitmap"), "node")
              .select("unit", "apart", "mine", "node", "size", "root", "bitmap")
              .repartition("unit").sortWithinPartitions("unit"))
 
     def run(batches):
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if rest is not None:
-                table = pa.concat_tables([rest, table])
-            unit = table.column(0).to_pylist()
-            end = len(unit)
-            while end and unit[end - 1] == unit[-1]:
-                end -= 1
-            rest = table.slice(end)  # the last unit may go on in the next batch
-            if end:
-                yield from compared(table.slice(0, end), unit[:end])
-        if rest is not None and rest.num_rows:
-            yield from compared(rest, rest.column(0).to_pylist())
-
-    def compared(table, unit):
-        nodes_, sizes, roots_, mine_ = (table.column(c).to_numpy() for c in ("node", "size", "root", "mine"))
-        apart = np.array(table.column("apart").to_pylist(), bool)
-        maps = _maps(table.column("bitmap"))
-        names = np.array(unit, object)
-        begins = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
-        counts = np.diff(np.append(begins, len(names)))
-        a: list[np.ndarray] = []
-        b: list[np.ndarray] = []
-        for start, n in zip(begins.tolist(), counts.tolist(), strict=True):
-            i, j = np.triu_indices(n, 1)
-            i, j = i + start, j + start
-            ok = (roots_[i] != roots_[j]) & (~apart[i] | (mine_[i] != mine_[j]))
-            i, j = i[ok], j[ok]
-            ok = _close(maps, sizes, i, j, percent)
-            a.append(np.minimum(nodes_[i[ok]], nodes_[j[ok]]))
-            b.append(np.maximum(nodes_[i[ok]], nodes_[j[ok]]))
-        pairs = np.unique(np.column_stack([np.concatenate(a), np.concatenate(b)]), axis=0) if a else np.zeros((0, 2))
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, k], pa.int64()) for k in (0, 1)], ["a", "b"])
+        for table, begins in _whole_units(batches):
+            of = _candidates(table, percent)
+            kept = np.zeros(table.num_rows, bool)
+            for first, end in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
+                i, j = of(first, end)
+                kept[i] = True
+                kept[j] = True
+            yield from table.filter(pa.array(kept)).to_batches()
+
+    return map_batches(dealt, run, dealt.schema)
+
+
+def scanned_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join the components of a unit: at most one fewer than its members.
+
+    Possible pairs are verified on the whole sets unless links found before in the unit join them already.
+    """
+    dealt = (members.join(sets, "node")
+             .select("unit", "apart", "mine", "node", "size", "root", "bitmap", "shingles")
+             .repartition("unit").sortWithinPartitions("unit"))
+
+    def run(batches):
+        for table, begins in _whole_units(batches):
+            of = _candidates(table, percent)
+            nodes, roots = table.column("node").to_pylist(), table.column("root").to_pylist()
+            packed = table.column("shingles")
+            a, b = [], []
+            for first, end in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
+                parent = {r: r for r in roots[first:end]}
+                held: dict[int, np.ndarray] = {}
+
+                def find(x, parent=parent):
+                    while parent[x] != x:
+                        parent[x] = parent[parent[x]]
+                        x = parent[x]
+                    return x
+
+                def whole(i, held=held):
+                    if i not in held:
+                        held[i] = np.cumsum(get(packed[i].as_py())[0], dtype=np.uint64)
+                    return held[i]
+
+                for i, j in zip(*(x.tolist() for x in of(first, end)), strict=True):
+                    x, y = find(roots[i]), find(roots[j])
+                    if x != y and _linked(whole(i), whole(j), percent):
+                        parent[max(x, y)] = min(x, y)
+                        a.append(min(nodes[i], nodes[j]))
+                        b.append(max(nodes[i], nodes[j]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return map_batches(dealt, run, "a bigint, b bigint").distinct()
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
 def join(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
+    """(doc_id, n_shingles, component_id, text_hash, root) of every document.
+
+    ``root`` names the component also where doc_ids are null or repeated; it is null without shingles.
+    """
     spark = docs.sparkSession
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = keep_table(count_shingles(docs, text, shuffles), "shingles")
@@ -448,7 +526,8 @@ def join(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str
     links = keep_table(verified(bounded_pairs(stars, held, percent), whole, percent)
                        .union(light_links(nodes, percent)), "star-links")
     roots = keep_table(components(links), "roots")
-    across = verified(scanned_pairs(lists, roots, held, percent), whole, percent)
+    members = keep_table(scanned_members(lists, roots, held, percent), "members")
+    across = scanned_links(members, whole, percent)
     # what the stars joined stands for its root, so the second graph is small
     root_of = lambda c: F.coalesce(F.col(f"{c}_root"), F.col(c))
     joined = (across.join(roots.toDF("a", "a_root"), "a", "left").join(roots.toDF("b", "b_root"), "b", "left")
@@ -457,14 +536,44 @@ def join(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str
 
     named = (classes.join(final, "node", "left").withColumn("root", F.coalesce("root", "node")))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_set = named.join(least, "root").select("digest", "component_id")
-    return (sets.select("doc_id", "digest", "size").join(by_set, "digest", "left")
+    by_set = named.join(least, "root").select("digest", "component_id", "root")
+    return (sets.select("doc_id", "text_hash", "digest", "size").join(by_set, "digest", "left")
             .select("doc_id", F.col("size").alias("n_shingles"),
-                    F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+                    F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                    "text_hash", "root"))
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without those that link to another one that stays, with their own columns.
+
+    Of each component the document with the smallest (key, text hash) stays, once; documents
+    without shingles stay, once each. Rows are told apart by key and text hash, so neither null nor
+    repeated keys lose a text.
+    """
+    found = keep_table(join(docs, percent, key, text).select("doc_id", "text_hash", "root"), "components")
+    rows = found.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("times"))
+    first = rows.where("root IS NOT NULL").groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first"))
+    marked = rows.join(first, "root", "left").select(
+        F.col("doc_id").alias("of"), "text_hash", "times",
+        (F.col("root").isNull() | (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+                                   & (F.col("text_hash") == F.col("first.text_hash")))).alias("stays"))
+    marked = keep_table(marked.where("NOT stays OR times > 1"), "copies")
+
+    def listed(which):
+        """Condition that a row is one of the listed ones, and the list."""
+        these = broadcast_if_small(keep_table(marked.where(which).select("of", "text_hash"), "listed-copies"), 40)
+        return these, F.col(key).cast("long").eqNullSafe(these["of"]) & (F.xxhash64(docs[text]) == these["text_hash"])
+
+    gone, is_gone = listed("NOT stays")
+    many, is_many = listed("stays AND times > 1")
+    left = docs.join(gone, is_gone, "left_anti")
+    again = left.join(many, is_many, "left_semi")
+    return left.join(many, is_many, "left_anti").unionByName(again.dropDuplicates([key, text]))
 
 
 def _order_of(counted: DataFrame, percent: int) -> tuple[ShingleOrder, int]:
-    """The shingle order and the boundary, from sums and at most MOST_FREQUENT names."""
+    """The shingle order and the boundary, from sums, bitmaps of fixed size and at most MOST_FREQUENT names."""
     sizes, levels = np.zeros(LIGHT_SIZES + 1, np.int64), np.zeros(64, np.int64)
     sums = counted.select(F.posexplode("levels")).groupBy("pos").agg(F.sum("col").alias("n")).collect()
     for pos, n in sums:
@@ -476,9 +585,12 @@ def _order_of(counted: DataFrame, percent: int) -> tuple[ShingleOrder, int]:
     while levels[least:].sum() > MOST_FREQUENT:
         least += 1
     names, of_names = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]
-    for (payload,) in counted.select("names").collect():
+    marks = [np.zeros(2**MARK_BITS // 8, np.uint8) for _ in MARKED]
+    for first, some, payload in counted.select("first", "marks", "names").toLocalIterator():
+        for whole, part in zip(marks, get(some), strict=True):
+            whole[first // 8:first // 8 + len(part)] = part
         n, level = get(payload)
         names.append(n[level >= least])
         of_names.append(level[level >= least])
     scan = scans / entries if entries else 1.0
-    return ShingleOrder(np.concatenate(names), np.concatenate(of_names)), boundary(sizes, scan, percent)
+    return ShingleOrder(np.concatenate(names), np.concatenate(of_names), marks), boundary(sizes, scan, percent)
