@@ -87,7 +87,9 @@ def measure(docs: DataFrame, text: str = "text", host: str = "source") -> DataFr
     covered = F.aggregate(
         F.sequence(F.lit(1), F.size(s)), F.lit(0).cast("long"),
         lambda acc, j: acc + F.least(F.lit(WINDOW), F.coalesce(F.get(s, j) - F.get(s, j - 1), F.lit(WINDOW))))
-    d = d.select(*rest, F.when(s.isNotNull(), covered).otherwise(F.lit(0).cast("long")).alias("n_repeat_words"))
+    repeated = F.when(s.isNotNull(), covered).otherwise(F.lit(0).cast("long"))
+    # a filter on the measures stops at the generator, so that nothing is computed over and over inside it
+    d = d.select("doc", "host", F.inline(F.array(F.struct(*rest[2:], repeated.alias("n_repeat_words")))))
     return d.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                         | (F.lit(100) * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
