@@ -63,8 +63,10 @@ def test_m3_m10_classifiers_fit_and_predict(spark, lineitem_z, kind):
     assert acc >= max(base, 1 - base) - 0.05
 
 
-def test_m7_tree_depth_capped():
-    assert models.decision_tree(max_depth=100).getMaxDepth() == 30
+def test_m7_larger_depth_is_refused():
+    assert models.decision_tree().getMaxDepth() == 30
+    with pytest.raises(ValueError):
+        models.decision_tree(max_depth=31)
 
 
 def test_m11_m12_forecaster_per_horizon_and_weights(spark, ftable, fmodels):
@@ -81,11 +83,18 @@ def test_m11_m12_forecaster_per_horizon_and_weights(spark, ftable, fmodels):
 
 def test_m13_t6_compare_and_best(spark):
     tab = forecast.classifier_table(table(spark, SF_CHECK, "events"))
-    (metric_table, fitted, best), _ = forecast.train_classifiers(tab, quick=True)
+    metric_table, fitted, best = forecast.train_classifiers(tab, n_trees=10, rounds=3)
     rows = {r["model"]: r for r in metric_table.collect()}
     assert set(rows) == {"logistic_regression", "random_forest", "gradient_boosting"}
     assert best == max(rows, key=lambda k: rows[k]["roc_auc"])
     assert all(0 <= r["roc_auc"] <= 1 for r in rows.values())
+    # scoring keeps the training statistics, also on a file with shifted values
+    shifted = tab.withColumn("tpm_lag_1", F.col("tpm_lag_1") + 1000)
+    pm = fitted["logistic_regression"]
+    part = shifted.limit(50).checkpoint(eager=True)
+    whole = pm.transform(shifted).select("series", "ts", F.col("prediction").alias("whole"))
+    alone = pm.transform(part).select("series", "ts", "prediction").join(whole, ["series", "ts"])
+    assert alone.count() == 50 and alone.filter("prediction <> whole").count() == 0
 
 
 def test_m14_t5_importances_sum_to_one(spark, fmodels):
@@ -158,7 +167,7 @@ def test_r4_category_awareness_uses_thresholds(spark):
 def test_g6_best_regressor_per_horizon(spark, ftable):
     data = prep.hash_split(ftable.withColumn("_rid", F.concat_ws("|", "series", "ts")), "_rid", 0.2)
     tab, best = models.best_regressor_per_horizon(data.filter("is_test = 0"), data.filter("is_test = 1"),
-                                                  forecast.FORECAST_FEATURES, [5], quick=True)
+                                                  forecast.FORECAST_FEATURES, [5], n_trees=10, rounds=3)
     rows = tab.collect()
     assert len(rows) == 3
     assert best[5][0] == min(rows, key=lambda r: r["mse"])["model"]

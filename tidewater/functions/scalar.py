@@ -150,14 +150,6 @@ def category_adjustment(category, is_peak_hour, is_peak_day) -> Column:
             .otherwise(1.0))
 
 
-def category_adjustment_sql(cat: str, ph: str, pd_: str) -> str:
-    """The same rule as SQL text (used by the oracle queries)."""
-    return (f"CASE WHEN {cat} = 'high' AND NOT ({ph} = 1 OR {pd_} = 1) THEN {HIGH_OFF_PEAK}"
-            f" WHEN {cat} = 'low' AND ({ph} = 1 AND {pd_} = 1) THEN {LOW_AT_PEAK}"
-            f" WHEN {cat} = 'medium' AND ({ph} = 1 AND {pd_} = 1) THEN {MEDIUM_AT_PEAK}"
-            f" WHEN {cat} = 'medium' AND NOT ({ph} = 1 OR {pd_} = 1) THEN {MEDIUM_OFF_PEAK} ELSE 1.0 END")
-
-
 def any_changed(pairs) -> Column:
     """1 when any (standard, adjusted) pair differs."""
     cond = None

@@ -23,9 +23,23 @@ def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -> D
                   F.count(F.lit(1)).alias("n"))
 
 
-def confusion_matrix(df: DataFrame, labels: Sequence, label: str = "label",
+MAX_CLASSES = 1000
+
+
+def confusion_matrix(df: DataFrame, labels: Sequence | None = None, label: str = "label",
                      pred: str = "prediction") -> DataFrame:
-    """V2: rows = true label, one column per predicted label (given list), zeros kept."""
+    """V2: rows = true label, one column per predicted label, sorted, zeros kept.
+
+    The classes are those of either column. A given list has to hold them all.
+    """
+    found = df.select(F.explode(F.array(label, pred)).alias("c")).where("c IS NOT NULL").distinct() \
+        .limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"a confusion matrix has at most {MAX_CLASSES} classes")
+    found = sorted(r["c"] for r in found)
+    if labels is not None and set(found) - set(labels):
+        raise ValueError(f"classes outside the given list: {sorted(set(found) - set(labels))}")
+    labels = found if labels is None else labels
     counts = df.groupBy(label).pivot(pred, list(labels)).count()
     names = [str(x) for x in labels]
     spark = df.sparkSession
@@ -91,13 +105,13 @@ def running_sum_by_value(df: DataFrame, order: str, value: str, out: str, bucket
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """V4: exact ROC AUC with ties (Mann-Whitney), on the distinct-score histogram."""
+    """V4: exact ROC AUC with ties (Mann-Whitney), on the distinct-score histogram; null for one class."""
     hist = materialize(df.groupBy(F.col(score).cast("double").alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg")))
     cum = running_sum_by_value(hist, "_s", "_neg", "_neg_below")
     return cum.agg(
-        (F.sum(F.col("_pos") * (F.col("_neg_below") + 0.5 * F.col("_neg")))
-         / (F.sum("_pos") * F.sum("_neg"))).alias("roc_auc"),
+        F.try_divide(F.sum(F.col("_pos").cast("double") * (F.col("_neg_below") + 0.5 * F.col("_neg"))),
+                     F.sum("_pos").cast("double") * F.sum("_neg").cast("double")).alias("roc_auc"),
         F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"))
 
 

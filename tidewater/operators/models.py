@@ -4,8 +4,8 @@ Parameter mapping from the reference's scikit-learn settings:
 
 * logistic / linear SVM: ``regParam = 1 / (C * n)``, no feature standardisation
   inside the estimator (features are scaled by ``prep`` with population std);
-* trees: entropy impurity, ``maxDepth`` capped at 30 (MLlib's limit), splits
-  on binned candidates (``maxBins``);
+* trees: entropy impurity, ``maxDepth`` 30 for "unlimited" (MLlib's limit; a larger
+  depth is refused), splits on binned candidates (``maxBins``);
 * forests and boosting: the tree counts, depths and rates of the reference;
   ``minInstancesPerNode`` stands in for min samples per split/leaf;
 * sample weights (``ml_weight``) go to ``weightCol``.
@@ -25,7 +25,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -71,11 +71,17 @@ def linear_svm(n_rows: int, C: float = 1.0, features: str = "features", label: s
                      standardization=False, maxIter=100)
 
 
+def _depth(depth: int) -> int:
+    if depth > MAX_TREE_DEPTH:
+        raise ValueError(f"MLlib grows trees to depth {MAX_TREE_DEPTH} at most, {depth} was asked for")
+    return depth
+
+
 def decision_tree(max_depth: int = MAX_TREE_DEPTH, max_bins: int = 256, seed: int = 0,
                   features: str = "features", label: str = "label"):
-    """M7: entropy tree, depth capped at MLlib's maximum."""
+    """M7: entropy tree."""
     return DecisionTreeClassifier(featuresCol=features, labelCol=label, impurity="entropy",
-                                  maxDepth=min(max_depth, MAX_TREE_DEPTH), maxBins=max_bins, seed=seed)
+                                  maxDepth=_depth(max_depth), maxBins=max_bins, seed=seed)
 
 
 def random_forest(n_trees: int = 10, max_depth: int = MAX_TREE_DEPTH, min_instances: int = 1,
@@ -83,7 +89,7 @@ def random_forest(n_trees: int = 10, max_depth: int = MAX_TREE_DEPTH, min_instan
                   label: str = "label", weight: str | None = None):
     """M8 (10 trees, entropy) / M9 (200 trees, depth 12, min split 5)."""
     rf = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=n_trees,
-                                maxDepth=min(max_depth, MAX_TREE_DEPTH), impurity=impurity,
+                                maxDepth=_depth(max_depth), impurity=impurity,
                                 minInstancesPerNode=min_instances, featureSubsetStrategy="sqrt",
                                 seed=seed, cacheNodeIds=True, maxMemoryInMB=TREE_MEMORY_MB)
     if weight:
@@ -103,7 +109,7 @@ def forest_regressor(n_trees: int = 200, max_depth: int = 15, min_leaf: int = 4,
                      features: str = "features", label: str = "label", weight: str | None = None):
     """The forecaster's forest (200 trees, depth 15, leaf 4, sqrt features)."""
     rf = RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=n_trees,
-                               maxDepth=min(max_depth, MAX_TREE_DEPTH), minInstancesPerNode=min_leaf,
+                               maxDepth=_depth(max_depth), minInstancesPerNode=min_leaf,
                                featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True,
                                maxMemoryInMB=TREE_MEMORY_MB)
     if weight:
@@ -134,10 +140,22 @@ def hierarchical(k: int, seed: int = 0, features: str = "features"):
 
 # ----------------------------------------------------------- pipelines, tables
 
-def fit_pipeline(df: DataFrame, feature_cols: Sequence[str], estimator, features: str = "features"):
-    """Assemble + estimator as one ``PipelineModel`` (what is saved and reloaded, S8)."""
-    asm = VectorAssembler(inputCols=list(feature_cols), outputCol=features, handleInvalid="error")
-    return Pipeline(stages=[asm, estimator]).fit(df)
+def scaling_stage(df: DataFrame, cols: Sequence[str], prefix: str = "z_") -> SQLTransformer:
+    """E4 as a pipeline stage: z-scores by the mean and population deviation of ``df`` (one row of sums).
+
+    The statistics are part of the stage, so a saved pipeline scores raw rows as it was trained.
+    """
+    row = df.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    scaled = [f"(CAST(`{c}` AS DOUBLE) - {row[f'm_{c}']!r}D) / {(row[f's_{c}'] or 1.0)!r}D AS `{prefix}{c}`" for c in cols]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(scaled)} FROM __THIS__")
+
+
+def fit_pipeline(df: DataFrame, feature_cols: Sequence[str], estimator, features: str = "features", scale: bool = False):
+    """(Scaling +) assembly + estimator as one ``PipelineModel``, which is what is saved and reloaded."""
+    first = [scaling_stage(df, feature_cols)] if scale else []
+    inputs = [f"z_{c}" for c in feature_cols] if scale else list(feature_cols)
+    asm = VectorAssembler(inputCols=inputs, outputCol=features, handleInvalid="error")
+    return Pipeline(stages=[*first, asm, estimator]).fit(df)
 
 
 def feature_importances(model, feature_cols: Sequence[str], spark=None) -> DataFrame:
@@ -151,8 +169,8 @@ def feature_importances(model, feature_cols: Sequence[str], spark=None) -> DataF
 
 
 def compare_classifiers(train: DataFrame, test: DataFrame, feature_cols: Sequence[str],
-                        estimators: dict, label: str = "label"):
-    """M13 + T6: fit each, score the test set, metric table, best by AUC.
+                        estimators: dict, label: str = "label", scale: bool = False):
+    """M13 + T6: fit each, score the test set, metric table, best by AUC (ties: first name).
 
     Returns (metric DataFrame, {name: PipelineModel}, best name).
     """
@@ -161,7 +179,7 @@ def compare_classifiers(train: DataFrame, test: DataFrame, feature_cols: Sequenc
                                        metricName="areaUnderROC", numBins=0)
     rows, models = [], {}
     for name, est in estimators.items():
-        pm = fit_pipeline(train, feature_cols, est)
+        pm = fit_pipeline(train, feature_cols, est, scale=scale)
         pred = pm.transform(test)
         auc = ev.evaluate(pred)
         acc = pred.agg(F.avg(F.when(F.col("prediction") == F.col(label), 1.0).otherwise(0.0))).first()[0]
@@ -170,20 +188,20 @@ def compare_classifiers(train: DataFrame, test: DataFrame, feature_cols: Sequenc
     train.unpersist()
     spark = test.sparkSession
     table = spark.createDataFrame(rows, "model string, roc_auc double, accuracy double")
-    best = max(rows, key=lambda r: (r[1], -ord(r[0][0])))[0]
+    best = min(rows, key=lambda r: (-r[1], r[0]))[0]
     return table, models, best
 
 
 def best_regressor_per_horizon(train: DataFrame, test: DataFrame, feature_cols: Sequence[str],
-                               horizons: Sequence[int], quick: bool = False):
+                               horizons: Sequence[int], n_trees: int = 200, rounds: int = 100):
     """Forest vs boosting vs linear for each horizon, kept by lowest test MSE."""
     ev = RegressionEvaluator(metricName="mse", predictionCol="prediction")
     out, models = [], {}
     for h in horizons:
         label = f"target_{h}min"
-        cands = {"forest": forest_regressor(n_trees=20 if quick else 200, label=label),
+        cands = {"forest": forest_regressor(n_trees=n_trees, label=label),
                  # scikit-learn's boosting defaults: 100 stages of depth 3, rate 0.1
-                 "boosting": GBTRegressor(labelCol=label, maxIter=10 if quick else 100, maxDepth=3,
+                 "boosting": GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=3,
                                           stepSize=0.1, seed=0),
                  "linear": linear_regression(label=label)}
         best = None

@@ -1,91 +1,78 @@
-"""Exact k-nearest-neighbour classification (M5) without emitting all pairs.
-
-The query side is processed in chunks of at most ``max_query_rows`` rows (the
-only data sent to executors by broadcast, so its size is bounded). Each task
-of the reference side computes distances for its Arrow batch against the
-chunk with numpy and keeps only its own k best per query; a per-query
-``row_number() <= k`` (WindowGroupLimit) then merges the partial top-k lists,
-and a grouped vote picks the label (ties to the smaller label). No distance
-row is produced for pairs outside a partial top-k.
+"""Exact k-nearest-neighbour classification (M5) in blocks.
+
+Queries and references are each cut by hash into blocks of a bounded number of
+rows. Every pair of a query block and a reference block is one unit of
+work: distances are taken from direct differences, so they do not depend on how far
+the vectors lie from the origin, and a unit returns only its k best references
+for each query. A per-query ``row_number() <= k`` merges the partial lists, and a
+grouped vote picks the label (ties to the smaller label). Nothing is collected,
+and no unit holds more than one block of either side.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-MAX_QUERY_ROWS = 50_000
 QUERY_BLOCK = 2048
-CANDIDATE_MARGIN = 8  # extra candidates re-ranked by exact distance
-
-
-def _partial_topk(q_ids, q_mat, k):
-    def fn(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            r = np.stack(pdf["_v"].to_numpy()).astype(np.float64)
-            r_ids = pdf["_id"].to_numpy()
-            r_lab = pdf["_y"].to_numpy()
-            r2 = (r * r).sum(axis=1)
-            kk = min(k, len(r_ids))
-            pre = min(k + CANDIDATE_MARGIN, len(r_ids))
-            out_q, out_r, out_d, out_y = [], [], [], []
-            for s in range(0, len(q_ids), QUERY_BLOCK):
-                q = q_mat[s:s + QUERY_BLOCK]
-                d2 = (q * q).sum(axis=1)[:, None] + r2[None, :] - 2.0 * q @ r.T
-                np.maximum(d2, 0, out=d2)
-                # fast expansion preselects k + margin candidates; exact distances rank them
-                pidx = np.argpartition(d2, pre - 1, axis=1)[:, :pre] if pre < len(r_ids) else \
-                    np.tile(np.arange(len(r_ids)), (len(q), 1))
-                exact = np.sqrt(((r[pidx] - q[:, None, :]) ** 2).sum(axis=2))
-                order = np.lexsort((r_ids[pidx], exact), axis=1)[:, :kk]
-                idx = np.take_along_axis(pidx, order, axis=1)
-                dist = np.take_along_axis(exact, order, axis=1)
-                out_q.append(np.repeat(q_ids[s:s + QUERY_BLOCK], kk))
-                out_r.append(r_ids[idx].ravel())
-                out_d.append(dist.ravel())
-                out_y.append(r_lab[idx].ravel())
-            yield pd.DataFrame({"query_id": np.concatenate(out_q), "ref_id": np.concatenate(out_r),
-                                "distance": np.concatenate(out_d), "ref_label": np.concatenate(out_y)})
-    return fn
+REFERENCE_BLOCK = 20_000
+SLAB = 256  # queries compared at once
+CANDIDATES = "query_id bigint, ref_id bigint, distance double, ref_label bigint"
+
+
+def _vectors(column: pa.ChunkedArray) -> np.ndarray:
+    return np.array(column.to_pylist(), np.float64)
+
+
+def _nearest(k: int):
+    """The k nearest references of each query of one unit, ties by the smaller id."""
+    schema = pa.schema([("query_id", pa.int64()), ("ref_id", pa.int64()), ("distance", pa.float64()),
+                        ("ref_label", pa.int64())])
+
+    def unit(_, queries: pa.Table, refs: pa.Table) -> pa.Table:
+        if not queries.num_rows or not refs.num_rows:
+            return schema.empty_table()
+        q_ids, q = queries["_id"].to_numpy(), _vectors(queries["_v"])
+        r_ids, r, labels = refs["_id"].to_numpy(), _vectors(refs["_v"]), refs["_y"].to_numpy()
+        by_id = np.argsort(r_ids, kind="stable")
+        r_ids, r, labels = r_ids[by_id], r[by_id], labels[by_id]
+        n = min(k, len(r_ids))
+        best = []
+        for a in range(0, len(q), SLAB):
+            part = q[a:a + SLAB]
+            squares = np.zeros((len(part), len(r)))
+            for i in range(q.shape[1]):
+                squares += (part[:, i, None] - r[None, :, i]) ** 2
+            best.append(np.argsort(np.sqrt(squares), axis=1, kind="stable")[:, :n])
+        at = np.concatenate(best)
+        distance = np.sqrt(((q[:, None, :] - r[at]) ** 2).sum(axis=2))
+        return pa.table([np.repeat(q_ids, n), r_ids[at].ravel(), distance.ravel(), labels[at].ravel()], schema=schema)
+
+    return unit
 
 
 def knn_candidates(queries: DataFrame, refs: DataFrame, k: int = 5, id_col: str = "id",
                    vec_col: str = "vec", label_col: str = "label",
-                   max_query_rows: int = MAX_QUERY_ROWS) -> DataFrame:
-    """(query_id, ref_id, distance, ref_label, rank) for the k nearest references per query.
-
-    Partial top-k candidates are kept per reference partition. Each task
-    preselects k + 8 candidates with the fast dot-product expansion and ranks
-    them by exactly recomputed distances (ties by id); rounding in the
-    expansion could only change the k-th neighbour if more than 8 other
-    candidates tied with it to within that rounding.
-    """
-    spark = queries.sparkSession
-    n = queries.count()  # size check of the broadcast side
-    n_chunks = max(1, -(-n // max_query_rows))
-    r = refs.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"), F.col(label_col).alias("_y"))
-    schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("ref_id", T.LongType()),
-                           T.StructField("distance", T.DoubleType()), T.StructField("ref_label", T.LongType())])
-    results = None
-    for c in range(n_chunks):
-        chunk = queries if n_chunks == 1 else queries.filter(
-            F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_chunks)) == c)
-        rows = chunk.select(id_col, vec_col).collect()  # at most max_query_rows rows (checked above)
-        if not rows:
-            continue
-        q_ids = np.array([x[0] for x in rows], dtype=np.int64)
-        q_mat = np.array([x[1] for x in rows], dtype=np.float64)
-        part = r.mapInPandas(_partial_topk(q_ids, q_mat, k), schema)
-        results = part if results is None else results.unionByName(part)
-    if results is None:
-        return spark.createDataFrame([], schema.add("rank", T.IntegerType()))
+                   query_block: int = QUERY_BLOCK, reference_block: int = REFERENCE_BLOCK) -> DataFrame:
+    """(query_id, ref_id, distance, ref_label, rank) for the k nearest references per query."""
+    nq = max(1, -(-queries.count() // query_block))
+    nr = max(1, -(-refs.count() // reference_block))
+
+    def block(n, salt):
+        return F.pmod(F.xxhash64(F.col(id_col), F.lit(salt)), F.lit(n).cast("long"))
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    q = queries.select(F.col(id_col).cast("long").alias("_id"), F.col(vec_col).alias("_v"),
+                       block(nq, 1).alias("_q"), every(nr).alias("_r"))
+    r = refs.select(F.col(id_col).cast("long").alias("_id"), F.col(vec_col).alias("_v"),
+                    F.col(label_col).cast("long").alias("_y"), block(nr, 2).alias("_r"), every(nq).alias("_q"))
+    found = q.groupBy("_q", "_r").cogroup(r.groupBy("_q", "_r")).applyInArrow(_nearest(k), CANDIDATES)
     w = Window.partitionBy("query_id").orderBy("distance", "ref_id")
-    return results.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def knn_classify(queries: DataFrame, refs: DataFrame, k: int = 5, id_col: str = "id",

@@ -9,17 +9,29 @@ from tidewater.session import materialize
 from tidewater.sources.tables import table
 
 
+def adjustment_oracle(cat: str, hour: str, day: str) -> str:
+    """DuckDB text of the category adjustment, stated apart from the operator it checks."""
+    return f"""CASE {cat}
+        WHEN 'high' THEN CASE WHEN {hour} = 0 AND {day} = 0 THEN 0.9 ELSE 1.0 END
+        WHEN 'medium' THEN CASE {hour} + {day} WHEN 2 THEN 1.05 WHEN 0 THEN 0.95 ELSE 1.0 END
+        WHEN 'low' THEN CASE WHEN {hour} + {day} = 2 THEN 1.15 ELSE 1.0 END
+        ELSE 1.0 END"""
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def view_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+def view_v(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     """View V: hourly traffic per series (A18), computed once (checkpointed).
 
     Every consumer windows or re-aggregates it from several plan branches;
-    the raw events are scanned a single time.
+    the raw events are scanned a single time. Only the columns asked for are computed (all
+    of them without any), so the running play count, which has shuffles of its own, is there on demand.
     """
-    return materialize(traffic.traffic_series(events(spark, sf_dir)))
+    cols = cols or tuple(V_COLS.split())
+    v = traffic.traffic_series(events(spark, sf_dir), with_play_count="play_counted" in cols)
+    return materialize(v.select(*cols))
 
 
 def series_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +41,7 @@ def series_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features_v(spark: SparkSession, sf_dir: str, parity: bool = True) -> DataFrame:
-    v = view_v(spark, sf_dir)
+    v = view_v(spark, sf_dir, *[c for c in V_COLS.split() if c != "play_counted"])
     return traffic.series_features(traffic.calendar_features(v), parity=parity)
 
 

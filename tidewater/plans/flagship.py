@@ -7,7 +7,7 @@ T2 latest dates -> J1 semi join -> T3 top 5 per day.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import timefn
@@ -17,13 +17,19 @@ from tidewater.sources.tables import table
 
 
 def busiest_hours(events: DataFrame, n_days: int = 2, top: int = 5) -> DataFrame:
-    # the hourly table is read by the halo and the own-row branches: compute it once
-    base = materialize(traffic.traffic_series(events, with_play_count=False))
-    v = temporal.windowed(base, "series", "ts",
+    # the hourly table is read by the dates, the halo and the own-row branches: compute its three columns once
+    base = materialize(traffic.traffic_series(events, with_play_count=False).select("series", "ts", "tpm")
+                       .withColumn("date", F.to_date("ts")))
+    days = reports.latest_dates(base, n_days)
+    first = days.agg(F.min("date")).first()[0]
+    # windows run over the latest days and the 5 hours before them of each series, not over all history
+    before = Window.partitionBy("series").orderBy(F.col("ts").desc())
+    halo = (base.filter(F.col("date") < F.lit(first)).withColumn("_n", F.row_number().over(before))
+            .filter(F.col("_n") <= 5).drop("_n"))
+    recent = base.filter(F.col("date") >= F.lit(first)).unionByName(halo)
+    v = temporal.windowed(recent, "series", "ts",
                           lambda w: {"tpm_ma_6": temporal.rolling_mean(w, "tpm", 6)},
                           before=5)
-    v = v.withColumn("date", F.to_date("ts"))
-    days = reports.latest_dates(base.withColumn("date", F.to_date("ts")), n_days)
     picked = reports.keep_dates(v, days)
     top_rows = reports.top_n_per_group(picked, "date",
                                        [F.col("tpm").desc(), F.col("ts"), F.col("series")], top)

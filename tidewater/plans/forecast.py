@@ -46,8 +46,10 @@ def forecast_table(events: DataFrame, period_seconds: int = 300, weeks_back: int
                           after=max(int(h / gran) for h in HORIZONS))
     v = (v.withColumn("push_notification_active", F.col("is_push_notification"))
          .withColumn("tpm_change", F.coalesce("tpm_change", F.lit(0.0))))
-    anchors = events.agg(F.max("ts").alias("anchor_utc"))
-    cal = periods.period_metadata(periods.weekend_periods(anchors, "anchor_utc", weeks_back))
+    earliest, latest = events.agg(F.min("ts"), F.max("ts")).first()
+    anchors = events.sparkSession.range(1).select(F.lit(latest).cast("timestamp_ntz").alias("anchor_utc"))
+    cal = periods.period_metadata(periods.weekend_periods(anchors, "anchor_utc", weeks_back,
+                                                          periods.weeks_between(earliest, latest)))
     tagged = periods.tag_periods(v.select("series", "ts"), cal.select(
         "thursday", "week", "start_utc", "end_utc", "week_priority", "data_age_days"), "ts")
     w = tagged.join(cal.select("week", "ml_weight"), "week").select("series", "ts", "ml_weight")
@@ -87,18 +89,18 @@ def classifier_table(events: DataFrame) -> DataFrame:
     return prep.fill_zero(lab, CLASSIFIER_FEATURES).withColumn("label", F.col("label").cast("double"))
 
 
-def train_classifiers(table: DataFrame, quick: bool = True):
-    """Stratified exact split, standardisation on train, LR / forest / boosting compared."""
+def train_classifiers(table: DataFrame, n_trees: int = 200, rounds: int = 150):
+    """Stratified exact split, scaling fitted on train, LR / forest / boosting compared.
+
+    Returns (metric table, {name: pipeline}, best name); the pipelines score raw rows.
+    """
     t = prep.exact_split(table.withColumn("_rid", F.concat_ws("|", "series", "ts")), "_rid", 0.2,
                          strata=["label"])
     checkpoint_dir(table.sparkSession)
     t = t.checkpoint(eager=True)
-    stats = prep.fit_standardiser(t.filter("is_test = 0"), CLASSIFIER_FEATURES)
-    z = prep.apply_standardiser(t, stats, CLASSIFIER_FEATURES)
-    zcols = [f"z_{c}" for c in CLASSIFIER_FEATURES]
-    train, test = z.filter("is_test = 0"), z.filter("is_test = 1")
+    train, test = t.filter("is_test = 0"), t.filter("is_test = 1")
     n = train.count()
     est = {"logistic_regression": models.logistic_regression(n, C=1.0, max_iter=2000),
-           "random_forest": models.random_forest(n_trees=20 if quick else 200, max_depth=12, min_instances=5),
-           "gradient_boosting": models.gradient_boosting(max_iter=10 if quick else 150)}
-    return models.compare_classifiers(train, test, zcols, est), zcols
+           "random_forest": models.random_forest(n_trees=n_trees, max_depth=12, min_instances=5),
+           "gradient_boosting": models.gradient_boosting(max_iter=rounds)}
+    return models.compare_classifiers(train, test, CLASSIFIER_FEATURES, est, scale=True)

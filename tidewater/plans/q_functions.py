@@ -222,7 +222,7 @@ lst AS (SELECT series, ts, tpm, list_reverse(list(tpm) OVER (PARTITION BY series
 
 
 def _prev_lists(spark, sf_dir):
-    v = common.view_v(spark, sf_dir).select("series", "ts", "tpm")
+    v = common.view_v(spark, sf_dir, "series", "ts", "tpm")
     return temporal.windowed(v, "series", "ts", lambda w: {
         "prev": F.reverse(F.collect_list("tpm").over(w.rowsBetween(-5, -1)))}, before=5)
 
@@ -250,7 +250,7 @@ def f19(spark, sf_dir):
        SELECT series, ts, CAST(CASE WHEN m <= 45 THEN 1 ELSE 0 END AS INTEGER) AS is_post_push FROM x""",
        times="ts")
 def f20(spark, sf_dir):
-    v = common.view_v(spark, sf_dir).select("series", "ts", "is_push_notification")
+    v = common.view_v(spark, sf_dir, "series", "ts", "is_push_notification")
     v = v.withColumn("_lp", F.when(F.col("is_push_notification") == 1, F.col("ts")))
     v = temporal.forward_fill(v, "series", "ts", ["_lp"])
     return v.select("series", "ts", scalar.post_push_flag(timefn.minutes_between("_lp", "ts")).alias("is_post_push"))
@@ -262,7 +262,7 @@ F21_SQL = """, fl AS (SELECT series, ts, tpm_category,
          CAST(EXISTS (SELECT 1 FROM peaks p WHERE p.kind = 'day' AND p.tpm_category = vc.tpm_category
                       AND p.key = vc.day_of_week) AS INTEGER) AS is_peak_day, tpm
        FROM vc)"""
-ADJ_SQL = scalar.category_adjustment_sql("tpm_category", "is_peak_hour", "is_peak_day")
+ADJ_SQL = common.adjustment_oracle("tpm_category", "is_peak_hour", "is_peak_day")
 
 
 def _f21_sql():
@@ -304,7 +304,7 @@ def g2(spark, sf_dir):
        ORDER BY ts ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS tpm_ma_10 FROM v""",
        doubles="tpm_ma_10", times="ts")
 def g3(spark, sf_dir):
-    v = common.view_v(spark, sf_dir).select("series", "ts", "tpm")
+    v = common.view_v(spark, sf_dir, "series", "ts", "tpm")
     return temporal.windowed(v, "series", "ts", lambda w: {"tpm_ma_10": temporal.rolling_mean(w, "tpm", 10)},
                              before=9).select("series", "ts", "tpm_ma_10")
 
@@ -353,18 +353,21 @@ cal AS (SELECT week, thursday,
 
 
 def calendar(spark, sf_dir):
-    """12 weekend periods back from the latest event (the anchor is a scalar barrier)."""
-    anchor = _ev(spark, sf_dir).agg(F.max("ts")).first()[0]
+    """Weekend periods back from the latest event (the anchor is a scalar barrier).
+
+    12, as the reference has them, or as many more as the table's earliest event needs.
+    """
+    anchor, earliest = _ev(spark, sf_dir).agg(F.max("ts"), F.min("ts")).first()
     anchors = spark.range(1).select(F.lit(anchor).cast("timestamp_ntz").alias("anchor_utc"))
-    return periods.weekend_periods(anchors, "anchor_utc", 12)
+    return periods.weekend_periods(anchors, "anchor_utc", 12, periods.weeks_between(earliest, anchor))
 
 
 @query("R7_weekend_calendar", "WITH " + CAL_SQL + """ SELECT CAST(week AS INTEGER) AS week, thursday,
        start_utc, end_utc, week_priority, data_age_days FROM cal""",
        times="start_utc end_utc", dates="thursday")
 def r7(spark, sf_dir):
-    return calendar(spark, sf_dir).select("week", "thursday", "start_utc", "end_utc",
-                                          "week_priority", "data_age_days")
+    return calendar(spark, sf_dir).where("week < 12").select(
+        "week", "thursday", "start_utc", "end_utc", "week_priority", "data_age_days")
 
 
 @query("J3_range_join_periods", "WITH " + CAL_SQL + """ SELECT CAST(c.week AS INTEGER) AS week,

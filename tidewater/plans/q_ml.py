@@ -14,7 +14,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from tidewater.operators import metrics, models, prep, scoring
+from tidewater.operators import metrics, models, prep, scoring, temporal
 from tidewater.plans import common, forecast, ingest
 from tidewater.plans.registry import query
 from tidewater.session import materialize, scratch_path
@@ -114,11 +114,13 @@ def m2(spark, sf_dir):
     return spark.createDataFrame(rows, "term string, coefficient double")
 
 
-@query("E8_assemble_features")
+@query("E8_assemble_features", "WITH " + common.VF_CTE + """ SELECT series, ts, unnest([0, 1, 2, 3, 4, 5]) AS pos,
+  unnest([tpm, coalesce(tpm_lag_1, 0), coalesce(tpm_lag_2, 0), coalesce(tpm_lag_3, 0), hour_sin, hour_cos]) AS value
+  FROM vff""", doubles="value", times="ts")
 def e8(spark, sf_dir):
     f = prep.fill_zero(common.features_v(spark, sf_dir), ["tpm_lag_1", "tpm_lag_2", "tpm_lag_3"])
     a = prep.assemble(f, ["tpm", "tpm_lag_1", "tpm_lag_2", "tpm_lag_3", "hour_sin", "hour_cos"])
-    return a.select("series", "ts", vector_to_array("features").alias("features"))
+    return a.select("series", "ts", F.posexplode(vector_to_array("features")).alias("pos", "value"))
 
 
 @query("G7_kmeans_embeddings")
@@ -133,29 +135,37 @@ def g9(spark, sf_dir):
     return models.hierarchical(8).fit(e).transform(e).groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _classifier(spark, sf_dir, quick: bool):
-    """Compared classifiers, trained once per input (fit-or-load)."""
+N_TREES, ROUNDS = 200, 150
+
+
+def _classifier(spark, sf_dir):
+    """Compared classifiers, trained once per input (fit-or-load).
+
+    Beside the metrics, the feature list and the label's threshold are kept with the pipelines.
+    """
     def train():
         tab = forecast.classifier_table(table(spark, sf_dir, "events"))
-        (metric_table, fitted, best), _ = forecast.train_classifiers(tab, quick=quick)
-        return fitted, {"metrics": metric_table}
-    fitted, tables = model_store.fit_or_load(spark, "classifiers", [table_path(sf_dir, "events")],
-                                             f"quick={quick}", train)
+        metric_table, fitted, _ = forecast.train_classifiers(tab, N_TREES, ROUNDS)
+        features = spark.createDataFrame(list(enumerate(forecast.CLASSIFIER_FEATURES)), "position int, feature string")
+        threshold = tab.filter("label = 1").agg(F.min("tpm").alias("threshold"))
+        return fitted, {"metrics": metric_table, "features": features, "threshold": threshold}
+    fitted, tables = model_store.fit_or_load(
+        spark, "classifiers", [table_path(sf_dir, "events")],
+        f"trees={N_TREES} rounds={ROUNDS} features={','.join(forecast.CLASSIFIER_FEATURES)}", train)
     mt = tables["metrics"]
     best = mt.orderBy(F.col("roc_auc").desc(), F.col("model")).first()["model"]
-    zcols = [f"z_{c}" for c in forecast.CLASSIFIER_FEATURES]
-    return (mt, fitted, best), zcols
+    return mt, fitted, best
 
 
 @query("M13_compare_classifiers")
 def m13(spark, sf_dir):
-    (metric_table, _, _), _ = _classifier(spark, sf_dir, quick=False)
+    metric_table, _, _ = _classifier(spark, sf_dir)
     return metric_table
 
 
 @query("T6_best_model")
 def t6(spark, sf_dir):
-    (metric_table, _, _), _ = _classifier(spark, sf_dir, quick=False)
+    metric_table, _, _ = _classifier(spark, sf_dir)
     return metric_table.orderBy(F.col("roc_auc").desc(), F.col("model")).limit(1)
 
 
@@ -184,7 +194,8 @@ def _forecaster(spark, sf_dir, use_weights=True):
         fitted, evals = forecast.train_forecaster(ft, use_weights=use_weights)
         return {f"h{h}": m for h, m in fitted.items()}, {"metrics": evals}
     fitted, tables = model_store.fit_or_load(spark, "forecaster", [table_path(sf_dir, "events")],
-                                             f"weights={use_weights}", train)
+                                             f"weights={use_weights} horizons={forecast.HORIZONS} "
+                                             f"features={','.join(forecast.FORECAST_FEATURES)}", train)
     return ft, {int(k[1:]): m for k, m in fitted.items()}, tables["metrics"]
 
 
@@ -225,11 +236,12 @@ def g6(spark, sf_dir):
 
 def scenario_table(spark, sf_dir):
     """R2 input from data: each series' latest hour as the current situation, with and without a push."""
-    f = common.features_v(spark, sf_dir)
+    f = temporal.windowed(common.features_v(spark, sf_dir), "series", "ts",
+                          lambda w: {"tpm_lag_4": F.lag("tpm", 4).over(w)}, before=4)
     latest = f.groupBy("series").agg(F.max("ts").alias("ts"))
     cur = f.join(latest, ["series", "ts"]).select(
         "series", F.col("tpm").alias("current_tpm"), "hour", "day_of_week", "response_time",
-        F.array(*[F.coalesce(F.col(f"tpm_lag_{i}"), F.col("tpm")) for i in (1, 2, 3)]).alias("previous_tpm_values"))
+        F.array(*[F.coalesce(F.col(f"tpm_lag_{i}"), F.col("tpm")) for i in range(1, 6)]).alias("previous_tpm_values"))
     push = F.explode(F.array(F.struct(F.lit("no_push").alias("scenario"), F.lit(0).alias("push_notification_active"),
                                       F.lit(999999).alias("minutes_since_push")),
                              F.struct(F.lit("push").alias("scenario"), F.lit(1).alias("push_notification_active"),
@@ -263,27 +275,29 @@ def r6(spark, sf_dir):
 
 @query("R1_score_saved_model")
 def r1(spark, sf_dir):
-    (_, fitted, best), zcols = _classifier(spark, sf_dir, quick=True)
+    _, fitted, best = _classifier(spark, sf_dir)
     path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
     fitted[best].write().overwrite().save(path)  # S8
-    model = PipelineModel.load(path)
+    model = PipelineModel.load(path)  # scales by the statistics it was trained with
     tab = forecast.classifier_table(table(spark, sf_dir, "events"))
-    stats = prep.fit_standardiser(tab, forecast.CLASSIFIER_FEATURES)
-    z = prep.apply_standardiser(tab, stats, forecast.CLASSIFIER_FEATURES)
-    out = scoring.score_table(model, z, keep=["ts", "label"])  # P11: timestamp, prediction, probability, actual
+    out = scoring.score_table(model, tab, keep=["ts", "label"])  # P11: timestamp, prediction, probability, actual
     return out.filter(F.col("probability_high") > 0.7)        # P9
 
 
-@query("S8_model_round_trip")
+@query("S8_model_round_trip", """SELECT CAST(d.doc_id AS BIGINT) AS doc_id, 1 AS same
+  FROM documents d JOIN labels l ON l.doc_id = d.doc_id""")
 def s8(spark, sf_dir):
-    t, cols = labelled_documents(spark, sf_dir)
-    pm = models.fit_pipeline(t, cols, models.logistic_regression(t.count()))
+    """A pipeline with its scaler scores raw rows alike before and after it was saved."""
+    t, _ = labelled_documents(spark, sf_dir)
+    cols = ["log_chars", "log_words"]
+    t = t.select("doc_id", "label", "is_test", *cols)
+    pm = models.fit_pipeline(t.filter("is_test = 0"), cols, models.logistic_regression(t.count()), scale=True)
     path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
     pm.write().overwrite().save(path)
-    back = PipelineModel.load(path)
-    a = pm.transform(t).select("doc_id", F.col("prediction").alias("before"))
-    b = back.transform(t).select("doc_id", F.col("prediction").alias("after"))
-    return a.join(b, "doc_id").withColumn("same", (F.col("before") == F.col("after")).cast("int"))
+    raw = t.select("doc_id", *cols)
+    before = pm.transform(raw).select("doc_id", *cols, F.col("prediction").alias("before"))
+    after = PipelineModel.load(path).transform(before.select("doc_id", *cols, "before"))
+    return after.select("doc_id", (F.col("before") == F.col("prediction")).cast("int").alias("same"))
 
 
 def _landed(spark, sf_dir):
@@ -292,14 +306,29 @@ def _landed(spark, sf_dir):
     return files.read_metrics_json(spark, path)
 
 
-@query("S3_bad_payloads")
+# One broken document of each kind; customer c lands kind c modulo 4.
+BAD_DOCUMENTS = ('{"metric_data": {"metrics": [', '{"other": 1}', '{"metric_data": {"metrics": []}}',
+                 '{"metric_data": {"metrics": [{"name": "x", "timeslices": []}]}}')
+
+
+@query("S3_bad_payloads", "WITH " + common.V_CTE + """
+  SELECT 'timeslices_read' AS reason, count(*) AS n FROM v
+  UNION ALL SELECT ['corrupt', 'no_metric_data', 'no_metrics', 'no_timeslices'][1 + c_custkey % 4], count(*)
+  FROM customer GROUP BY 1""")
 def s3(spark, sf_dir):
-    raw = _landed(spark, sf_dir)
+    """Series documents landed together with broken ones; what is read, and what is skipped and why."""
+    path = scratch_path(spark, f"landed-{uuid.uuid4().hex}")
+    files.nest_series_as_metrics_json(common.view_v(spark, sf_dir)).write.json(path)
+    kinds = F.array(*[F.lit(d) for d in BAD_DOCUMENTS])
+    table(spark, sf_dir, "customer").select(
+        F.get(kinds, (F.col("c_custkey") % 4).cast("int")).alias("value")).write.mode("append").text(path)
+    raw = materialize(files.read_metrics_json(spark, path))
     ok = files.flatten_metrics(raw).agg(F.lit("timeslices_read").alias("reason"), F.count(F.lit(1)).alias("n"))
     return ok.unionByName(files.bad_payloads(raw))
 
 
-@query("S6_csv_sink")
+@query("S6_csv_sink", "WITH " + common.V_CTE + " SELECT * FROM v", times="ts",
+       doubles="response_time min_response_time max_response_time standard_deviation tpm")
 def s6(spark, sf_dir):
     path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
     v = common.view_v(spark, sf_dir)
@@ -307,30 +336,47 @@ def s6(spark, sf_dir):
     return files.read_csv(spark, path, v.schema)
 
 
+def _profiles(df, names):
+    """One row for each chosen column: values that are not null, and their mean. One pass over the data."""
+    sums = df.agg(*[x for i, c in enumerate(names) for x in (
+        F.count(c).alias(f"n{i}"), F.avg(F.col(c).cast("double")).alias(f"m{i}"))])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("mean"))
+                               for i, c in enumerate(names)]))
+    return sums.select(rows.alias("_p")).select("_p.*")
+
+
+def _profiles_sql(names, source):
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS n, avg(CAST({c} AS DOUBLE)) AS mean FROM {source}"
+                              for c in names.split())
+    return "WITH " + common.VF_CTE + " " + rows
+
+
 @query("P13_feature_columns")
 def p13(spark, sf_dir):
-    t = ingest.collected_table(_landed(spark, sf_dir))
-    return spark.createDataFrame([(c,) for c in ingest.feature_columns(t.columns)], "feature string")
+    t = materialize(ingest.collected_table(_landed(spark, sf_dir)))
+    return _profiles(t, ingest.feature_columns([c for c, kind in t.dtypes if kind in ("double", "int", "bigint")]))
 
 
-@query("P4_feature_families")
+# The forecaster's features that view V has, and its numeric columns without series.
+@query("P4_feature_families", _profiles_sql(
+    "tpm response_time hour minute day_of_week is_weekend hour_sin hour_cos minute_sin minute_cos tpm_lag_1 "
+    "tpm_lag_2 tpm_lag_3 tpm_lag_5 tpm_ma_3 tpm_ma_5 tpm_std_3 tpm_std_5 tpm_change tpm_change_rate "
+    "minutes_since_push", "vff"), doubles="mean")
 def p4(spark, sf_dir):
-    cols = common.features_v(spark, sf_dir).columns
-    return spark.createDataFrame([(c,) for c in prep.present_families(cols, forecast.FORECAST_FEATURES)],
-                                 "feature string")
+    f = materialize(common.features_v(spark, sf_dir))
+    return _profiles(f, prep.present_families(f.columns, forecast.FORECAST_FEATURES))
 
 
-@query("P5_numeric_fallback")
+@query("P5_numeric_fallback", _profiles_sql(
+    "call_count response_time min_response_time max_response_time standard_deviation tpm is_push_notification "
+    "play_counted", "v"), doubles="mean")
 def p5(spark, sf_dir):
-    f = common.features_v(spark, sf_dir)
-    names = prep.numeric_columns(f, exclude_patterns=["target_", "series"], essentials=["tpm"])
-    return spark.createDataFrame([(c,) for c in names], "feature string")
+    v = common.view_v(spark, sf_dir)
+    return _profiles(v, prep.numeric_columns(v, exclude_patterns=["target_", "series"], essentials=["tpm"]))
 
 
 @query("P11_result_projection")
 def p11(spark, sf_dir):
-    (_, fitted, best), zcols = _classifier(spark, sf_dir, quick=True)
+    _, fitted, best = _classifier(spark, sf_dir)
     tab = forecast.classifier_table(table(spark, sf_dir, "events"))
-    stats = prep.fit_standardiser(tab, forecast.CLASSIFIER_FEATURES)
-    z = prep.apply_standardiser(tab, stats, forecast.CLASSIFIER_FEATURES)
-    return scoring.score_table(fitted[best], z, keep=["ts", "label"]).withColumnRenamed("label", "actual")
+    return scoring.score_table(fitted[best], tab, keep=["ts", "label"]).withColumnRenamed("label", "actual")

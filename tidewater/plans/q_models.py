@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.functions.scalar import category_adjustment_sql
 from tidewater.operators import categories, metrics, models, neighbors, prep, scoring, temporal
 from tidewater.plans import common
 from tidewater.plans.common import V_CTE
@@ -46,7 +45,7 @@ def v1(spark, sf_dir):
        count(*) FILTER (WHERE pred_class = 'A') AS A, count(*) FILTER (WHERE pred_class = 'N') AS N,
        count(*) FILTER (WHERE pred_class = 'R') AS R FROM sc GROUP BY 1""")
 def v2(spark, sf_dir):
-    return metrics.confusion_matrix(scored(spark, sf_dir), ["A", "N", "R"], "true_class", "pred_class")
+    return metrics.confusion_matrix(scored(spark, sf_dir), None, "true_class", "pred_class")
 
 
 @query("V3_classification_report", "WITH " + SCORED_SQL + """,
@@ -147,11 +146,11 @@ def m15(spark, sf_dir):
        SELECT series, ts, CASE WHEN tpm <= q[2] THEN 'low' WHEN tpm <= q[3] THEN 'medium' ELSE 'high' END
        AS tpm_category FROM v, q""", times="ts")
 def r3(spark, sf_dir):
-    v = common.view_v(spark, sf_dir)
+    v = common.view_v(spark, sf_dir, "series", "ts", "tpm")
     return categories.assign_category(v, categories.edges(v, "tpm", 3), "tpm").select("series", "ts", "tpm_category")
 
 
-ADJ = category_adjustment_sql("cur", "ph", "pd")
+ADJ = common.adjustment_oracle("cur", "ph", "pd")
 
 
 @query("R4_category_aware_prediction", "WITH " + VC3_CTE + "," + PEAKS_SQL + """,

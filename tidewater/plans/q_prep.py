@@ -30,7 +30,8 @@ def p1(spark, sf_dir):
        is_push_notification) FROM v""",
        doubles="response_time min_response_time max_response_time standard_deviation tpm", times="ts")
 def p2(spark, sf_dir):
-    return prep.drop_columns(common.view_v(spark, sf_dir), ["call_count", "play_counted", "is_push_notification"])
+    v = common.view_v(spark, sf_dir)
+    return prep.drop_columns(v, ["call_count", "play_counted", "is_push_notification"])
 
 
 ALIASES = {"key": ["id", "o_orderkey"], "tpm": ["tpm", "requests_per_minute", "o_totalprice"],
@@ -59,7 +60,7 @@ def p6(spark, sf_dir):
 @query("P7_add_if_absent", "WITH " + V_CTE + """ SELECT series, ts, is_push_notification,
        0 AS push_notification_active, 999999 AS minutes_since_push FROM v""", times="ts")
 def p7(spark, sf_dir):
-    v = common.view_v(spark, sf_dir).select("series", "ts", "is_push_notification")
+    v = common.view_v(spark, sf_dir, "series", "ts", "is_push_notification")
     return prep.add_if_absent(v, {"push_notification_active": 0, "minutes_since_push": 999999,
                                   "is_push_notification": -1})
 
@@ -74,7 +75,7 @@ def p8(spark, sf_dir):
 @query("P9_threshold_filter", "WITH " + V_CTE + " SELECT series, ts, tpm FROM v WHERE tpm > 0.1",
        doubles="tpm", times="ts")
 def p9(spark, sf_dir):
-    return common.view_v(spark, sf_dir).filter(F.col("tpm") > 0.1).select("series", "ts", "tpm")
+    return common.view_v(spark, sf_dir, "series", "ts", "tpm").filter(F.col("tpm") > 0.1)
 
 
 @query("P10_share_passing", """SELECT avg(CASE WHEN l_discount > 0.05 THEN 1.0 ELSE 0.0 END) * 100
@@ -123,7 +124,7 @@ def n3(spark, sf_dir):
        coalesce(standard_deviation, response_time) AS standard_deviation FROM v""",
        doubles="standard_deviation", times="ts")
 def n4(spark, sf_dir):
-    v = common.view_v(spark, sf_dir).select("series", "ts", "standard_deviation", "response_time")
+    v = common.view_v(spark, sf_dir, "series", "ts", "standard_deviation", "response_time")
     return prep.fill_from(v, "standard_deviation", "response_time").drop("response_time")
 
 

@@ -12,8 +12,8 @@ from tidewater.plans.registry import query
 from tidewater.sources.tables import table
 
 
-def _v_dated(spark, sf_dir):
-    v = common.view_v(spark, sf_dir)
+def _v_dated(spark, sf_dir, *more):
+    v = common.view_v(spark, sf_dir, "series", "ts", "tpm", *more)
     return v.withColumn("date", F.to_date("ts")).withColumn("hour", F.hour("ts")) \
             .withColumn("day_of_week", timefn.day_of_week("ts"))
 
@@ -42,7 +42,7 @@ def v_categorised(spark, sf_dir, n=3):
        max(play_counted) AS play_counted_max FROM v GROUP BY 1, 2""",
        doubles="tpm_mean tpm_max tpm_min", dates="date")
 def a1(spark, sf_dir):
-    return reports.hourly_summary(_v_dated(spark, sf_dir))
+    return reports.hourly_summary(_v_dated(spark, sf_dir, "play_counted"))
 
 
 @query("A2_frequency_percent", """SELECT o_orderpriority, count(*) AS n,
@@ -74,7 +74,7 @@ def a4(spark, sf_dir):
        min(play_counted) AS play_min, max(play_counted) AS play_max FROM v GROUP BY 1""",
        doubles="tpm_max tpm_min tpm_mean", dates="date")
 def a5(spark, sf_dir):
-    return reports.daily_summary(_v_dated(spark, sf_dir))
+    return reports.daily_summary(_v_dated(spark, sf_dir, "play_counted"))
 
 
 @query("A6_category_interval", """SELECT l_returnflag, count(*) AS n,
@@ -121,7 +121,7 @@ def a8g(spark, sf_dir):
               avg(CASE WHEN tpm >= threshold THEN 1.0 ELSE 0.0 END) OVER () * 100 AS high_pct
        FROM v, t""", doubles="tpm threshold high_pct", times="ts")
 def a9(spark, sf_dir):
-    lab = categories.high_label(common.view_v(spark, sf_dir))
+    lab = categories.high_label(common.view_v(spark, sf_dir, "series", "ts", "tpm"))
     share = lab.agg((F.avg("is_high_tpm") * 100).alias("high_pct"))
     return lab.crossJoin(F.broadcast(share)).select(  # one-row side
        "series", "ts", "tpm", "threshold",

@@ -78,7 +78,7 @@ def x2(spark, sf_dir):
        doubles="tpm tpm_lag_1 tpm_lag_2 tpm_lag_3 tpm_ma_6 tpm_ma_12", times="ts")
 def x3(spark, sf_dir):
     """Series rows land as three files in time order; one micro-batch per file."""
-    v = common.view_v(spark, sf_dir).select("series", "ts", "tpm", "is_push_notification")
+    v = common.view_v(spark, sf_dir, "series", "ts", "tpm", "is_push_notification")
     src = scratch_path(spark, f"x3-src-{uuid.uuid4().hex}")
     lo, hi = v.agg(F.min("ts"), F.max("ts")).first()
     step = (hi - lo) / 3
@@ -112,7 +112,7 @@ def x4(spark, sf_dir):
        FROM d WINDOW w AS (PARTITION BY series, date ORDER BY ts)""",
        doubles="tpm_lag_1 tpm_lag_5 tpm_ma_5", times="ts")
 def w2(spark, sf_dir):
-    v = common.view_v(spark, sf_dir).select("series", "ts", "tpm").withColumn("date", F.to_date("ts"))
+    v = common.view_v(spark, sf_dir, "series", "ts", "tpm").withColumn("date", F.to_date("ts"))
     f = temporal.windowed(v, ["series", "date"], "ts", lambda w: {
         **temporal.lag_columns(w, "tpm", [1, 5]), "tpm_ma_5": temporal.rolling_mean(w, "tpm", 5)}, before=5)
     return temporal.mask_short_groups(f, ["series", "date"], {"tpm_lag_1": 1, "tpm_lag_5": 5},

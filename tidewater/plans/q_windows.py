@@ -60,7 +60,7 @@ def w6(spark, sf_dir):
         return {"tpm_change_rate": temporal.relative_change(w, "tpm", parity=True),
                 "tpm_change_rate_safe": temporal.relative_change(w, "tpm", parity=False),
                 "play_counted_rate": temporal.relative_change(w, "play_counted", parity=True)}
-    v = common.view_v(spark, sf_dir)
+    v = common.view_v(spark, sf_dir, "series", "ts", "tpm", "play_counted")
     return temporal.windowed(v, "series", "ts", build, before=1).select(
         "series", "ts", "tpm_change_rate", "tpm_change_rate_safe", "play_counted_rate")
 
@@ -68,7 +68,7 @@ def w6(spark, sf_dir):
 @query("W7_trend", "WITH " + VF_CTE + " SELECT series, ts, tpm - tpm_lag_1 AS tpm_trend FROM vff",
        doubles="tpm_trend", times="ts")
 def w7(spark, sf_dir):
-    v = common.view_v(spark, sf_dir)
+    v = common.view_v(spark, sf_dir, "series", "ts", "tpm")
     return temporal.windowed(v, "series", "ts",
                              lambda w: {"tpm_trend": temporal.first_difference(w, "tpm")},
                              before=1).select("series", "ts", "tpm_trend")
@@ -104,7 +104,7 @@ def w8(spark, sf_dir):
             RANGE BETWEEN CURRENT ROW AND INTERVAL 2 HOUR FOLLOWING) AS target_2h
        FROM v""", doubles="tpm target_1h target_2h", times="ts")
 def w9(spark, sf_dir):
-    v = common.view_v(spark, sf_dir).select("series", "ts", "tpm")
+    v = common.view_v(spark, sf_dir, "series", "ts", "tpm")
     v = v.withColumn("_sec", F.unix_seconds(F.col("ts").cast("timestamp")))
     # a 2-hour time halo: exact however many rows a period holds
     out = temporal.windowed(v, "series", "ts",
@@ -137,7 +137,7 @@ def w10(spark, sf_dir):
        FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY ts) AS rn FROM vff) x""",
        times="ts")
 def w11(spark, sf_dir):
-    v = common.view_v(spark, sf_dir)
+    v = common.view_v(spark, sf_dir, "series", "ts", "is_push_notification")
 
     def build(w):
         par = temporal.push_proximity(w, "is_push_notification", parity=True)
@@ -162,7 +162,7 @@ def w12(spark, sf_dir):
        doubles="play_normalized", times="ts")
 def w13(spark, sf_dir):
     from tidewater.operators import reports
-    v = common.view_v(spark, sf_dir).withColumn("date", F.to_date("ts"))
+    v = common.view_v(spark, sf_dir, "series", "ts", "tpm", "play_counted").withColumn("date", F.to_date("ts"))
     return reports.daily_normalised(v, date_col=["series", "date"]).select("series", "ts", "play_normalized")
 
 
@@ -171,7 +171,7 @@ def w13(spark, sf_dir):
          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS std_bfill
        FROM v""", doubles="standard_deviation std_bfill", times="ts")
 def w14(spark, sf_dir):
-    v = common.view_v(spark, sf_dir).select("series", "ts", "standard_deviation")
+    v = common.view_v(spark, sf_dir, "series", "ts", "standard_deviation")
     v = v.withColumn("std_bfill", F.col("standard_deviation"))
     return temporal.back_fill(v, "series", "ts", ["std_bfill"])
 
@@ -186,7 +186,7 @@ def w14(spark, sf_dir):
        FROM v""", doubles="minutes_since_last_push", times="ts last_push_ts")
 def j4(spark, sf_dir):
     from tidewater.functions import timefn
-    v = common.view_v(spark, sf_dir).select("series", "ts", "is_push_notification")
+    v = common.view_v(spark, sf_dir, "series", "ts", "is_push_notification")
     v = v.withColumn("last_push_ts", F.when(F.col("is_push_notification") == 1, F.col("ts")))
     v = temporal.forward_fill(v, "series", "ts", ["last_push_ts"])
     return v.select("series", "ts", "last_push_ts",
