@@ -53,7 +53,8 @@ def test_formats_found_without_their_names(spark):
     formats = S.learn_formats(df)
     scanned = S.scan(spark.createDataFrame(probes + clean, "doc_id bigint, text string"), formats).collect()
     hit = {r.doc_id for r in scanned if r.n_format}
-    assert len([k for k in hit if k < 2000]) >= 45 and not [k for k in hit if k >= 2000]
+    # the margin may lose LOST_SHARE of held-out examples, of which there are 60 here
+    assert len([k for k in hit if k < 2000]) >= 40 and not [k for k in hit if k >= 2000]
 
 
 def test_masking(spark):
