@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,27 +131,32 @@ def fill_from(df: DataFrame, col: str, base: str) -> DataFrame:
 # -------------------------------------------------------------------- encoding
 
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Alphabetical codes from 0 (StringIndexer alphabetAsc)."""
+    """Alphabetical codes from 0; a null label has a null code.
+
+    The distinct labels are numbered where they lie and joined back, so their number is not bounded.
+    """
+    from tidewater.operators.temporal import sequence_number
     out = out or f"{col}_code"
-    return StringIndexer(inputCol=col, outputCol=out, stringOrderType="alphabetAsc").fit(df).transform(df)
+    codes = sequence_number(df.select(col).where(F.col(col).isNotNull()).distinct(), [col], out)
+    return df.join(codes.withColumn(out, F.col(out).cast("double")), col, "left").select(*df.columns, out)
+
+
+MAX_DUMMIES = 10_000
 
 
 def one_hot(df: DataFrame, col: str, prefix: str | None = None, drop_first: bool = False) -> DataFrame:
     """One-hot columns (alphabetical categories) placed before the other columns.
 
-    ``drop_first`` removes the first category's column (dummy-trap rule),
-    unlike MLlib's ``dropLast``.
+    ``drop_first`` removes the first category's column (dummy-trap rule). A null has 0 in each column.
+    The categories become columns, so there can be ``MAX_DUMMIES`` at most; more are refused.
     """
     prefix = prefix or col
-    idx_model = StringIndexer(inputCol=col, outputCol="_idx", stringOrderType="alphabetAsc").fit(df)
-    labels = idx_model.labels
-    enc = OneHotEncoder(inputCol="_idx", outputCol="_vec", dropLast=False)
-    tr = enc.fit(idx_model.transform(df)).transform(idx_model.transform(df))
-    arr = vector_to_array("_vec")
-    start = 1 if drop_first else 0
-    dummies = [arr[i].alias(f"{prefix}_{labels[i]}") for i in range(start, len(labels))]
-    rest = [F.col(f"`{c}`") for c in df.columns if c != col]
-    return tr.select(*dummies, *rest)
+    found = df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_DUMMIES + 1).collect()
+    if len(found) > MAX_DUMMIES:
+        raise ValueError(f"{col} has more than {MAX_DUMMIES} categories")
+    labels = sorted(r[0] for r in found)[1 if drop_first else 0:]
+    dummies = [F.when(F.col(col) == F.lit(x), 1.0).otherwise(0.0).alias(f"{prefix}_{x}") for x in labels]
+    return df.select(*dummies, *[F.col(f"`{c}`") for c in df.columns if c != col])
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features",
