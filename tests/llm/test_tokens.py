@@ -138,18 +138,19 @@ def test_length_sums(spark):
             for _ in range(200)] + [("a", None)]
     df = spark.createDataFrame(rows, "lang string, text string")
     sums = lengths.cumulative(lengths.histogram(lengths.encoded_lengths(df, RANKS))).cache()
-    size = {g: sorted(len(bpe.encode(t or "", RANKS)) for k, t in rows if k == g) for g in ("a", "b", None)}
+    size = {("group", g): sorted(len(bpe.encode(t or "", RANKS)) for k, t in rows if k == g) for g in ("a", "b", None)}
+    size["corpus", None] = sorted(sum(size.values(), []))
     for r in sums.collect():
-        n = size[r.group]
+        n = size[r.scope, r.group]
         assert (r.n_docs, r.docs_up_to, r.docs_from) == (
             n.count(r.length), sum(x <= r.length for x in n), sum(x >= r.length for x in n))
         assert r.tokens_from == sum(x for x in n if x >= r.length)
         assert r.truncated_tokens == sum(min(x, r.length) for x in n)
         assert r.quantile == pytest.approx(r.docs_up_to / len(n))
     limits = spark.createDataFrame([(0,), (7,), (20,), (10**6,)], "limit bigint")
-    got = {(r.group, r.limit): r.truncated_tokens for r in lengths.truncated_totals(sums, limits).collect()}
+    got = {((r.scope, r.group), r.limit): r.truncated_tokens for r in lengths.truncated_totals(sums, limits).collect()}
     assert got == {(g, m): sum(min(x, m) for x in n) for g, n in size.items() for m in (0, 7, 20, 10**6)}
-    levels = {(r.group, r.level): r.length for r in lengths.quantiles(sums, (0.1, 0.5, 1.0)).collect()}
+    levels = {((r.scope, r.group), r.level): r.length for r in lengths.quantiles(sums, (0.1, 0.5, 1.0)).collect()}
     for (g, q), x in levels.items():
         n = size[g]
         assert sum(y <= x for y in n) >= q * len(n) > sum(y < x for y in n)

@@ -1,7 +1,8 @@
 """Token counts by an exact histogram of encoded lengths.
 
 Documents are encoded once; what is kept is the number of documents of each
-length, per group. Totals, quantiles and the tokens left after cutting every
+length, for the corpus (``scope`` is ``corpus``, the group null) and for each group (``scope`` is
+``group``). Totals, quantiles and the tokens left after cutting every
 document at a context limit all follow from sums over that histogram:
 cut at L, documents of at most L tokens keep theirs and each longer one keeps L.
 
@@ -31,12 +32,18 @@ def encoded_lengths(docs: DataFrame, path: str, by: str = "lang", text: str = "t
 
 
 def histogram(lengths: DataFrame) -> DataFrame:
-    """(group, length, n_docs); counts are partially summed before the shuffle."""
-    return lengths.groupBy("group", "length").agg(F.count("*").alias("n_docs"))
+    """(scope, group, length, n_docs); counts are partially summed before the shuffle.
+
+    The corpus is summed from the groups' rows, of which there are few.
+    """
+    by_group = lengths.groupBy("group", "length").agg(F.count("*").alias("n_docs"))
+    whole = by_group.groupBy("length").agg(F.sum("n_docs").alias("n_docs"))
+    return by_group.select(F.lit("group").alias("scope"), "group", "length", "n_docs").unionByName(
+        whole.select(F.lit("corpus").alias("scope"), F.lit(None).cast("string").alias("group"), "length", "n_docs"))
 
 
 def cumulative(hist: DataFrame) -> DataFrame:
-    """The histogram with its sums from either end, for each group.
+    """The histogram with its sums from either end, for each scope and group.
 
     Columns: n_docs, n_tokens (of documents of this length), docs_up_to and
     tokens_up_to (length at most this), docs_from and tokens_from (suffix sums),
@@ -45,8 +52,8 @@ def cumulative(hist: DataFrame) -> DataFrame:
     distinct lengths, not documents.
     """
     h = hist.withColumn("n_tokens", F.col("n_docs") * F.col("length"))
-    up = Window.partitionBy("group").orderBy("length")
-    down = Window.partitionBy("group").orderBy(F.col("length").desc())
+    up = Window.partitionBy("scope", "group").orderBy("length")
+    down = Window.partitionBy("scope", "group").orderBy(F.col("length").desc())
     h = h.select("*", F.sum("n_docs").over(up).alias("docs_up_to"), F.sum("n_tokens").over(up).alias("tokens_up_to"),
                  F.sum("n_docs").over(down).alias("docs_from"), F.sum("n_tokens").over(down).alias("tokens_from"))
     longer = F.col("docs_from") - F.col("n_docs")
@@ -55,24 +62,25 @@ def cumulative(hist: DataFrame) -> DataFrame:
 
 
 def truncated_totals(sums: DataFrame, limits: DataFrame) -> DataFrame:
-    """(group, limit, truncated_tokens) for any limits, also such that no document has.
+    """(scope, group, limit, truncated_tokens) for any limits, also such that no document has.
 
     ``limits`` has one column ``limit``. For each, the largest length not above it
     decides: its prefix sum, and the limit times the documents beyond.
     """
-    whole = sums.groupBy("group").agg(F.sum("n_docs").alias("all_docs"))
+    whole = sums.groupBy("scope", "group").agg(F.sum("n_docs").alias("all_docs"))
     asked = whole.crossJoin(F.broadcast(limits.select("limit").distinct()))
-    at = (sums.select(F.col("group").alias("g"), "length", "docs_up_to", "tokens_up_to"))
-    joined = asked.join(at, asked["group"].eqNullSafe(at["g"]) & (at["length"] <= asked["limit"]), "left")
-    best = joined.groupBy("group", "limit", "all_docs").agg(
+    at = sums.select(F.col("scope").alias("s"), F.col("group").alias("g"), "length", "docs_up_to", "tokens_up_to")
+    same = (asked["scope"] == at["s"]) & asked["group"].eqNullSafe(at["g"])
+    joined = asked.join(at, same & (at["length"] <= asked["limit"]), "left")
+    best = joined.groupBy("scope", "group", "limit", "all_docs").agg(
         F.coalesce(F.max_by("docs_up_to", "length"), F.lit(0)).alias("docs"),
         F.coalesce(F.max_by("tokens_up_to", "length"), F.lit(0)).alias("tokens"))
-    return best.select("group", "limit",
+    return best.select("scope", "group", "limit",
                        (F.col("tokens") + (F.col("all_docs") - F.col("docs")) * F.col("limit")).alias("truncated_tokens"))
 
 
 def quantiles(sums: DataFrame, levels: tuple[float, ...]) -> DataFrame:
-    """(group, level, length): the smallest length that at least that share of documents does not pass."""
+    """(scope, group, level, length): the smallest length that at least that share of documents does not pass."""
     wanted = F.explode(F.array(*[F.lit(float(x)) for x in levels])).alias("level")
-    return (sums.select("group", "length", "quantile", wanted).where(F.col("quantile") >= F.col("level"))
-            .groupBy("group", "level").agg(F.min("length").alias("length")))
+    return (sums.select("scope", "group", "length", "quantile", wanted).where(F.col("quantile") >= F.col("level"))
+            .groupBy("scope", "group", "level").agg(F.min("length").alias("length")))
