@@ -186,6 +186,13 @@ class ShingleOrder:
         order = np.argsort(names)
         self.names, self.levels, self.marks = names[order], levels[order], marks
 
+    def __getstate__(self):
+        return put(steps(self.names), self.levels, *self.marks)
+
+    def __setstate__(self, packed: bytes):
+        names, self.levels, *self.marks = get(packed)
+        self.names = np.cumsum(names, dtype=np.uint64)
+
     def prefix(self, s: np.ndarray, percent: int) -> np.ndarray:
         n = len(s) - least_overlap(len(s), percent) + 1
         short = s >> np.uint64(64 - COUNT_BITS)
@@ -415,25 +422,28 @@ def _candidates(table: pa.Table, percent: int):
     return of
 
 
-def scanned_members(lists: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The members of lists that have a possible partner in another component, by unit of work.
+def _units(now: DataFrame) -> DataFrame:
+    """(unit, apart, mine, node, size, root) of the members (list, node, size, root) of lists with several roots.
 
-    A list longer than BLOCK is cut by hash; each pair of its blocks is a unit,
-    so a long list is compared by many tasks, each with two blocks at a time.
+    A list longer than BLOCK is cut by hash; each pair of its blocks is a unit of work,
+    so a long list is compared by many tasks, each with two blocks at a time. In a unit of two blocks
+    (``apart``) only pairs across them count, for pairs within a block have their own unit.
     """
-    now = (lists.join(roots, "node", "left")
-           .select("list", "node", "size", F.coalesce("root", "node").alias("root")))
     mixed = (now.groupBy("list").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n"))
              .where("r0 <> r1").select("list", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
     cut = now.join(mixed, "list").withColumn("mine", mine).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    units = cut.select(F.concat_ws("/", "list", F.least("mine", "other").cast("string"),
-                                   F.greatest("mine", "other").cast("string")).alias("unit"),
-                       "mine", "node", "size", "root")
-    # in a unit of two blocks only pairs across them count; pairs within a block have their own unit
+    unit = F.concat_ws("/", "list", F.least("mine", "other").cast("string"), F.greatest("mine", "other").cast("string"))
     two = F.split("unit", "/")
-    dealt = (units.withColumn("apart", two[1] != two[2]).join(nodes.select("node", "bitmap"), "node")
+    return cut.select(unit.alias("unit"), "mine", "node", "size", "root").withColumn("apart", two[1] != two[2])
+
+
+def scanned_members(lists: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The members of lists that have a possible partner in another component, by unit."""
+    now = (lists.join(roots, "node", "left")
+           .select("list", "node", "size", F.coalesce("root", "node").alias("root")))
+    dealt = (_units(now).join(nodes.select("node", "bitmap"), "node")
              .select("unit", "apart", "mine", "node", "size", "root", "bitmap")
              .repartition("unit").sortWithinPartitions("unit"))
 
@@ -451,11 +461,20 @@ def scanned_members(lists: DataFrame, roots: DataFrame, nodes: DataFrame, percen
 
 
 def scanned_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links that join the components of a unit: at most one fewer than its members.
+    """Links that join components, at most one fewer in a unit than it has members.
 
-    Possible pairs are verified on the whole sets unless links found before in the unit join them already.
+    What the scan left are few nodes, each in many lists. Nodes that met in a list are
+    gathered, so that each whole set is dealt once for its gathering (or for each pair of
+    blocks of a long one). Possible pairs are verified on the whole sets unless links found before
+    in the unit join them already.
     """
-    dealt = (members.join(sets, "node")
+    least = members.groupBy("unit").agg(F.min("node").alias("a"))
+    met = members.join(least, "unit").select("a", F.col("node").alias("b")).where("a <> b")
+    gathered = keep_table(components(met), "gatherings")
+    one = members.select("node", "size", "root", "bitmap").dropDuplicates(["node"])
+    now = one.join(gathered.toDF("node", "list"), "node").withColumn("list", F.col("list").cast("string"))
+    dealt = (_units(now.select("list", "node", "size", "root"))
+             .join(one.select("node", "bitmap"), "node").join(sets, "node")
              .select("unit", "apart", "mine", "node", "size", "root", "bitmap", "shingles")
              .repartition("unit").sortWithinPartitions("unit"))
 
