@@ -351,6 +351,33 @@ def _profiles_sql(names, source):
     return "WITH " + common.VF_CTE + " " + rows
 
 
+@query("S2_collected_table", "WITH " + common.V_CTE + """,
+  p AS (SELECT *, d - CAST(((isodow(d) - 4) % 7 + 7) % 7 AS INTEGER) AS period
+        FROM (SELECT *, CAST(ts + INTERVAL 7 HOUR - INTERVAL 1430 MINUTE AS DATE) AS d FROM v)),
+  w AS (SELECT 'series_' || series AS metric_name, ts, ts + INTERVAL 7 HOUR AS "timestamp", tpm, response_time,
+    lag(tpm, 1) OVER w AS tpm_lag_1, lag(tpm, 2) OVER w AS tpm_lag_2, lag(tpm, 3) OVER w AS tpm_lag_3,
+    lag(tpm, 5) OVER w AS tpm_lag_5, lag(response_time, 1) OVER w AS response_time_lag_1,
+    lag(response_time, 5) OVER w AS response_time_lag_5,
+    avg(tpm) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS tpm_ma_3,
+    avg(response_time) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS response_time_ma_5,
+    stddev_samp(tpm) OVER (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS tpm_std_5,
+    tpm - lag(tpm, 1) OVER w AS tpm_change
+    FROM p WINDOW w AS (PARTITION BY series, period ORDER BY ts))
+  SELECT metric_name, "timestamp", tpm, response_time, coalesce(tpm_lag_1, 0) AS tpm_lag_1,
+    coalesce(tpm_lag_2, 0) AS tpm_lag_2, coalesce(tpm_lag_3, 0) AS tpm_lag_3, coalesce(tpm_lag_5, 0) AS tpm_lag_5,
+    coalesce(response_time_lag_1, 0) AS response_time_lag_1, coalesce(response_time_lag_5, 0) AS response_time_lag_5,
+    tpm_ma_3, response_time_ma_5, coalesce(tpm_std_5, 0) AS tpm_std_5, coalesce(tpm_change, 0) AS tpm_change,
+    CAST(row_number() OVER (ORDER BY ts, metric_name) - 1 AS BIGINT) AS sequence_id FROM w""", times="timestamp",
+    doubles="tpm response_time tpm_lag_1 tpm_lag_2 tpm_lag_3 tpm_lag_5 response_time_lag_1 response_time_lag_5 "
+            "tpm_ma_3 response_time_ma_5 tpm_std_5 tpm_change")
+def s2_collected(spark, sf_dir):
+    """The collected table: landed documents flattened, with lags and rolling values inside each weekly period."""
+    return ingest.collected_table(_landed(spark, sf_dir)).select(
+        "metric_name", "timestamp", "tpm", "response_time", "tpm_lag_1", "tpm_lag_2", "tpm_lag_3", "tpm_lag_5",
+        "response_time_lag_1", "response_time_lag_5", "tpm_ma_3", "response_time_ma_5", "tpm_std_5", "tpm_change",
+        "sequence_id")
+
+
 @query("P13_feature_columns")
 def p13(spark, sf_dir):
     t = materialize(ingest.collected_table(_landed(spark, sf_dir)))
