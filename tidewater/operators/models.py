@@ -253,12 +253,20 @@ def decision_grid(bounds: DataFrame, step: float = 0.01, margin: float = 1.0) ->
     """The 2-D grid behind decision-boundary plots, from data bounds.
 
     ``bounds`` has x_min, x_max, y_min, y_max (one row). Axis values follow
-    ``arange(min - margin, max + margin, step)``; the grid is generated with
-    ``sequence`` + ``explode`` (two generators), no join.
+    ``arange(min - margin, max + margin, step)``; points are numbered by ``range``, so the
+    grid is made by as many tasks as it needs.
     """
-    nx = F.ceil((F.col("x_max") + margin - (F.col("x_min") - margin)) / step).cast("int")
-    ny = F.ceil((F.col("y_max") + margin - (F.col("y_min") - margin)) / step).cast("int")
-    g = bounds.select("*", F.explode(F.sequence(F.lit(0), nx - 1)).alias("_i"))
-    g = g.select("*", F.explode(F.sequence(F.lit(0), ny - 1)).alias("_j"))
-    return g.select((F.col("x_min") - margin + F.col("_i") * step).alias("x"),
-                    (F.col("y_min") - margin + F.col("_j") * step).alias("y"))
+    b = bounds.first()
+    x0, y0 = b["x_min"] - margin, b["y_min"] - margin
+    nx, ny = math.ceil((b["x_max"] + margin - x0) / step), math.ceil((b["y_max"] + margin - y0) / step)
+    g = bounds.sparkSession.range(nx * ny)
+    i, j = F.floor(F.col("id") / ny), F.col("id") % ny
+    return g.select((F.lit(x0) + i * step).alias("x"), (F.lit(y0) + j * step).alias("y"))
+
+
+def linear_rule(df: DataFrame, x: str, y: str, label: str) -> tuple[float, float]:
+    """Weights of the least-squares direction of a 0/1 label on two centred features, from one row of sums."""
+    r = df.agg(F.covar_pop(x, x).alias("xx"), F.covar_pop(y, y).alias("yy"), F.covar_pop(x, y).alias("xy"),
+               F.covar_pop(x, label).alias("xl"), F.covar_pop(y, label).alias("yl")).first()
+    det = r["xx"] * r["yy"] - r["xy"] ** 2
+    return (r["yy"] * r["xl"] - r["xy"] * r["yl"]) / det, (r["xx"] * r["yl"] - r["xy"] * r["xl"]) / det

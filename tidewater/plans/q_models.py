@@ -123,22 +123,31 @@ def m5(spark, sf_dir):
     return neighbors.knn_classify(q, r, 5, "vec_id", "embedding", "label")
 
 
-@query("M15_decision_grid", """WITH z AS (SELECT (c_acctbal - avg(c_acctbal) OVER ()) / stddev_pop(c_acctbal) OVER () AS x,
+@query("M15_decision_grid", """WITH z AS (SELECT CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS l, (c_acctbal - avg(c_acctbal) OVER ()) / stddev_pop(c_acctbal) OVER () AS x,
        (c_nationkey - avg(c_nationkey) OVER ()) / stddev_pop(c_nationkey) OVER () AS y FROM customer),
        b AS (SELECT min(x) AS x_min, max(x) AS x_max, min(y) AS y_min, max(y) AS y_max FROM z),
        n AS (SELECT x_min, y_min, CAST(ceil((x_max + 1 - (x_min - 1)) / 0.01) AS BIGINT) AS nx,
-             CAST(ceil((y_max + 1 - (y_min - 1)) / 0.01) AS BIGINT) AS ny FROM b)
-       SELECT nx * ny AS n_points, x_min - 1 AS grid_x_min, x_min - 1 + (nx - 1) * 0.01 AS grid_x_max,
+             CAST(ceil((y_max + 1 - (y_min - 1)) / 0.01) AS BIGINT) AS ny FROM b),
+       s AS (SELECT covar_pop(x, x) AS xx, covar_pop(y, y) AS yy, covar_pop(x, y) AS xy, covar_pop(x, l) AS xl,
+             covar_pop(y, l) AS yl FROM z),
+       k AS (SELECT (yy * xl - xy * yl) / (xx * yy - xy * xy) AS bx, (xx * yl - xy * xl) / (xx * yy - xy * xy) AS byy
+             FROM s),
+       g AS (SELECT count(*) AS n_positive FROM n, k, generate_series(0, n.nx - 1) AS i(i), generate_series(0, n.ny - 1) AS j(j)
+             WHERE bx * (x_min - 1 + i * 0.01) + byy * (y_min - 1 + j * 0.01) > 0)
+       SELECT nx * ny AS n_points, (SELECT n_positive FROM g) AS n_positive, x_min - 1 AS grid_x_min, x_min - 1 + (nx - 1) * 0.01 AS grid_x_max,
               y_min - 1 AS grid_y_min, y_min - 1 + (ny - 1) * 0.01 AS grid_y_max FROM n""",
        doubles="grid_x_min grid_x_max grid_y_min grid_y_max")
 def m15(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select("c_acctbal", "c_nationkey")
+    c = table(spark, sf_dir, "customer").select(
+        "c_acctbal", "c_nationkey", (F.col("c_mktsegment") == "BUILDING").cast("int").alias("label"))
     cols = ["c_acctbal", "c_nationkey"]
     z = prep.apply_standardiser(c, prep.fit_standardiser(c, cols), cols)
     b = z.agg(F.min("z_c_acctbal").alias("x_min"), F.max("z_c_acctbal").alias("x_max"),
               F.min("z_c_nationkey").alias("y_min"), F.max("z_c_nationkey").alias("y_max"))
     g = models.decision_grid(b, 0.01, 1.0)
-    return g.agg(F.count(F.lit(1)).alias("n_points"), F.min("x").alias("grid_x_min"),
+    bx, by = models.linear_rule(z, "z_c_acctbal", "z_c_nationkey", "label")
+    g = g.withColumn("positive", F.lit(bx) * F.col("x") + F.lit(by) * F.col("y") > 0)  # scores of the grid
+    return g.agg(F.count(F.lit(1)).alias("n_points"), F.count_if("positive").alias("n_positive"), F.min("x").alias("grid_x_min"),
                  F.max("x").alias("grid_x_max"), F.min("y").alias("grid_y_min"), F.max("y").alias("grid_y_max"))
 
 
