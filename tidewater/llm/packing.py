@@ -106,13 +106,28 @@ class CachedTokenizer:
         if len(self.known) > CACHE_ENTRIES:  # two generations: what is still in use is taken over
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        missing = set().union(*filter(None, parts)).difference(known)
+        found = [None if row is None else list(map(known.get, row)) for row in parts]
+        holes = [_nones(ids) if ids else [] for ids in found]
+        missing = {row[i] for row, at in zip(parts, holes, strict=True) for i in at}
         known.update((p, older[p]) for p in missing if p in older)
         new = list(missing.difference(older))
         known.update(zip(new, self._parts(new), strict=True))
-        lookup = known.__getitem__
+        for row, ids, at in zip(parts, found, holes, strict=True):
+            for i in at:
+                ids[i] = known[row[i]]
         whole = iter(self._whole([t for t, row in zip(texts, parts, strict=True) if row is None]))
-        return [next(whole) if row is None else b"".join(map(lookup, row)) for row in parts]
+        return [next(whole) if ids is None else b"".join(ids) for ids in found]
+
+
+def _nones(values: list) -> list[int]:
+    """Positions of None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = values.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
 
 
 @lru_cache(maxsize=2)
