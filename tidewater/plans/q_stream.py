@@ -92,15 +92,20 @@ def x3(spark, sf_dir):
     return _run_to_parquet(spark, ts.keyed_lags(stream), "x3")
 
 
-@query("X4_stream_score_batches", None)
+@query("X4_stream_score_batches", "WITH " + V_CTE + """, m AS (SELECT max(ts) AS latest FROM events),
+       k AS (SELECT regr_slope(response_time, tpm) AS a, regr_intercept(response_time, tpm) AS b FROM v)
+       SELECT series, ts, b + a * tpm AS prediction FROM v, k
+       WHERE ts + INTERVAL 1 HOUR <= (SELECT latest FROM m) - INTERVAL 10 MINUTE""",
+       doubles="prediction", times="ts")
 def x4(spark, sf_dir):
-    v = common.view_v(spark, sf_dir)
-    model = Pipeline(stages=[VectorAssembler(inputCols=["call_count"], outputCol="features"),
-                             LinearRegression(labelCol="tpm")]).fit(v)
+    """Response time predicted from traffic: fitted on the batch series, scored on each closed hour of the stream."""
+    v = common.view_v(spark, sf_dir, "series", "ts", "tpm", "response_time")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["tpm"], outputCol="features"),
+                             LinearRegression(labelCol="response_time", solver="normal")]).fit(v)
     run = uuid.uuid4().hex
     out, ck = scratch_path(spark, f"x4-{run}/out"), scratch_path(spark, f"x4-{run}/ck")
     ts.score_batches(ts.tumbling_tpm(_events_stream(spark, sf_dir)), model, out, ck).awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("series", "ts", "prediction")
 
 
 @query("W2_short_group_mask", "WITH " + V_CTE + """, d AS (SELECT *, CAST(ts AS DATE) AS date,
