@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.columns import get, put, steps
-from tidewater.llm.common import broadcast_if_small, keep_table, map_batches, texts_of
+from tidewater.llm.common import broadcast_if_small, keep_bucketed, keep_table, map_batches, texts_of
 from tidewater.llm.components import components
 
 WORDS = 4
@@ -74,7 +74,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Hash of each word, remembered up to a bound."""
 
-    MOST = 1_000_000
+    MOST = 300_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:
@@ -326,15 +326,16 @@ def inverted_lists(nodes: DataFrame) -> DataFrame:
 
     A list is named by the sum of its members' hashes, so lists with the same members fall together.
     """
-    entries = nodes.select("node", "size", F.explode("prefix").alias("shingle"))
+    entries = nodes.select("node", F.explode("prefix").alias("shingle"))
     of = Window.partitionBy("shingle")
-    least = F.min(F.struct("size", "node")).over(of)
-    named = entries.select("node", "size", F.count("*").over(of).alias("n"), least.alias("centre"),
+    named = entries.select("node", F.count("*").over(of).alias("n"),
                            F.sum(F.xxhash64("node").cast("decimal(20,0)")).over(of).alias("list"))
-    return (named.where("n > 1")
-            .select(F.concat_ws(":", F.col("list").cast("string"), F.col("n").cast("string")).alias("list"),
-                    "node", "size", F.col("centre.node").alias("centre"), F.col("centre.size").alias("centre_size"))
-            .distinct())
+    listed = (named.where("n > 1")
+              .select(F.concat_ws(":", F.col("list").cast("string"), F.col("n").cast("string")).alias("list"), "node")
+              .distinct().join(nodes.select("node", "size"), "node"))
+    centres = listed.groupBy("list").agg(F.min(F.struct("size", "node")).alias("centre"))
+    return listed.join(centres, "list").select(
+        "list", "node", "size", F.col("centre.node").alias("centre"), F.col("centre.size").alias("centre_size"))
 
 
 def most_difference(a, b, percent: int):
@@ -538,7 +539,7 @@ def join(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str
     listed = lists.select("node").distinct()
     held = keep_table(sets.withColumnRenamed("row", "node").join(listed, "node", "left_semi")
                       .select("node", "doc_id", "digest", "size", "bitmap"), "listed")
-    whole = keep_table(whole_sets(docs, held.select("node", "doc_id", "digest"), key, text), "whole-sets")
+    whole = keep_bucketed(whole_sets(docs, held.select("node", "doc_id", "digest"), key, text), "whole_sets", "node")
 
     stars = (lists.where("node <> centre").where(F.col("centre_size") * 100 >= F.col("size") * percent)
              .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
