@@ -47,7 +47,7 @@ from tidewater.llm.components import components
 WORDS = 4
 PERCENT = 85
 #: Shingles counted together before they are dealt out, and owned by one bucket.
-CHUNK_SHINGLES = 2_000_000
+CHUNK_SHINGLES = 1_000_000
 BUCKET_SHINGLES = 4_000_000
 #: Counting names shingles by this many bits; a clash only makes one look more frequent.
 COUNT_BITS = 44
@@ -60,7 +60,7 @@ MARK_BITS = 27
 LIGHT_SIZES = 24  # sizes for which subsets can pay at all
 BITMAP_WORDS = 16
 BLOCK = 1024
-PAIRS_AT_ONCE = 1 << 18
+PAIRS_AT_ONCE = 1 << 16
 
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -413,12 +413,17 @@ def _candidates(table: pa.Table, percent: int):
     maps = _maps(table.column("bitmap"))
 
     def of(first, end):
-        i, j = np.triu_indices(end - first, 1)
-        i, j = i + first, j + first
-        ok = (roots[i] != roots[j]) & (~apart[i] | (mine[i] != mine[j]))
-        i, j = i[ok], j[ok]
-        ok = _close(maps, sizes, i, j, percent)
-        return i[ok], j[ok]
+        n = end - first
+        step = max(1, PAIRS_AT_ONCE // n)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for row in range(first, end, step):  # some rows of the triangle at a time
+            mine_rows = np.arange(row, min(row + step, end))
+            i, j = np.repeat(mine_rows, n), np.tile(np.arange(first, end), len(mine_rows))
+            ok = (j > i) & (roots[i] != roots[j]) & (~apart[i] | (mine[i] != mine[j]))
+            i, j = i[ok], j[ok]
+            ok = _close(maps, sizes, i, j, percent)
+            found.append((i[ok], j[ok]))
+        return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
 
     return of
 
