@@ -67,6 +67,66 @@ def test_one_copy_of_each_passage_is_first(spark):
     assert len(got) == 20 and sum(r.is_first for r in got) == 1 and {r.n_copies for r in got} == {20}
 
 
+def prose_with_passages(seed, copies=4):
+    """Passages, each in several documents of words from a small vocabulary, and the ranges of their copies."""
+    rng = random.Random(seed)
+    common = [f"{c}{v}" for c in "bdfglmnprst" for v in "aeiou"]
+    prose = lambda n: [rng.choice(common) for _ in range(n)]
+    rows, planted = [], {}
+    for p, n in enumerate((50, 51, 55, 60, 70, 90, 120, 200)):
+        passage = prose(n)
+        for _ in range(copies):
+            before, after = prose(rng.randint(5, 120)), prose(rng.randint(5, 120))
+            # words that end differently around it, so that the common passage is exactly this one
+            before[-1], after[0] = f"x{len(rows)}", f"y{len(rows)}"
+            start = len(" ".join(before)) + 1
+            planted[len(rows)] = (p, start, start + len(" ".join(passage)), n)
+            rows.append((len(rows), " ".join(before + passage + after)))
+    return rows, planted
+
+
+def windows(rows, n=S.PASSAGE_WORDS):
+    """(document, first word, words) of each window, in order of documents."""
+    return [(k, i, tuple(w[i:i + n])) for k, t in rows for w in [(t or "").lower().split()] for i in range(len(w) - n + 1)]
+
+
+def brute_passages(rows):
+    """(document, first word, words, copies) of each run of repeated windows."""
+    seen, out, last = Counter(w for *_, w in windows(rows)), [], None
+    for k, i, w in windows(rows):
+        if seen[w] > 1 and last == (k, i - 1):
+            out[-1] = (*out[-1][:2], out[-1][2] + 1, min(out[-1][3], seen[w]))
+        elif seen[w] > 1:
+            out.append((k, i, S.PASSAGE_WORDS, seen[w]))
+        last = (k, i) if seen[w] > 1 else None
+    return sorted(out)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_passages_are_exact_to_the_word(spark, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(S, "GROUP_WORDS", 300)
+        monkeypatch.setattr(S, "BUCKET_CHUNKS", 100)
+    rows, planted = prose_with_passages(7)
+    more, _ = corpus(3)
+    rows += [(1000 + k, t) for k, t in more]
+    # 49 words are too few
+    rows += [(2000 + i, f"a{i} " + " ".join(f"q{j}" for j in range(49)) + f" b{i}") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    runs = {}
+    for r in S.exact_passages(df).collect():
+        assert r.n_words == len(dict(rows)[r.doc_id][r.start:r.end].split())
+        first = len(dict(rows)[r.doc_id][:r.start].split())
+        runs.setdefault(r.doc_id, []).append((first, first + r.n_words, r.n_copies))
+    want = {}
+    for k, i, n, copies in brute_passages(rows):
+        want.setdefault(k, []).append((i, i + n, copies))
+    assert runs.keys() == want.keys() and planted.keys() <= runs.keys()
+    words_in = lambda spans: {w for a, z, _ in spans for w in range(a, z)}
+    assert all(words_in(runs[k]) == words_in(want[k]) for k in want)
+    assert all(min(c for *_, c in runs[k]) == min(c for *_, c in want[k]) for k in want)
+
+
 def test_gear_hash_rolls():
     data = np.frombuffer(b"the quick brown fox jumps over the lazy dog", np.uint8)
     h, want = 0, []

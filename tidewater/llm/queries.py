@@ -31,7 +31,7 @@ def op4_ngram_jaccard_join(spark, sf_dir):
 
 
 def op5_substring_dedup(spark, sf_dir):
-    return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+    return substrings.exact_passages(table(spark, sf_dir, "documents"))
 
 
 def op6_secret_scans(spark, sf_dir):

@@ -16,6 +16,13 @@ comes again and whether the group holds its first occurrence. Order of
 occurrences is that of groups, then of documents in them; exactly one
 occurrence of each digest is the first.
 
+``exact_passages`` is the operator of the query and takes repeated chunks as seeds only. A seed is the digest of the
+``SEED_WORDS`` words after a cut, and every word end of a stretch without a cut of more than ``MOST_GAP`` words
+is a cut there. Two copies of ``PASSAGE_WORDS`` words share a cut in their first half, whatever stands around
+them, so no copy is missed: cuts depend on ``GEAR_BYTES`` bytes, which 9 words fill, and of the 18 word ends that follow
+one is a cut. Each window of ``PASSAGE_WORDS`` words that holds a repeated seed is then counted by its own
+digest; a passage is a run of neighbouring windows that occur more than once, exact to the word.
+
 Defined results: null and empty texts have no chunks; a text with no place to cut
 is cut after ``MOST_WORDS`` words; rows of one doc_id are documents of their own; a
 null doc_id is kept; an empty table gives an empty result; other columns are not
@@ -33,8 +40,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.columns import get, put, steps
+from tidewater.llm.columns import coded, get, put, steps
 from tidewater.llm.common import bounded_batches, keep_bucketed, map_batches, texts_of
+from tidewater.llm.setjoin import WordHashes
 
 GEAR_BYTES = 16
 CUT_BITS = 2
@@ -42,6 +50,10 @@ MOST_WORDS = 64
 MIN_WORDS = 30
 GROUP_CHUNKS = 1_000_000
 BUCKET_CHUNKS = 3_000_000
+PASSAGE_WORDS = 50
+SEED_WORDS = 24
+MOST_GAP = 16
+GROUP_WORDS = 2_000_000
 
 #: One random number for each byte value, from a fixed seed.
 GEAR = np.random.default_rng(20240229).integers(0, 2**16, 256, dtype=np.uint16)
@@ -240,3 +252,197 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     kinds = (("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("n_words", pa.int64()),
              ("n_copies", pa.int64()), ("is_first", pa.bool_()))
     return groups.groupBy("group").cogroup(answers.groupBy("group")).applyInArrow(run, SPANS)
+
+
+# ---- exact passages ----------------------------------------------------------------------------
+
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of each pair of hashes."""
+    h = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def window_digests(hashes: np.ndarray, width: int) -> np.ndarray:
+    """A digest of the ``width`` words from each word on, as far as so many are left."""
+    if len(hashes) < width:
+        return np.zeros(0, np.uint64)
+    size = 1
+    while 2 * size <= width:
+        hashes = _mixed(hashes[:-size], hashes[size:])
+        size *= 2
+    rest = width - size
+    return _mixed(hashes[:len(hashes) - rest], hashes[rest:])
+
+
+def seed_places(normal: bytes) -> np.ndarray:
+    """Words of a normalised text at which seeds start: its first, and those after a cut."""
+    data = np.frombuffer(normal, np.uint8)
+    ends = np.append(np.flatnonzero(data == 32), len(data))
+    cuts = gear_hashes(data)[ends - 1] >> np.uint16(16 - CUT_BITS) == 0
+    at = np.concatenate([[-1], np.flatnonzero(cuts), [len(ends)]])
+    cuts |= np.repeat(np.diff(at) > MOST_GAP, np.diff(at))[:len(cuts)]
+    return np.append(0, np.flatnonzero(cuts[:-1]) + 1)
+
+
+def _in_document(sizes: np.ndarray, width: int) -> np.ndarray:
+    """For each word of a group, whether ``width`` words of its document are left from there on."""
+    ends = np.repeat(np.cumsum(sizes, dtype=np.int64), sizes)
+    return np.arange(len(ends)) + width <= ends
+
+
+WORD_GROUPS = "group bigint, n_seeds bigint, docs binary, words binary, places binary, seeds binary"
+
+
+def write_words(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Words of whole documents in groups, with the places of their seeds, as a table bucketed by group."""
+
+    def run(batches):
+        part, number = TaskContext.get().partitionId(), 0
+        hashes = WordHashes()
+        keys: list = []
+        held: list = []
+        n = 0
+
+        def flush():
+            nonlocal keys, held, n, number
+            sizes = np.array([len(x[0]) for x in held], np.uint32)
+            words, starts, ends = (np.concatenate([x[i] for x in held]) for i in range(3))
+            before = np.cumsum(sizes, dtype=np.int64) - sizes
+            seeds = np.concatenate([x[3] + b for x, b in zip(held, before, strict=True)])
+            seeds = seeds[_in_document(sizes, SEED_WORDS)[seeds]]
+            row = pa.RecordBatch.from_pylist([{
+                "group": (part << 24) | number, "n_seeds": len(seeds),
+                "docs": put(np.array([0 if k is None else k for k in keys], np.int64),
+                            np.array([k is not None for k in keys], np.uint8), sizes),
+                "words": put(*coded(words)),
+                "places": put(np.diff(starts, prepend=0).astype(np.int32), (ends - starts).astype(np.uint32)),
+                "seeds": put(np.diff(seeds, prepend=0).astype(np.uint32))}])
+            keys, held, n, number = [], [], 0, number + 1
+            return row
+
+        for batch in batches:
+            for k, t in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                words = t.lower().encode().split()
+                if len(words) < PASSAGE_WORDS:
+                    continue
+                keys.append(k)
+                held.append((np.array([hashes[w] for w in words], np.uint64), *word_offsets(t.encode()),
+                             seed_places(b" ".join(words))))
+                n += len(words)
+                if n >= GROUP_WORDS:
+                    yield flush()
+        if keys:
+            yield flush()
+
+    source = docs.select(F.col(key).cast("long").alias("key"), text)
+    return keep_bucketed(map_batches(source, run, WORD_GROUPS), "word_groups", "group")
+
+
+def _seeds_of(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(sizes of documents, word hashes, words where seeds start, their digests) of a group."""
+    sizes = get(row["docs"])[2]
+    codes, values = get(row["words"])
+    words = values[codes]
+    at = np.cumsum(get(row["seeds"])[0], dtype=np.int64)
+    return sizes, words, at, window_digests(words, SEED_WORDS)[at] if len(at) else np.zeros(0, np.uint64)
+
+
+def seed_digests(groups: DataFrame) -> DataFrame:
+    """(group, digests) of the seeds."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield pa.RecordBatch.from_pylist([{"group": row["group"], "digests": put(_seeds_of(row)[3])}])
+
+    return map_batches(groups.select("group", "docs", "words", "seeds"), run, "group bigint, digests binary")
+
+
+def _answered(digests: np.ndarray, right: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(occurrences in the corpus, whether it is the first one) of each digest of a group."""
+    known, first_at, inverse = np.unique(digests, return_index=True, return_inverse=True)
+    count, here = np.zeros(len(known), np.int64), np.zeros(len(known), bool)
+    given = {r["bucket"]: r["payload"] for r in right.to_pylist()}
+    for b, at in _owners(known, buckets):
+        total, first = get(given[b])
+        count[at], here[at] = total, first.astype(bool)
+    is_first = np.zeros(len(digests), bool)
+    is_first[first_at] = here
+    return count[inverse], is_first
+
+
+def seeded_windows(groups: DataFrame, answers: DataFrame, buckets: int) -> DataFrame:
+    """(group, n, docs, digests, places): the windows that hold a repeated seed, in order.
+
+    ``places``: document, first word, start and end code points.
+    """
+
+    def run(key, left, right):
+        row = left.to_pylist()[0]
+        sizes, words, at, digests = _seeds_of(row)
+        again = at[_answered(digests, right, buckets)[0] > 1]
+        if not len(again):
+            return pa.table({n: pa.array([], t) for n, t in kinds})
+        steps_ = np.zeros(len(words) + 1, np.int64)  # windows that start in [seed - slack, seed]
+        np.add.at(steps_, np.maximum(again - (PASSAGE_WORDS - SEED_WORDS), 0), 1)
+        np.add.at(steps_, again + 1, -1)
+        window = np.flatnonzero((np.cumsum(steps_[:-1]) > 0) & _in_document(sizes, PASSAGE_WORDS))
+        doc = np.repeat(np.arange(len(sizes)), sizes)[window]
+        starts, lengths = get(row["places"])
+        starts = np.cumsum(starts, dtype=np.int64)
+        ends = starts + lengths
+        step = lambda a: np.diff(a, prepend=0).astype(np.int32)
+        return pa.table({
+            "group": pa.array([row["group"]], pa.int64()), "n": pa.array([len(window)], pa.int64()),
+            "docs": pa.array([row["docs"]], pa.binary()),
+            "digests": pa.array([put(window_digests(words, PASSAGE_WORDS)[window])], pa.binary()),
+            "places": pa.array([put(step(doc), step(window), step(starts[window]),
+                                    step(ends[window + PASSAGE_WORDS - 1]))], pa.binary())})
+
+    kinds = (("group", pa.int64()), ("n", pa.int64()), ("docs", pa.binary()), ("digests", pa.binary()),
+             ("places", pa.binary()))
+    found = groups.groupBy("group").cogroup(answers.groupBy("group")).applyInArrow(
+        run, "group bigint, n bigint, docs binary, digests binary, places binary")
+    return keep_bucketed(found, "passage_windows", "group")
+
+
+def exact_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each repeated passage of ``PASSAGE_WORDS`` words or more of each document.
+
+    Columns as ``repeated_passages``; n_copies is the count of its rarest window, and is_first says
+    that it holds the first occurrence of that window.
+    """
+    groups = write_words(docs, key, text)
+    buckets = max(1, math.ceil((groups.agg(F.sum("n_seeds")).first()[0] or 0) / BUCKET_CHUNKS))
+    windows = seeded_windows(groups, digest_counts(seed_digests(groups), buckets), buckets)
+    owners = max(1, math.ceil((windows.agg(F.sum("n")).first()[0] or 0) / BUCKET_CHUNKS))
+    answers = digest_counts(windows, owners)
+    bounded_batches(docs.sparkSession)
+
+    def run(key, left, right):
+        row = left.to_pylist()[0]
+        keys, valid, _ = get(row["docs"])
+        (digests,) = get(row["digests"])
+        count, is_first = _answered(digests, right, owners)
+        doc, window, start, end = (np.cumsum(x, dtype=np.int64) for x in get(row["places"]))
+        again = count > 1
+        doc, window, start, end, count, is_first, digests = (
+            x[again] for x in (doc, window, start, end, count, is_first, digests))
+        if not len(window):
+            return pa.table({n: pa.array([], t) for n, t in kinds})
+        edge = np.append(True, (np.diff(window) > 1) | (np.diff(doc) > 0))
+        a = np.flatnonzero(edge)
+        z = np.append(a[1:], len(edge)) - 1
+        of = np.cumsum(edge) - 1
+        rarest = np.lexsort((digests, count, of))[a]
+        holds = np.bincount(of, is_first & (digests == digests[rarest][of]), len(a)) > 0
+        return pa.table({
+            "doc_id": pa.array(keys[doc[a]], pa.int64(), mask=valid[doc[a]] == 0), "start": start[a], "end": end[z],
+            "n_words": window[z] - window[a] + PASSAGE_WORDS, "n_copies": np.minimum.reduceat(count, a),
+            "is_first": holds})
+
+    kinds = (("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("n_words", pa.int64()),
+             ("n_copies", pa.int64()), ("is_first", pa.bool_()))
+    return windows.groupBy("group").cogroup(answers.groupBy("group")).applyInArrow(run, SPANS)
