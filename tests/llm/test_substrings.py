@@ -127,6 +127,35 @@ def test_passages_are_exact_to_the_word(spark, monkeypatch, small):
     assert all(min(c for *_, c in runs[k]) == min(c for *_, c in want[k]) for k in want)
 
 
+def without(rows, found):
+    """The documents without the rows that are not first."""
+    gone = {(r.doc_id, i) for r in found if not r.is_first for i in range(r.start, r.end)}
+    return [(k, "".join(c for i, c in enumerate(t or "") if (k, i) not in gone)) for k, t in rows]
+
+
+def test_a_passage_in_other_prose_keeps_one_copy(spark):
+    rows, planted = prose_with_passages(7)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    stays = {}
+    for r in S.exact_passages(df).collect():
+        p, start, end, n = planted[r.doc_id]
+        assert (r.start, r.end, r.n_words, r.n_copies) == (start, end, n, 4)
+        stays.setdefault(p, []).append(r.is_first)
+    assert {p: sorted(x) for p, x in stays.items()} == {p: [False] * 3 + [True] for p in range(8)}
+
+
+def test_each_window_is_left_where_passages_overlap(spark):
+    rng = random.Random(2)
+    a, b, c = ([f"{x}{rng.randrange(10**6)}" for _ in range(120)] for x in "abc")
+    parts = [a, b, c, a + b, b + c, a[40:] + b[:70], c[:90] + a[:60], a[:55] + b[:55] + c[:55], b[10:] + c + a, a + a]
+    rows = [(i, ("  " if i % 2 else "\n").join([f"s{i}", *w, f"e{i}"])) for i, w in enumerate(parts)]
+    rows += [(50, "z " * 300), (51, "z " * 200 + "end")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    left = Counter(w for *_, w in windows(without(rows, S.exact_passages(df).collect())))
+    seen = Counter(w for *_, w in windows(rows))
+    assert all(left[w] for w, n in seen.items() if n > 1)
+
+
 def test_gear_hash_rolls():
     data = np.frombuffer(b"the quick brown fox jumps over the lazy dog", np.uint8)
     h, want = 0, []

@@ -21,7 +21,8 @@ occurrence of each digest is the first.
 is a cut there. Two copies of ``PASSAGE_WORDS`` words share a cut in their first half, whatever stands around
 them, so no copy is missed: cuts depend on ``GEAR_BYTES`` bytes, which 9 words fill, and of the 18 word ends that follow
 one is a cut. Each window of ``PASSAGE_WORDS`` words that holds a repeated seed is then counted by its own
-digest; a passage is a run of neighbouring windows that occur more than once, exact to the word.
+digest; a passage is a run of neighbouring windows that occur more than once, exact to the word. Which copy
+stays is settled window by window.
 
 Defined results: null and empty texts have no chunks; a text with no place to cut
 is cut after ``MOST_WORDS`` words; rows of one doc_id are documents of their own; a
@@ -411,8 +412,10 @@ def seeded_windows(groups: DataFrame, answers: DataFrame, buckets: int) -> DataF
 def exact_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each repeated passage of ``PASSAGE_WORDS`` words or more of each document.
 
-    Columns as ``repeated_passages``; n_copies is the count of its rarest window, and is_first says
-    that it holds the first occurrence of that window.
+    Columns as ``repeated_passages``; n_copies is the count of its rarest window. A window is first where no
+    equal one comes earlier, and a passage is divided where that changes: is_first rows stay, and
+    the others are what no first window covers, so without them each repeated window is still there.
+    Such a row can have fewer words than a passage; rows of a document may overlap.
     """
     groups = write_words(docs, key, text)
     buckets = max(1, math.ceil((groups.agg(F.sum("n_seeds")).first()[0] or 0) / BUCKET_CHUNKS))
@@ -428,20 +431,29 @@ def exact_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         count, is_first = _answered(digests, right, owners)
         doc, window, start, end = (np.cumsum(x, dtype=np.int64) for x in get(row["places"]))
         again = count > 1
-        doc, window, start, end, count, is_first, digests = (
-            x[again] for x in (doc, window, start, end, count, is_first, digests))
+        doc, window, start, end, count, is_first = (x[again] for x in (doc, window, start, end, count, is_first))
         if not len(window):
             return pa.table({n: pa.array([], t) for n, t in kinds})
-        edge = np.append(True, (np.diff(window) > 1) | (np.diff(doc) > 0))
+        edge = np.append(True, (np.diff(window) > 1) | (np.diff(doc) > 0) | (is_first[1:] != is_first[:-1]))
         a = np.flatnonzero(edge)
         z = np.append(a[1:], len(edge)) - 1
-        of = np.cumsum(edge) - 1
-        rarest = np.lexsort((digests, count, of))[a]
-        holds = np.bincount(of, is_first & (digests == digests[rarest][of]), len(a)) > 0
+        word, end_word, start_at, end_at = window[a], window[z] + PASSAGE_WORDS, start[a], end[z]
+        firsts = np.flatnonzero(is_first)
+        if len(firsts):  # rows that go leave out the words of the first windows before and after them
+            after = np.searchsorted(firsts, a)
+            f, g = firsts[np.maximum(after - 1, 0)], firsts[np.minimum(after, len(firsts) - 1)]
+            goes = ~is_first[a]
+            over = goes & (f < a) & (doc[f] == doc[a]) & (window[f] + PASSAGE_WORDS > word)
+            word = np.where(over, window[f] + PASSAGE_WORDS, word)
+            start_at = np.where(over, end[f] + 1, start_at)  # after one white space
+            under = goes & (g > z) & (doc[g] == doc[a]) & (window[g] < end_word)
+            end_word = np.where(under, window[g], end_word)
+            end_at = np.where(under, start[g], end_at)
+        ok = end_word > word
         return pa.table({
-            "doc_id": pa.array(keys[doc[a]], pa.int64(), mask=valid[doc[a]] == 0), "start": start[a], "end": end[z],
-            "n_words": window[z] - window[a] + PASSAGE_WORDS, "n_copies": np.minimum.reduceat(count, a),
-            "is_first": holds})
+            "doc_id": pa.array(keys[doc[a]][ok], pa.int64(), mask=(valid[doc[a]] == 0)[ok]), "start": start_at[ok],
+            "end": end_at[ok], "n_words": (end_word - word)[ok], "n_copies": np.minimum.reduceat(count, a)[ok],
+            "is_first": is_first[a][ok]})
 
     kinds = (("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("n_words", pa.int64()),
              ("n_copies", pa.int64()), ("is_first", pa.bool_()))
