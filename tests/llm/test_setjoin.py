@@ -99,3 +99,38 @@ def test_one_document_of_each_group_stays(spark):
     kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
     assert kept == sorted([(3, text.upper()), (3, "a third text under that id"), (7, "other words that stand alone"),
                            (8, ""), (9, None)], key=str)
+
+
+def test_the_pipeline_links_five_word_shingles_at_80_percent(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    rows = []
+    for i in range(12):  # one word after the other changed: similarities around 0.8 and 0.85
+        base = [f"v{rng.randrange(500)}" for _ in range(100)]
+        for changes in range(4):
+            text = list(base)
+            for c in range(changes):
+                text[15 + 30 * c] = f"n{i}.{c}"
+            rows.append((len(rows), " ".join(text)))
+    sets = [{tuple(w[j:j + 5]) for j in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    rows += [(1000, "a b c d"), (1001, "a b c d"), (1002, "a b c d e")]
+    want = {i for i in range(len(root)) if find(i) == i} | {1000, 1002}
+    # texts of 49 words with one changed: 40 of 50 (0.80), in four-word shingles 42 of 50 (0.84)
+    edge = [f"e{i}" for i in range(49)]
+    rows += [(2000, " ".join(edge)), (2001, " ".join([*edge[:24], "other", *edge[25:]]))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()}
+    assert got == want | {2000}

@@ -1,6 +1,6 @@
 """N-gram Jaccard join, exact, by a size-aware light and heavy split.
 
-A document's set holds its distinct word shingles. Documents with equal sets are
+A document's set holds its distinct word shingles, of ``WORDS`` words unless asked otherwise. Documents with equal sets are
 one node. Two nodes link when ``100 * |A and B| >= percent * |A or B|``; the result is
 each document's component under such links.
 
@@ -108,7 +108,7 @@ def _mark_ranges(buckets: int) -> np.ndarray:
     return (np.arange(buckets + 1, dtype=np.uint64) * np.uint64(2**MARK_BITS // 8) // np.uint64(buckets)) * np.uint64(8)
 
 
-def count_shingles(docs: DataFrame, text: str, buckets: int) -> DataFrame:
+def count_shingles(docs: DataFrame, text: str, buckets: int, words: int = WORDS) -> DataFrame:
     """Per bucket: frequent shingles, document frequencies by powers of 2, and sizes of small sets."""
 
     def chunks(batches):
@@ -131,7 +131,7 @@ def count_shingles(docs: DataFrame, text: str, buckets: int) -> DataFrame:
         schema = pa.schema([("bucket", pa.int64()), ("sizes", pa.list_(pa.int64())), ("payload", pa.binary())])
         for batch in batches:
             for t in texts_of(batch.column(0)):
-                s = shingles(t, hashes)
+                s = shingles(t, hashes, words)
                 if len(s) <= LIGHT_SIZES:
                     sizes[len(s)] += 1
                 held.append(np.unique(s >> np.uint64(64 - COUNT_BITS)))
@@ -252,7 +252,8 @@ def digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-def document_sets(docs: DataFrame, key: str, text: str, order: ShingleOrder, light: int, percent: int) -> DataFrame:
+def document_sets(docs: DataFrame, key: str, text: str, order: ShingleOrder, light: int, percent: int,
+                  words: int = WORDS) -> DataFrame:
     """(doc_id, text_hash, digest, size, prefix, subset_sizes, subset_keys, bitmap) of every document.
 
     Light sets have subsets; sets that can link with a heavy one have a prefix.
@@ -264,7 +265,7 @@ def document_sets(docs: DataFrame, key: str, text: str, order: ShingleOrder, lig
         for batch in batches:
             cols: list[list] = [[], [], [], [], [], []]
             for t in texts_of(batch.column(2)):
-                s = shingles(t, hashes)
+                s = shingles(t, hashes, words)
                 n = len(s)
                 prefix = order.prefix(s, percent).view(np.int64) if n >= max(1, heavy_from) else None
                 subsets = subset_keys(s, percent) if 0 < n <= light else []
@@ -282,7 +283,7 @@ def document_sets(docs: DataFrame, key: str, text: str, order: ShingleOrder, lig
                             "subset_sizes array<bigint>, subset_keys array<bigint>, bitmap binary")
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+def whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
     """(node, shingles) of the wanted nodes, from the texts of their representatives.
 
     ``wanted`` has node, doc_id and digest; rows of that doc_id with another set fall away.
@@ -293,7 +294,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataF
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingles(t, hashes) for t in texts_of(batch.column(2))]
+            sets = [shingles(t, hashes, words) for t in texts_of(batch.column(2))]
             own = [digest(s) == d for s, d in zip(sets, batch.column(1).to_pylist(), strict=True)]
             nodes = [n for n, ok in zip(batch.column(0).to_pylist(), own, strict=True) if ok]
             yield pa.RecordBatch.from_arrays(
@@ -521,17 +522,18 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(x) + len(y) - shared)
 
 
-def join(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+def join(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text",
+         words: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, text_hash, root) of every document.
 
     ``root`` names the component also where doc_ids are null or repeated; it is null without shingles.
     """
     spark = docs.sparkSession
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = keep_table(count_shingles(docs, text, shuffles), "shingles")
+    counted = keep_table(count_shingles(docs, text, shuffles, words), "shingles")
     order, light = _order_of(counted, percent)
 
-    sets = keep_table(document_sets(docs, key, text, order, light, percent)
+    sets = keep_table(document_sets(docs, key, text, order, light, percent, words)
                       .withColumn("row", F.monotonically_increasing_id()), "sets")
     # one node for each set: the row that stands for it, and the smallest doc_id
     classes = keep_table(sets.where("size > 0").groupBy("digest").agg(
@@ -544,7 +546,7 @@ def join(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str
     listed = lists.select("node").distinct()
     held = keep_table(sets.withColumnRenamed("row", "node").join(listed, "node", "left_semi")
                       .select("node", "doc_id", "digest", "size", "bitmap"), "listed")
-    whole = keep_bucketed(whole_sets(docs, held.select("node", "doc_id", "digest"), key, text), "whole_sets", "node")
+    whole = keep_bucketed(whole_sets(docs, held.select("node", "doc_id", "digest"), key, text, words), "whole_sets", "node")
 
     stars = (lists.where("node <> centre").where(F.col("centre_size") * 100 >= F.col("size") * percent)
              .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
@@ -568,14 +570,15 @@ def join(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str
                     "text_hash", "root"))
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text",
+                words: int = WORDS) -> DataFrame:
     """The rows of ``docs`` without those that link to another one that stays, with their own columns.
 
     Of each component the document with the smallest (key, text hash) stays, once; documents
     without shingles stay, once each. Rows are told apart by key and text hash, so neither null nor
     repeated keys lose a text.
     """
-    found = keep_table(join(docs, percent, key, text).select("doc_id", "text_hash", "root"), "components")
+    found = keep_table(join(docs, percent, key, text, words).select("doc_id", "text_hash", "root"), "components")
     rows = found.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("times"))
     first = rows.where("root IS NOT NULL").groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first"))
