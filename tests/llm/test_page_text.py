@@ -67,5 +67,30 @@ def test_template_lines_go_and_copies_stay(spark):
     assert all(r.n_chars == len(r.text) for r in got) and len(got) == len(rows)
 
 
+def test_differencing_decides_on_marked_pages(spark):
+    rows, want = [], {}
+    for i in range(12):
+        page = (f"<p>Site menu</p><article><h1>Title {i}</h1><div class='body-x'><p>own {i} text</p><p>A passage they share</p>"
+                f"</div><p>Plain passage</p><div class='zz-9'><p>Tell your friends</p><ul><li>Now</li></ul></div>"
+                f"<p class='k'>Kind {i}</p><p class='k'>Kind</p></article>")
+        rows.append((i, f"http://h.org/a/{i:02d}", page))
+        want[i] = f"Title {i}\n\nown {i} text\n\nA passage they share\n\nPlain passage\n\nKind {i}\n\nKind"
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    assert {r.page_id: r.text for r in P.main_text(df).collect()} == want
+
+
+def test_short_articles_lose_a_long_template_and_unmarked_pages_meet(spark):
+    template = "".join(f"<p>a long line number {j} of the template of this site</p>" for j in range(20))
+    rows = [(i, f"http://s.org/{i}", f"{template}<p>short {i}</p>") for i in range(4)]
+    for i in range(6):  # marked and unmarked pages by turns
+        rows += [(100 + i, f"http://t.org/{i}a", f"<p>Top</p><p>words {i}</p><p>End</p>"),
+                 (200 + i, f"http://t.org/{i}b", f"<article><p>marked {i}</p></article>")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in P.main_text(df).collect()}
+    want = {i: f"short {i}" for i in range(4)}
+    want |= {100 + i: f"words {i}" for i in range(6)} | {200 + i: f"marked {i}" for i in range(6)}
+    assert got == want
+
+
 def test_empty_table(spark):
     assert P.main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0

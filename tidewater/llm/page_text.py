@@ -1,13 +1,13 @@
 """Main text of web pages: markup rules, then differencing against the nearest page of the host.
 
-Each page is cut into blocks of text. Blocks inside elements that are never the
+Each page is cut into lines, the blocks of its text. Lines inside elements that are never the
 article (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-reader comments) are left out. Where a page marks its article or main element,
-its blocks are the text. Where it does not, any line may be boilerplate: the page is
-paired with the page of the same host whose URL path is nearest in sorted order,
-lines of the two are aligned by a longest common subsequence, and shared
-lines are deleted. A neighbour that shares most of the page's text is a copy of it and
-says nothing about boilerplate; the other neighbour is taken then.
+reader comments) are left out, and so are those outside of the article or main element where a page marks one.
+Every page is paired with the page of the same host, of the same kind (marked or not) if there is
+one, whose URL path is nearest in sorted order, and lines of the two are aligned by a longest common subsequence.
+On an unmarked page the shared lines are deleted. In a marked article markup is evidence on them: those of
+plain prose stay, those of a kind of named element (by class or id) go unless that kind has lines of the page's own. A
+neighbour that leaves no line over on either side is a copy and says nothing about boilerplate.
 
 Pages are numbered in one global order of (host, path), and neighbours met by
 number, so a host with most of the pages is dealt like any other.
@@ -115,11 +115,32 @@ def _tokens(page: str):
     return out
 
 
+UNMARKED, OUTSIDE, PROSE = -2, -1, 0
+
+
 def blocks(page: str) -> tuple[list[str], bool]:
     """The blocks of text of a page, and whether they are those of a marked article."""
+    texts, roles = lines_of(page)
+    return [t for t, r in zip(texts, roles, strict=True) if r != OUTSIDE], any(r > OUTSIDE for r in roles)
+
+
+def _named(name: str, raw: str) -> str:
+    attributes = _attributes(raw)
+    words = sorted(attributes.get("class", "").split()) or attributes.get("id", "").split()
+    return " ".join([name, *words]) if words else ""
+
+
+def lines_of(page: str) -> tuple[list[str], list[int]]:
+    """The lines of a page and the role of each by its markup.
+
+    UNMARKED on a page without an article; else OUTSIDE of it, PROSE in it, or a number above for the kind (element
+    and class names) of the innermost named element of the article that holds the line.
+    """
     tokens = _tokens(page)
     closed_by = _closings(tokens)
-    found: list[tuple[str, bool]] = []
+    found: list[tuple[str, int]] = []
+    kinds: dict[str, int] = {}
+    named: list[tuple[int, int]] = []  # closing token and kind of the open named elements of the article
     parts: list[str] = []
     main: list[int] = []  # token indexes that close the open articles
     skip = -1
@@ -129,7 +150,7 @@ def blocks(page: str) -> tuple[list[str], bool]:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            found.append((text, bool(main)))
+            found.append((text, OUTSIDE if not main else named[-1][1] if named else PROSE))
 
     for i, (start, end, closing, name, raw) in enumerate(tokens):
         if i <= skip:
@@ -150,12 +171,16 @@ def blocks(page: str) -> tuple[list[str], bool]:
             parts.append(" ")
         if name in MAIN and not closing:
             main.append(closed_by.get(i, len(tokens)))
+        elif main and name in BLOCK and not closing and raw.strip() and i in closed_by and (kind := _named(name, raw)):
+            named.append((closed_by[i], kinds.setdefault(kind, len(kinds) + 1)))
         while main and main[-1] <= i:
             main.pop()
+        while named and (named[-1][0] <= i or not main):
+            named.pop()
     parts.append(page[at:])
     flush()
-    marked = [t for t, inside in found if inside]
-    return (marked, True) if marked else ([t for t, _ in found], False)
+    marked = any(r != OUTSIDE for _, r in found)
+    return [t for t, _ in found], [r if marked else UNMARKED for _, r in found]
 
 
 _URL = re.compile(r"^\s*(?:[a-zA-Z][\w+.-]*:)?//([^/?#]*)([^?#]*)")
@@ -199,19 +224,30 @@ def shared_lines(mine: list[int], other: list[int]) -> list[int]:
     return out[::-1]
 
 
-COPY_SHARE = 0.5
+def template_lines(shared: list[int], roles: list[int]) -> list[int]:
+    """Which of the shared lines are boilerplate, by their roles.
+
+    On an unmarked page all are. In an article plain prose stays, for an article may share a passage with
+    its neighbour; lines of a kind of named element go if that kind has no line of the page's own.
+    """
+    own = {r for i, r in enumerate(roles) if i not in set(shared)} if any(r > PROSE for r in roles) else set()
+    return [i for i in shared if roles[i] == UNMARKED or (roles[i] > PROSE and roles[i] not in own)]
 
 
-def boilerplate(mine, sizes, neighbours) -> list[int]:
-    """Positions of lines shared with the nearest neighbour that is not a copy.
+def boilerplate(mine, roles, neighbours) -> list[int] | None:
+    """Positions of lines to delete, by the nearest neighbour that is not a copy; None if all are copies.
 
-    ``neighbours``: (length of the common path prefix, lines) of the neighbours there are, the previous one first.
+    ``neighbours``: (has the same kind of markup, length of the common path prefix, lines, roles).
+    A copy leaves no line over on one of the sides.
     """
-    for _, other in sorted(neighbours, key=lambda n: -n[0]):
+    for _, _, other, other_roles in sorted(neighbours, key=lambda n: (-n[0], -n[1])):
         shared = shared_lines(mine, other)
-        if sum(sizes[i] for i in shared) <= COPY_SHARE * sum(sizes):
-            return shared
-    return []
+        met = set(shared)
+        back = set(shared_lines(other, mine))
+        if (any(r != OUTSIDE and i not in met for i, r in enumerate(roles))
+                and any(r != OUTSIDE and i not in back for i, r in enumerate(other_roles))):
+            return template_lines(shared, roles)
+    return None
 
 
 def _common(a: str, b: str) -> int:
@@ -226,63 +262,66 @@ def _common(a: str, b: str) -> int:
 # ---- Spark ------------------------------------------------------------------------------------------
 
 def cut_pages(pages: DataFrame) -> DataFrame:
-    """(page_id, url, host, path, blocks, lines): ``lines`` has the blocks' hashes on unmarked pages, else null."""
-    longs = pa.list_(pa.int64())
+    """(page_id, url, host, path, blocks, lines, roles): all lines, their hashes and roles."""
+    longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
 
     def run(batches):
         for batch in batches:
-            hosts, paths, texts, lines = [], [], [], []
+            hosts, paths, texts, lines, roles = [], [], [], [], []
             for url, page in zip(batch.column(1).to_pylist(), texts_of(batch.column(2)), strict=True):
                 host, path = host_and_path(url)
-                found, marked = blocks(page)
+                found, of = lines_of(page)
                 hosts.append(host)
                 paths.append(path)
                 texts.append(found)
                 hashed = np.array([xxhash.xxh3_64_intdigest(t) for t in found], np.uint64).view(np.int64)
-                lines.append(None if marked else hashed)
+                lines.append(hashed)
+                roles.append(of)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(hosts, pa.string()), pa.array(paths, pa.string()),
-                 pa.array(texts, pa.list_(pa.string())), pa.array(lines, longs)],
-                ["page_id", "url", "host", "path", "blocks", "lines"])
+                 pa.array(texts, pa.list_(pa.string())), pa.array(lines, longs), pa.array(roles, ints)],
+                ["page_id", "url", "host", "path", "blocks", "lines", "roles"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
     return map_batches(pages.select("page_id", F.col("url").cast("string"), "html"), run,
-                       f"page_id {kind}, url string, host string, path string, blocks array<string>, lines array<bigint>")
+                       f"page_id {kind}, url string, host string, path string, blocks array<string>, lines array<bigint>, "
+                       "roles array<int>")
 
 
 def numbered(cut: DataFrame) -> DataFrame:
-    """(row, host, path, n): pages of hosts in order of (host, path), numbered without a gap.
+    """(row, host, marked, path, n): pages of hosts in order of (host, marked, path), numbered without a gap.
 
     Ranges are sorted where they are; numbers before a range come from one count for each range.
     """
-    ordered = keep_table(cut.where("host IS NOT NULL").select("row", "host", "path")
-                         .repartitionByRange("host", "path", "row").sortWithinPartitions("host", "path", "row")
+    ordered = keep_table(cut.where("host IS NOT NULL").select("row", "host", "marked", "path")
+                         .repartitionByRange("host", "marked", "path", "row")
+                         .sortWithinPartitions("host", "marked", "path", "row")
                          .select("*", F.monotonically_increasing_id().alias("at")), "page-order")
     part = F.shiftright("at", 33)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ranges = (ordered.groupBy(part.alias("part")).agg(F.count("*").alias("size"))
               .select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before")))
     return (ordered.withColumn("part", part).join(F.broadcast(ranges), "part")  # one row for each partition
-            .select("row", "host", "path", (F.col("at") % (1 << 33) + F.col("before")).alias("n")))
+            .select("row", "host", "marked", "path", (F.col("at") % (1 << 33) + F.col("before")).alias("n")))
 
 
 def deletions(cut: DataFrame) -> DataFrame:
-    """(row, gone): positions of the blocks to delete, for pages that lose any."""
-    place = keep_table(numbered(cut), "page-numbers")
-    lines = cut.where("lines IS NOT NULL AND size(lines) > 0").select(
-        "row", "lines", F.transform("blocks", F.length).alias("sizes"))
-    mine = place.join(lines, "row")
-    # neighbours give the lines of unmarked pages too; a marked neighbour has no template lines to share
-    near = mine.select((F.col("n")).alias("m"), F.col("host").alias("h"), F.col("path").alias("p"), F.col("lines").alias("l"))
-    asked = mine.select("row", "host", "path", "lines", "sizes", F.explode(F.array(F.col("n") - 1, F.col("n") + 1)).alias("m"))
-    pairs = (asked.join(near, "m").where("host = h").groupBy("row", "path", "lines", "sizes")
-             .agg(F.sort_array(F.collect_list(F.struct("m", "p", "l"))).alias("near")))  # two at most
+    """(row, gone): positions of the lines to delete, for pages that lose any."""
+    pages = cut.where("size(lines) > 0").withColumn("marked", F.expr("roles[0] > -2"))
+    place = keep_table(numbered(pages), "page-numbers")
+    mine = place.join(pages.select("row", "lines", "roles"), "row")
+    near = mine.select(F.col("n").alias("m"), F.col("host").alias("h"), F.col("marked").alias("k"),
+                       F.col("path").alias("p"), F.col("lines").alias("l"), F.col("roles").alias("r"))
+    asked = mine.select("row", "host", "marked", "path", "lines", "roles",
+                        F.explode(F.array(F.col("n") - 1, F.col("n") + 1)).alias("m"))
+    pairs = (asked.join(near, "m").where("host = h").groupBy("row", "marked", "path", "lines", "roles")
+             .agg(F.sort_array(F.collect_list(F.struct("m", "k", "p", "l", "r"))).alias("near")))  # two at most
 
     def run(batches):
         for batch in batches:
             rows, gone = [], []
-            for row, path, own, sizes, around in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = boilerplate(own, sizes, [(_common(path, x["p"]), x["l"]) for x in around])
+            for row, marked, path, own, roles, around in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = boilerplate(own, roles, [(x["k"] == marked, _common(path, x["p"]), x["l"], x["r"]) for x in around])
                 if found:
                     rows.append(row)
                     gone.append(found)
@@ -296,7 +335,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     cut = keep_table(cut_pages(pages).withColumn("row", F.monotonically_increasing_id()), "page-blocks")
     gone = keep_table(deletions(cut), "page-deletions")
-    kept = F.filter("blocks", lambda b, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
+    kept = F.filter("blocks", lambda b, i: (F.get("roles", i) != OUTSIDE)
+                    & ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
     return (cut.join(broadcast_if_small(gone, 256), "row", "left")
             .select("page_id", "url", F.array_join(kept, "\n\n").alias("text"))
             .select("*", F.length("text").cast("long").alias("n_chars")))
