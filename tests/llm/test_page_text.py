@@ -92,5 +92,23 @@ def test_short_articles_lose_a_long_template_and_unmarked_pages_meet(spark):
     assert got == want
 
 
+def test_copies_in_a_row_ask_pages_farther_off(spark):
+    prose = lambda k, n=40: " ".join(f"{k}{j}" for j in range(n))
+    page = lambda text: f"<p>Top of site</p><p>{text}</p><p>End of site</p>"
+    rows, want = [], {}
+    for i in range(4):  # exact copies, then near ones that differ in a word, then others
+        rows.append((i, f"http://c.org/a{i}", page(prose("copy"))))
+        want[i] = prose("copy")
+    for i in range(7):
+        text = prose("near") + f" end{i}"
+        rows.append((10 + i, f"http://c.org/b{i}", page(text)))
+        want[10 + i] = text
+    for i in range(2):  # near copies and nothing else on the host
+        rows.append((20 + i, f"http://d.org/{i}", page(prose("only") + f" end{i}")))
+        want[20 + i] = f"Top of site\n\n{prose('only')} end{i}\n\nEnd of site"
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    assert {r.page_id: r.text for r in P.main_text(df).collect()} == want
+
+
 def test_empty_table(spark):
     assert P.main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0

@@ -7,7 +7,11 @@ Every page is paired with the page of the same host, of the same kind (marked or
 one, whose URL path is nearest in sorted order, and lines of the two are aligned by a longest common subsequence.
 On an unmarked page the shared lines are deleted. In a marked article markup is evidence on them: those of
 plain prose stay, those of a kind of named element (by class or id) go unless that kind has lines of the page's own. A
-neighbour that leaves no line over on either side is a copy and says nothing about boilerplate.
+neighbour that leaves no line over on either side, or whose lines left over are alike, is a copy and says nothing
+about boilerplate; pages farther off are asked then.
+
+Pages of equal lines are one node. A node whose neighbours are copies asks those 2, 4, 8 ... places off, at
+last those at the ends of the host, until one is no copy.
 
 Pages are numbered in one global order of (host, path), and neighbours met by
 number, so a host with most of the pages is dealt like any other.
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 import html
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import broadcast_if_small, keep_table, map_batches, texts_of
+from tidewater.llm.setjoin import WordHashes
 
 # ---- markup ---------------------------------------------------------------------------------
 
@@ -234,19 +240,36 @@ def template_lines(shared: list[int], roles: list[int]) -> list[int]:
     return [i for i in shared if roles[i] == UNMARKED or (roles[i] > PROSE and roles[i] not in own)]
 
 
-def boilerplate(mine, roles, neighbours) -> list[int] | None:
+ALIKE = 0.6
+
+
+def pair_hashes(line: str, hashes: WordHashes) -> bytes:
+    """Small hashes of the pairs of neighbouring words of a line; a single word is its own."""
+    h = np.array([hashes[w] for w in line.encode().split()], np.uint64)
+    h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] if len(h) > 1 else h
+    return (h >> np.uint64(48)).astype(np.uint16).tobytes()
+
+
+def alike(mine: list[bytes], other: list[bytes]) -> bool:
+    """Whether the lines hold nearly the same pairs of words."""
+    a, b = (np.bincount(np.frombuffer(b"".join(x), np.uint16), minlength=1 << 16) for x in (mine, other))
+    return np.minimum(a, b).sum() >= ALIKE * np.maximum(a, b).sum()
+
+
+def boilerplate(mine, neighbours) -> list[int] | None:
     """Positions of lines to delete, by the nearest neighbour that is not a copy; None if all are copies.
 
-    ``neighbours``: (has the same kind of markup, length of the common path prefix, lines, roles).
-    A copy leaves no line over on one of the sides.
+    Pages are (lines, roles, pair hashes); ``neighbours``: (has the same kind of markup, length of the common path
+    prefix, page).
     """
-    for _, _, other, other_roles in sorted(neighbours, key=lambda n: (-n[0], -n[1])):
-        shared = shared_lines(mine, other)
-        met = set(shared)
-        back = set(shared_lines(other, mine))
-        if (any(r != OUTSIDE and i not in met for i, r in enumerate(roles))
-                and any(r != OUTSIDE and i not in back for i, r in enumerate(other_roles))):
-            return template_lines(shared, roles)
+    def left(page, met):
+        return [p for i, (r, p) in enumerate(zip(page[1], page[2], strict=True)) if r != OUTSIDE and i not in met]
+
+    for *_, other in sorted(neighbours, key=lambda n: (-n[0], -n[1])):
+        shared = shared_lines(mine[0], other[0])
+        own, others = left(mine, set(shared)), left(other, set(shared_lines(other[0], mine[0])))
+        if own and others and not alike(own, others):
+            return template_lines(shared, mine[1])
     return None
 
 
@@ -305,30 +328,95 @@ def numbered(cut: DataFrame) -> DataFrame:
             .select("row", "host", "marked", "path", (F.col("at") % (1 << 33) + F.col("before")).alias("n")))
 
 
+def with_pair_hashes(pages: DataFrame) -> DataFrame:
+    """(row, lines, roles, pairs) of (row, lines, roles, blocks)."""
+
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            pairs = [[pair_hashes(t, hashes) for t in texts] for texts in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(pairs, pa.list_(pa.binary()))],
+                                             ["row", "lines", "roles", "pairs"])
+
+    return map_batches(pages.select("row", "lines", "roles", "blocks"), run,
+                       "row bigint, lines array<bigint>, roles array<int>, pairs array<binary>")
+
+
+def with_shared_lines(place: DataFrame, cut: DataFrame) -> DataFrame:
+    """(row, host) of the nodes that share a line with a neighbour that could be boilerplate.
+
+    Every node is aligned with the one before and after it; only these need words and copies told.
+    """
+    here = place.join(cut.select("row", "lines", "roles"), "row").select(
+        F.explode(F.array(F.col("n") - 1, "n", F.col("n") + 1)).alias("m"), F.struct("n", "row", "host", "lines", "roles").alias("page"))
+
+    def run(batches):
+        for batch in batches:
+            rows, hosts = [], []
+            for m, around in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for own in (x for x in around if x["n"] == m):
+                    if any(x["n"] != m and x["host"] == own["host"]
+                           and template_lines(shared_lines(own["lines"], x["lines"]), own["roles"]) for x in around):
+                        rows.append(own["row"])
+                        hosts.append(own["host"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(hosts, pa.string())], ["row", "host"])
+
+    return map_batches(here.groupBy("m").agg(F.collect_list("page").alias("around")), run,  # three at most
+                       "row bigint, host string")
+
+
 def deletions(cut: DataFrame) -> DataFrame:
     """(row, gone): positions of the lines to delete, for pages that lose any."""
-    pages = cut.where("size(lines) > 0").withColumn("marked", F.expr("roles[0] > -2"))
-    place = keep_table(numbered(pages), "page-numbers")
-    mine = place.join(pages.select("row", "lines", "roles"), "row")
-    near = mine.select(F.col("n").alias("m"), F.col("host").alias("h"), F.col("marked").alias("k"),
-                       F.col("path").alias("p"), F.col("lines").alias("l"), F.col("roles").alias("r"))
-    asked = mine.select("row", "host", "marked", "path", "lines", "roles",
-                        F.explode(F.array(F.col("n") - 1, F.col("n") + 1)).alias("m"))
-    pairs = (asked.join(near, "m").where("host = h").groupBy("row", "marked", "path", "lines", "roles")
-             .agg(F.sort_array(F.collect_list(F.struct("m", "k", "p", "l", "r"))).alias("near")))  # two at most
+    pages = (cut.where("host IS NOT NULL AND size(lines) > 0")
+             .select("row", "host", F.expr("roles[0] > -2").alias("marked"), "path", F.xxhash64("lines", "roles").alias("same")))
+    nodes = keep_table(pages.groupBy("host", "marked", "same").agg(F.min(F.struct("path", "row")).alias("least"))
+                       .select("host", "marked", "same", "least.path", "least.row"), "page-nodes")
+    place = keep_table(numbered(nodes), "page-numbers")
+    ends = keep_table(place.groupBy("host").agg(F.min("n").alias("first"), F.max("n").alias("last")), "host-ends")
+    sharing = keep_table(with_shared_lines(place, cut), "page-sharing")
+    if sharing.isEmpty():
+        return cut.where("false").select("row", F.expr("cast(array() AS array<int>)").alias("gone"))
+    hosts = keep_table(sharing.select("host").distinct(), "page-hosts")
+    of_hosts = keep_table(place.join(broadcast_if_small(ends, 64), "host")
+                          .join(broadcast_if_small(hosts, 64), "host", "left_semi"), "page-places")
+    texts = with_pair_hashes(cut.join(broadcast_if_small(of_hosts.select("row"), 8), "row", "left_semi"))
+    mine = keep_table(of_hosts.join(texts, "row"), "page-lines")
+    near = mine.select(F.col("n").alias("m"), F.col("host").alias("h"), F.struct(
+        "marked", "path", "lines", "roles", "pairs").alias("page"))
 
     def run(batches):
         for batch in batches:
-            rows, gone = [], []
-            for row, marked, path, own, roles, around in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = boilerplate(own, roles, [(x["k"] == marked, _common(path, x["p"]), x["l"], x["r"]) for x in around])
-                if found:
+            rows, settled, gone = [], [], []
+            for row, own, around in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                of = [(x["marked"] == own["marked"], _common(own["path"], x["path"]),
+                       (x["lines"], x["roles"], x["pairs"])) for x in (y["page"] for y in around)]
+                found = boilerplate((own["lines"], own["roles"], own["pairs"]), of)
+                if found != []:
                     rows.append(row)
+                    settled.append(found is not None)
                     gone.append(found)
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(gone, pa.list_(pa.int32()))],
-                                             ["row", "gone"])
-
-    return map_batches(pairs, run, "row bigint, gone array<int>")
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(settled, pa.bool_()),
+                                              pa.array(gone, pa.list_(pa.int32()))], ["row", "settled", "gone"])
+
+    open_, off, found = mine.join(broadcast_if_small(sharing.select("row"), 8), "row", "left_semi"), 1, []
+    while True:
+        asked = open_.select("row", "host", F.struct("marked", "path", "lines", "roles", "pairs").alias("own"),
+                             "n", F.explode(F.array(F.greatest(F.col("n") - off, "first"),
+                                                    F.least(F.col("n") + off, "last"))).alias("m"))
+        pairs = (asked.where("m <> n").join(near, "m").where("host = h").groupBy("row")
+                 .agg(F.first("own").alias("own"), F.sort_array(F.collect_list(F.struct("m", "page"))).alias("near")))
+        told = keep_table(map_batches(pairs, run, "row bigint, settled boolean, gone array<int>"), "page-told")
+        found.append(told.where("settled").select("row", "gone"))
+        left = told.where("NOT settled").select("row")
+        if left.isEmpty():
+            break
+        # until both ends of the host have been asked
+        open_ = mine.join(broadcast_if_small(left, 8), "row").where(F.greatest(F.col("n") - F.col("first"),
+                                                                             F.col("last") - F.col("n")) > off)
+        off *= 2
+    of_nodes = reduce(DataFrame.union, found).join(nodes, "row").select("host", "marked", "same", "gone")
+    return pages.join(broadcast_if_small(keep_table(of_nodes, "node-deletions"), 256),
+                      ["host", "marked", "same"]).select("row", "gone")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
