@@ -9,9 +9,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, decontamination, katz, lengths, packing, page_text, quality, secret_scan, setjoin, sql, substrings
+from tidewater.llm import bpe, decontamination, exact_dedup, katz, lengths, packing, page_text, quality, secret_scan, setjoin, sql, substrings
 from tidewater.llm.common import keep_table
-from tidewater.sources.tables import table
+from tidewater.sources.tables import table, table_path
 
 
 def op1_token_id_output(spark, sf_dir):
@@ -60,6 +60,11 @@ def op10_quality_rules(spark, sf_dir):
     return judged.select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
+def op11_exact_dedup(spark, sf_dir):
+    path = table_path(sf_dir, "documents")  # as a pattern, for a stream takes a folder or a pattern and no single file
+    return exact_dedup.deduplicate(spark, f"{path[:-1]}[{path[-1]}]")
+
+
 QUERIES = {
     "op1_token_id_output": op1_token_id_output,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -71,8 +76,10 @@ QUERIES = {
     "op8_byte_level_bpe": op8_byte_level_bpe,
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
+    "op11_exact_dedup": op11_exact_dedup,
 }
 
 ORACLES = {
     "op10_quality_rules": sql.QUALITY,
+    "op11_exact_dedup": sql.EXACT_DEDUP,
 }
