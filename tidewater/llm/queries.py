@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, decontamination, exact_dedup, katz, lengths, packing, page_text, quality, secret_scan, setjoin, sql, substrings
+from tidewater.llm import bpe, decontamination, exact_dedup, katz, lengths, merkle, packing, page_text, quality, secret_scan, setjoin, sql, substrings
 from tidewater.llm.common import keep_table
 from tidewater.sources.tables import table, table_path
 
@@ -65,6 +65,17 @@ def op11_exact_dedup(spark, sf_dir):
     return exact_dedup.deduplicate(spark, f"{path[:-1]}[{path[-1]}]")
 
 
+def op13_merkle_dataset_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    one_more = {"n_chars": F.col("n_chars").cast("decimal(38,0)") + 1}
+    versions = merkle.build(docs, where=tampered, changes=one_more).versions()
+    siblings = F.concat_ws("", F.transform("path", lambda step: F.substr(step, F.lit(2))))
+    return versions.select("doc_id", "leaf", "subroot", "root",
+                           F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"), "folded_root",
+                           (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     "op1_token_id_output": op1_token_id_output,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -77,9 +88,11 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
     "op11_exact_dedup": op11_exact_dedup,
+    "op13_merkle_dataset_manifest": op13_merkle_dataset_manifest,
 }
 
 ORACLES = {
     "op10_quality_rules": sql.QUALITY,
     "op11_exact_dedup": sql.EXACT_DEDUP,
+    "op13_merkle_dataset_manifest": sql.MERKLE,
 }

@@ -66,3 +66,68 @@ WITH bodies AS (
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
 FROM bodies WINDOW same AS (PARTITION BY body)"""
+
+def _field(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+#: crc32 of the decimal identifier, bit by bit (0xEDB88320 is the reversed polynomial).
+_CRC32 = """xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT,
+    list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::UBIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 1, 2, 3, 4, 5, 6, 7]::UBIGINT[]),
+      lambda x, bit: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))))"""
+
+MERKLE = f"""
+WITH RECURSIVE rows_ AS (
+  SELECT doc_id, lang, {_leaf('n_chars')} AS leaf, {_leaf('CAST(n_chars AS HUGEINT) + 1')} AS other,
+         coalesce({_CRC32} % 7 = 0, false) AS tampered FROM documents
+), leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS size FROM rows_
+), tree AS (
+  SELECT lang, 0 AS level, pos, leaf AS h, size FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (size + 1) // 2
+  FROM tree WHERE size > 1 GROUP BY lang, level + 1, pos // 2, (size + 1) // 2
+), nodes AS MATERIALIZED (SELECT * FROM tree
+), tops AS MATERIALIZED (
+  SELECT lang, level AS height, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos,
+         count(*) OVER () AS size FROM nodes WHERE size = 1
+), upper_tree AS (
+  SELECT 0 AS level, pos, subroot AS h, size FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (size + 1) // 2
+  FROM upper_tree WHERE size > 1 GROUP BY level + 1, pos // 2, (size + 1) // 2
+), upper_nodes AS MATERIALIZED (SELECT * FROM upper_tree
+), below AS (
+  SELECT l.doc_id, l.lang, l.pos, g.level, CASE WHEN s.h IS NULL THEN '.' WHEN s.pos & 1 = 0 THEN '<' || s.h ELSE '>' || s.h END AS step
+  FROM leaves l JOIN tops t ON t.lang IS NOT DISTINCT FROM l.lang
+  JOIN (SELECT unnest(range(64)) AS level) g ON g.level < t.height
+  LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM l.lang AND s.level = g.level AND s.pos = xor(l.pos >> g.level, 1)
+), above AS (
+  SELECT t.lang, g.level, CASE WHEN s.h IS NULL THEN '.' WHEN s.pos & 1 = 0 THEN '<' || s.h ELSE '>' || s.h END AS step
+  FROM tops t JOIN (SELECT unnest(range(64)) AS level) g ON g.level < (SELECT max(level) FROM upper_nodes)
+  LEFT JOIN upper_nodes s ON s.level = g.level AND s.pos = xor(t.pos >> g.level, 1)
+), paths AS (
+  SELECT lang, pos, list(step ORDER BY level) AS steps FROM below GROUP BY lang, pos
+), upper_paths AS (
+  SELECT lang, list(step ORDER BY level) AS steps FROM above GROUP BY lang
+), joined AS (
+  SELECT l.*, t.subroot, (SELECT h FROM upper_nodes WHERE size = 1) AS root,
+         list_concat(coalesce(p.steps, []), coalesce(u.steps, [])) AS steps
+  FROM leaves l JOIN tops t ON t.lang IS NOT DISTINCT FROM l.lang
+  LEFT JOIN paths p ON p.lang IS NOT DISTINCT FROM l.lang AND p.pos = l.pos
+  LEFT JOIN upper_paths u ON u.lang IS NOT DISTINCT FROM l.lang
+), folded AS (
+  SELECT *, list_reduce(list_prepend(CASE WHEN tampered THEN other ELSE leaf END, steps), lambda own, step:
+    sha256(CASE step[1] WHEN '<' THEN step[2:] || own ELSE own || step[2:] END)) AS folded_root FROM joined
+)
+SELECT doc_id, leaf, subroot, root,
+       sha256(coalesce(array_to_string(list_transform(steps, lambda step: step[2:]), ''), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded"""
