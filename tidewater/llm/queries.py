@@ -9,7 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, decontamination, exact_dedup, katz, lengths, merkle, packing, page_text, quality, secret_scan, setjoin, sql, substrings
+from tidewater.llm import (bpe, decontamination, exact_dedup, katz, lengths, merkle, packing, page_text, quality, secret_scan,
+                           setjoin, sql, substrings, whitening)
 from tidewater.llm.common import keep_table
 from tidewater.sources.tables import table, table_path
 
@@ -65,6 +66,10 @@ def op11_exact_dedup(spark, sf_dir):
     return exact_dedup.deduplicate(spark, f"{path[:-1]}[{path[-1]}]")
 
 
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle_dataset_manifest(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -88,6 +93,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_rules": op10_quality_rules,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_merkle_dataset_manifest": op13_merkle_dataset_manifest,
 }
 
