@@ -173,7 +173,7 @@ def test_auc_exact_with_ties_and_crowded_scores(spark):
 
 def test_quantile_zoom_on_crowded_values(spark, monkeypatch):
     import numpy as np
-    monkeypatch.setattr(quantiles, "ZOOM_LIMIT", 50)
+    monkeypatch.setattr(quantiles, "CELL_ROWS", 50)
     rnd = random.Random(9)
     # most values crowded into a range ~1e-9 wide next to two far outliers
     vals = [1.0 + rnd.random() * 1e-9 for _ in range(3000)] + [-1e6, 1e6] + [1.0] * 200
@@ -182,3 +182,49 @@ def test_quantile_zoom_on_crowded_values(spark, monkeypatch):
     got = quantiles.global_quantiles(df, "x", probs)
     for p, g in zip(probs, got):
         assert g == pytest.approx(float(np.quantile(vals, p)), rel=0, abs=1e-15)
+
+
+@pytest.mark.parametrize("buckets,cell_rows", [(4096, 100_000), (64, 20)])
+def test_quantiles_of_all_columns_and_groups_in_shared_passes(spark, monkeypatch, buckets, cell_rows):
+    import numpy as np
+    monkeypatch.setattr(quantiles, "BUCKETS", buckets)
+    monkeypatch.setattr(quantiles, "CELL_ROWS", cell_rows)
+    rnd = random.Random(11)
+    rows = []
+    for i in range(900):
+        g = rnd.choice(["a", "a", "a", "b", None])
+        x = rnd.choice([1e300, -1e300]) if i % 150 == 0 else 5.0 + rnd.random() * 1e-7  # an outlier or two a group
+        y = rnd.choice([1, 2, 2, 3, None])
+        rows.append((g, x, y))
+    rows += [("none", None, None), ("nan", float("nan"), 4), ("one", 7.0, 7), ("inf", float("inf"), 1), ("inf", 2.0, 2)]
+    df = spark.createDataFrame(rows, "g string, x double, y int")
+    probs = [0.0, 0.25, 0.5, 0.999, 1.0]
+    for groups in ((), ("g",)):
+        got = {(r["g"] if groups else None, r["column"], r["p"]): r["value"]
+               for r in quantiles.column_quantiles(df, ["x", "y"], probs, groups).collect()}
+        for g in {r[0] for r in rows} if groups else {None}:
+            for at, col in ((1, "x"), (2, "y")):
+                own = [r[at] for r in rows if (not groups or r[0] == g) and r[at] is not None and r[at] == r[at]]
+                for p in probs:
+                    if not own:
+                        assert got.get((g, col, p)) is None
+                    elif g != "inf" and (groups or col == "y"):
+                        assert got[g, col, p] == pytest.approx(float(np.quantile(own, p)), rel=1e-15), (g, col, p)
+    assert got["inf", "x", 0.0] == 2.0 and got["inf", "x", 1.0] == float("inf")
+
+
+def test_a_crowded_group_never_reaches_one_window_task(spark, monkeypatch):
+    """One outlier a group: the cells whose values are counted hold CELL_ROWS rows at most, or a single value."""
+    monkeypatch.setattr(quantiles, "CELL_ROWS", 200)
+    seen = []
+    plain = quantiles._order_statistics
+
+    def watched(values, cells):
+        seen.extend(cells.select("_n", "_lo", "_hi").collect())
+        return plain(values, cells)
+
+    monkeypatch.setattr(quantiles, "_order_statistics", watched)
+    df = spark.range(20_000).select((F.col("id") % 3).alias("g"), F.when(F.col("id") < 3, 1e12).otherwise(
+        F.sqrt(F.col("id"))).alias("x"))
+    quantiles.quantiles(df, "x", [0.1, 0.5, 0.9], ["g"]).collect()
+    assert seen and all(r["_n"] <= 200 or r["_lo"] == r["_hi"] for r in seen)

@@ -105,14 +105,19 @@ def peak_times(df: DataFrame, hour: str = "hour", day: str = "day_of_week",
 
 
 def assign_category(df: DataFrame, thresholds: DataFrame, col: str = "current_tpm",
-                    out: str = "tpm_category") -> DataFrame:
-    """Category of a value from saved 3-way thresholds (<= low_to_medium -> low, ...)."""
-    t = thresholds.select("edge_1", "edge_2")
+                    out: str = "tpm_category", n: int = 3) -> DataFrame:
+    """Category of a value from saved thresholds (<= low_to_medium -> low, ..., else the last one).
+
+    The outer categories are open: a value outside the fitted range has one too. A null has none.
+    """
+    inner = [f"edge_{i}" for i in range(1, n)]
+    labels = labels_for(n)
     x = F.col(col)
-    return (df.crossJoin(F.broadcast(t))  # one-row threshold table
-            .withColumn(out, F.when(x <= F.col("edge_1"), "low")
-                        .when(x <= F.col("edge_2"), "medium").otherwise("high"))
-            .drop("edge_1", "edge_2"))
+    label = F.when(x.isNull(), F.lit(None).cast("string"))
+    for edge, name in zip(inner, labels, strict=False):
+        label = label.when(x <= F.col(edge), name)
+    return (df.crossJoin(F.broadcast(thresholds.select(*inner)))  # one-row threshold table
+            .withColumn(out, label.otherwise(labels[-1])).drop(*inner))
 
 
 def peak_flags(df: DataFrame, peaks: DataFrame, cat: str = "tpm_category",

@@ -25,7 +25,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -140,20 +140,15 @@ def hierarchical(k: int, seed: int = 0, features: str = "features"):
 
 # ----------------------------------------------------------- pipelines, tables
 
-def scaling_stage(df: DataFrame, cols: Sequence[str], prefix: str = "z_") -> SQLTransformer:
-    """E4 as a pipeline stage: z-scores by the mean and population deviation of ``df`` (one row of sums).
+def fit_pipeline(df: DataFrame, feature_cols: Sequence[str], estimator, features: str = "features", scale: bool = False):
+    """(Alignment + scaling +) assembly + estimator as one ``PipelineModel``, which is what is saved and reloaded.
 
-    The statistics are part of the stage, so a saved pipeline scores raw rows as it was trained.
+    The feature list and the train rows' statistics are stages, so a saved pipeline scores raw rows as it was trained.
     """
-    row = df.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
-    scaled = [f"(CAST(`{c}` AS DOUBLE) - {row[f'm_{c}']!r}D) / {(row[f's_{c}'] or 1.0)!r}D AS `{prefix}{c}`" for c in cols]
-    return SQLTransformer(statement=f"SELECT *, {', '.join(scaled)} FROM __THIS__")
-
-
-def fit_pipeline(df: DataFrame, feature_cols: Sequence[str], estimator, features: str = "features", scale: bool = False):
-    """(Scaling +) assembly + estimator as one ``PipelineModel``, which is what is saved and reloaded."""
-    first = [scaling_stage(df, feature_cols)] if scale else []
+    from tidewater.stages import AlignFeatures, TrainScaler
     inputs = [f"z_{c}" for c in feature_cols] if scale else list(feature_cols)
+    first = [AlignFeatures(features=list(feature_cols)),
+             TrainScaler(inputCols=list(feature_cols), outputCols=inputs)] if scale else []
     asm = VectorAssembler(inputCols=inputs, outputCol=features, handleInvalid="error")
     return Pipeline(stages=[*first, asm, estimator]).fit(df)
 

@@ -1,206 +1,158 @@
-"""Exact linear-interpolated quantiles without one reducer holding every value.
-
-``percentile`` keeps a value->count map of the whole column in the final
-aggregate, which does not survive a column of 10^12 rows. Here:
-
-1. one pass gets n, min, max;
-2. a 65,536-bucket range histogram (partial aggregation, small result) gives
-   cumulative counts, locating the bucket of each needed rank;
-3. only rows of the hit buckets (broadcast list of at most 2 per quantile)
-   are grouped by distinct value, and a running count inside each hit
-   bucket yields the exact order statistics.
+"""Exact linear-interpolated quantiles of many columns, groups and probabilities at once.
+
+``percentile`` keeps a value -> count map of a whole group in one aggregate
+buffer, which does not survive a column of 10^12 rows. Here every needed order
+statistic is closed in on by *cells*: ranges of values of one (group, column)
+that hold a needed rank. One pass over the data finds n, minimum and maximum of
+every (group, column), its first cell. While a cell holds more than
+``CELL_ROWS`` rows of different values, a pass counts its rows in ``BUCKETS``
+sub-ranges and keeps those that hold a rank, with their own least and greatest
+value. These are always in different sub-ranges, so a cell gets smaller with
+every pass wherever its values crowd: an outlier costs one pass, not one task.
+A last pass counts the distinct values of the cells that are left, each of at
+most ``CELL_ROWS`` rows, and reads the ranks off them. All columns, groups and
+probabilities share each pass.
 
 Numpy / DuckDB ``quantile_cont`` semantics: rank h = p * (n - 1),
-value = x[floor h] + (h - floor h) * (x[ceil h] - x[floor h]).
-Everything stays lazy; the result is a one-row-per-probability DataFrame.
+value = x[floor h] + (h - floor h) * (x[ceil h] - x[floor h]). NULL and NaN are
+no values; a null group is a group; a group without values has null quantiles.
+
+Without groups there are at most two cells a column and probability, so they
+and the result are literal tables; with groups they are tables of their own,
+checkpointed, and the result is lazy.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.session import materialize
 
-BUCKETS = 65536
-
-
-ZOOM_LIMIT = 1 << 22   # rows a final bucket may hold before it is histogrammed again
-MAX_ZOOMS = 4
-
-
-def _bucket(x, lo: float, width: float, nb: int):
-    idx = F.floor((x - F.lit(lo)) / F.lit(width))
-    return F.least(F.greatest(idx, F.lit(0)), F.lit(nb - 1)).cast("long")
-
-
-def global_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                     buckets: int = BUCKETS) -> list[float | None]:
-    """Exact quantiles of a whole column as Python floats (a barrier of a few small jobs).
-
-    Only scalars and bucket counts reach the driver: (n, min, max), the
-    histogram rows of the buckets holding the needed ranks, and the order
-    statistics found in them. A hit bucket holding more than ``ZOOM_LIMIT``
-    rows (values crowded into a narrow range) is histogrammed again within its
-    own range, up to ``MAX_ZOOMS`` times, so the final exact step never sorts
-    a crowded range in one task. Thresholds are needed before any row can be
-    labelled, so the barrier costs nothing a lazy plan would not, and it keeps
-    every later plan from re-deriving the threshold.
-    """
-    x = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    n, lo, hi = x.agg(F.count(F.lit(1)), F.min("_x"), F.max("_x")).first()
-    if not n:
-        return [None for _ in probs]
-    if lo == hi:
-        return [float(lo) for _ in probs]
-    ranks = {p: (p * (n - 1), int(math.floor(p * (n - 1))), int(math.ceil(p * (n - 1)))) for p in probs}
-    need = sorted({r for _, r0, r1 in ranks.values() for r in (r0, r1)})
-    xc = F.col("_x")
-    # level 0: running counts on the (<= buckets rows) histogram; only hit buckets reach the driver
-    width0 = (hi - lo) / buckets
-    b0 = _bucket(xc, lo, width0, buckets)
-    hist0 = (x.groupBy(b0.alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
-             .withColumn("_cum", F.sum("_c").over(Window.orderBy("_b"))))
-    hit = None
-    for r in need:
-        c = (F.col("_cum") - F.col("_c") <= r) & (F.col("_cum") > r)
-        hit = c if hit is None else hit | c
-    # a state = one bucket chain: predicate, value range start, width, rows before it, rows in it, ranks
-    states = []
-    for row in hist0.filter(hit).collect():
-        before = row["_cum"] - row["_c"]
-        states.append({"pred": b0 == row["_b"], "lo": lo + row["_b"] * width0, "width": width0,
-                       "before": before, "count": row["_c"],
-                       "ranks": [r for r in need if before <= r < row["_cum"]], "top": False})
-    for level in range(MAX_ZOOMS):
-        big = [st for st in states if st["count"] > ZOOM_LIMIT and st["width"] > 0]
-        if not big:
-            break
-        sid = None
-        for i, st in enumerate(big):
-            sid = F.when(st["pred"], i) if sid is None else sid.when(st["pred"], i)
-        sub = None
-        for i, st in enumerate(big):
-            width = st["width"] if st["top"] else st["width"] / buckets
-            e = _bucket(xc, st["lo"], width, buckets)
-            sub = F.when(F.col("_s") == i, e) if sub is None else sub.when(F.col("_s") == i, e)
-        hist = (x.withColumn("_s", sid).filter(F.col("_s").isNotNull()).withColumn("_b", sub)
-                .groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_c")).collect())
-        per = {}
-        for row in hist:
-            per.setdefault(row["_s"], []).append((row["_b"], row["_c"]))
-        big_ids = {id(st) for st in big}
-        new_states = [st for st in states if id(st) not in big_ids]
-        for i, st in enumerate(big):
-            width = st["width"] if st["top"] else st["width"] / buckets
-            e = _bucket(xc, st["lo"], width, buckets)
-            chosen = {}
-            acc = st["before"]
-            for b, c in sorted(per.get(i, [])):
-                hit = [r for r in st["ranks"] if acc <= r < acc + c]
-                if hit:
-                    chosen[b] = {"pred": st["pred"] & (e == b), "lo": st["lo"] + b * width, "width": width,
-                                 "before": acc, "count": c, "ranks": hit, "top": False}
-                acc += c
-            new_states.extend(chosen.values())
-        states = new_states
-    # exact step: distinct values with counts inside each final bucket only
-    sid = None
-    for i, st in enumerate(states):
-        sid = F.when(st["pred"], i) if sid is None else sid.when(st["pred"], i)
-    before = F.create_map(*[v for i, st in enumerate(states) for v in (F.lit(i), F.lit(int(st["before"])))])
-    vals = (x.withColumn("_s", sid).filter(F.col("_s").isNotNull())
-            .groupBy("_s", "_x").agg(F.count(F.lit(1)).alias("_vc"))
-            .withColumn("_vcum", F.sum("_vc").over(Window.partitionBy("_s").orderBy("_x")))
-            .withColumn("_start", before[F.col("_s")] + F.col("_vcum") - F.col("_vc")))
-    cond = None
-    for r in need:
-        c = (F.col("_start") <= r) & (F.col("_start") + F.col("_vc") > r)
-        cond = c if cond is None else cond | c
-    at = {}
-    for row in vals.filter(cond).select("_x", "_vc", "_start").collect():
-        for r in need:
-            if row["_start"] <= r < row["_start"] + row["_vc"]:
-                at[r] = row["_x"]
-    out = []
-    for p in probs:
-        h, r0, r1 = ranks[p]
-        out.append(at[r0] + (h - r0) * (at[r1] - at[r0]))
-    return out
-
-
-def quantiles(df: DataFrame, col: str, probs: Sequence[float], groups: Sequence[str] = (),
-              buckets: int = BUCKETS) -> DataFrame:
-    """Rows (``*groups``, q_index, p, value) with exact quantiles of ``col`` per group.
-
-    Without groups the barrier form (``global_quantiles``) runs and the result
-    is a literal table; per group everything stays one lazy plan.
-    """
-    groups = list(groups)
-    if not groups:
-        vals = global_quantiles(df, col, probs, buckets)
-        return df.sparkSession.createDataFrame(
-            [(i, float(p), v) for i, (p, v) in enumerate(zip(probs, vals))],
-            "q_index int, p double, value double")
-    whole = not groups
-    if whole:  # a constant key keeps every step an equi-join
-        df, groups = df.withColumn("_all", F.lit(0)), ["_all"]
-    x = df.select(*groups, F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    # per-group stats and the bucket histogram are read by several branches: compute each once
-    stats = materialize(x.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),
-                                               F.max("_x").alias("_hi")))
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(buckets))
-    bucket_of = F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_lo")) / width),
-                                          F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-    # stats is one row per group: broadcast
-    # one row per group: a plain join, so AQE broadcasts it only when its measured size is small
-    xb = x.join(stats, groups, "inner")
-    xb = xb.withColumn("_b", bucket_of)
-    hist = xb.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    wcum = Window.partitionBy(*groups).orderBy("_b")
-    hist = materialize(hist.withColumn("_cum", F.sum("_c").over(wcum))
-                       .withColumn("_before", F.col("_cum") - F.col("_c")))
-    # needed ranks (0-based) per probability: floor and ceil of p*(n-1)
-    pr = F.explode(F.array(*[F.struct(F.lit(i).alias("q_index"), F.lit(float(p)).alias("p"))
-                             for i, p in enumerate(probs)]))
-    ranks = (stats.select(*groups, "_n", pr.alias("_q")).select(*groups, "_n", "_q.*")
-             .withColumn("_h", F.col("p") * (F.col("_n") - 1))
-             .withColumn("_r0", F.floor("_h").cast("long"))
-             .withColumn("_r1", F.ceil("_h").cast("long")))
-    need = (ranks.select(*groups, "q_index", "p", "_h",
-                         F.explode(F.array(F.struct(F.lit(0).alias("_side"), F.col("_r0").alias("_rank")),
-                                           F.struct(F.lit(1).alias("_side"), F.col("_r1").alias("_rank"))))
-                         .alias("_s")).select(*groups, "q_index", "p", "_h", "_s.*"))
-    located = need.join(hist, [*groups], "inner").filter(
-        (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_cum")))
-    hit = located.select(*groups, "_b").distinct()
-    # distinct values with counts inside the hit buckets only
-    vals = (xb.join(hit, [*groups, "_b"], "left_semi")
-            .groupBy(*groups, "_b", "_x").agg(F.count(F.lit(1)).alias("_vc")))
-    wv = Window.partitionBy(*groups, "_b").orderBy("_x")
-    vals = vals.withColumn("_vcum", F.sum("_vc").over(wv))
-    picked = (located.join(vals, [*groups, "_b"], "inner")
-              .filter((F.col("_rank") - F.col("_before") < F.col("_vcum"))
-                      & (F.col("_rank") - F.col("_before") >= F.col("_vcum") - F.col("_vc")))
-              .select(*groups, "q_index", "p", "_h", "_side", "_x"))
-    out = (picked.groupBy(*groups, "q_index", "p", "_h")
-           .agg(F.max(F.when(F.col("_side") == 0, F.col("_x"))).alias("_v0"),
-                F.max(F.when(F.col("_side") == 1, F.col("_x"))).alias("_v1")))
-    frac = F.col("_h") - F.floor("_h")
-    res = out.select(*groups, "q_index", "p",
-                     (F.col("_v0") + frac * (F.col("_v1") - F.col("_v0"))).alias("value"))
-    return res.drop("_all") if whole else res
+#: Sub-ranges of a cell in one pass.
+BUCKETS = 4096
+#: Rows that a cell may hold when its distinct values are counted, and so that a window task may get of it.
+CELL_ROWS = 100_000
+
+
+def _hold(df: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """``df`` computed once: a literal table where its size is bounded by columns and probabilities."""
+    if groups:
+        return materialize(df)
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def _long(df: DataFrame, cols: Sequence[str], groups: Sequence[str]) -> DataFrame:
+    """(_k: group columns and column number, _x) of every value."""
+    if len(cols) == 1:
+        one = df.select(F.struct(*groups, F.lit(0).alias("_c")).alias("_k"), F.col(cols[0]).cast("double").alias("_x"))
+    else:
+        each = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_x")) for i, c in enumerate(cols)])
+        one = (df.select(*groups, F.explode(each).alias("_e"))
+               .select(F.struct(*groups, "_e._c").alias("_k"), F.col("_e._x").alias("_x")))
+    return one.where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+
+
+def _in_cells(values: DataFrame, cells: DataFrame) -> DataFrame:
+    """Values that lie in one of their key's cells, with that cell's bounds; the cells of a key are disjoint."""
+    by_key = cells.groupBy(F.col("_k").alias("_ck")).agg(F.collect_list(F.struct("_lo", "_hi")).alias("_cells"))
+    met = values.join(by_key, F.col("_k").eqNullSafe(F.col("_ck")))
+    own = F.get(F.filter("_cells", lambda c: (F.col("_x") >= c["_lo"]) & (F.col("_x") <= c["_hi"])), F.lit(0))
+    return met.select("_k", "_x", own.alias("_cell")).where("_cell IS NOT NULL").select("_k", "_x", "_cell.*")
+
+
+def _sub_range(x: Column, lo: Column, hi: Column) -> Column:
+    """Number of x's sub-range; lo and hi are always in the first and the last one, whatever the width."""
+    width = hi / 2 - lo / 2  # halves, for the difference of two doubles can pass the largest
+    share = (x / 2 - lo / 2) / width
+    inner = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1))
+    finite = (F.abs(lo) < float("inf")) & (F.abs(hi) < float("inf")) & (width > 0)
+    return F.when(x == lo, 0).when(x == hi, BUCKETS - 1).when(finite, inner).otherwise(BUCKETS // 2).cast("int")
+
+
+def _with_ranks(counted: DataFrame, cells: DataFrame, order: str) -> DataFrame:
+    """Counted parts of cells that hold needed ranks: ``_before`` (rows below them), ``_need`` (the ranks)."""
+    parents = cells.select(F.col("_k").alias("_ck"), F.col("_lo").alias("_clo"), F.col("_before").alias("_base"), "_need")
+    below = Window.partitionBy("_ck", "_clo").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = (counted.join(parents, F.col("_k").eqNullSafe(F.col("_ck")) & (F.col("_plo") == F.col("_clo")))
+              .withColumn("_before", F.col("_base") + F.coalesce(F.sum("_n").over(below), F.lit(0))))
+    held = F.filter("_need", lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_n")))
+    return placed.withColumn("_need", held).where(F.size("_need") > 0)
+
+
+def _narrowed(values: DataFrame, cells: DataFrame) -> DataFrame:
+    """The cells that one pass makes of crowded ones."""
+    rows = _in_cells(values, cells)
+    counted = (rows.groupBy("_k", F.col("_lo").alias("_plo"), _sub_range(F.col("_x"), F.col("_lo"), F.col("_hi")).alias("_b"))
+               .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")))
+    return _with_ranks(counted, cells, "_b").select("_k", "_lo", "_hi", "_n", "_before", "_need")
+
+
+def _order_statistics(values: DataFrame, cells: DataFrame) -> DataFrame:
+    """(_k, _rank, _value) of every needed rank; no cell is crowded any more."""
+    single = cells.where("_lo = _hi").select("_k", F.explode("_need").alias("_rank"), F.col("_lo").alias("_value"))
+    mixed = cells.where("_lo < _hi")
+    counted = (_in_cells(values, mixed).groupBy("_k", F.col("_lo").alias("_plo"), "_x")
+               .agg(F.count(F.lit(1)).alias("_n")))
+    found = _with_ranks(counted, mixed, "_x").select("_k", F.explode("_need").alias("_rank"), F.col("_x").alias("_value"))
+    return single.unionByName(found)
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                     groups: Sequence[str] = ()) -> DataFrame:
+    """Rows (``*groups``, column, q_index, p, value): exact quantiles of every column of every group."""
+    cols, groups, probs = list(cols), list(groups), [float(p) for p in probs]
+    values = _long(df, cols, groups)
+    stats = _hold(values.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"),
+                                           F.max("_x").alias("_hi")), groups)
+    last = F.col("_n") - 1
+    heights = F.array(*[F.lit(p) * last for p in probs])
+    need = F.array_distinct(F.concat(F.transform(heights, lambda h: F.floor(h)), F.transform(heights, lambda h: F.ceil(h))))
+    cells = stats.select("*", F.lit(0).cast("long").alias("_before"), need.alias("_need"))
+    crowded = (F.col("_n") > CELL_ROWS) & (F.col("_lo") < F.col("_hi"))
+    while not cells.where(crowded).isEmpty():
+        cells = _hold(cells.where(~crowded).unionByName(_narrowed(values, cells.where(crowded))), groups)
+    at = _order_statistics(values, cells)
+    by_key = at.groupBy(F.col("_k").alias("_ck")).agg(
+        F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at"))
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("q_index"), F.lit(p).alias("p")) for i, p in enumerate(probs)]))
+    asked = (stats.join(by_key, F.col("_k").eqNullSafe(F.col("_ck")))
+             .select("_k", "_n", "_at", each.alias("_q")).withColumn("_h", F.col("_q.p") * last))
+    low, high = F.try_element_at("_at", F.floor("_h")), F.try_element_at("_at", F.ceil("_h"))
+    value = F.when(low == high, low).otherwise(low + (F.col("_h") - F.floor("_h")) * (high - low))
+    names = F.array(*[F.lit(c) for c in cols])
+    out = asked.select(*[F.col(f"_k.{g}").alias(g) for g in groups], F.get(names, F.col("_k._c")).alias("column"),
+                       "_q.q_index", "_q.p", value.alias("value"))
+    if groups:
+        return out
+    found = {(r["column"], r["q_index"]): r["value"] for r in out.collect()}
+    return df.sparkSession.createDataFrame([(c, i, p, found.get((c, i))) for c in cols for i, p in enumerate(probs)],
+                                           "column string, q_index int, p double, value double")
+
+
+def global_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
+    """Exact quantiles of a whole column as Python floats."""
+    return [r["value"] for r in column_quantiles(df, [col], probs).orderBy("q_index").collect()]
+
+
+def quantiles(df: DataFrame, col: str, probs: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
+    """Rows (``*groups``, q_index, p, value) with exact quantiles of ``col``."""
+    return column_quantiles(df, [col], probs, groups).drop("column")
 
 
 def quantile_row(df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str],
                  groups: Sequence[str] = ()) -> DataFrame:
     """Wide form: one row per group, one column per probability."""
-    q = quantiles(df, col, probs, groups)
-    if not groups:
-        return q.agg(*[F.max(F.when(F.col("q_index") == i, F.col("value"))).alias(n)
-                       for i, n in enumerate(names)])
-    return q.groupBy(*groups).agg(*[F.max(F.when(F.col("q_index") == i, F.col("value"))).alias(n)
-                                    for i, n in enumerate(names)])
+    return quantile_columns(df, {n: (col, p) for n, p in zip(names, probs, strict=True)}, groups)
+
+
+def quantile_columns(df: DataFrame, wanted: dict[str, tuple[str, float]], groups: Sequence[str] = ()) -> DataFrame:
+    """One row (per group) with a column for each ``name: (column, probability)``, from shared passes."""
+    cols = list(dict.fromkeys(c for c, _ in wanted.values()))
+    probs = list(dict.fromkeys(p for _, p in wanted.values()))
+    found = column_quantiles(df, cols, probs, groups)
+    picked = [F.max(F.when((F.col("column") == c) & (F.col("q_index") == probs.index(p)), F.col("value"))).alias(n)
+              for n, (c, p) in wanted.items()]
+    return found.groupBy(*groups).agg(*picked) if groups else found.agg(*picked)

@@ -92,20 +92,19 @@ def top_n_per_group(df: DataFrame, group, order: Sequence[Column], n: int,
 def numeric_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, std, min, quartiles, max per column, long form.
 
-    Quartiles are exact (histogram quantiles), not ``summary()``'s approximate text.
+    Quartiles are exact, not ``summary()``'s approximate text; the columns share every pass.
     """
-    from tidewater.operators.quantiles import quantile_row
-    parts = []
-    for c in cols:
-        base = df.agg(F.lit(c).alias("column"), F.count(c).alias("count"),
-                      F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                      F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
-        q = quantile_row(df, c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
-        parts.append(base.crossJoin(q))  # one row x one row
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    from tidewater.operators.quantiles import column_quantiles
+    values = [[F.count(c), F.avg(c), F.stddev_samp(c), F.min(c).cast("double"), F.max(c).cast("double")] for c in cols]
+    names = ("count", "mean", "std", "min", "max")
+    sums = df.agg(*[v.alias(f"{n}_{i}") for i, of in enumerate(values) for n, v in zip(names, of, strict=True)])
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"{n}_{i}").alias(n) for n in names])
+                               for i, c in enumerate(cols)]))
+    found = column_quantiles(df, cols, [0.25, 0.5, 0.75])  # a literal table of three rows a column
+    quartiles = found.groupBy("column").agg(*[F.max(F.when(F.col("q_index") == i, F.col("value"))).alias(n)
+                                              for i, n in enumerate(("p25", "p50", "p75"))])
+    return (sums.select(each.alias("_e")).select("_e.*").join(F.broadcast(quartiles), "column")
+            .select("column", "count", "mean", "std", "min", "max", "p25", "p50", "p75"))
 
 
 def null_counts(df: DataFrame) -> DataFrame:

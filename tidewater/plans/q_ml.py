@@ -9,17 +9,19 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tidewater.operators import metrics, models, prep, scoring, temporal
 from tidewater.plans import common, forecast, ingest
+from tidewater.plans.q_prep import HASH_SQL
 from tidewater.plans.registry import query
 from tidewater.session import materialize, scratch_path
 from tidewater.sources import files, model_store
 from tidewater.sources.tables import table, table_path
+from tidewater.stages import CategoryThresholds, DecisionLabel, HighLabel, LabelCodes, MeanImputer, TrainScaler
 
 
 def labelled_documents(spark, sf_dir):
@@ -146,12 +148,14 @@ def _classifier(spark, sf_dir):
     def train():
         tab = forecast.classifier_table(table(spark, sf_dir, "events"))
         metric_table, fitted, _ = forecast.train_classifiers(tab, N_TREES, ROUNDS)
-        features = spark.createDataFrame(list(enumerate(forecast.CLASSIFIER_FEATURES)), "position int, feature string")
-        threshold = tab.filter("label = 1").agg(F.min("tpm").alias("threshold"))
-        return fitted, {"metrics": metric_table, "features": features, "threshold": threshold}
+        best = metric_table.orderBy(F.col("roc_auc").desc(), F.col("model")).first()["model"]
+        # one object: threshold of "high", feature list, scaler, model and decision
+        high = HighLabel(inputCol="tpm", outputCol="is_high_tpm").fit(tab)
+        bundle = PipelineModel(stages=[high, *fitted[best].stages, DecisionLabel(threshold=0.7)])
+        return fitted | {"bundle": bundle}, {"metrics": metric_table}
     fitted, tables = model_store.fit_or_load(
         spark, "classifiers", [table_path(sf_dir, "events")],
-        f"trees={N_TREES} rounds={ROUNDS} features={','.join(forecast.CLASSIFIER_FEATURES)}", train)
+        f"stages=2 trees={N_TREES} rounds={ROUNDS} features={','.join(forecast.CLASSIFIER_FEATURES)}", train)
     mt = tables["metrics"]
     best = mt.orderBy(F.col("roc_auc").desc(), F.col("model")).first()["model"]
     return mt, fitted, best
@@ -275,15 +279,61 @@ def r6(spark, sf_dir):
 
 @query("R1_score_saved_model")
 def r1(spark, sf_dir):
-    _, fitted, best = _classifier(spark, sf_dir)
-    path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
-    fitted[best].write().overwrite().save(path)  # S8
-    model = PipelineModel.load(path)  # scales by the statistics it was trained with
+    _, fitted, _ = _classifier(spark, sf_dir)
     tab = forecast.classifier_table(table(spark, sf_dir, "events"))
-    out = scoring.score_table(model, tab, keep=["ts", "label"])  # P11: timestamp, prediction, probability, actual
+    out = _reloaded(spark, fitted["bundle"]).transform(tab)  # S8: scales by the statistics it was trained with
+    out = out.select("ts", "label", "prediction", "probability_high")  # P11: timestamp, prediction, probability, actual
     return out.filter(F.col("probability_high") > 0.7)        # P9
 
 
+def _reloaded(spark, model):
+    """The model as another session finds it."""
+    path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+    model.write().overwrite().save(path)
+    return PipelineModel.read().session(spark.newSession()).load(path)
+
+
+def situation_table(spark, sf_dir):
+    """Classifier situations from data: each series' latest hour and the hours before it, without and with a push."""
+    return scenario_table(spark, sf_dir).select(
+        "series", "scenario", "current_tpm", "hour", F.lit(0).alias("minute"), "day_of_week", "previous_tpm_values",
+        F.col("push_notification_active").alias("is_push_notification"))
+
+
+@query("R2_classify_situations")
+def r2_classify(spark, sf_dir):
+    """Situations scored by the saved classifier: its threshold, the class, the probability, High or Normal."""
+    _, fitted, _ = _classifier(spark, sf_dir)
+    scored = _reloaded(spark, fitted["bundle"]).transform(scoring.situation_features(situation_table(spark, sf_dir)))
+    return scored.select("series", "scenario", "hour", "current_tpm", "predicted_high", "probability_high", "tpm_threshold",
+                         "recommendation")
+
+
+# The train rows' mean, codes, statistics and quantiles, worked out on every row.
+@query("S8_fitted_stages", f"""WITH t AS (SELECT event_id, event_type, CASE WHEN event_type <> 'error' THEN value END AS v,
+         {HASH_SQL.format(k='event_id')} < 0.2 AS test FROM events),
+  m AS (SELECT avg(v) AS m FROM t WHERE NOT test), i AS (SELECT event_id, event_type, coalesce(v, m) AS x, test FROM t, m),
+  s AS (SELECT avg(x) AS mu, stddev_pop(x) AS sd, quantile_cont(x, [0.25, 0.5, 0.75]) AS q FROM i WHERE NOT test),
+  c AS (SELECT event_type, CAST(row_number() OVER (ORDER BY event_type) - 1 AS DOUBLE) AS code
+        FROM (SELECT DISTINCT event_type FROM i WHERE NOT test))
+  SELECT i.event_id, x AS value_imputed, code AS type_code, (x - mu) / CASE WHEN sd = 0 THEN 1 ELSE sd END AS value_scaled,
+         CASE WHEN x <= q[1] THEN 'category_1' WHEN x <= q[2] THEN 'category_2' WHEN x <= q[3] THEN 'category_3'
+              ELSE 'category_4' END AS value_category
+  FROM i LEFT JOIN c ON c.event_type = i.event_type, s""", doubles="value_imputed type_code value_scaled")
+def s8_stages(spark, sf_dir):
+    """Imputer, label codes, scaler and thresholds fitted to train rows, saved as one pipeline and loaded in a new session."""
+    raw = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
+    pipeline = Pipeline(stages=[
+        MeanImputer(inputCols=["value"], outputCols=["value_imputed"]),
+        LabelCodes(inputCol="event_type", outputCol="type_code"),
+        TrainScaler(inputCols=["value_imputed"], outputCols=["value_scaled"]),
+        CategoryThresholds(inputCol="value_imputed", outputCol="value_category", bins=4)])
+    fitted = pipeline.fit(prep.hash_split(raw, "event_id", 0.2).filter("is_test = 0"))
+    return _reloaded(spark, fitted).transform(raw).select(
+        "event_id", "value_imputed", "type_code", "value_scaled", "value_category")
+
+
 @query("S8_model_round_trip", """SELECT CAST(d.doc_id AS BIGINT) AS doc_id, 1 AS same
   FROM documents d JOIN labels l ON l.doc_id = d.doc_id""")
 def s8(spark, sf_dir):

@@ -8,8 +8,9 @@ from tidewater.operators import categories, metrics, models, neighbors, prep, sc
 from tidewater.plans import common
 from tidewater.plans.common import V_CTE
 from tidewater.plans.q_prep import HASH_SQL, LID_SQL, lineitem_id
-from tidewater.plans.q_reports import P3, PEAKS_SQL, VC3_CTE, _v_dated
+from tidewater.plans.q_reports import P3, PEAKS_SQL, _v_dated
 from tidewater.plans.registry import query
+from tidewater.session import materialize
 from tidewater.sources.tables import table
 
 SCORED_SQL = f"""sc AS (SELECT {LID_SQL} AS rid,
@@ -162,9 +163,25 @@ def r3(spark, sf_dir):
 ADJ = common.adjustment_oracle("cur", "ph", "pd")
 
 
-@query("R4_category_aware_prediction", "WITH " + VC3_CTE + "," + PEAKS_SQL + """,
-       cur AS (SELECT vc.*, CASE WHEN tpm <= e3.q[2] THEN 'low' WHEN tpm <= e3.q[3] THEN 'medium'
-               ELSE 'high' END AS cur FROM vc, e3),
+# The state is learnt from train rows (no test flag) and joined to test rows; ``rows_`` has is_test.
+TRAIN_STATE_SQL = f"""
+e3 AS (SELECT quantile_cont(tpm, {P3!r}) AS q FROM rows_ WHERE is_test = 0),
+vc AS (SELECT rows_.*, CASE WHEN tpm <= q[2] THEN 'low' WHEN tpm <= q[3] THEN 'medium' ELSE 'high' END AS tpm_category
+       FROM rows_, e3 WHERE is_test = 0),""" + PEAKS_SQL + """,
+cur AS (SELECT rows_.*, CASE WHEN tpm <= q[2] THEN 'low' WHEN tpm <= q[3] THEN 'medium' ELSE 'high' END AS cur
+        FROM rows_, e3 WHERE is_test = 1)"""
+TEST_FLAG_SQL = "CAST(CASE WHEN " + HASH_SQL.format(k="series || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S')") + \
+    " < 0.2 THEN 1 ELSE 0 END AS INTEGER) AS is_test"
+
+
+def train_test(rows):
+    """Rows of a series, split by series and time."""
+    return prep.hash_split(rows, F.concat_ws("|", "series", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")), 0.2)
+
+
+@query("R4_category_aware_prediction", "WITH " + V_CTE + f""",
+       rows_ AS (SELECT *, CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week,
+                 {TEST_FLAG_SQL} FROM v),""" + TRAIN_STATE_SQL + """,
        fl AS (SELECT cur.*,
          CAST(EXISTS (SELECT 1 FROM peaks p WHERE p.kind = 'hour' AND p.tpm_category = cur.cur
                       AND p.key = cur.hour) AS INTEGER) AS ph,
@@ -176,12 +193,12 @@ ADJ = common.adjustment_oracle("cur", "ph", "pd")
               CAST(CASE WHEN tpm * f <> tpm THEN 1 ELSE 0 END AS INTEGER) AS adjustment_applied FROM a""",
        doubles="adjustment_factor adjusted_5 adjusted_30", times="ts")
 def r4(spark, sf_dir):
-    v = _v_dated(spark, sf_dir)
-    e = categories.edges(v, "tpm", 3)
-    peaks = categories.peak_times(categories.categorise(v, "tpm", 3, thresholds=e))
-    cur = v.withColumn("pred_5", F.col("tpm")).withColumn("pred_30", F.col("tpm"))
-    out = scoring.category_aware(cur, e, peaks, [5, 30], value="tpm")
-    return out.select("series", "ts", "tpm_category", "is_peak_hour", "is_peak_day", "adjustment_factor",
+    """Thresholds and peak times of the train rows, applied to the test rows."""
+    v = train_test(_v_dated(spark, sf_dir))
+    state = scoring.category_state("tpm", [5, 30]).fit(v.filter("is_test = 0").withColumns(
+        {"pred_5": F.col("tpm"), "pred_30": F.col("tpm")}))
+    cur = v.filter("is_test = 1").withColumn("pred_5", F.col("tpm")).withColumn("pred_30", F.col("tpm"))
+    return state.transform(cur).select("series", "ts", "tpm_category", "is_peak_hour", "is_peak_day", "adjustment_factor",
                       "adjusted_5", "adjusted_30", "adjustment_applied")
 
 
@@ -192,15 +209,10 @@ v5t AS (SELECT *, CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTE
         coalesce(lead(tpm, 1) OVER w, tpm) AS t5, coalesce(lead(tpm, 2) OVER w, tpm) AS t10,
         coalesce(lead(tpm, 4) OVER w, tpm) AS t20, coalesce(lead(tpm, 6) OVER w, tpm) AS t30
         FROM v5 WINDOW w AS (PARTITION BY series ORDER BY ts)),
-e3 AS (SELECT quantile_cont(tpm, """ + repr(P3) + """) AS q FROM v5t),
-vc AS (SELECT v5t.*, CASE WHEN tpm >= q[1] AND tpm <= q[2] THEN 'low'
-              WHEN tpm > q[2] AND tpm <= q[3] THEN 'medium' WHEN tpm > q[3] AND tpm <= q[4] THEN 'high' END
-              AS tpm_category FROM v5t, e3)"""
+rows_ AS (SELECT *, """ + TEST_FLAG_SQL + """ FROM v5t)"""
 
 
-@query("V7_category_aware_evaluation", "WITH " + V5T_SQL + "," + PEAKS_SQL + """,
-       cur AS (SELECT vc.*, CASE WHEN tpm <= e3.q[2] THEN 'low' WHEN tpm <= e3.q[3] THEN 'medium'
-               ELSE 'high' END AS cur FROM vc, e3),
+@query("V7_category_aware_evaluation", "WITH " + V5T_SQL + "," + TRAIN_STATE_SQL + """,
        fl AS (SELECT cur.*,
          CAST(EXISTS (SELECT 1 FROM peaks p WHERE p.kind = 'hour' AND p.tpm_category = cur.cur
                       AND p.key = cur.hour) AS INTEGER) AS ph,
@@ -215,17 +227,15 @@ vc AS (SELECT v5t.*, CASE WHEN tpm >= q[1] AND tpm <= q[2] THEN 'low'
               CASE WHEN standard_mae <> 0 THEN (standard_mae - category_mae) / standard_mae * 100 END
               AS improvement_pct FROM m""", doubles="standard_mae category_mae improvement_pct")
 def v7(spark, sf_dir):
+    """MAE on test rows, of forecasts adjusted by a state that only train rows made."""
     from tidewater.functions import timefn
     v5 = common.series_5min(spark, sf_dir)
     hz = [5, 10, 20, 30]
     v5 = temporal.windowed(v5, "series", "ts", lambda w: temporal.positional_targets(w, "tpm", hz, 5.0), after=6)
     v5 = v5.withColumn("hour", F.hour("ts")).withColumn("day_of_week", timefn.day_of_week("ts"))
-    e = categories.edges(v5, "tpm", 3)
-    peaks = categories.peak_times(categories.categorise(v5, "tpm", 3, thresholds=e))
-    for h in hz:
-        v5 = v5.withColumn(f"pred_{h}", F.col("tpm"))
-    adj = scoring.category_aware(v5, e, peaks, hz, value="tpm")
-    return metrics.category_aware_evaluation(adj, hz)
+    rows = materialize(train_test(v5.withColumns({f"pred_{h}": F.col("tpm") for h in hz})))
+    state = scoring.category_state("tpm", hz).fit(rows.filter("is_test = 0"))
+    return metrics.category_aware_evaluation(state.transform(rows.filter("is_test = 1")), hz)
 
 
 @query("J5_hours_by_nation", """SELECT n_nationkey, CAST(h.range AS INTEGER) AS hour,

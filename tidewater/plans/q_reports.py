@@ -92,9 +92,8 @@ def a6(spark, sf_dir):
        quantile_cont(l_quantity, 0.75) AS threshold_qty FROM lineitem""",
        doubles="threshold threshold_qty")
 def a7(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    return categories.threshold(li, "l_extendedprice", 75).crossJoin(
-        categories.threshold(li, "l_quantity", 75).withColumnRenamed("threshold", "threshold_qty"))
+    return quantiles.quantile_columns(table(spark, sf_dir, "lineitem"),
+                                      {"threshold": ("l_extendedprice", 0.75), "threshold_qty": ("l_quantity", 0.75)})
 
 
 @query("A8_quantile_edges", f"""SELECT q[1] AS edge_0, q[2] AS edge_1, q[3] AS edge_2, q[4] AS edge_3,
@@ -110,9 +109,8 @@ def a8(spark, sf_dir):
        doubles="median_qty p90_price")
 def a8g(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    a = quantiles.quantile_row(li, "l_quantity", [0.5], ["median_qty"], ["l_returnflag"])
-    b = quantiles.quantile_row(li, "l_extendedprice", [0.9], ["p90_price"], ["l_returnflag"])
-    return a.join(b, "l_returnflag")
+    return quantiles.quantile_columns(li, {"median_qty": ("l_quantity", 0.5), "p90_price": ("l_extendedprice", 0.9)},
+                                      ["l_returnflag"])
 
 
 @query("A9_high_label", "WITH " + V_CTE + """, t AS (SELECT quantile_cont(tpm, 0.75) AS threshold FROM v)
