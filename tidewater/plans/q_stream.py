@@ -16,17 +16,20 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from tidewater.operators import temporal
+from tidewater.operators import scoring, temporal
 from tidewater.plans import common
 from tidewater.plans.common import V_CTE
-from tidewater.plans.q_models import ADJ, _v_dated
-from tidewater.plans.q_reports import PEAKS_SQL, VC3_CTE
+from tidewater.plans.q_models import ADJ, TEST_FLAG_SQL, TRAIN_STATE_SQL, train_test
+from tidewater.plans.q_reports import _v_dated
 from tidewater.plans.registry import query
-from tidewater.session import scratch_path
+from tidewater.session import materialize, scratch_path
 from tidewater.sources.tables import table_path
 from tidewater.streaming import traffic_stream as ts
 
 
+STEP_FILES = 2
+
+
 def _events_stream(spark, sf_dir):
     schema = spark.read.parquet(table_path(sf_dir, "events")).schema
     # a glob keeps the source a file pattern (the folder holds other tables)
@@ -66,29 +69,29 @@ def x2(spark, sf_dir):
     return _run_to_parquet(spark, ts.sliding_mean(_events_stream(spark, sf_dir)), "x2")
 
 
-@query("X3_stream_keyed_lags", "WITH " + V_CTE + """ SELECT series, ts, tpm,
+@query("X3_stream_keyed_lags", "WITH " + V_CTE + """ SELECT * FROM (SELECT series, ts, tpm,
        lag(tpm, 1) OVER w AS tpm_lag_1, lag(tpm, 2) OVER w AS tpm_lag_2, lag(tpm, 3) OVER w AS tpm_lag_3,
        avg(tpm) OVER (w ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS tpm_ma_6,
        avg(tpm) OVER (w ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS tpm_ma_12,
        CAST(coalesce((row_number() OVER w - max(CASE WHEN is_push_notification = 1 THEN rn END)
-            OVER (w ROWS BETWEEN 8 PRECEDING AND CURRENT ROW)) * 5, 0) AS INTEGER) AS minutes_since_push,
-       CAST(0 AS BIGINT) AS late_rows
+            OVER (w ROWS BETWEEN 8 PRECEDING AND CURRENT ROW)) * 5, 0) AS INTEGER) AS minutes_since_push
        FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY ts) AS rn FROM v) v
-       WINDOW w AS (PARTITION BY series ORDER BY ts)""",
+       WINDOW w AS (PARTITION BY series ORDER BY ts))
+       WHERE ts <= (SELECT max(ts) FROM v) - INTERVAL 10 MINUTE""",
        doubles="tpm tpm_lag_1 tpm_lag_2 tpm_lag_3 tpm_ma_6 tpm_ma_12", times="ts")
 def x3(spark, sf_dir):
-    """Series rows land as three files in time order; one micro-batch per file."""
+    """Series rows land in three steps of time, each in several files; one micro-batch a step."""
     v = common.view_v(spark, sf_dir, "series", "ts", "tpm", "is_push_notification")
     src = scratch_path(spark, f"x3-src-{uuid.uuid4().hex}")
     lo, hi = v.agg(F.min("ts"), F.max("ts")).first()
     step = (hi - lo) / 3
-    edges = [lo, lo + step, lo + 2 * step, None]
     for i in range(3):
-        part = v.filter(F.col("ts") >= F.lit(edges[i]))
-        if edges[i + 1] is not None:
-            part = part.filter(F.col("ts") < F.lit(edges[i + 1]))
-        part.coalesce(1).write.parquet(f"{src}/b{i}")
-    stream = spark.readStream.schema(v.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/b*/*.parquet")
+        part = v.filter(F.col("ts") >= F.lit(lo + i * step))
+        if i < 2:
+            part = part.filter(F.col("ts") < F.lit(lo + (i + 1) * step))
+        part.repartition(STEP_FILES).write.parquet(f"{src}/b{i}")
+    stream = (ts.state_session(spark).readStream.schema(v.schema).option("maxFilesPerTrigger", STEP_FILES)
+              .parquet(f"{src}/b*/*.parquet"))
     return _run_to_parquet(spark, ts.keyed_lags(stream), "x3")
 
 
@@ -124,10 +127,10 @@ def w2(spark, sf_dir):
                                       {"tpm_ma_5": 5}).select("series", "ts", "tpm_lag_1", "tpm_lag_5", "tpm_ma_5")
 
 
-@query("F22_adjustment_applied", "WITH " + VC3_CTE + "," + PEAKS_SQL + """,
-       cur AS (SELECT vc.*, CASE WHEN tpm <= e3.q[2] THEN 'low' WHEN tpm <= e3.q[3] THEN 'medium'
-               ELSE 'high' END AS cur,
-               coalesce(lead(tpm) OVER (PARTITION BY series ORDER BY ts), tpm) AS nxt FROM vc, e3),
+@query("F22_adjustment_applied", "WITH " + V_CTE + f""",
+       rows_ AS (SELECT *, CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week,
+                 coalesce(lead(tpm) OVER (PARTITION BY series ORDER BY ts), tpm) AS nxt, {TEST_FLAG_SQL} FROM v),"""
+       + TRAIN_STATE_SQL + """,
        fl AS (SELECT cur.*,
          CAST(EXISTS (SELECT 1 FROM peaks p WHERE p.kind = 'hour' AND p.tpm_category = cur.cur
                       AND p.key = cur.hour) AS INTEGER) AS ph,
@@ -137,12 +140,8 @@ def w2(spark, sf_dir):
        SELECT series, ts, CAST(CASE WHEN tpm * f <> tpm OR nxt * f <> nxt THEN 1 ELSE 0 END AS INTEGER)
               AS adjustment_applied FROM a""", times="ts")
 def f22(spark, sf_dir):
-    from tidewater.operators import categories, scoring
-    v = _v_dated(spark, sf_dir)
-    e = categories.edges(v, "tpm", 3)
-    peaks = categories.peak_times(categories.categorise(v, "tpm", 3, thresholds=e))
-    v = temporal.windowed(v, "series", "ts", lambda w: {
+    v = temporal.windowed(_v_dated(spark, sf_dir), "series", "ts", lambda w: {
         "pred_60": F.coalesce(F.lead("tpm", 1).over(w), F.col("tpm"))}, after=1)
-    v = v.withColumn("pred_0", F.col("tpm"))
-    out = scoring.category_aware(v, e, peaks, [0, 60], value="tpm")
-    return out.select("series", "ts", "adjustment_applied")
+    rows = materialize(train_test(v.withColumn("pred_0", F.col("tpm"))))
+    state = scoring.category_state("tpm", [0, 60]).fit(rows.filter("is_test = 0"))
+    return state.transform(rows.filter("is_test = 1")).select("series", "ts", "adjustment_applied")

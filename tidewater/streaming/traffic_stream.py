@@ -2,9 +2,9 @@
 
 * X1 ``tumbling_tpm``: event-time tumbling windows with a watermark, append mode.
 * X2 ``sliding_mean``: sliding windows (e.g. 30 minutes every 5 minutes).
-* X3 ``keyed_lags``: per-series lags, rolling means and push proximity with
-  bounded state (the last 12 rows per series); rows at or before the last
-  seen timestamp of their series are late and only counted.
+* X3 ``keyed_lags``: per-series lags, rolling means and push proximity with typed
+  state in RocksDB (the last 12 rows per series and the rows ahead of the
+  watermark); event-time timers release rows in order and clear silent series.
 * X4 ``score_batches``: ``foreachBatch`` transform-and-append with an
   idempotent per-batch output folder (a retried batch overwrites its own folder).
 
@@ -14,17 +14,17 @@ stream casts it with the session zone set to UTC.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidewater.operators.traffic import N_SERIES, PUSH_EVENT, PUSH_MIN_EVENTS
 
 KEEP = 12  # deepest look-back: the 12-row mean
+RETAIN_DAYS = 30.0  # a series silent for longer is forgotten
 
 
 def with_event_time(events: DataFrame, ts: str = "ts") -> DataFrame:
@@ -56,50 +56,103 @@ def sliding_mean(events: DataFrame, length: str = "30 minutes", slide: str = "5
 
 
 LAG_OUT_SCHEMA = ("series long, ts timestamp_ntz, tpm double, tpm_lag_1 double, tpm_lag_2 double, "
-                  "tpm_lag_3 double, tpm_ma_6 double, tpm_ma_12 double, minutes_since_push int, "
-                  "late_rows long")
-LAG_STATE_SCHEMA = "buf string"
-
-
-def _lag_update(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Per series: append the batch to the kept history, compute features, keep the last 12 rows."""
-    buf = json.loads(state.get[0]) if state.exists else {"ts": [], "tpm": [], "push": [], "late": 0}
-    rows = pd.concat(list(pdfs), ignore_index=True).sort_values("ts", kind="stable")
-    ts_ns = rows["ts"].astype("int64")
-    last_ts = buf["ts"][-1] if buf["ts"] else None
-    late = buf.get("late", 0)
-    if last_ts is not None:
-        late += int((ts_ns <= last_ts).sum())
-        rows, ts_ns = rows[ts_ns > last_ts], ts_ns[ts_ns > last_ts]
-    hist = pd.DataFrame({"ts": buf["ts"], "tpm": buf["tpm"], "push": buf["push"]})
-    new = pd.DataFrame({"ts": ts_ns.to_numpy(), "tpm": rows["tpm"].astype(float).to_numpy(),
-                        "push": rows["is_push_notification"].astype(int).to_numpy()})
-    allr = pd.concat([hist, new], ignore_index=True)
-    pos = pd.Series(range(len(allr)), dtype="float64")
-    last_push = pos.where(allr["push"] == 1).ffill(limit=8)          # latest push within 9 rows
-    feats = pd.DataFrame({
-        "tpm_lag_1": allr["tpm"].shift(1), "tpm_lag_2": allr["tpm"].shift(2),
-        "tpm_lag_3": allr["tpm"].shift(3),
-        "tpm_ma_6": allr["tpm"].rolling(6, min_periods=1).mean(),
-        "tpm_ma_12": allr["tpm"].rolling(12, min_periods=1).mean(),
-        "minutes_since_push": ((pos - last_push) * 5).fillna(0).astype("int32")}).iloc[len(hist):]
-    out = pd.DataFrame({"series": key[0], "ts": rows["ts"].to_numpy(), "tpm": new["tpm"].to_numpy()})
-    out = pd.concat([out, feats.reset_index(drop=True)], axis=1)
-    out["late_rows"] = late
-    keep = allr.iloc[-KEEP:]
-    state.update((json.dumps({"ts": keep["ts"].astype("int64").tolist(), "tpm": keep["tpm"].tolist(),
-                              "push": keep["push"].astype(int).tolist(), "late": late}),))
-    yield out
-
-
-def keyed_lags(series_rows: DataFrame) -> DataFrame:
-    """Streaming lags/rolling/push proximity per series with at most 12 rows of state.
-
-    Input columns: series, ts, tpm, is_push_notification. Exact equal to the
-    batch windows when each series arrives in time order.
+                  "tpm_lag_3 double, tpm_ma_6 double, tpm_ma_12 double, minutes_since_push int")
+ROW_STATE = "at long, tpm double, push int"
+STATE_CONF = {"spark.sql.streaming.stateStore.providerClass":
+              "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session like the caller's whose streams keep their state in RocksDB; the caller's settings stay."""
+    session = spark.newSession()
+    for k in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        session.conf.set(k, spark.conf.get(k))
+    for k, v in STATE_CONF.items():
+        session.conf.set(k, v)
+    return session
+
+
+class SeriesFeatures(StatefulProcessor):
+    """Rows of a series wait until the watermark passes them, then leave in time order with their features.
+
+    ``waiting`` holds rows ahead of the watermark and ``history`` the last KEEP rows that left. An
+    event-time timer at the earliest waiting row releases whatever the watermark has passed; one at
+    ``retain_ms`` after the last row clears a silent series.
+    """
+
+    def __init__(self, retain_ms: int):
+        self.retain_ms = retain_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", ROW_STATE)
+        self.history = handle.getListState("history", ROW_STATE)
+        self.expiry = handle.getValueState("expiry", "at_ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        earliest = None
+        for part in rows:
+            new = list(zip(part["at"].tolist(), part["tpm"].tolist(), part["push"].tolist(), strict=True))
+            if new:
+                self.waiting.appendList(new)
+                earliest = min(min(r[0] for r in new), earliest if earliest is not None else new[0][0])
+        if earliest is not None:
+            self.handle.registerTimer(-(-earliest // 1000))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed_ms = timerValues.getCurrentWatermarkInMs()
+        waiting = sorted(self.waiting.get()) if self.waiting.exists() else []
+        history = list(self.history.get()) if self.history.exists() else []
+        released = [r for r in waiting if r[0] <= passed_ms * 1000]
+        if released:
+            rest = waiting[len(released):]
+            self.waiting.clear()
+            if rest:
+                self.waiting.put(rest)
+                self.handle.registerTimer(-(-rest[0][0] // 1000))
+            rows = history + released
+            self.history.put(rows[-KEEP:])
+            self._expire_after(rows[-1][0] // 1000)
+            yield _features(key[0], rows, len(history))
+        elif not waiting and history and history[-1][0] // 1000 + self.retain_ms <= passed_ms:
+            self.history.clear()
+            self.expiry.clear()
+
+    def _expire_after(self, last_ms: int) -> None:
+        if self.expiry.exists():
+            self.handle.deleteTimer(self.expiry.get()[0])
+        self.expiry.update((last_ms + self.retain_ms,))
+        self.handle.registerTimer(last_ms + self.retain_ms)
+
+
+def _features(series: int, rows: list[tuple], before: int) -> pd.DataFrame:
+    """Features of the rows after the first ``before``, which only serve as their past."""
+    at, tpm, push = (pd.Series(list(c)) for c in zip(*rows, strict=True))
+    place = pd.Series(range(len(rows)), dtype="float64")
+    last_push = place.where(push == 1).ffill(limit=8)  # the latest push within 9 rows
+    out = pd.DataFrame({
+        "series": series, "ts": pd.to_datetime(at, unit="us"), "tpm": tpm.astype("float64"),
+        **{f"tpm_lag_{i}": tpm.astype("float64").shift(i) for i in (1, 2, 3)},
+        "tpm_ma_6": tpm.rolling(6, min_periods=1).mean(), "tpm_ma_12": tpm.rolling(12, min_periods=1).mean(),
+        "minutes_since_push": ((place - last_push) * 5).fillna(0).astype("int32")})
+    return out.iloc[before:]
+
+
+def keyed_lags(series_rows: DataFrame, watermark: str = "10 minutes",
+               retain_days: float = RETAIN_DAYS) -> DataFrame:
+    """Streaming lags, rolling means and push proximity per series, in event-time order.
+
+    Input columns: series, ts, tpm, is_push_notification. Rows up to ``watermark`` out of order
+    are put in order, later ones are dropped by the watermark, so the result equals the batch
+    windows over the rows that were in time. A row leaves when the watermark passes it. A series
+    silent for ``retain_days`` of event time is forgotten and starts anew.
     """
-    return series_rows.groupBy("series").applyInPandasWithState(
-        _lag_update, LAG_OUT_SCHEMA, LAG_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    rows = with_event_time(series_rows).withWatermark("event_time", watermark)
+    rows = rows.select("series", "event_time", F.unix_micros("event_time").alias("at"), F.col("tpm").cast("double").alias("tpm"),
+                       F.coalesce(F.col("is_push_notification"), F.lit(0)).cast("int").alias("push"))
+    return rows.groupBy("series").transformWithStateInPandas(
+        SeriesFeatures(int(retain_days * 86_400_000)), LAG_OUT_SCHEMA, "Append", "EventTime")
 
 
 def score_batches(stream: DataFrame, model, out_path: str, checkpoint: str, keep=("series", "ts")):
