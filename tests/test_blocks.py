@@ -8,19 +8,55 @@ from tidewater.operators import metrics, neighbors, periods
 
 
 @pytest.mark.parametrize("offset", [0.0, 1e6, 1e8])
-@pytest.mark.parametrize("blocks", [(2048, 20_000), (7, 30)])
-def test_knn_is_exact_far_from_the_origin(spark, offset, blocks):
+@pytest.mark.parametrize("sizes", [(2048, 20_000, 4096), (7, 30, 25), (7, 30, 8)])
+def test_knn_is_exact_far_from_the_origin(spark, monkeypatch, offset, sizes):
+    for name, size in zip(("QUERY_BLOCK", "REFERENCE_BLOCK", "CELL_REFERENCES"), sizes):
+        monkeypatch.setattr(neighbors, name, size)
     rng = np.random.default_rng(3)
     q, r = rng.normal(size=(20, 5)) + offset, rng.normal(size=(200, 5)) + offset
     qs = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(q)], "id bigint, vec array<double>")
     rs = spark.createDataFrame([(i, x.tolist(), i % 3) for i, x in enumerate(r)], "id bigint, vec array<double>, label int")
-    got = neighbors.knn_candidates(qs, rs, 5, query_block=blocks[0], reference_block=blocks[1]).collect()
+    got = neighbors.knn_candidates(qs, rs, 5).collect()
     for i, x in enumerate(q):
         d = np.sqrt(((r - x) ** 2).sum(axis=1))
         want = np.lexsort((np.arange(len(r)), d))[:5].tolist()
         assert [g.ref_id for g in sorted((g for g in got if g.query_id == i), key=lambda g: g.rank)] == want
 
 
+def test_knn_ties_copies_few_references_and_missing_vectors(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "REFERENCE_BLOCK", 10)
+    monkeypatch.setattr(neighbors, "CELL_REFERENCES", 5)
+    r = [(i, [float(i % 4), 0.0], i % 3) for i in range(40)] + [(100, None, 1)]  # ten copies of four points
+    q = [(0, [0.0, 0.0]), (1, [1.5, 0.0]), (2, [9.0, 9.0]), (3, None)]
+    qs = spark.createDataFrame(q, "id bigint, vec array<double>")
+    rs = spark.createDataFrame(r, "id bigint, vec array<double>, label int")
+    got = neighbors.knn_candidates(qs, rs, 12).collect()
+    for i, x in q[:3]:
+        want = sorted((((v[0] - x[0]) ** 2 + (v[1] - x[1]) ** 2) ** 0.5, j) for j, v, _ in r if v)[:12]
+        assert [(g.distance, g.ref_id) for g in sorted((g for g in got if g.query_id == i), key=lambda g: g.rank)] == want
+    assert {g.query_id for g in got} == {0, 1, 2}
+    votes = neighbors.knn_classify(qs, rs.limit(2), 5).collect()  # fewer references than asked for
+    assert {v.predicted_label for v in votes} == {0}
+
+
+def test_knn_rows_grow_less_than_the_product(spark, monkeypatch):
+    """Four times the rows on both sides: the product grows 16-fold, what is shuffled far less."""
+    monkeypatch.setattr(neighbors, "REFERENCE_BLOCK", 100)
+    monkeypatch.setattr(neighbors, "CELL_REFERENCES", 50)
+    plain, moved = neighbors._compare, []
+    monkeypatch.setattr(neighbors, "_compare", lambda q, r, k: (moved.append(q.count() + r.count()), plain(q, r, k))[1])
+    rng = np.random.default_rng(8)
+    sums = []
+    for n in (1000, 4000):
+        points = rng.normal(size=(n + n // 4, 2))
+        df = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(points)], "id bigint, vec array<double>, label int")
+        moved.clear()
+        assert neighbors.knn_classify(df.where(f"id >= {n}"), df.where(f"id < {n}"), 3).count() == n // 4
+        assert len(moved) == 2
+        sums.append(sum(moved))
+    assert sums[1] < 6 * sums[0], sums
+
+
 def test_confusion_matrix_takes_classes_from_the_data(spark):
     df = spark.createDataFrame([("a", "b"), ("a", "a"), ("c", "a"), (None, "a")], "label string, prediction string")
     m = metrics.confusion_matrix(df)
