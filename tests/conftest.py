@@ -3,6 +3,8 @@ import sys
 
 import pytest
 
+from tests import accounting
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
@@ -14,7 +16,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from tidewater.session import get_session, checkpoint_dir
     s = get_session("local[4]", 8, extra={"spark.sql.execution.arrow.pyspark.enabled": "true",
-                                              "spark.driver.memory": "8g"})
+                                          "spark.driver.memory": "8g", **accounting.conf()})
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)
     yield s

@@ -44,7 +44,7 @@ def test_knn_rows_grow_less_than_the_product(spark, monkeypatch):
     monkeypatch.setattr(neighbors, "REFERENCE_BLOCK", 100)
     monkeypatch.setattr(neighbors, "CELL_REFERENCES", 50)
     plain, moved = neighbors._compare, []
-    monkeypatch.setattr(neighbors, "_compare", lambda q, r, k: (moved.append(q.count() + r.count()), plain(q, r, k))[1])
+    monkeypatch.setattr(neighbors, "_compare", lambda q, r, k, *units: (moved.append(q.count() + r.count()), plain(q, r, k, *units))[1])
     rng = np.random.default_rng(8)
     sums = []
     for n in (1000, 4000):

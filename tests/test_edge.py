@@ -220,7 +220,7 @@ def test_a_crowded_group_never_reaches_one_window_task(spark, monkeypatch):
     plain = quantiles._order_statistics
 
     def watched(values, cells):
-        seen.extend(cells.select("_n", "_lo", "_hi").collect())
+        seen.extend(cells.df.select("_n", "_lo", "_hi").collect())
         return plain(values, cells)
 
     monkeypatch.setattr(quantiles, "_order_statistics", watched)
@@ -228,3 +228,24 @@ def test_a_crowded_group_never_reaches_one_window_task(spark, monkeypatch):
         F.sqrt(F.col("id"))).alias("x"))
     quantiles.quantiles(df, "x", [0.1, 0.5, 0.9], ["g"]).collect()
     assert seen and all(r["_n"] <= 200 or r["_lo"] == r["_hi"] for r in seen)
+
+
+@pytest.mark.parametrize("bits", [(32, 16), (8, 4)])
+def test_exact_split_takes_the_lowest_hashes_then_keys(spark, monkeypatch, bits):
+    """Against a sort in plain Python; with 8 bits most hashes are shared, so keys decide. A null stratum is one."""
+    import hashlib
+    import math
+    monkeypatch.setattr(prep, "HASH_BITS", bits[0])
+    monkeypatch.setattr(prep, "LOW_BITS", bits[1])
+    rows = [(f"k{i}", ("a", "b", None)[i % 7 % 3]) for i in range(700)] + [("alone", "c")]
+    df = spark.createDataFrame(rows, "id string, k string")
+    for strata in ([], ["k"]):
+        got = {r["id"]: r["is_test"] for r in prep.exact_split(df, "id", 0.3, strata).collect()}
+        groups = {}
+        for i, k in rows:
+            groups.setdefault(k if strata else 0, []).append((int(hashlib.md5(i.encode()).hexdigest()[:bits[0] // 4], 16), i))
+        want = {i: int(n < math.ceil(len(g) * 0.3)) for g in groups.values() for n, (_, i) in enumerate(sorted(g))}
+        assert got == want
+    assert {r["is_test"] for r in prep.exact_split(df, "id", 0.0).collect()} == {0}
+    assert {r["is_test"] for r in prep.exact_split(df, "id", 1.0, ["k"]).collect()} == {1}
+    assert prep.exact_split(df.limit(0), "id", 0.5, ["k"]).collect() == []

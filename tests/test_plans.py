@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from tests.accounting import account
 from tests.conftest import SF_SMALL
 from tidewater.plans import common
 
@@ -31,17 +32,6 @@ def test_period_tagging_is_broadcast_equi_join(spark):
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
-def test_no_python_udf_on_row_path(spark, name):
-    if name == "M5_knn_classify":
-        pytest.skip("distance kernel is an Arrow-batched mapInPandas by design")
-    if name in ("S1_csv_round_trip", "S2_metrics_json_unnest") or name.startswith("X"):
-        pytest.skip("writes files when built; the result is a parquet read")
-    p = plan(E.queries()[name](spark, SF_SMALL))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
-        assert node not in p, (name, node)
-
-
 @pytest.mark.parametrize("name", ["flagship_busiest_hours", "W1_lags", "W14_back_fill", "E7_stratified_split",
                                   "A7_exact_quantile", "V4_roc_auc", "W12_sequence_id"])
 def test_results_invariant_to_shuffle_partitions(spark, name):
@@ -57,10 +47,37 @@ def test_results_invariant_to_shuffle_partitions(spark, name):
     assert outs[0] == outs[1] == outs[2]
 
 
+# Reads beyond two, over all jobs of a query, and why.
+READS = {"A16_numeric_profile": 3}  # sums; first cells; the values in them
+PYTHON = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "PythonMapInArrow", "MapInArrow",
+          "FlatMapGroupsInPandas", "FlatMapGroupsInArrow", "FlatMapCoGroupsInPandas", "FlatMapCoGroupsInArrow",
+          "FlatMapGroupsInPandasWithState", "TransformWithStateInPandas", "TransformWithStateInPySpark")
+# Distances of whole blocks, a keyed state function: Arrow batches by design.
+BATCHES = ("M5_knn_classify", "X3_stream_keyed_lags")
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
-def test_sources_scanned_at_most_twice(spark, name):
-    """Shared aggregates are computed once: no plan re-reads its inputs per branch."""
-    if name.startswith(("S1", "S2", "X")):
-        pytest.skip("writes files when built; the result is a parquet read")
-    p = plan(E.queries()[name](spark, SF_SMALL))
-    assert p.count("FileScan") <= 2, (name, p.count("FileScan"))
+def test_work_of_the_whole_query(spark, name):
+    """Over all jobs: a query reads a table twice at most, has no cross product, and no Python on rows."""
+    if name.startswith("op"):
+        pytest.skip("accounted for by its own tests")
+    with account(spark) as did:
+        E.queries()[name](spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+    reads = did.scans(SF_SMALL)
+    assert reads, name
+    assert max(reads.values()) <= READS.get(name, 2), (name, dict(reads))
+    assert not did.count("CartesianProduct")
+    if name not in BATCHES:
+        assert not did.count(*PYTHON), name
+
+
+def test_the_split_reads_and_hashes_its_input_once(spark):
+    with account(spark) as did:
+        E.queries()["E7_stratified_split"](spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+    assert did.scans(SF_SMALL) == {"lineitem": 1}
+
+
+def test_a_profile_of_all_columns_shares_its_passes(spark):
+    with account(spark) as did:
+        E.queries()["A16_numeric_profile"](spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+    assert did.scans(SF_SMALL)["customer"] <= 3 and did.jobs <= 12, (did.scans(SF_SMALL), did.jobs)

@@ -72,11 +72,16 @@ def _nearest(k: int):
     return unit
 
 
-def _compare(queries: DataFrame, refs: DataFrame, k: int) -> DataFrame:
-    """Candidates of every query among the references of its cell; both sides have ``_cell``."""
+def _unit_counts(queries: DataFrame, refs: DataFrame) -> DataFrame:
+    """Blocks of either side of every cell that has both: a row a cell, ``MAX_PIVOTS`` at most."""
     sizes = refs.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / REFERENCE_BLOCK).alias("_nr"))
     visits = queries.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("_nq"))
-    units = F.broadcast(sizes.join(visits, "_cell"))  # a row a cell: MAX_PIVOTS at most
+    return F.broadcast(sizes.join(visits, "_cell"))
+
+
+def _compare(queries: DataFrame, refs: DataFrame, k: int, units: DataFrame | None = None) -> DataFrame:
+    """Candidates of every query among the references of its cell; both sides have ``_cell``."""
+    units = _unit_counts(queries, refs) if units is None else units
 
     def block(n: str, salt: int) -> Column:
         return F.pmod(F.xxhash64("_id", F.lit(salt)), F.col(n))
@@ -148,7 +153,9 @@ def nearest_lists(queries: DataFrame, refs: DataFrame, k: int = 5, id_col: str =
                     F.col(label_col).cast("long").alias("_y")).where("_v IS NOT NULL")
     n = r.count()
     if n <= REFERENCE_BLOCK:
-        return _best(_compare(q.withColumn("_cell", F.lit(0)), r.withColumn("_cell", F.lit(0)), k), k)
+        one = F.broadcast(q.sparkSession.createDataFrame([(0, 1, max(1, math.ceil(q.count() / QUERY_BLOCK)))],
+                                                         "_cell int, _nr long, _nq long"))
+        return _best(_compare(q.withColumn("_cell", F.lit(0)), r.withColumn("_cell", F.lit(0)), k, one), k)
     chosen = r.orderBy(F.xxhash64("_id", F.lit(3)), "_id").limit(min(MAX_PIVOTS, math.ceil(n / CELL_REFERENCES)))
     pivots = np.array([row["_v"] for row in chosen.select("_v").collect()], np.float64)
     r = materialize(_own_cell(r, pivots))

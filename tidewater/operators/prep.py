@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.session import materialize
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
 
@@ -190,11 +192,19 @@ def apply_standardiser(df: DataFrame, stats: DataFrame, cols: Sequence[str], gro
 
 # ------------------------------------------------------------------- splitting
 
-def hash_unit(key) -> Column:
-    """Uniform [0, 1) from the first 32 bits of md5(key as text); same value in DuckDB."""
+HASH_BITS = 32
+LOW_BITS = 16
+
+
+def hash_bits(key) -> Column:
+    """The first 32 bits of md5(key as text), as a long; same value in DuckDB."""
     k = F.col(key) if isinstance(key, str) else key
-    h = F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("double")
-    return h / F.lit(float(2 ** 32))
+    return F.conv(F.substring(F.md5(k.cast("string")), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def hash_unit(key) -> Column:
+    """Uniform [0, 1) from ``hash_bits``."""
+    return hash_bits(key).cast("double") / F.lit(float(2 ** HASH_BITS))
 
 
 def hash_split(df: DataFrame, key, test_fraction: float = 0.2, out: str = "is_test") -> DataFrame:
@@ -202,38 +212,40 @@ def hash_split(df: DataFrame, key, test_fraction: float = 0.2, out: str = "is_te
     return df.withColumn(out, F.when(hash_unit(key) < test_fraction, 1).otherwise(0))
 
 
-def exact_split(df: DataFrame, key: str, test_fraction: float, strata: Sequence[str] = (),
-                out: str = "is_test", buckets: int = 65536) -> DataFrame:
-    """E6 / E7 exact size: ceil(n * f) test rows per stratum, lowest hash first.
+def _cut(counted: DataFrame, by: Sequence[str], order: str, take: str) -> DataFrame:
+    """Per stratum the value of ``order`` at which the running count reaches ``take``, and what is left to take of it."""
+    upto = F.sum("_c").over(Window.partitionBy(*by).orderBy(order))
+    return (counted.withColumn("_upto", upto)
+            .where((F.col("_upto") >= F.col(take)) & (F.col("_upto") - F.col("_c") < F.col(take)))
+            .withColumn("_left", F.col(take) - (F.col("_upto") - F.col("_c"))).drop("_upto", "_c", take))
 
-    A 65,536-bucket hash histogram per stratum locates the cut bucket; only the
-    rows of that one bucket are ranked, so no stratum is sorted whole.
+
+def exact_split(df: DataFrame, key: str, test_fraction: float, strata: Sequence[str] = (),
+                out: str = "is_test") -> DataFrame:
+    """E6 / E7 exact size: ceil(n * f) test rows per stratum, lowest (hash, key) first.
+
+    The rows are hashed and kept once. A histogram of the hash's upper half (65,536 buckets a
+    stratum) finds the bucket with the last test row; of that bucket, a 65,536th of the stratum,
+    one of the lower half finds the hash itself, and the keys of that one hash the key. Every
+    row's side is then one comparison with its stratum's (hash, key): nothing is ranked. ``key``
+    names a row; rows that share one stay on one side, so they can make the test side larger.
     """
     strata = list(strata)
-    whole = not strata
-    if whole:
-        df, strata = df.withColumn("_all", F.lit(0)), ["_all"]
-    u = hash_unit(key)
-    d = df.withColumn("_u", u).withColumn("_hb", F.floor(F.col("_u") * buckets).cast("int"))
-    hist = d.groupBy(*strata, "_hb").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*strata).orderBy("_hb")
-    tot = Window.partitionBy(*strata)
-    hist = (hist.withColumn("_cum", F.sum("_c").over(w))
-            .withColumn("_k", F.ceil(F.sum("_c").over(tot) * F.lit(float(test_fraction))).cast("long"))
-            .withColumn("_before", F.col("_cum") - F.col("_c")))
-    from tidewater.session import materialize
-    hist = materialize(hist)  # strata x 65,536 rows at most
-    # per stratum: the cut bucket and how many of its rows go to test
-    cut = (hist.filter((F.col("_before") < F.col("_k")) & (F.col("_cum") >= F.col("_k")))
-           .select(*strata, F.col("_hb").alias("_cut"), (F.col("_k") - F.col("_before")).alias("_take")))
-    j = d.join(cut, strata, "left")  # one row per stratum: AQE broadcasts it when small
-    inside = F.coalesce(F.col("_hb") == F.col("_cut"), F.lit(False))
-    # only the cut bucket's rows (about n / buckets per stratum) are ranked
-    in_cut = j.filter(inside).withColumn(
-        "_r", F.row_number().over(Window.partitionBy(*strata).orderBy("_u", key)))
-    ranked = j.filter(~inside).withColumn("_r", F.lit(None).cast("int")).unionByName(in_cut)
-    flag = (F.when(F.col("_cut").isNull(), 0)
-            .when(F.col("_hb") < F.col("_cut"), 1)
-            .when((F.col("_hb") == F.col("_cut")) & (F.col("_r") <= F.col("_take")), 1).otherwise(0))
-    res = ranked.withColumn(out, flag).drop("_u", "_hb", "_cut", "_take", "_r")
-    return res.drop("_all") if whole else res
+    names = [f"_s{i}" for i in range(len(strata))] or ["_s0"]  # a null stratum is a stratum
+    own = [F.struct(F.col(f"`{s}`")).alias(n) for s, n in zip(strata, names, strict=True)] if strata else [F.lit(0).alias("_s0")]
+    rows = materialize(df.select("*", *own, hash_bits(key).alias("_h")))
+    high, low = F.shiftright("_h", LOW_BITS).alias("_b"), F.col("_h").bitwiseAND(F.lit((1 << LOW_BITS) - 1)).alias("_b")
+    counted = rows.groupBy(*names, high).agg(F.count(F.lit(1)).alias("_c"))
+    size = F.sum("_c").over(Window.partitionBy(*names))  # 65,536 rows a stratum at most
+    wanted = counted.withColumn("_take", F.ceil(size * F.lit(float(test_fraction))).cast("long"))
+    bucket = _cut(wanted, names, "_b", "_take").withColumnsRenamed({"_left": "_take"})
+    inside = materialize(rows.select(*names, F.col(f"`{key}`").alias("_key"), "_h", high).join(bucket, [*names, "_b"])
+                         .groupBy(*names, "_h", "_key", "_take").agg(F.count(F.lit(1)).alias("_c")))
+    hashes = inside.groupBy(*names, "_take", low).agg(F.sum("_c").alias("_c"), F.max("_h").alias("_last"))
+    hashes = _cut(hashes, names, "_b", "_take").select(*names, "_last", F.col("_left").alias("_want"))
+    tied = inside.join(hashes, names).where("_h = _last").select(*names, "_last", "_key", "_want", "_c")
+    cuts = _cut(tied, names, "_key", "_want").select(*names, "_last", F.col("_key").alias("_last_key"))
+    side = F.when((F.col("_h") < F.col("_last")) | ((F.col("_h") == F.col("_last")) & (F.col(f"`{key}`") <= F.col("_last_key"))),
+                  1).otherwise(0)
+    return (rows.join(cuts, names, "left").withColumn(out, side)  # one row a stratum: AQE broadcasts it when small
+            .drop(*names, "_h", "_last", "_last_key"))

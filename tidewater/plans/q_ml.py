@@ -322,8 +322,8 @@ def r2_classify(spark, sf_dir):
   FROM i LEFT JOIN c ON c.event_type = i.event_type, s""", doubles="value_imputed type_code value_scaled")
 def s8_stages(spark, sf_dir):
     """Imputer, label codes, scaler and thresholds fitted to train rows, saved as one pipeline and loaded in a new session."""
-    raw = table(spark, sf_dir, "events").select(
-        "event_id", "event_type", F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
+    raw = materialize(table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.when(F.col("event_type") != "error", F.col("value")).alias("value")))
     pipeline = Pipeline(stages=[
         MeanImputer(inputCols=["value"], outputCols=["value_imputed"]),
         LabelCodes(inputCol="event_type", outputCol="type_code"),

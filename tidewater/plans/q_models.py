@@ -118,7 +118,7 @@ EMB_SQL = f"""t AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS emb, label,
        QUALIFY row_number() OVER (PARTITION BY qid ORDER BY c DESC, label) = 1""",
        note="oracle enumerates pairs only to check; the Spark side keeps partial top-k per task")
 def m5(spark, sf_dir):
-    e = prep.hash_split(table(spark, sf_dir, "embeddings"), "vec_id", 0.2)
+    e = materialize(prep.hash_split(table(spark, sf_dir, "embeddings"), "vec_id", 0.2))
     q = e.filter(F.col("is_test") == 1)
     r = e.filter(F.col("is_test") == 0)
     return neighbors.knn_classify(q, r, 5, "vec_id", "embedding", "label")
@@ -142,7 +142,7 @@ def m15(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(
         "c_acctbal", "c_nationkey", (F.col("c_mktsegment") == "BUILDING").cast("int").alias("label"))
     cols = ["c_acctbal", "c_nationkey"]
-    z = prep.apply_standardiser(c, prep.fit_standardiser(c, cols), cols)
+    z = materialize(prep.apply_standardiser(c, prep.fit_standardiser(c, cols), cols))
     b = z.agg(F.min("z_c_acctbal").alias("x_min"), F.max("z_c_acctbal").alias("x_max"),
               F.min("z_c_nationkey").alias("y_min"), F.max("z_c_nationkey").alias("y_max"))
     g = models.decision_grid(b, 0.01, 1.0)

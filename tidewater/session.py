@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -71,13 +72,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
 
 
+_KEPT: list[str] = []
+
+
 def materialize(df):
-    """Compute ``df`` once and cut its lineage (reliable checkpoint in the shared folder).
+    """Compute ``df`` once into a Parquet table in the shared folder; lineage ends there.
 
-    Used for small aggregated tables (series x period) that several branches
-    of a plan read: without it each branch re-scans and re-aggregates the raw
-    events, because differently pruned branches cannot share an exchange.
-    The checkpoint survives executor loss; it is never a machine-local copy.
+    Used for tables that several branches of a plan read: without it each
+    branch re-scans and re-aggregates the raw rows, because differently pruned
+    branches cannot share an exchange. Later reads take the columns they need.
+    The table survives executor loss; it is never a machine-local copy.
+    ``release`` removes what was kept.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, f"kept-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    _KEPT.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all kept tables, once the results that read them are written."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _KEPT:
+        path = jvm.org.apache.hadoop.fs.Path(_KEPT.pop())
+        path.getFileSystem(conf).delete(path, True)
