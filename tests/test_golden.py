@@ -106,3 +106,31 @@ def test_f9_branches():
     assert got[(50, 30)] == (None, 10, 4, "10_evenly_spaced_points")
     assert got[(400, 30)] == (10800, 133, 2, "3hour_intervals")
     assert got[(2000, 30)] == (259200, 27, 1, "3day_intervals")
+
+
+# Hours studied and scores of 25 students; country, age, salary of 10 customers.
+STUDENTS = [(2.5, 21), (5.1, 47), (3.2, 27), (8.5, 75), (3.5, 30), (1.5, 20), (9.2, 88), (5.5, 60), (8.3, 81), (2.7, 25),
+            (7.7, 85), (5.9, 62), (4.5, 41), (3.3, 42), (1.1, 17), (8.9, 95), (2.5, 30), (1.9, 24), (6.1, 67), (7.4, 69),
+            (2.7, 30), (4.8, 54), (3.8, 35), (6.9, 76), (7.8, 86)]
+CUSTOMERS = [("France", 44, 72000), ("Spain", 27, 48000), ("Germany", 30, 54000), ("Spain", 38, 61000), ("Germany", 40, None),
+             ("France", 35, 58000), ("Spain", None, 52000), ("France", 48, 79000), ("Germany", 50, 83000), ("France", 37, 67000)]
+
+
+def test_m1_m2_golden_line(spark):
+    from tidewater.operators import models
+    df = spark.createDataFrame([(h, float(s)) for h, s in STUDENTS], "hours double, score double")
+    line = models.simple_linear_fit(df, "hours", "score").first()
+    assert round(line["slope"], 5) == 9.77580 and round(line["intercept"], 5) == 2.48367
+    terms = {r["term"]: round(r["coefficient"], 5) for r in models.normal_equations(df, ["hours"], "score").collect()}
+    assert terms == {"hours": 9.77580, "intercept": 2.48367}
+
+
+def test_n1_e1_golden_imputation_and_codes(spark):
+    from pyspark.ml import Pipeline
+    from tidewater.stages import LabelCodes, MeanImputer
+    df = spark.createDataFrame(CUSTOMERS, "country string, age int, salary int")
+    out = Pipeline(stages=[MeanImputer(inputCols=["age", "salary"], outputCols=["age_filled", "salary_filled"]),
+                           LabelCodes(inputCol="country", outputCol="code")]).fit(df).transform(df).collect()
+    assert {round(r["age_filled"], 3) for r in out if r["age"] is None} == {38.778}
+    assert {round(r["salary_filled"], 2) for r in out if r["salary"] is None} == {63777.78}
+    assert {r["country"]: r["code"] for r in out} == {"France": 0.0, "Germany": 1.0, "Spain": 2.0}

@@ -204,3 +204,25 @@ def test_e8_assemble_rejects_null(spark):
     df = spark.createDataFrame([(1.0, None)], "a double, b double")
     with pytest.raises(Exception):
         prep.assemble(df, ["a", "b"]).collect()
+
+
+def test_m2_normal_equations_of_dependent_features(spark):
+    rng = np.random.default_rng(2)
+    a, b = rng.normal(size=200) + 1e4, rng.normal(size=200)
+    y = 3 * a - 2 * b + 5
+    df = spark.createDataFrame([(float(p), float(q), float(p + q), float(t)) for p, q, t in zip(a, b, y)] + [(None, 1.0, 1.0, 1.0)],
+                               "a double, b double, s double, y double")
+    two = {r["term"]: r["coefficient"] for r in models.normal_equations(df, ["a", "b"], "y").collect()}
+    assert two["a"] == pytest.approx(3, rel=1e-9) and two["b"] == pytest.approx(-2, rel=1e-9)
+    assert two["intercept"] == pytest.approx(5, abs=1e-4)
+    three = {r["term"]: r["coefficient"] for r in models.normal_equations(df, ["a", "b", "s"], "y").collect()}
+    fitted = three["a"] * a + three["b"] * b + three["s"] * (a + b) + three["intercept"]
+    assert np.allclose(fitted, y, rtol=1e-9)
+
+
+def test_g8_closed_form_agrees_with_mllib(spark, lineitem_z):
+    names = ["z_l_quantity", "z_l_extendedprice", "z_l_discount", "z_l_tax"]
+    state = models.gaussian_moments(lineitem_z, "label", names)
+    both = models.naive_bayes_gaussian().fit(lineitem_z).transform(lineitem_z).withColumn(
+        "closed", models.gaussian_class(state, names))
+    assert both.where("prediction <> closed").count() == 0

@@ -81,3 +81,28 @@ def test_a_profile_of_all_columns_shares_its_passes(spark):
     with account(spark) as did:
         E.queries()["A16_numeric_profile"](spark, SF_SMALL).write.format("noop").mode("overwrite").save()
     assert did.scans(SF_SMALL)["customer"] <= 3 and did.jobs <= 12, (did.scans(SF_SMALL), did.jobs)
+
+
+@pytest.mark.parametrize("name", ["F9_granularity_strategy", "F10_effective_weight", "F11_quality_band", "F12_recent_flag",
+                                  "F13_granularity_columns", "S4_value_fallback", "A1_hourly_summary"])
+def test_checked_columns_are_not_constant(spark, name):
+    rows = E.queries()[name](spark, SF_SMALL).toPandas()
+    assert {c for c in rows.columns if rows[c].nunique(dropna=False) < 2} == set()
+    if name == "F9_granularity_strategy":
+        assert rows["collection_strategy"].nunique() == 12
+    if name == "F11_quality_band":
+        assert set(rows["data_quality"]) == {"high", "medium", "low"}
+    if name == "F13_granularity_columns":
+        assert rows["granularity_category"].nunique() == 4
+
+
+def test_halo_is_as_deep_as_the_features_asked_for(spark):
+    from tidewater.operators import temporal, traffic
+    depths, plain = [], temporal.windowed
+    try:
+        temporal.windowed = lambda *a, **k: (depths.append(k["before"]), plain(*a, **k))[1]
+        common.window_features(spark, SF_SMALL, "tpm_lag_5", "response_time_lag_1")
+        common.window_features(spark, SF_SMALL, "tpm_change")
+        assert depths == [5, 1] and max(traffic.feature_depths().values()) == 11
+    finally:
+        temporal.windowed = plain

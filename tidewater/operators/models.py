@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, MultilayerPerceptronClassifier,
@@ -28,7 +29,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvalu
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_TREE_DEPTH = 30
@@ -47,6 +48,61 @@ def simple_linear_fit(df: DataFrame, x: str, y: str, groups: Sequence[str] = ())
     return df.groupBy(*groups).agg(*aggs) if groups else df.agg(*aggs)
 
 
+def normal_equations(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """M2 in closed form: (term, coefficient) from one aggregate of means and covariances.
+
+    The k x k system is solved on the driver. Of features that depend on each other the solution of least norm is taken.
+    """
+    names = [*features, label]
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names)) if i < len(features)]
+    row = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in names)).agg(
+        *[F.avg(f"`{c}`").alias(f"m_{i}") for i, c in enumerate(names)],
+        *[F.covar_pop(f"`{names[i]}`", f"`{names[j]}`").alias(f"c_{i}_{j}") for i, j in pairs]).first()
+    k = len(features)
+    if row["m_0"] is None:
+        return df.sparkSession.createDataFrame([], "term string, coefficient double")
+    system = np.array([[row[f"c_{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
+    slopes = np.linalg.lstsq(system, np.array([row[f"c_{i}_{k}"] for i in range(k)]), rcond=None)[0]
+    intercept = row[f"m_{k}"] - sum(b * row[f"m_{i}"] for i, b in enumerate(slopes))
+    return df.sparkSession.createDataFrame([(c, float(b)) for c, b in zip(features, slopes, strict=True)]
+                                           + [("intercept", float(intercept))], "term string, coefficient double")
+
+
+MAX_CLASSES = 1000
+VARIANCE_FLOOR = 1e-9
+
+
+def gaussian_moments(df: DataFrame, label: str, features: Sequence[str]) -> list[tuple]:
+    """(class, log prior, [(mean, variance) of each feature]) from one grouped aggregate.
+
+    Every variance is raised by a billionth of the largest feature variance, as a constant feature has none.
+    """
+    sums = [x for i, c in enumerate(features) for x in (F.avg(c).alias(f"m_{i}"), F.var_pop(c).alias(f"v_{i}"))]
+    rows = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"), *sums).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    whole = df.where(F.col(label).isNotNull()).agg(*[F.var_pop(c).alias(f"v_{i}") for i, c in enumerate(features)]).first()
+    floor = VARIANCE_FLOOR * max((whole[f"v_{i}"] or 0.0) for i in range(len(features)))
+    total = sum(r["n"] for r in rows)
+    return sorted(((r[label], math.log(r["n"] / total), [(r[f"m_{i}"], r[f"v_{i}"] + floor) for i in range(len(features))])
+                   for r in rows), key=lambda s: s[0])
+
+
+def gaussian_class(state: Sequence[tuple], features: Sequence[str]) -> Column:
+    """The class of the largest likelihood (ties: the smaller class), as one expression without a join."""
+    scores = []
+    for cls, prior, moments in state:
+        score = F.lit(prior)
+        for c, (mean, variance) in zip(features, moments, strict=True):
+            score = score - 0.5 * (math.log(2 * math.pi * variance) + (F.col(c) - mean) * (F.col(c) - mean) / variance)
+        scores.append(F.struct(score.alias("score"), F.lit(cls).alias("class")))
+    best = F.array_max(F.array(*[s["score"] for s in scores]))
+    out = F.lit(None)
+    for s, (cls, _, _) in reversed(list(zip(scores, state, strict=True))):
+        out = F.when(s["score"] == best, F.lit(cls)).otherwise(out)
+    return out
+
+
 # ---------------------------------------------------------------- estimators
 
 def linear_regression(features: str = "features", label: str = "label", weight: str | None = None):

@@ -8,6 +8,8 @@ its cost is one scan plus one small shuffle whatever the event volume.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,29 +94,40 @@ def calendar_features(df: DataFrame, ts: str = "ts") -> DataFrame:
                      timefn.is_peak_hour(F.hour(ts)).alias("is_peak_hour"))
 
 
+LAGS = (1, 2, 3, 5)
+MEANS = {"tpm": (3, 5, 6, 12), "response_time": (3, 5)}
+PUSH = ("minutes_since_push", "is_post_push_period")
+
+
+def feature_depths() -> dict[str, int]:
+    """Rows before its own that each series feature looks at."""
+    values = ("tpm", "response_time")
+    return ({f"{v}_lag_{i}": i for v in values for i in LAGS}
+            | {f"{v}_ma_{s}": s - 1 for v in values for s in MEANS[v]} | {f"tpm_std_{s}": s - 1 for s in (3, 5)}
+            | {"tpm_change": 1, "tpm_change_rate": 1, "response_time_change": 1} | dict.fromkeys(PUSH, 8))
+
+
 def series_features(df: DataFrame, keys=("series",), ts: str = "ts",
-                    parity: bool = True, bucket: str | None = "day") -> DataFrame:
+                    parity: bool = True, bucket: str | None = "day", want: Sequence[str] | None = None) -> DataFrame:
     """The classifier's and forecaster's lag/rolling/change/push features on a series table.
 
     Lags 1,2,3,5 of tpm and response time; rolling mean 3, 5, 6, 12 of tpm,
     3, 5 of response time; rolling sample std 3, 5; diff and pct change;
-    push proximity. Deepest look-back is 11 rows (the 12-row mean).
+    push proximity. ``want`` names those to add (default: all); the halo is as deep as the deepest of them.
     """
+    depths = feature_depths()
+    names = list(depths) if want is None else list(want)
     keys = list(keys)
 
     def build(w: Window):
-        cols = {}
-        cols.update(temporal.lag_columns(w, "tpm", [1, 2, 3, 5]))
-        cols.update(temporal.lag_columns(w, "response_time", [1, 2, 3, 5]))
-        for s in (3, 5, 6, 12):
-            cols[f"tpm_ma_{s}"] = temporal.rolling_mean(w, "tpm", s)
-        for s in (3, 5):
-            cols[f"response_time_ma_{s}"] = temporal.rolling_mean(w, "response_time", s)
-            cols[f"tpm_std_{s}"] = temporal.rolling_std(w, "tpm", s)
-        cols["tpm_change"] = temporal.first_difference(w, "tpm")
-        cols["tpm_change_rate"] = temporal.relative_change(w, "tpm", parity=parity)
-        cols["response_time_change"] = temporal.first_difference(w, "response_time")
-        cols.update(temporal.push_proximity(w, "is_push_notification", parity=parity))
-        return cols
-
-    return temporal.windowed(df, keys, [ts], build, before=11, ts=ts, bucket=bucket)
+        makers = {}
+        for v, means in MEANS.items():
+            makers |= {f"{v}_lag_{i}": lambda v=v, i=i: temporal.lag_columns(w, v, [i])[f"{v}_lag_{i}"] for i in LAGS}
+            makers |= {f"{v}_ma_{s}": lambda v=v, s=s: temporal.rolling_mean(w, v, s) for s in means}
+            makers[f"{v}_change"] = lambda v=v: temporal.first_difference(w, v)
+        makers |= {f"tpm_std_{s}": lambda s=s: temporal.rolling_std(w, "tpm", s) for s in (3, 5)}
+        makers["tpm_change_rate"] = lambda: temporal.relative_change(w, "tpm", parity=parity)
+        makers |= {n: lambda n=n: temporal.push_proximity(w, "is_push_notification", parity=parity)[n] for n in PUSH}
+        return {n: makers[n]() for n in names}
+
+    return temporal.windowed(df, keys, [ts], build, before=max(depths[n] for n in names), ts=ts, bucket=bucket)

@@ -45,6 +45,14 @@ def features_v(spark: SparkSession, sf_dir: str, parity: bool = True) -> DataFra
     return traffic.series_features(traffic.calendar_features(v), parity=parity)
 
 
+def window_features(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """Series, time and the named features of V, from the columns and the halo that they need."""
+    needs = ["tpm", *[c for c, of in (("response_time", "response_time"), ("is_push_notification", "push"))
+                      if any(of in n for n in names)]]
+    v = view_v(spark, sf_dir, "series", "ts", *needs)
+    return traffic.series_features(v, want=names).select("series", "ts", *names)
+
+
 # DuckDB definition of view V (same columns and types as ``view_v``).
 V_CTE = """
 v_agg AS (

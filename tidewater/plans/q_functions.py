@@ -86,25 +86,27 @@ def f8(spark, sf_dir):
         timefn.minutes_between("o_orderdate", "l_shipdate").alias("interval_minutes"))
 
 
-def user_spans(spark, sf_dir):
-    """Per user: active span in hours and age in days of the last event (data-derived grid)."""
-    e = _ev(spark, sf_dir)
-    latest = e.agg(F.max("ts").alias("_latest"))
-    spans = e.groupBy("user_id").agg(F.min("ts").alias("_first"), F.max("ts").alias("_last"))
-    spans = spans.crossJoin(F.broadcast(latest))  # one-row side
-    return spans.select(
-        "user_id",
-        (timefn.minutes_between("_first", "_last") / 60.0).alias("time_range_hours"),
-        F.datediff(F.to_date("_latest"), F.to_date("_last")).alias("data_age_days"),
-        (F.lit(12) - F.floor(F.datediff(F.to_date("_latest"), F.to_date("_last")) / 7)).cast("int")
-        .alias("week_priority"))
+def order_spans(spark, sf_dir):
+    """A collection span for every order: hours from its price, on three scales, and an age from its date.
+
+    Together they meet all twelve branches of the decision table, both flags and every band.
+    """
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    latest = o.agg(F.max("o_orderdate").alias("_latest"))
+    price = F.col("o_totalprice")
+    hours = (F.when(F.col("o_orderkey") % 3 == 0, price % 8.0).when(F.col("o_orderkey") % 3 == 1, price % 120.0)
+             .otherwise(price % 2000.0))
+    age = F.datediff(F.to_date("_latest"), F.to_date("o_orderdate")) % 91
+    return o.crossJoin(F.broadcast(latest)).select(  # one-row side
+        "o_orderkey", hours.alias("time_range_hours"), age.alias("data_age_days"),
+        (F.lit(12) - F.floor(age / 7)).cast("int").alias("week_priority"))
 
 
 SPANS_SQL = """
-m AS (SELECT max(ts) AS latest FROM events),
-s AS (SELECT user_id, date_diff('microsecond', min(ts), max(ts)) / 60000000.0 / 60.0 AS time_range_hours,
-        CAST(date_diff('day', CAST(max(ts) AS DATE), CAST((SELECT latest FROM m) AS DATE)) AS INTEGER) AS data_age_days
-      FROM events GROUP BY user_id),
+s AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN o_totalprice % 8.0::DOUBLE WHEN 1 THEN o_totalprice % 120.0::DOUBLE
+             ELSE o_totalprice % 2000.0::DOUBLE END AS time_range_hours,
+        CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST((SELECT max(o_orderdate) FROM orders) AS DATE)) % 91 AS INTEGER)
+          AS data_age_days FROM orders),
 g AS (SELECT *, CAST(12 - floor(data_age_days / 7) AS INTEGER) AS week_priority,
   CASE WHEN data_age_days <= 8 THEN
     CASE WHEN time_range_hours <= 3 THEN {'p': 60, 'n': CAST(trunc(time_range_hours * 60) AS INTEGER), 'w': 10, 's': '1min_granularity'}
@@ -124,44 +126,45 @@ g AS (SELECT *, CAST(12 - floor(data_age_days / 7) AS INTEGER) AS week_priority,
 
 
 def _strategy(spark, sf_dir):
-    s = user_spans(spark, sf_dir)
+    s = order_spans(spark, sf_dir)
     st = scalar.granularity_strategy("time_range_hours", "data_age_days")
     return s.withColumn("_s", st)
 
 
-@query("F9_granularity_strategy", "WITH " + SPANS_SQL + """ SELECT user_id, time_range_hours,
+@query("F9_granularity_strategy", "WITH " + SPANS_SQL + """ SELECT o_orderkey, time_range_hours,
        data_age_days, CAST(st.p AS INTEGER) AS period_seconds, CAST(st.n AS INTEGER) AS expected_points,
        CAST(st.w AS INTEGER) AS ml_weight, st.s AS collection_strategy FROM g""",
-       doubles="time_range_hours")
+       doubles="time_range_hours period_seconds")
 def f9(spark, sf_dir):
-    return _strategy(spark, sf_dir).select("user_id", "time_range_hours", "data_age_days", "_s.*")
+    out = _strategy(spark, sf_dir).select("o_orderkey", "time_range_hours", "data_age_days", "_s.*")
+    return out.withColumn("period_seconds", F.col("period_seconds").cast("double"))
 
 
-@query("F10_effective_weight", "WITH " + SPANS_SQL + """ SELECT user_id,
+@query("F10_effective_weight", "WITH " + SPANS_SQL + """ SELECT o_orderkey,
        CAST(greatest(week_priority, st.w) AS INTEGER) AS effective_weight FROM g""")
 def f10(spark, sf_dir):
     return _strategy(spark, sf_dir).select(
-        "user_id", scalar.effective_weight("week_priority", F.col("_s.ml_weight")).alias("effective_weight"))
+        "o_orderkey", scalar.effective_weight("week_priority", F.col("_s.ml_weight")).alias("effective_weight"))
 
 
-@query("F11_quality_band", "WITH " + SPANS_SQL + """ SELECT user_id,
+@query("F11_quality_band", "WITH " + SPANS_SQL + """ SELECT o_orderkey,
        CASE WHEN greatest(week_priority, st.w) >= 8 THEN 'high'
             WHEN greatest(week_priority, st.w) >= 5 THEN 'medium' ELSE 'low' END AS data_quality FROM g""")
 def f11(spark, sf_dir):
     return _strategy(spark, sf_dir).select(
-        "user_id", scalar.quality_band(scalar.effective_weight("week_priority", F.col("_s.ml_weight")))
+        "o_orderkey", scalar.quality_band(scalar.effective_weight("week_priority", F.col("_s.ml_weight")))
         .alias("data_quality"))
 
 
-@query("F12_recent_flag", "WITH " + SPANS_SQL + """ SELECT user_id,
+@query("F12_recent_flag", "WITH " + SPANS_SQL + """ SELECT o_orderkey,
        CAST(CASE WHEN data_age_days <= 8 THEN 1 ELSE 0 END AS INTEGER) AS is_recent_data FROM g""")
 def f12(spark, sf_dir):
-    return _strategy(spark, sf_dir).select("user_id", scalar.is_recent("data_age_days").alias("is_recent_data"))
+    return _strategy(spark, sf_dir).select("o_orderkey", scalar.is_recent("data_age_days").alias("is_recent_data"))
 
 
-@query("F13_granularity_columns", "WITH " + SPANS_SQL + """, h AS (SELECT user_id,
+@query("F13_granularity_columns", "WITH " + SPANS_SQL + """, h AS (SELECT o_orderkey,
        coalesce(CAST(st.p AS DOUBLE), time_range_hours * 60 / st.n * 60) AS per FROM g)
-       SELECT user_id, per / 60.0 AS granularity_minutes,
+       SELECT o_orderkey, per / 60.0 AS granularity_minutes,
        CAST(CASE WHEN per <= 300 THEN 1 ELSE 0 END AS INTEGER) AS is_high_granularity,
        CAST(CASE WHEN per <= 120 THEN 1 ELSE 0 END AS INTEGER) AS is_fine_granularity,
        CASE WHEN per <= 60 THEN 'minute' WHEN per <= 600 THEN 'multi_minute'
@@ -170,9 +173,9 @@ def f12(spark, sf_dir):
 def f13(spark, sf_dir):
     s = _strategy(spark, sf_dir)
     # observed interval between the service's points: span / points
-    interval = F.col("time_range_hours") * 60 / F.col("_s.expected_points")
+    interval = F.try_divide(F.col("time_range_hours") * 60, F.col("_s.expected_points"))
     cols = scalar.granularity_columns(F.col("_s.period_seconds"), interval)
-    return s.select("user_id", *[c.alias(n) for n, c in cols.items()])
+    return s.select("o_orderkey", *[c.alias(n) for n, c in cols.items()])
 
 
 @query("F14_non_negative", "SELECT c_custkey, greatest(0.0, c_acctbal) AS acctbal_clamped FROM customer",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import metrics, models, prep, scoring, temporal
 from tidewater.plans import common, forecast, ingest
-from tidewater.plans.q_prep import HASH_SQL
+from tidewater.plans.q_prep import HASH_SQL, LID_SQL, lineitem_id
 from tidewater.plans.registry import query
 from tidewater.session import materialize, scratch_path
 from tidewater.sources import files, model_store
@@ -80,6 +80,33 @@ def g8(spark, sf_dir):
     return _fit_eval(spark, sf_dir, models.naive_bayes_gaussian(), "naive_bayes")
 
 
+BAYES_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+def _bayes_sql():
+    """Gaussian likelihoods from the train rows' moments, each class's written out."""
+    moments = ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in BAYES_FEATURES)
+    largest = ", ".join(f"var_pop({c})" for c in BAYES_FEATURES)
+    logs = " + ".join(f"-0.5 * (ln(2 * pi() * (v_{c} + eps)) + (li.{c} - m_{c}) ^ 2 / (v_{c} + eps))" for c in BAYES_FEATURES)
+    return f"""WITH li AS (SELECT {LID_SQL} AS rid, l_returnflag, {', '.join(BAYES_FEATURES)},
+           {HASH_SQL.format(k=LID_SQL)} < 0.2 AS test FROM lineitem),
+      e AS (SELECT 1e-9 * greatest({largest}) AS eps FROM li WHERE NOT test),
+      k AS (SELECT l_returnflag AS class, count(*) AS n, {moments} FROM li WHERE NOT test GROUP BY 1),
+      s AS (SELECT rid, l_returnflag, class, ln(n / (SELECT sum(n) FROM k)) + {logs} AS score FROM li, k, e WHERE test),
+      p AS (SELECT rid, l_returnflag, arg_max(class, score) AS predicted FROM s GROUP BY rid, l_returnflag)
+      SELECT l_returnflag, predicted, count(*) AS n FROM p GROUP BY 1, 2"""
+
+
+@query("G8_gaussian_moments", _bayes_sql())
+def g8_moments(spark, sf_dir):
+    """Naive Bayes in closed form: moments of each class from train rows, test rows by the largest likelihood."""
+    li = table(spark, sf_dir, "lineitem").select(lineitem_id().alias("rid"), "l_returnflag", *BAYES_FEATURES)
+    li = materialize(prep.hash_split(li, "rid", 0.2))
+    state = models.gaussian_moments(li.filter("is_test = 0"), "l_returnflag", BAYES_FEATURES)
+    judged = li.filter("is_test = 1").withColumn("predicted", models.gaussian_class(state, BAYES_FEATURES))
+    return judged.groupBy("l_returnflag", "predicted").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("G10_kernel_svm_rff")
 def g10(spark, sf_dir):
     t, cols = labelled_documents(spark, sf_dir)
@@ -105,17 +132,38 @@ def g11(spark, sf_dir):
                                  "reg_param double, mean_auc double")
 
 
-@query("M2_multiple_linear_regression")
-def m2(spark, sf_dir):
+# With a dummy for each segment the slope is that of deviations from the segment's means, and
+# each segment has an intercept of its own; a dummy's coefficient is its distance from the first one's.
+SEGMENT_FIT_SQL = """WITH g AS (SELECT c_mktsegment AS s, avg(c_nationkey) AS mx, avg(c_acctbal) AS my FROM customer GROUP BY 1),
+  b AS (SELECT sum((c_nationkey - mx) * (c_acctbal - my)) / sum((c_nationkey - mx) ^ 2) AS slope
+        FROM customer JOIN g ON s = c_mktsegment),
+  i AS (SELECT s, my - slope * mx AS level FROM g, b),
+  f AS (SELECT level AS base FROM i ORDER BY s LIMIT 1)
+  SELECT 'c_mktsegment_' || s AS term, level - base AS coefficient FROM i, f WHERE s > (SELECT min(s) FROM i)
+  UNION ALL SELECT 'c_nationkey', slope FROM b UNION ALL SELECT 'intercept', base FROM f"""
+
+
+def _account_features(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal")
     oh = prep.one_hot(c, "c_mktsegment", drop_first=True)
-    feats = [x for x in oh.columns if x.startswith("c_mktsegment_")] + ["c_nationkey"]
+    return oh, [x for x in oh.columns if x.startswith("c_mktsegment_")] + ["c_nationkey"]
+
+
+@query("M2_multiple_linear_regression", SEGMENT_FIT_SQL, doubles="coefficient")
+def m2(spark, sf_dir):
+    oh, feats = _account_features(spark, sf_dir)
     pm = models.fit_pipeline(oh, feats, models.linear_regression(label="c_acctbal"))
     lr = pm.stages[-1]
     rows = [(n, float(v)) for n, v in zip(feats, lr.coefficients.toArray())] + [("intercept", float(lr.intercept))]
     return spark.createDataFrame(rows, "term string, coefficient double")
 
 
+@query("M2_normal_equations", SEGMENT_FIT_SQL, doubles="coefficient")
+def m2_normal(spark, sf_dir):
+    oh, feats = _account_features(spark, sf_dir)
+    return models.normal_equations(oh, feats, "c_acctbal")
+
+
 @query("E8_assemble_features", "WITH " + common.VF_CTE + """ SELECT series, ts, unnest([0, 1, 2, 3, 4, 5]) AS pos,
   unnest([tpm, coalesce(tpm_lag_1, 0), coalesce(tpm_lag_2, 0), coalesce(tpm_lag_3, 0), hour_sin, hour_cos]) AS value
   FROM vff""", doubles="value", times="ts")
@@ -212,9 +260,8 @@ def m11(spark, sf_dir):
 def m12(spark, sf_dir):
     ft, w, _ = _forecaster(spark, sf_dir, use_weights=True)
     _, u, _ = _forecaster(spark, sf_dir, use_weights=False)
-    a = w[5].transform(ft).select("series", "ts", F.col("prediction").alias("weighted"))
-    b = u[5].transform(ft).select("series", "ts", F.col("prediction").alias("unweighted"))
-    return a.join(b, ["series", "ts"])
+    weighted = w[5].transform(ft).withColumnRenamed("prediction", "weighted").drop("features")
+    return u[5].transform(weighted).select("series", "ts", "weighted", F.col("prediction").alias("unweighted"))
 
 
 @query("M14_feature_importances")

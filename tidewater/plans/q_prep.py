@@ -106,7 +106,7 @@ LAGS = ["tpm_lag_1", "tpm_lag_2", "tpm_lag_3", "response_time_lag_1"]
        coalesce(response_time_lag_1, 0) AS response_time_lag_1 FROM vff""",
        doubles=" ".join(LAGS), times="ts")
 def n2(spark, sf_dir):
-    return prep.fill_zero(common.features_v(spark, sf_dir).select("series", "ts", *LAGS), LAGS)
+    return prep.fill_zero(common.window_features(spark, sf_dir, *LAGS), LAGS)
 
 
 @query("N3_fill_mean", "WITH " + VF_CTE + """ SELECT series, ts,
@@ -116,8 +116,7 @@ def n2(spark, sf_dir):
        coalesce(response_time_lag_1, avg(response_time_lag_1) OVER ()) AS response_time_lag_1 FROM vff""",
        doubles=" ".join(LAGS), times="ts")
 def n3(spark, sf_dir):
-    f = common.features_v(spark, sf_dir).select("series", "ts", *LAGS)
-    return prep.mean_impute(f, LAGS)
+    return prep.mean_impute(common.window_features(spark, sf_dir, *LAGS), LAGS)
 
 
 @query("N4_fill_from_column", "WITH " + V_CTE + """ SELECT series, ts,

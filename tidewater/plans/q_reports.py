@@ -37,12 +37,14 @@ def v_categorised(spark, sf_dir, n=3):
 
 
 @query("A1_hourly_summary", "WITH " + V_CTE + """ SELECT CAST(ts AS DATE) AS date,
-       CAST(hour(ts) AS INTEGER) AS hour, round_even(avg(tpm), 0) AS tpm_mean,
-       round_even(max(tpm), 0) AS tpm_max, round_even(min(tpm), 0) AS tpm_min,
+       CAST(hour(ts) AS INTEGER) AS hour, round_even(avg(call_count), 0) AS tpm_mean,
+       round_even(max(call_count), 0) AS tpm_max, round_even(min(call_count), 0) AS tpm_min,
        max(play_counted) AS play_counted_max FROM v GROUP BY 1, 2""",
        doubles="tpm_mean tpm_max tpm_min", dates="date")
 def a1(spark, sf_dir):
-    return reports.hourly_summary(_v_dated(spark, sf_dir, "play_counted"))
+    """On calls per hour, for calls per minute all round to zero here."""
+    v = _v_dated(spark, sf_dir, "play_counted", "call_count")
+    return reports.hourly_summary(v.withColumn("tpm", F.col("call_count").cast("double")))
 
 
 @query("A2_frequency_percent", """SELECT o_orderpriority, count(*) AS n,

@@ -55,16 +55,18 @@ def s2(spark, sf_dir):
 @query("S4_value_fallback", """SELECT event_id,
        coalesce(TRY_CAST(json_extract_string(props, '$.requests_per_minute') AS DOUBLE),
                 TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE), 0.0) AS tpm,
-       coalesce(TRY_CAST(json_extract_string(props, '$.average_response_time') AS DOUBLE),
-                TRY_CAST(json_extract_string(props, '$.average_call_time') AS DOUBLE), 0.0) AS response_time
+       CASE WHEN event_id % 4 = 3 THEN 0.0 WHEN event_id % 4 = 2 THEN -value ELSE value END AS response_time
        FROM events""", doubles="tpm response_time")
 def s4(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select(
-        "event_id", F.from_json("props", "map<string,double>").alias("m"))
+    """Payloads with the first key, with the fallback alone, with both, and with neither."""
+    e = table(spark, sf_dir, "events").select("event_id", "value", F.from_json("props", "map<string,double>").alias("m"))
+    kind, first, other = F.col("event_id") % 4, F.lit("average_response_time"), F.lit("average_call_time")
+    payload = (F.when(kind == 0, F.create_map(first, F.col("value"))).when(kind == 1, F.create_map(other, F.col("value")))
+               .when(kind == 2, F.create_map(first, -F.col("value"), other, F.col("value")))
+               .otherwise(F.create_map().cast("map<string,double>")))
     return e.select("event_id",
                     files.value_with_fallback(F.col("m"), ["requests_per_minute", "k"]).alias("tpm"),
-                    files.value_with_fallback(F.col("m"), ["average_response_time", "average_call_time"])
-                    .alias("response_time"))
+                    files.value_with_fallback(payload, ["average_response_time", "average_call_time"]).alias("response_time"))
 
 
 S7_SQL = "WITH " + V_CTE + "," + CAL_SQL + """,

@@ -20,9 +20,7 @@ def _vf(spark, sf_dir, parity=True):
        doubles="tpm_lag_1 tpm_lag_2 tpm_lag_3 tpm_lag_5 response_time_lag_1 response_time_lag_2 "
                "response_time_lag_3 response_time_lag_5", times="ts")
 def w1(spark, sf_dir):
-    return _vf(spark, sf_dir).select("series", "ts", "tpm_lag_1", "tpm_lag_2", "tpm_lag_3",
-                                     "tpm_lag_5", "response_time_lag_1", "response_time_lag_2",
-                                     "response_time_lag_3", "response_time_lag_5")
+    return common.window_features(spark, sf_dir, *[f"{v}_lag_{i}" for v in ("tpm", "response_time") for i in (1, 2, 3, 5)])
 
 
 @query("W3_rolling_mean", "WITH " + VF_CTE + """ SELECT series, ts, tpm_ma_3, tpm_ma_5, tpm_ma_6,
@@ -30,21 +28,21 @@ def w1(spark, sf_dir):
        doubles="tpm_ma_3 tpm_ma_5 tpm_ma_6 tpm_ma_12 response_time_ma_3 response_time_ma_5",
        times="ts")
 def w3(spark, sf_dir):
-    return _vf(spark, sf_dir).select("series", "ts", "tpm_ma_3", "tpm_ma_5", "tpm_ma_6",
-                                     "tpm_ma_12", "response_time_ma_3", "response_time_ma_5")
+    return common.window_features(spark, sf_dir, "tpm_ma_3", "tpm_ma_5", "tpm_ma_6", "tpm_ma_12", "response_time_ma_3",
+                                  "response_time_ma_5")
 
 
 @query("W4_rolling_std", "WITH " + VF_CTE + " SELECT series, ts, tpm_std_3, tpm_std_5 FROM vff",
        doubles="tpm_std_3 tpm_std_5", times="ts")
 def w4(spark, sf_dir):
-    return _vf(spark, sf_dir).select("series", "ts", "tpm_std_3", "tpm_std_5")
+    return common.window_features(spark, sf_dir, "tpm_std_3", "tpm_std_5")
 
 
 @query("W5_first_difference", "WITH " + VF_CTE +
        " SELECT series, ts, tpm_change, response_time_change FROM vff",
        doubles="tpm_change response_time_change", times="ts")
 def w5(spark, sf_dir):
-    return _vf(spark, sf_dir).select("series", "ts", "tpm_change", "response_time_change")
+    return common.window_features(spark, sf_dir, "tpm_change", "response_time_change")
 
 
 @query("W6_relative_change", "WITH " + VF_CTE + """ SELECT series, ts, tpm_change_rate,
