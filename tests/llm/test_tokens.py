@@ -40,6 +40,17 @@ def test_cached_ids_are_the_librarys(text):
     assert tok.encode([text, text]) == tok._whole([text, text])
 
 
+def test_ids_are_those_of_a_fresh_library():
+    """Names of added tokens in a text are those tokens, alone, glued to words, and repeated."""
+    from tokenizers import Tokenizer
+    fresh, tok = Tokenizer.from_file(HF), packing.CachedTokenizer(HF)
+    texts = [t or "" for t in TEXTS] + ["a <|endoftext|> b", "x<|endoftext|>y.<|endoftext|>", "<|endoftext|>" * 3, " <|endoftext",
+                                        "<|endoftext|>\n\n  end  <|endoftext|>", "|endoftext|>"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in tok.encode(texts)] == [
+        fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(fresh.encode("<|endoftext|>", add_special_tokens=False).ids) == 1
+
+
 def test_cache_generations(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_ENTRIES", 5)
     tok = packing.CachedTokenizer(HF)

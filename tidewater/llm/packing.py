@@ -12,7 +12,8 @@ so that any document or range of ids is unpacked by numpy from the blocks that
 hold it. Documents are never split over shards and stand in ascending order of
 their keys, within and across shards.
 
-Defined results: a null or empty text is its end id alone; a null key comes
+Defined results: a null or empty text is its end id alone; the name of an added
+token inside a text, such as ``<|endoftext|>``, is that token, as the library reads it; a null key comes
 before all others; rows of one key are ordered by their texts, repeated rows
 stay; an empty table gives no shard and an empty result; other columns of the
 input are not read.
@@ -51,8 +52,9 @@ class CachedTokenizer:
     white space after another character, before a full stop or comma after a
     letter or digit, and before the last character of a run of white space. Parts
     come again and again; each is given to the library once while it is
-    remembered. Texts with rarer white space, and tokenizers of other kinds, go
-    to the library whole.
+    remembered. Texts with rarer white space or with the name of an added token,
+    which the library reads as that token, and tokenizers of other kinds, go to
+    the library whole.
     """
 
     _PART = re.compile(r" ?[^\W_]+(?=[.,\s])| ?\S+|\s+(?!\S)|\s+")
@@ -62,12 +64,14 @@ class CachedTokenizer:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self._added = re.compile("|".join(map(re.escape, added))) if added else None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         self.cuts = (pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
-                     and not spec.get("normalizer") and not spec["model"].get("dropout"))
+                     and not spec.get("normalizer") and not spec["model"].get("dropout")
+                     and not any(c.isspace() for t in added for c in t))
         self.bytes_of = np.ones(1, np.int64)
         if self.cuts:  # a byte-level token has one character for each byte
             self.bytes_of = np.zeros(self.vocabulary, np.int64)
@@ -101,8 +105,8 @@ class CachedTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        parts = [self._PART.findall(t) if self.cuts and not self._RARE_SPACE.search(t) else None
-                 for t in texts]
+        parts = [self._PART.findall(t) if self.cuts and not self._RARE_SPACE.search(t)
+                 and not (self._added and self._added.search(t)) else None for t in texts]
         if len(self.known) > CACHE_ENTRIES:  # two generations: what is still in use is taken over
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
