@@ -31,6 +31,8 @@ Shingles are 64-bit hashes, sets 128-bit digests.
 
 from __future__ import annotations
 
+import posixpath
+from functools import lru_cache
 from itertools import combinations
 from math import comb
 
@@ -41,14 +43,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.columns import get, put, steps
-from tidewater.llm.common import broadcast_if_small, keep_bucketed, keep_table, map_batches, texts_of
+from tidewater.llm.common import (broadcast_if_small, keep_bucketed, keep_table, map_batches, new_folder, open_store, texts_of,
+                                  write_atomically)
 from tidewater.llm.components import components
 
 WORDS = 4
 PERCENT = 85
 #: Shingles counted together before they are dealt out, and owned by one bucket.
 CHUNK_SHINGLES = 1_000_000
-BUCKET_SHINGLES = 4_000_000
 #: Counting names shingles by this many bits; a clash only makes one look more frequent.
 COUNT_BITS = 44
 #: A shingle in more sets than this is frequent; doubled until at most so many are. Below it,
@@ -206,6 +208,22 @@ class ShingleOrder:
         return s[np.lexsort((s, level))[:n]]
 
 
+def keep_order(spark, order: ShingleOrder) -> str:
+    """The order as a file in the shared folder; tasks read it there, so no closure or broadcast carries it."""
+    folder = new_folder(spark, "shingle-order")
+    write_atomically(folder, "order", [order.__getstate__()])
+    return posixpath.join(folder, "order")
+
+
+@lru_cache(maxsize=1)
+def order_at(path: str) -> ShingleOrder:
+    store, at = open_store(path)
+    order = ShingleOrder.__new__(ShingleOrder)
+    with store.open_input_file(at) as f:
+        order.__setstate__(f.read())
+    return order
+
+
 def subsets_of(size: int, percent: int) -> int:
     return sum(comb(size, o) for o in range(least_overlap(size, percent), size + 1))
 
@@ -252,7 +270,7 @@ def digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-def document_sets(docs: DataFrame, key: str, text: str, order: ShingleOrder, light: int, percent: int,
+def document_sets(docs: DataFrame, key: str, text: str, order_path: str, light: int, percent: int,
                   words: int = WORDS) -> DataFrame:
     """(doc_id, text_hash, digest, size, prefix, subset_sizes, subset_keys, bitmap) of every document.
 
@@ -261,7 +279,7 @@ def document_sets(docs: DataFrame, key: str, text: str, order: ShingleOrder, lig
     heavy_from = least_overlap(light + 1, percent)
 
     def run(batches):
-        hashes = WordHashes()
+        hashes, order = WordHashes(), order_at(order_path)
         for batch in batches:
             cols: list[list] = [[], [], [], [], [], []]
             for t in texts_of(batch.column(2)):
@@ -533,7 +551,7 @@ def join(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str
     counted = keep_table(count_shingles(docs, text, shuffles, words), "shingles")
     order, light = _order_of(counted, percent)
 
-    sets = keep_table(document_sets(docs, key, text, order, light, percent, words)
+    sets = keep_table(document_sets(docs, key, text, keep_order(spark, order), light, percent, words)
                       .withColumn("row", F.monotonically_increasing_id()), "sets")
     # one node for each set: the row that stands for it, and the smallest doc_id
     classes = keep_table(sets.where("size > 0").groupBy("digest").agg(
