@@ -50,11 +50,11 @@ CUT_BITS = 2
 MOST_WORDS = 64
 MIN_WORDS = 30
 GROUP_CHUNKS = 1_000_000
-BUCKET_CHUNKS = 3_000_000
+BUCKET_CHUNKS = 1_500_000
 PASSAGE_WORDS = 50
 SEED_WORDS = 24
 MOST_GAP = 16
-GROUP_WORDS = 2_000_000
+GROUP_WORDS = 1_000_000
 
 #: One random number for each byte value, from a fixed seed.
 GEAR = np.random.default_rng(20240229).integers(0, 2**16, 256, dtype=np.uint16)
