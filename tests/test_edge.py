@@ -249,3 +249,13 @@ def test_exact_split_takes_the_lowest_hashes_then_keys(spark, monkeypatch, bits)
     assert {r["is_test"] for r in prep.exact_split(df, "id", 0.0).collect()} == {0}
     assert {r["is_test"] for r in prep.exact_split(df, "id", 1.0, ["k"]).collect()} == {1}
     assert prep.exact_split(df.limit(0), "id", 0.5, ["k"]).collect() == []
+
+
+def test_kept_tables_are_released(spark):
+    import os
+    from tidewater import session
+    kept = session.materialize(spark.range(5))
+    path = session._KEPT[-1].removeprefix("file://")
+    assert kept.count() == 5 and os.path.exists(path)
+    session.release(spark)
+    assert not os.path.exists(path) and not session._KEPT
