@@ -19,6 +19,17 @@ CASES = [
      ["unclosed tags", "go on", "x", "y", "1 2"]),
     ('<div role="navigation">n</div><main><div hidden>h</div><p title="a > b">t</p></main>', ["t"]),
     ("plain text only", ["plain text only"]),
+    ("<div class='content has-sidebar'><article><p>a</p></article></div>", ["a"]),
+    ("<article class='post comments-open'><p>a</p></article>", ["a"]),
+    ("<article><p>a</p><div class='ad-hoc-report'><p>b</p></div></article>", ["a", "b"]),
+    ("<article><p>a</p><section class='share-prices'>b</section><div class='related-work'>c</div></article>", ["a", "b", "c"]),
+    ("<article><p>long enough a text</p><div class='relatedPosts'>r</div><div class='cookie-notice'>c</div>"
+     "<div id='site-footer'>f</div></article>", ["long enough a text"]),
+    ("<form id='aspnet'><nav>n</nav><main><p>a</p><form>f</form></main></form>", ["a"]),
+    ("<div class='widget'><p>all of the text is in here</p></div>", ["all of the text is in here"]),
+    ("<main><p>the article</p><aside class='related'><article>teaser</article></aside></main>", ["the article"]),
+    ("<article><p>hi</p><div class='comments'><article class='comment'><p>much longer than the article</p></article>"
+     "</div></article>", ["hi"]),
     ("<nav>never closed <p>text</p>", ["never closed", "text"]),
     ("", []),
     ("<p></p><p> \n </p>", []),
@@ -110,5 +121,31 @@ def test_copies_in_a_row_ask_pages_farther_off(spark):
     assert {r.page_id: r.text for r in P.main_text(df).collect()} == want
 
 
+def test_shared_passages_stay_and_templates_go(spark):
+    """Neighbours that share a passage of their articles keep it, in plain and in named elements; templates go."""
+    rows, want = [], {}
+    for i in range(12):
+        own = [f"own line {i} of words", "a passage of two articles" if i in (4, 5) else f"other {i}", f"last words {i}"]
+        rows.append((i, f"http://u.org/{i:02d}", "<p>Top</p>" + "".join(f"<p>{t}</p>" for t in own) + "<p>End</p>"))
+        want[i] = "\n\n".join(own)
+        quoted = f"<blockquote class='q'>{own[1]}</blockquote>"
+        rows.append((100 + i, f"http://v.org/{i:02d}", f"<article><p>{own[0]}</p>{quoted}<p>{own[2]}</p></article>"))
+        want[100 + i] = "\n\n".join(own)
+    for i in range(2):  # two pages: only lines at the ends are template
+        rows.append((200 + i, f"http://w.org/{i}", f"<p>Top</p><p>mine {i}</p><p>shared</p><p>yours {i}</p><p>End</p>"))
+        want[200 + i] = f"mine {i}\n\nshared\n\nyours {i}"
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    assert {r.page_id: r.text for r in P.main_text(df).collect()} == want
+
+
+def test_very_long_page(spark):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(i, f"http://l.org/{i}", f"<p>Top</p><p>{long} {i}</p>" + "".join(f"<p>{i} {j}</p>" for j in range(3000)))
+            for i in range(3)] + [(9, "http://l.org/9", "<p>Top</p><p>short</p>")]
+    got = {r.page_id: r.text for r in P.main_text(spark.createDataFrame(
+        rows, "page_id bigint, url string, html string")).collect()}
+    assert got[9] == "short" and all(got[i].startswith(long + f" {i}\n\n{i} 0") for i in range(3))
+
+
 def test_empty_table(spark):
     assert P.main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0

@@ -3,11 +3,17 @@
 Each page is cut into lines, the blocks of its text. Lines inside elements that are never the
 article (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 reader comments) are left out, and so are those outside of the article or main element where a page marks one.
+A class or id names such an element if all its words do, with words for places and boxes beside them: ``ad-box`` and
+``site-footer`` are such names; ``has-sidebar``, ``share-prices`` and ``ad-hoc-report`` are not, and differencing
+decides on their lines. No element goes that holds a page's article, nor one named by its class that holds
+most of the text (but for reader comments).
 Every page is paired with the page of the same host, of the same kind (marked or not) if there is
 one, whose URL path is nearest in sorted order, and lines of the two are aligned by a longest common subsequence.
 On an unmarked page the shared lines are deleted. In a marked article markup is evidence on them: those of
-plain prose stay, those of a kind of named element (by class or id) go unless that kind has lines of the page's own. A
-neighbour that leaves no line over on either side, or whose lines left over are alike, is a copy and says nothing
+plain prose stay, those of a kind of named element (by class or id) go unless that kind has lines of the page's own. In both
+cases a line is boilerplate only if more than half of the host's pages hold it, for two articles may share a passage;
+on a host of fewer than ``FEW_PAGES`` different pages it also has to be part of a run of such lines at the page's
+beginning or end. A neighbour that leaves no line over on either side, or whose lines left over are alike, is a copy and says nothing
 about boilerplate; pages farther off are asked then.
 
 Pages of equal lines are one node. A node whose neighbours are copies asks those 2, 4, 8 ... places off, at
@@ -39,7 +45,8 @@ from tidewater.llm.setjoin import WordHashes
 
 # ---- markup ---------------------------------------------------------------------------------
 
-# Element names by what they are, and words of class, id and role names.
+# Element names by what they are, words of class, id and role names, and words that only say where
+# an element is or that it is a box.
 RAW = {"script", "style", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio",
        "video", "title"}
 DROPPED = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "input", "label"} | RAW
@@ -56,14 +63,22 @@ NAMED = {"ad", "ads", "advert", "adverts", "advertisement", "adsbygoogle", "spon
          "subscribe", "subscription", "signup", "comment", "comments", "reply", "replies", "disqus", "respond",
          "related", "recommended", "recommendations", "share", "sharing", "social", "widget", "toolbar", "pagination",
          "pager", "login", "copyright"}
-NAMED_OUTSIDE = {"header", "topbar", "site"}
+NAMED_OUTSIDE = {"header", "topbar"}
+COMMENTS = {"comment", "comments", "reply", "replies", "disqus", "respond"}
+PLACES = {"box", "block", "list", "bar", "section", "area", "container", "wrapper", "wrap", "inner", "outer", "left",
+          "right", "top", "bottom", "main", "site", "page", "global", "primary", "secondary", "form", "link", "links",
+          "button", "buttons", "icon", "icons", "item", "items", "post", "posts", "article", "articles", "story",
+          "stories", "entry", "slot", "unit", "title", "body", "text", "panel", "row", "col", "group", "thread", "js",
+          "media", "google", "mobile", "desktop", "fixed", "sticky", "header", "us", "this", "more"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "alertdialog", "form",
          "menu", "menubar", "status"}
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^>]*>""",
                     re.DOTALL)
 _ATTRIBUTE = re.compile(r"""([\w:-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-_NAME_WORD = re.compile(r"[a-z]+")
+_NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: An element named by its class stays if it holds more than this share of the text around it.
+MOST = 0.75
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -73,23 +88,67 @@ def _attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def _is_dropped(name: str, raw: str, in_main: bool) -> bool:
+def _names(attributes: dict[str, str], known: set[str]) -> bool:
+    """Whether a class or the id says one of ``known``, and nothing besides but where it is."""
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = {w.lower() for w in _NAME_WORD.findall(name)}
+        if words & known and all(w in known or w in NAMED or w in PLACES or len(w) == 1 for w in words):
+            return True
+    return False
+
+
+def _is_comment(name: str, raw: str) -> bool:
+    return bool(raw.strip()) and _names(_attributes(raw), COMMENTS)
+
+
+def _drop(name: str, raw: str, in_main: bool) -> int:
+    """0: the element stays; 1: it goes unless it holds most of the text; 2: it goes."""
     if name in DROPPED or (name in DROPPED_OUTSIDE and not in_main):
-        return True
-    if not raw.strip() or name in MAIN or name in ("html", "body"):
-        named = name in MAIN and "comment" in raw.lower()
-        return named and bool({"comment", "comments", "reply"} & _words_of(_attributes(raw)))
+        return 2
+    if not raw.strip() or name in ("html", "body"):
+        return 0
+    if name in MAIN:
+        return 2 if _is_comment(name, raw) else 0
     attributes = _attributes(raw)
     if attributes.get("role", "").lower() in ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true":
-        return True
+        return 2
     if attributes.get("style", "").replace(" ", "").lower().startswith("display:none"):
-        return True
-    words = _words_of(attributes)
-    return bool(words & NAMED) or (not in_main and bool(words & NAMED_OUTSIDE))
+        return 2
+    if _names(attributes, COMMENTS):
+        return 2
+    return int(_names(attributes, NAMED) or (not in_main and _names(attributes, NAMED_OUTSIDE)))
+
+
+class Weights:
+    """Characters of text between the tags, and the elements that are a page's articles.
+
+    An article is a marked element, no reader's comment, with at least half of the text of the largest one.
+    """
+
+    def __init__(self, page: str, tokens, closed_by: dict[int, int]):
+        self.total, at, sums = 0, 0, []
+        for start, end, *_ in tokens:
+            self.total += len(page[at:start].strip())
+            sums.append(self.total)
+            at = end
+        self.total += len(page[at:].strip())
+        self.sums = sums
+        marked = [(i, closed_by.get(i, len(tokens))) for i, (_, _, closing, name, raw) in enumerate(tokens)
+                  if name in MAIN and not closing and not _is_comment(name, raw)]
+        most = max((self.between(*x) for x in marked), default=0)
+        self.articles = [x for x in marked if 2 * self.between(*x) >= most]
 
+    def between(self, first: int, last: int) -> int:
+        return (self.sums[last] if last < len(self.sums) else self.total) - self.sums[first]
 
-def _words_of(attributes: dict[str, str]) -> set[str]:
-    return set(_NAME_WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
+    def holds_article(self, first: int, last: int) -> bool:
+        return any(first <= a and z <= last for a, z in self.articles)
+
+    def holds_most(self, first: int, last: int) -> bool:
+        """Most of the text of the innermost article around, or of the page if it marks none."""
+        around = [self.between(a, z) for a, z in self.articles if a < first and last < z]
+        whole = min(around) if around else self.total if not self.articles else None
+        return whole is not None and self.between(first, last) > MOST * whole
 
 
 def _closings(tokens) -> dict[int, int]:
@@ -144,6 +203,7 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
     """
     tokens = _tokens(page)
     closed_by = _closings(tokens)
+    weights = Weights(page, tokens, closed_by)
     found: list[tuple[str, int]] = []
     kinds: dict[str, int] = {}
     named: list[tuple[int, int]] = []  # closing token and kind of the open named elements of the article
@@ -166,10 +226,13 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
         at = end
         if not name:
             continue
-        if not closing and _is_dropped(name, raw, bool(main)) and (name in VOID or i in closed_by):
-            if name not in VOID:
-                flush()
-                skip = closed_by[i]
+        drop = 0 if closing else _drop(name, raw, bool(main))
+        if drop and name in VOID:
+            continue
+        if drop and i in closed_by and not weights.holds_article(i, closed_by[i]) and (
+                drop == 2 or not weights.holds_most(i, closed_by[i])):
+            flush()
+            skip = closed_by[i]
             continue
         if name in BLOCK or name in MAIN:
             flush()
@@ -414,11 +477,39 @@ def deletions(cut: DataFrame) -> DataFrame:
         open_ = mine.join(broadcast_if_small(left, 8), "row").where(F.greatest(F.col("n") - F.col("first"),
                                                                              F.col("last") - F.col("n")) > off)
         off *= 2
-    of_nodes = reduce(DataFrame.union, found).join(nodes, "row").select("host", "marked", "same", "gone")
+    of_nodes = on_most_pages(keep_table(reduce(DataFrame.union, found), "page-gone"), nodes, cut)
     return pages.join(broadcast_if_small(keep_table(of_nodes, "node-deletions"), 256),
                       ["host", "marked", "same"]).select("row", "gone")
 
 
+FEW_PAGES = 4
+HOST_PARTS = 32
+
+
+def on_most_pages(gone: DataFrame, nodes: DataFrame, cut: DataFrame) -> DataFrame:
+    """(host, marked, same, gone) of (row, gone): positions whose line more than half of the host's nodes hold.
+
+    Nodes count with those of their kind of markup. Common lines of a host are fewer than two pages of its lines;
+    they are dealt to ``HOST_PARTS`` parts of the host's rows.
+    """
+    host = ["host", "marked"]
+    some = broadcast_if_small(keep_table(gone.join(nodes, "row").select(*host).distinct(), "gone-hosts"), 64)
+    lines = nodes.join(some, host, "left_semi").select(*host, "same", "row").join(cut.select("row", "lines"), "row")
+    holders = lines.select(*host, F.explode(F.array_distinct("lines")).alias("line")).groupBy(*host, "line").agg(
+        F.count("*").alias("holders"))
+    sizes = nodes.groupBy(*host).agg(F.count("*").alias("of"))
+    common = (holders.join(sizes, host).where("2 * holders > of").groupBy(*host, "of")
+              .agg(F.collect_list("line").alias("common"))  # under twice the lines of a mean page
+              .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(HOST_PARTS - 1)))))
+    met = (gone.join(lines, "row").withColumn("part", F.pmod(F.xxhash64("row"), F.lit(HOST_PARTS)).cast("int"))
+           .join(common, [*host, "part"])
+           .withColumn("gone", F.filter("gone", lambda at: F.array_contains("common", F.get("lines", at)))))
+    # sorted positions: the first n are 0 to n - 1 in a run from the beginning, and likewise from the end
+    at_ends = F.filter("gone", lambda at, k: (at == k) | (at - k == F.size("lines") - F.size("gone")))
+    return (met.withColumn("gone", F.when(F.col("of") < FEW_PAGES, at_ends).otherwise(F.col("gone")))
+            .where(F.size("gone") > 0).select(*host, "same", "gone"))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     cut = keep_table(cut_pages(pages).withColumn("row", F.monotonically_increasing_id()), "page-blocks")
