@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewater.llm import katz
 
@@ -103,3 +104,20 @@ def test_every_history_sums_to_one(spark):
         # log p(history w end) - log p(end | w) is not directly given, so compare with the dictionaries
         want = {k: s for k, *_, s in brute(base + probes, 2)}
         assert all(score[k] == pytest.approx(want[k], rel=1e-9) for k in score)
+
+
+def test_higher_orders_score_held_out_texts_better(spark):
+    """Each order adds log probability to the documents that were not learnt from."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    scores = [katz.learn(docs, order).scores().where("held_out").agg(F.sum("score")).first()[0] for order in (1, 2, 3)]
+    assert scores[0] < scores[1] < scores[2]
+
+
+def test_very_long_text(spark):
+    long = " ".join(f"w{i % 977}" for i in range(200_000))
+    rows = [(0, long), (1, long), (2, "w1 w2 w3"), (5, "w1 w2 w3 other")]
+    got = {r.doc_id: r for r in katz.learn(spark.createDataFrame(rows, "doc_id bigint, text string"), 3).scores().collect()}
+    learnt = Counter(w for k, t in rows if zlib.crc32(str(k).encode()) % 5 != 1 for w in words(t))
+    for k, t in rows:
+        want = len(words(t)), sum(w in learnt for w in words(t)), learnt.total()
+        assert (got[k].n_tokens, got[k].n_known, got[k].train_tokens) == want and got[k].score < 0

@@ -24,7 +24,7 @@ def op2_benchmark_decontamination(spark, sf_dir):
 
 
 def op3_lm_scoring(spark, sf_dir):
-    return katz.learn(table(spark, sf_dir, "documents")).scores()
+    return katz.learn(table(spark, sf_dir, "documents"), order=3).scores()
 
 
 def op4_ngram_jaccard_join(spark, sf_dir):
