@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 from tidewater.llm.columns import coded, get, put, steps
 from tidewater.llm.common import bounded_batches, keep_bucketed, keep_table, map_batches, texts_of
 
-CHUNK_TOKENS = 2_000_000
-BUCKET_TOKENS = 3_000_000
+CHUNK_TOKENS = 1_000_000
+BUCKET_TOKENS = 1_500_000
 #: Counts up to this are discounted; larger ones are taken as they are.
 LARGEST_DISCOUNTED = 5
 START = 0  # the history before a text's first token
@@ -128,7 +128,7 @@ class Plan:
     discounts: tuple[tuple[float, ...], ...] = ()  # of orders 2, 3, ...
 
     def unit(self, level: int) -> float:
-        """Lower-order probabilities of level 2 are odd multiples of this; others have no unit."""
+        """Lower-order probabilities of level 2 are odd multiples of this; others are sent as discounted counts."""
         return 0.5 / (self.n + 0.5 * (self.v + 1)) if level == 2 else 0.0
 
 
@@ -246,6 +246,7 @@ class ChunkState:
         self.p = self.base
         self.gram = self.word[self.tokens]  # name of the n-gram that ends at each token
         self.gram_count = self.count[self.tokens]
+        self.top = self.scale = None
         self.level = 1
 
     @property
@@ -258,13 +259,15 @@ class ChunkState:
         before[self.first] = START
         times = np.concatenate([[0], self.gram_count[:-1]])
         times[self.first] = self.plan.starts
-        self.history, at, local = np.unique(before, return_index=True, return_inverse=True)
-        self.history_count = times[at]
+        self.history, of_history, local = np.unique(before, return_index=True, return_inverse=True)
+        self.history_count = times[of_history]
         pair = (local.astype(np.uint64) << np.uint64(32)) | self.tokens.astype(np.uint64)
         pair, at, self.pair_of_token = np.unique(pair, return_index=True, return_inverse=True)
         self.pair_history = (pair >> np.uint64(32)).astype(np.int64)
         self.pair_word = self.word[(pair & np.uint64(0xFFFFFFFF)).astype(np.int64)]
         self.pair_lower = self.p[at]
+        if self.top is not None:
+            self.pair_top, self.history_scale = self.top[at], self.scale[of_history]
         # a history with more than a bucket's share is split by the word that follows
         self.splits = np.clip(np.ceil(self.history_count / self.plan.hot), 1, self.plan.buckets).astype(np.uint64)
         shift = self.pair_word // np.uint64(self.plan.buckets) % self.splits[self.pair_history]
@@ -298,8 +301,9 @@ class ChunkState:
             gaps = np.diff(words, prepend=np.uint64(0))  # wraps around where a history begins
             begin = (np.cumsum(each) - each)[each > 0]
             gaps[begin] = words[begin]
+            lower = self.pair_lower if self.top is None else self.pair_top
             yield b, put(steps(self.history[histories]), each.astype(np.uint32), gaps,
-                         counts[mine].astype(np.uint32), *_masses(self.pair_lower[mine], self.unit))
+                         counts[mine].astype(np.uint32), *_masses(lower[mine], self.unit))
 
     def answers(self, payloads: dict[int, bytes], discounts: tuple[float, ...]) -> None:
         """Answers of the next level: counts of pairs and sums of histories; moves one level up."""
@@ -313,6 +317,8 @@ class ChunkState:
             sums[histories, :2] += np.column_stack(columns[:2])
             sums[histories, 3:] += np.column_stack(columns[2:])
             sums[histories, 2] += _masses_of(parts, values, self.unit)
+        if self.top is not None:
+            sums[:, 2] /= self.history_scale
         total, types, lower = sums[:, 0], sums[:, 1], sums[:, 2]
         off = np.array([r * (1 - d) for r, d in enumerate(discounts, 1)])
         saved = sums[:, 3:] @ off
@@ -324,6 +330,10 @@ class ChunkState:
         cut = np.where(flat[self.pair_history], np.minimum(count, 0.5), cut)
         p = np.where(count > 0, (count - cut) / seen[self.pair_history],
                      weight[self.pair_history] * self.pair_lower)
+        # an n-gram learnt one level up is learnt here, so its lower mass is (count - cut) / seen: few values to send,
+        # and one divisor for each history
+        self.top = np.where(count > 0, count - cut, 0.0)[self.pair_of_token]
+        self.scale = seen[self.pair_history][self.pair_of_token]
         self.p = p[self.pair_of_token]
         self.gram = gram[self.pair_of_token]
         self.gram_count = count[self.pair_of_token]
