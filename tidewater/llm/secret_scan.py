@@ -3,9 +3,11 @@
 Three fixed patterns find labelled credentials in every text. From a bounded
 sample of their distinct values one probabilistic automaton is inferred for
 each kind, and one more from strings of the same alphabet that no pattern claims.
-Every candidate string outside the patterns' spans is then scored: where the
-likeliest format beats the background by enough bits a character, its span is added
-as kind ``format``. Spans of the patterns always stay.
+Every candidate string of ``MIN_ASSIGN`` characters or more outside the patterns' spans is then scored, whole and,
+where that finds nothing, in its parts between ``=``, ``/`` and ``:``. Where the likeliest format
+beats the background by enough bits a character, and by ``MIN_BITS`` in all, its span is added
+as kind ``format``. The second bound is a prior: one ordinary string in 2^24 may look that much like a credential, so
+a short one needs a format unlike ordinary words. Spans of the patterns always stay.
 
 Defined results: a null or empty text has no spans; rows are handled one by one;
 an empty table, or one with fewer than ``MIN_EXAMPLES`` examples of either side,
@@ -19,6 +21,7 @@ import re
 from dataclasses import dataclass
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,14 +36,19 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "format")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+MIN_LENGTH = MIN_ASSIGN  # the shortest labelled credential
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{MIN_LENGTH},}}")
+PART = re.compile(r"[^=/]+")
 EDGES = ".-_/"
-MIN_LENGTH = 16
 #: At most so many distinct examples of each kind are learnt from: those with the smallest hashes.
 TRAINING_EXAMPLES = 1000
 MIN_EXAMPLES = 20
 #: Bits a character by which a format has to beat the background, and the share of examples that may fall below.
 MIN_MARGIN = 1.0
+#: Bits by which it has to beat it in all.
+MIN_BITS = 24.0
+#: Verdicts on strings that a task remembers, for words come again.
+REMEMBERED = 200_000
 LOST_SHARE = 0.05
 MASK = "[SECRET]"
 
@@ -90,39 +98,76 @@ class Formats:
         base = self.background.log2(value)
         return {k: (a.log2(value) - base) / (len(value) + 1) for k, a in self.kinds.items()}
 
-    def added(self, text: str, taken) -> list[tuple[int, int, str, str]]:
+    def is_credential(self, value: str) -> bool:
+        return any(x >= self.margins[k] and x * (len(value) + 1) >= MIN_BITS for k, x in self.bits(value).items())
+
+    def found_in(self, value: str) -> list[tuple[int, int]]:
+        """(start, end) in a candidate of what reads as a credential: all of it, or parts of it."""
+        if self.is_credential(value):
+            return [(0, len(value))]
+        out = []
+        for m in PART.finditer(value):
+            part = m[0].strip(EDGES)
+            if MIN_LENGTH <= len(part) < len(value) and self.is_credential(part):
+                start = m.start() + len(m[0]) - len(m[0].lstrip(EDGES))
+                out.append((start, start + len(part)))
+        return out
+
+    def added(self, text: str, taken, known: dict[str, list[tuple[int, int]]] | None = None):
+        """Spans beside those ``taken``; ``known`` remembers what was found in strings met before."""
         if self.background is None or not self.kinds:
             return []
-        return [(start, end, "format", value) for start, end, value in candidates(text, taken)
-                if any(x >= self.margins[k] for k, x in self.bits(value).items())]
-
-    def spans(self, text: str) -> list[tuple[int, int, str, str]]:
+        known = {} if known is None else known
+        out = []
+        for start, _, value in candidates(text, taken):
+            found = known.get(value)
+            if found is None:
+                found = self.found_in(value)
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                if len(value) <= 64:
+                    known[value] = found
+            out += [(start + a, start + z, "format", value[a:z]) for a, z in found]
+        return out
+
+    def spans(self, text: str, known: dict[str, list[tuple[int, int]]] | None = None) -> list[tuple[int, int, str, str]]:
         base = base_spans(text)
-        return sorted(base + self.added(text, base), key=_order)
+        return sorted(base + self.added(text, base, known), key=_order)
 
 
-def examples(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Distinct (kind, value) of all texts: labelled credentials, and ``other`` for unclaimed strings."""
+def examples(docs: DataFrame, text: str = "text", most: int = TRAINING_EXAMPLES) -> DataFrame:
+    """(kind, value, h): labelled credentials, and ``other`` for unclaimed strings, with a hash that orders them.
 
+    A task hands on the ``most`` distinct values of each kind with the smallest hashes, which the smallest of all are among.
+    """
     def run(batches):
+        best: dict[str, dict[str, int]] = {k: {} for k in (*KINDS[:-1], "other")}
+
+        def least(kind):
+            ranked = sorted(best[kind].items(), key=lambda x: (x[1], x[0]))[:most]
+            best[kind] = dict(ranked)
+            return ranked
+
         for batch in batches:
-            rows = set()
             for t in texts_of(batch.column(0)):
                 base = base_spans(t)
-                rows.update((kind, value) for _, _, kind, value in base)
-                rows.update(("other", value) for _, _, value in candidates(t, base))
-            rows = sorted(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], pa.string()) for i in (0, 1)],
-                                             ["kind", "value"])
+                for kind, values in (*((k, (v,)) for _, _, k, v in base), ("other", {v for *_, v in candidates(t, base)})):
+                    own = best[kind]
+                    own.update((v, xxhash.xxh3_64_intdigest(v.encode()) >> 1) for v in values if v not in own)
+                    if len(own) > 20 * most:
+                        least(kind)
+        rows = [(kind, value, h) for kind in best for value, h in least(kind)]
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate(
+            (pa.string(), pa.string(), pa.int64()))], ["kind", "value", "h"])
 
-    return map_batches(docs.select(text), run, "kind string, value string").distinct()
+    return map_batches(docs.select(text), run, "kind string, value string, h bigint").distinct()
 
 
 def learn_formats(docs: DataFrame, text: str = "text", most: int = TRAINING_EXAMPLES) -> Formats:
     """Automata from at most ``most`` examples a kind, chosen by hash from all documents."""
     first = Window.partitionBy("kind").orderBy("h", "value")
-    sample = (examples(docs, text).withColumn("h", F.xxhash64("value"))
-              .withColumn("n", F.row_number().over(first)).where(F.col("n") <= most).select("kind", "value"))
+    sample = (examples(docs, text, most).withColumn("n", F.row_number().over(first))
+              .where(F.col("n") <= most).select("kind", "value"))
     by_kind: dict[str, list[str]] = {}
     for kind, value in keep_table(sample, "secret-examples").collect():  # bounded by ``most``
         by_kind.setdefault(kind, []).append(value)
@@ -149,11 +194,12 @@ def scan(docs: DataFrame, formats: Formats, key: str = "doc_id", text: str = "te
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
+        known: dict[str, list[tuple[int, int]]] = {}
         for batch in batches:
             cols: list[list] = [[], [], [], [], [], []]
             for t in texts_of(batch.column(1)):
                 base = base_spans(t)
-                added = formats.added(t, base)
+                added = formats.added(t, base, known)
                 counts = [sum(s[2] == k for s in base) for k in KINDS[:3]]
                 row = [*counts, hashlib.sha256(_joined(base).encode()).hexdigest(),
                        _joined(sorted(base + added, key=_order)), len(added)]
@@ -187,9 +233,10 @@ def mask(docs: DataFrame, formats: Formats, text: str = "text") -> DataFrame:
     at = docs.columns.index(text)
 
     def run(batches):
+        known: dict[str, list[tuple[int, int]]] = {}
         for batch in batches:
             raw = batch.column(at).to_pylist()
-            clean = [t and mask_text(t, formats.spans(t)) for t in raw]
+            clean = [t and mask_text(t, formats.spans(t, known)) for t in raw]
             arrays = list(batch.columns)
             arrays[at] = pa.array(clean, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
