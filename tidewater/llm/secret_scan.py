@@ -47,7 +47,7 @@ MIN_EXAMPLES = 20
 MIN_MARGIN = 1.0
 #: Bits by which it has to beat it in all.
 MIN_BITS = 24.0
-#: Verdicts on strings that a task remembers, for words come again.
+#: Strings that a task remembers, for words come again.
 REMEMBERED = 200_000
 LOST_SHARE = 0.05
 MASK = "[SECRET]"
@@ -113,26 +113,30 @@ class Formats:
                 out.append((start, start + len(part)))
         return out
 
-    def added(self, text: str, taken, known: dict[str, list[tuple[int, int]]] | None = None):
-        """Spans beside those ``taken``; ``known`` remembers what was found in strings met before."""
+    def added(self, text: str, taken, clean: set[str] | None = None):
+        """Spans beside those ``taken``; ``clean`` remembers strings without any, so that most texts end there."""
         if self.background is None or not self.kinds:
             return []
-        known = {} if known is None else known
-        out = []
-        for start, _, value in candidates(text, taken):
-            found = known.get(value)
-            if found is None:
-                found = self.found_in(value)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                if len(value) <= 64:
-                    known[value] = found
-            out += [(start + a, start + z, "format", value[a:z]) for a, z in found]
-        return out
+        clean = set() if clean is None else clean
+        new = set(CANDIDATE.findall(text)) - clean
+        suspects = {raw for raw in new if len(value := raw.strip(EDGES)) >= MIN_LENGTH and self.found_in(value)}
+        remember(clean, new - suspects)
+        if not suspects:
+            return []
+        suspects = {raw.strip(EDGES) for raw in suspects}
+        return [(start + a, start + z, "format", value[a:z]) for start, _, value in candidates(text, taken)
+                if value in suspects for a, z in self.found_in(value)]
 
-    def spans(self, text: str, known: dict[str, list[tuple[int, int]]] | None = None) -> list[tuple[int, int, str, str]]:
+    def spans(self, text: str, clean: set[str] | None = None) -> list[tuple[int, int, str, str]]:
         base = base_spans(text)
-        return sorted(base + self.added(text, base, known), key=_order)
+        return sorted(base + self.added(text, base, clean), key=_order)
+
+
+def remember(known: set[str], new: set[str]) -> None:
+    """``new`` joins ``known``, which starts anew when full; very long strings are not kept."""
+    if len(known) >= REMEMBERED:
+        known.clear()
+    known.update(x for x in new if len(x) <= 64)
 
 
 def examples(docs: DataFrame, text: str = "text", most: int = TRAINING_EXAMPLES) -> DataFrame:
@@ -142,6 +146,7 @@ def examples(docs: DataFrame, text: str = "text", most: int = TRAINING_EXAMPLES)
     """
     def run(batches):
         best: dict[str, dict[str, int]] = {k: {} for k in (*KINDS[:-1], "other")}
+        met: set[str] = set()
 
         def least(kind):
             ranked = sorted(best[kind].items(), key=lambda x: (x[1], x[0]))[:most]
@@ -151,7 +156,13 @@ def examples(docs: DataFrame, text: str = "text", most: int = TRAINING_EXAMPLES)
         for batch in batches:
             for t in texts_of(batch.column(0)):
                 base = base_spans(t)
-                for kind, values in (*((k, (v,)) for _, _, k, v in base), ("other", {v for *_, v in candidates(t, base)})):
+                if base:
+                    other = {v for *_, v in candidates(t, base)}
+                else:
+                    new = set(CANDIDATE.findall(t)) - met
+                    remember(met, new)
+                    other = {v for raw in new if len(v := raw.strip(EDGES)) >= MIN_LENGTH}
+                for kind, values in (*((k, (v,)) for _, _, k, v in base), ("other", other)):
                     own = best[kind]
                     own.update((v, xxhash.xxh3_64_intdigest(v.encode()) >> 1) for v in values if v not in own)
                     if len(own) > 20 * most:
@@ -194,12 +205,12 @@ def scan(docs: DataFrame, formats: Formats, key: str = "doc_id", text: str = "te
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        known: dict[str, list[tuple[int, int]]] = {}
+        clean: set[str] = set()
         for batch in batches:
             cols: list[list] = [[], [], [], [], [], []]
             for t in texts_of(batch.column(1)):
                 base = base_spans(t)
-                added = formats.added(t, base, known)
+                added = formats.added(t, base, clean)
                 counts = [sum(s[2] == k for s in base) for k in KINDS[:3]]
                 row = [*counts, hashlib.sha256(_joined(base).encode()).hexdigest(),
                        _joined(sorted(base + added, key=_order)), len(added)]
@@ -233,10 +244,10 @@ def mask(docs: DataFrame, formats: Formats, text: str = "text") -> DataFrame:
     at = docs.columns.index(text)
 
     def run(batches):
-        known: dict[str, list[tuple[int, int]]] = {}
+        clean: set[str] = set()
         for batch in batches:
             raw = batch.column(at).to_pylist()
-            clean = [t and mask_text(t, formats.spans(t, known)) for t in raw]
+            clean = [t and mask_text(t, formats.spans(t, clean)) for t in raw]
             arrays = list(batch.columns)
             arrays[at] = pa.array(clean, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
