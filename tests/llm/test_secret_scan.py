@@ -102,6 +102,22 @@ def test_masking(spark):
     assert all(not brute(t) for t in got.values())
 
 
+def test_masking_by_formats_over_many_batches(spark):
+    """Strings remembered from one batch serve the next ones; masked and scanned spans are the same."""
+    train = [(i, f"{words(30)} password={HEX(18)} {words(20)}") for i in range(300)]
+    bare = [(1000 + i, f"{words(5)} {HEX(18)} {words(5)}") for i in range(40)]
+    formats = S.learn_formats(spark.createDataFrame(train, "doc_id bigint, text string"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        df = spark.createDataFrame(bare, "doc_id bigint, text string").coalesce(1)
+        masked = {r.doc_id: r.text for r in S.mask(df, formats).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = {k: S.mask_text(t, formats.spans(t)) for k, t in bare}
+    assert masked == want and sum(S.MASK in t for t in masked.values()) >= 32
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert S.scan(df, S.learn_formats(df)).count() == 0

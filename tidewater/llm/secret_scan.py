@@ -247,9 +247,9 @@ def mask(docs: DataFrame, formats: Formats, text: str = "text") -> DataFrame:
         clean: set[str] = set()
         for batch in batches:
             raw = batch.column(at).to_pylist()
-            clean = [t and mask_text(t, formats.spans(t, clean)) for t in raw]
+            masked = [t and mask_text(t, formats.spans(t, clean)) for t in raw]
             arrays = list(batch.columns)
-            arrays[at] = pa.array(clean, batch.schema.field(at).type)
+            arrays[at] = pa.array(masked, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
 
     return map_batches(docs, run, docs.schema)
