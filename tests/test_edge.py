@@ -259,3 +259,27 @@ def test_kept_tables_are_released(spark):
     assert kept.count() == 5 and os.path.exists(path)
     session.release(spark)
     assert not os.path.exists(path) and not session._KEPT
+
+
+@pytest.fixture
+def no_size_broadcast(spark):
+    """A planner that sends a side to every task only when it is told to, as it does when it cannot know the size."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _joins(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("BroadcastHashJoin"), plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin")
+
+
+def test_exact_split_moves_no_stratum_to_one_task(spark, no_size_broadcast, monkeypatch):
+    df = spark.range(400).select("id", F.when(F.col("id") % 5 > 0, F.lit("a")).alias("k"))
+    few = prep.exact_split(df, "id", 0.3, ["k"])
+    assert _joins(few) == (1, 0)
+    monkeypatch.setattr(prep, "FEW_GROUPS", 1)  # too many strata to send: same rows
+    many = prep.exact_split(df, "id", 0.3, ["k"])
+    assert _joins(many) == (0, 1)
+    assert sorted(few.collect(), key=str) == sorted(many.collect(), key=str)
+    assert sorted((r["k"] or "", r["n"]) for r in few.where("is_test = 1").groupBy("k").agg(F.count("*").alias("n")).collect()) == [("", 24), ("a", 96)]

@@ -180,6 +180,20 @@ def fit_standardiser(df: DataFrame, cols: Sequence[str], groups: Sequence[str] =
     return stats
 
 
+#: Rows that a table of one row a group (or stratum) has at most to be sent to every task.
+FEW_GROUPS = 10_000
+
+
+def small_side(per_group: DataFrame) -> DataFrame:
+    """One row a group, computed once; sent to every task if there are few groups.
+
+    Left to a join by shuffle, the rows of a large group would all go to one task, and the planner
+    learns that there are few groups only when the rows are on their way.
+    """
+    kept = materialize(per_group)
+    return F.broadcast(kept) if kept.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS else kept
+
+
 def apply_standardiser(df: DataFrame, stats: DataFrame, cols: Sequence[str], groups: Sequence[str] = (),
                        prefix: str = "z_") -> DataFrame:
     """(x - mean) / std with broadcast statistics (one row, or one per group)."""
@@ -238,7 +252,7 @@ def exact_split(df: DataFrame, key: str, test_fraction: float, strata: Sequence[
     counted = rows.groupBy(*names, high).agg(F.count(F.lit(1)).alias("_c"))
     size = F.sum("_c").over(Window.partitionBy(*names))  # 65,536 rows a stratum at most
     wanted = counted.withColumn("_take", F.ceil(size * F.lit(float(test_fraction))).cast("long"))
-    bucket = _cut(wanted, names, "_b", "_take").withColumnsRenamed({"_left": "_take"})
+    bucket = small_side(_cut(wanted, names, "_b", "_take").withColumnsRenamed({"_left": "_take"}))
     inside = materialize(rows.select(*names, F.col(f"`{key}`").alias("_key"), "_h", high).join(bucket, [*names, "_b"])
                          .groupBy(*names, "_h", "_key", "_take").agg(F.count(F.lit(1)).alias("_c")))
     hashes = inside.groupBy(*names, "_take", low).agg(F.sum("_c").alias("_c"), F.max("_h").alias("_last"))
@@ -247,5 +261,5 @@ def exact_split(df: DataFrame, key: str, test_fraction: float, strata: Sequence[
     cuts = _cut(tied, names, "_key", "_want").select(*names, "_last", F.col("_key").alias("_last_key"))
     side = F.when((F.col("_h") < F.col("_last")) | ((F.col("_h") == F.col("_last")) & (F.col(f"`{key}`") <= F.col("_last_key"))),
                   1).otherwise(0)
-    return (rows.join(cuts, names, "left").withColumn(out, side)  # one row a stratum: AQE broadcasts it when small
+    return (rows.join(small_side(cuts), names, "left").withColumn(out, side)
             .drop(*names, "_h", "_last", "_last_key"))
