@@ -283,3 +283,19 @@ def test_exact_split_moves_no_stratum_to_one_task(spark, no_size_broadcast, monk
     assert _joins(many) == (0, 1)
     assert sorted(few.collect(), key=str) == sorted(many.collect(), key=str)
     assert sorted((r["k"] or "", r["n"]) for r in few.where("is_test = 1").groupBy("k").agg(F.count("*").alias("n")).collect()) == [("", 24), ("a", 96)]
+
+
+def test_standardising_by_group_moves_no_group_to_one_task(spark, no_size_broadcast, monkeypatch):
+    df = spark.range(100).select("id", F.when(F.col("id") < 97, F.col("id") % 2).alias("g"), (F.col("id") * 1.5).alias("x"))
+
+    def scaled():
+        return prep.apply_standardiser(df, prep.fit_standardiser(df, ["x"], ["g"]), ["x"], ["g"])
+
+    few = scaled()
+    assert _joins(few) == (1, 0)
+    assert few.count() == 97  # rows without a group are in none
+    monkeypatch.setattr(prep, "FEW_GROUPS", 1)
+    many = scaled()
+    assert _joins(many) == (0, 1)
+    assert sorted(few.collect()) == sorted(many.collect())
+    assert few.agg(F.round(F.avg("z_x"), 9)).first()[0] == 0

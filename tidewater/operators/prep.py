@@ -197,8 +197,7 @@ def small_side(per_group: DataFrame) -> DataFrame:
 def apply_standardiser(df: DataFrame, stats: DataFrame, cols: Sequence[str], groups: Sequence[str] = (),
                        prefix: str = "z_") -> DataFrame:
     """(x - mean) / std with broadcast statistics (one row, or one per group)."""
-    # one row (broadcast), or one row per group (plain join; AQE decides from its measured size)
-    j = df.join(stats, list(groups), "inner") if groups else df.crossJoin(F.broadcast(stats))
+    j = df.join(small_side(stats), list(groups), "inner") if groups else df.crossJoin(F.broadcast(stats))
     for c in cols:
         j = j.withColumn(f"{prefix}{c}", (F.col(c) - F.col(f"_mu_{c}")) / F.col(f"_sd_{c}"))
     return j.drop(*[f"_mu_{c}" for c in cols], *[f"_sd_{c}" for c in cols])
