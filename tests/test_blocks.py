@@ -84,3 +84,27 @@ def test_calendar_reaches_back_as_far_as_the_data(spark):
     cal = periods.weekend_periods(a, "anchor_utc", 12, periods.weeks_between(first, last)).collect()
     assert len(cal) >= 26 and min(r.start_utc for r in cal) <= datetime(2024, 1, 5)
     assert [r.week_priority for r in sorted(cal, key=lambda r: r.week)][:13] == [*range(12, 0, -1), 1]
+
+
+@pytest.mark.parametrize("case", ["plain", "far", "outlier", "grid", "copies", "tiny", "nan", "inf", "overflow"])
+def test_knn_product_leaves_out_no_near_reference(monkeypatch, case):
+    """The same numbers as a full sort of direct differences; differences are taken of few references."""
+    rng = np.random.default_rng(5)
+    q, r = rng.normal(size=(40, 16)), rng.normal(size=(900, 16))
+    if case == "far":
+        q, r = q + 1e7, r + 1e7
+    elif case == "outlier":
+        r[7] = 1e9
+    elif case == "grid":  # equal distances all over
+        q, r = np.round(q), np.round(r)
+    elif case == "copies":
+        r[:] = r[0]
+    elif case == "tiny":
+        q, r = q * 1e-160, r * 1e-160
+    elif case in ("nan", "inf", "overflow"):
+        r[3, 2] = {"nan": np.nan, "inf": np.inf, "overflow": 1e200}[case]
+    with np.errstate(all="ignore"):
+        want = neighbors._first(q, r, 7)
+        if case in ("plain", "far"):
+            monkeypatch.setattr(neighbors, "_distances", None)  # no full table of differences
+        assert (neighbors._first_of_few(q, r, 7) == want).all()

@@ -11,9 +11,10 @@ and not by the product of their sizes. The result is exact.
 
 A unit of work is a block of queries with a block of one cell's references; a crowded
 cell has several of both, so no unit holds more than one block of either side. Up to
-``REFERENCE_BLOCK`` references make one cell, which is then all there is. Distances are
-taken from direct differences, so they do not depend on how far the vectors lie from
-the origin. Ties go to the smaller id, and votes to the smaller label. Rows without a
+``REFERENCE_BLOCK`` references make one cell, which is then all there is. In a unit a matrix
+product rules out the references that its rounding error cannot make near enough. Distances of
+the others are taken from direct differences, so they do not depend on how far the vectors lie
+from the origin. Ties go to the smaller id, and votes to the smaller label. Rows without a
 vector are left out. Nothing but the pivots and row counts reaches the driver.
 """
 
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +40,16 @@ SLAB = 256  # queries compared at once
 CANDIDATES = "query_id bigint, ref_id bigint, distance double, ref_label bigint"
 #: Bounds are lowered by this share, for they are rounded.
 SLACK = 1e-9
+#: Rounding errors of a squared distance by a product, in units of (dimensions + 8) * eps * norms; about 2 are possible.
+PRODUCT_ERROR = 16
 
 
 def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64)
+    rows = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    lengths = pc.min_max(pc.list_value_length(rows)).as_py()
+    if rows.null_count or lengths["min"] != lengths["max"]:
+        return np.array(rows.to_pylist(), np.float64)
+    return rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), lengths["max"] or 0)
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -51,6 +59,37 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(squares)
 
 
+def _first(q: np.ndarray, r: np.ndarray, n: int) -> np.ndarray:
+    """Numbers of the n nearest references of each query in order, ties by the smaller number."""
+    return np.argsort(_distances(q, r), axis=1, kind="stable")[:, :n]
+
+
+def _first_of_few(q: np.ndarray, r: np.ndarray, n: int) -> np.ndarray:
+    """``_first``, with direct differences only for the references that may be among the n nearest.
+
+    One matrix product gives every squared distance up to a rounding error that is bounded by the
+    norms about the references' centre; a reference whose least is over the n-th smallest greatest is left out.
+    """
+    centre = r.mean(axis=0)
+    qc, rc = q - centre, r - centre
+    qn, rn = (qc ** 2).sum(axis=1), (rc ** 2).sum(axis=1)
+    error = PRODUCT_ERROR * (q.shape[1] + 8) * np.finfo(np.float64).eps
+    most = qc @ (-2 * rc.T)
+    most += ((1 + error) * qn)[:, None]
+    most += ((1 + error) * rn)[None, :]
+    if not np.isfinite(most).all():
+        return _first(q, r, n)
+    bound = np.partition(most, n - 1, axis=1)[:, n - 1] + 2 * error * qn + np.finfo(np.float64).tiny * q.shape[1]
+    most -= (2 * error * rn)[None, :]
+    row, at = np.nonzero(most <= bound[:, None])
+    squares = np.zeros(len(row))
+    for i in range(q.shape[1]):
+        squares += (q[row, i] - r[at, i]) ** 2
+    order = np.lexsort((at, np.sqrt(squares), row))
+    start = np.searchsorted(row, np.arange(len(q)))  # rows come in order, so each keeps its place
+    return at[order][start[:, None] + np.arange(n)]
+
+
 def _nearest(k: int):
     """The k nearest references of each query of one unit, ties by the smaller id."""
     schema = pa.schema([("query_id", pa.int64()), ("ref_id", pa.int64()), ("distance", pa.float64()),
@@ -64,8 +103,7 @@ def _nearest(k: int):
         by_id = np.argsort(r_ids, kind="stable")
         r_ids, r, labels = r_ids[by_id], r[by_id], labels[by_id]
         n = min(k, len(r_ids))
-        at = np.concatenate([np.argsort(_distances(q[a:a + SLAB], r), axis=1, kind="stable")[:, :n]
-                             for a in range(0, len(q), SLAB)])
+        at = np.concatenate([_first_of_few(q[a:a + SLAB], r, n) for a in range(0, len(q), SLAB)])
         distance = np.sqrt(((q[:, None, :] - r[at]) ** 2).sum(axis=2))
         return pa.table([np.repeat(q_ids, n), r_ids[at].ravel(), distance.ravel(), labels[at].ravel()], schema=schema)
 
