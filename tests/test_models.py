@@ -226,3 +226,35 @@ def test_g8_closed_form_agrees_with_mllib(spark, lineitem_z):
     both = models.naive_bayes_gaussian().fit(lineitem_z).transform(lineitem_z).withColumn(
         "closed", models.gaussian_class(state, names))
     assert both.where("prediction <> closed").count() == 0
+
+
+def test_fits_run_side_by_side_in_order(spark):
+    import threading
+    met = threading.Barrier(2)
+
+    def fit(name):
+        met.wait(timeout=60)  # one alone never gets past it
+        return name, spark.range(10).count()
+
+    assert list(models.side_by_side(spark, [lambda n=n: fit(n) for n in "abcd"])) == [(n, 10) for n in "abcd"]
+
+    def broken():
+        raise ValueError("no fit")
+    with pytest.raises(ValueError, match="no fit"):
+        list(models.side_by_side(spark, [broken, lambda: 1]))
+
+
+def test_forest_rows_do_not_depend_on_the_files(spark, monkeypatch):
+    """Few tasks, each with the same rows in the same order however the rows came; a small table is left as it lies."""
+    rows = spark.range(5000).select(F.concat_ws("|", F.col("id") % 4, "id").alias("_rid"))
+    assert models.forest_layout(rows.repartition(7), "_rid").rdd.getNumPartitions() == 7
+    monkeypatch.setattr(models, "FEW_ROWS", 100)
+
+    def parts(df):
+        return [[r["_rid"] for r in part] for part in models.forest_layout(df, "_rid").rdd.glom().collect()]
+
+    a, b = parts(rows.repartition(7)), parts(rows.repartition(3).orderBy(F.desc("_rid")))
+    assert a == b and sum(map(len, a)) == 5000
+    assert len(a) == -(-spark.sparkContext.defaultParallelism // models.FITS_AT_ONCE)
+    monkeypatch.setattr(models, "FOREST_TASK_ROWS", 1000)
+    assert len(parts(rows)) == 5
