@@ -266,14 +266,16 @@ def compare_classifiers(train: DataFrame, test: DataFrame, feature_cols: Sequenc
     train = train.persist()
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
                                        metricName="areaUnderROC", numBins=0)
-    rows, models = [], {}
-    for name, est in estimators.items():
-        pm = fit_pipeline(train, feature_cols, est, scale=scale)
+
+    def judged(name: str):
+        pm = fit_pipeline(train, feature_cols, estimators[name], scale=scale)
         pred = pm.transform(test)
         auc = ev.evaluate(pred)
         acc = pred.agg(F.avg(F.when(F.col("prediction") == F.col(label), 1.0).otherwise(0.0))).first()[0]
-        rows.append((name, float(auc), float(acc)))
-        models[name] = pm
+        return (name, float(auc), float(acc)), pm
+
+    found = list(side_by_side(train.sparkSession, [partial(judged, name) for name in estimators]))
+    rows, models = [row for row, _ in found], {row[0]: pm for row, pm in found}
     train.unpersist()
     spark = test.sparkSession
     table = spark.createDataFrame(rows, "model string, roc_auc double, accuracy double")
