@@ -286,8 +286,12 @@ def compare_classifiers(train: DataFrame, test: DataFrame, feature_cols: Sequenc
 def best_regressor_per_horizon(train: DataFrame, test: DataFrame, feature_cols: Sequence[str],
                                horizons: Sequence[int], n_trees: int = 200, rounds: int = 100):
     """Forest vs boosting vs linear for each horizon, kept by lowest test MSE."""
-    ev = RegressionEvaluator(metricName="mse", predictionCol="prediction")
-    out, models = [], {}
+    def judged(h: int, name: str, est):
+        pm = fit_pipeline(train, feature_cols, est)
+        ev = RegressionEvaluator(metricName="mse", predictionCol="prediction", labelCol=f"target_{h}min")
+        return h, name, ev.evaluate(pm.transform(test)), pm
+
+    fits = []
     for h in horizons:
         label = f"target_{h}min"
         cands = {"forest": forest_regressor(n_trees=n_trees, label=label),
@@ -295,14 +299,12 @@ def best_regressor_per_horizon(train: DataFrame, test: DataFrame, feature_cols:
                  "boosting": GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=3,
                                           stepSize=0.1, seed=0),
                  "linear": linear_regression(label=label)}
-        best = None
-        for name, est in cands.items():
-            pm = fit_pipeline(train, feature_cols, est)
-            mse = ev.setLabelCol(label).evaluate(pm.transform(test))
-            out.append((h, name, float(mse)))
-            if best is None or mse < best[1]:
-                best = (name, mse, pm)
-        models[h] = best
+        fits += [partial(judged, h, name, est) for name, est in cands.items()]
+    out, models = [], {}
+    for h, name, mse, pm in side_by_side(train.sparkSession, fits):
+        out.append((h, name, float(mse)))
+        if h not in models or mse < models[h][1]:
+            models[h] = (name, mse, pm)
     table = test.sparkSession.createDataFrame(out, "horizon_minutes int, model string, mse double")
     return table, {h: (b[0], b[2]) for h, b in models.items()}
 
