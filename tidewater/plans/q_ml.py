@@ -144,7 +144,7 @@ SEGMENT_FIT_SQL = """WITH g AS (SELECT c_mktsegment AS s, avg(c_nationkey) AS mx
 
 
 def _account_features(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal")
+    c = materialize(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal"))
     oh = prep.one_hot(c, "c_mktsegment", drop_first=True)
     return oh, [x for x in oh.columns if x.startswith("c_mktsegment_")] + ["c_nationkey"]
 

@@ -93,7 +93,7 @@ UNION ALL SELECT 'total', 'records', count(*), 100.0, NULL FROM r2"""
 def tagged_traffic(spark, sf_dir):
     """Hourly series rows tagged with their weekend period and its collection metadata."""
     cal = periods.period_metadata(calendar(spark, sf_dir))
-    v = common.view_v(spark, sf_dir)
+    v = common.view_v(spark, sf_dir, *[c for c in common.V_COLS.split() if c != "play_counted"])  # no section counts plays
     t = periods.tag_periods(v, cal.select("thursday", "week", "start_utc", "end_utc", "week_priority",
                                           "data_age_days"), "ts")
     t = t.join(cal.select("week", "requested_period", "collection_strategy", "ml_weight", "data_quality"),
