@@ -258,3 +258,15 @@ def test_forest_rows_do_not_depend_on_the_files(spark, monkeypatch):
     assert len(a) == -(-spark.sparkContext.defaultParallelism // models.FITS_AT_ONCE)
     monkeypatch.setattr(models, "FOREST_TASK_ROWS", 1000)
     assert len(parts(rows)) == 5
+
+
+def test_as_many_fits_as_the_cores_hold_tasks_of(spark, monkeypatch):
+    """Few rows are laid out so that all four horizons grow at a time; many rows in many tasks leave it at two."""
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(models, "FEW_ROWS", 100)
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("_rid"))
+    laid = models.forest_layout(rows, "_rid")
+    assert laid.rdd.getNumPartitions() == -(-cores // 4)
+    assert models.fits_at_once(laid) == max(2, min(4, cores // laid.rdd.getNumPartitions()))
+    assert models.fits_at_once(rows.repartition(1)) == max(2, min(4, cores))
+    assert models.fits_at_once(rows.repartition(4 * cores)) == 2
