@@ -121,3 +121,17 @@ def test_very_long_text(spark):
     for k, t in rows:
         want = len(words(t)), sum(w in learnt for w in words(t)), learnt.total()
         assert (got[k].n_tokens, got[k].n_known, got[k].train_tokens) == want and got[k].score < 0
+
+
+def test_names_of_ngrams_are_sent_as_steps(spark, monkeypatch):
+    """What a chunk is told of its n-grams: ascending names, as the small steps between them."""
+    monkeypatch.setattr(katz, "BUCKET_TOKENS", 200)
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 31}" for j in range(40))) for i in range(30)]
+    model = katz.learn(spark.createDataFrame(rows, "doc_id bigint, text string"), order=3)
+    answers = model.levels[1].where("kind = 'answer'").collect()
+    assert len({r["bucket"] for r in answers}) > 1
+    for r in answers:
+        count, names, *_ = katz.get(r["payload"])
+        # a bucket's n-grams are numbered from 1: the last step but for the bucket's own number leads to one of them
+        assert len(count) == 0 or int(names.sum()) <= sum(len(katz.get(a["payload"])[0]) for a in answers) * model.plan.buckets + r["bucket"]
+        assert (names[1:] % model.plan.buckets == 0).all() and (names > 0).all()

@@ -313,7 +313,8 @@ class ChunkState:
         gram = np.zeros(len(self.pair_word), np.uint64)
         sums = np.zeros((len(self.history), k + 3))  # total, types, lower mass, types of count 1 to k
         for b, histories, mine, _ in self._layout():
-            count[mine], gram[mine], *columns, parts, values = get(payloads[b])
+            count[mine], names, *columns, parts, values = get(payloads[b])
+            gram[mine] = np.cumsum(names, dtype=np.uint64)
             sums[histories, :2] += np.column_stack(columns[:2])
             sums[histories, 3:] += np.column_stack(columns[2:])
             sums[histories, 2] += _masses_of(parts, values, self.unit)
@@ -382,7 +383,8 @@ def pair_answers(requests: DataFrame, plan: Plan, level: int) -> DataFrame:
             i = gram_of[at:at + len(words)]
             at += len(words)
             j = np.searchsorted(known, h)
-            name = names[i] if more else np.zeros(len(i), np.uint64)
+            # a chunk asks in order of history and word, as n-grams are named, so its names ascend: small steps
+            name = steps(names[i]) if more else np.zeros(len(i), np.uint64)
             rows.append({"kind": "answer", "bucket": bucket, "chunk": chunk, "sums": None,
                          "payload": put(_small(total[i]), name, *[_small(s[j]) for s in sums], *_masses(mass[j], unit))})
         return pa.Table.from_pylist(rows, schema=ANSWER_SCHEMA)
