@@ -97,18 +97,27 @@ def gaussian_moments(df: DataFrame, label: str, features: Sequence[str]) -> list
                    for r in rows), key=lambda s: s[0])
 
 
-def gaussian_class(state: Sequence[tuple], features: Sequence[str]) -> Column:
-    """The class of the largest likelihood (ties: the smaller class), as one expression without a join."""
+def _gaussian_scores(state: Sequence[tuple], features: Sequence[str]) -> list[Column]:
     scores = []
     for cls, prior, moments in state:
         score = F.lit(prior)
         for c, (mean, variance) in zip(features, moments, strict=True):
             score = score - 0.5 * (math.log(2 * math.pi * variance) + (F.col(c) - mean) * (F.col(c) - mean) / variance)
-        scores.append(F.struct(score.alias("score"), F.lit(cls).alias("class")))
-    best = F.array_max(F.array(*[s["score"] for s in scores]))
+        scores.append(score)
+    return scores
+
+
+def gaussian_score(state: Sequence[tuple], features: Sequence[str]) -> Column:
+    """The largest of the classes' log likelihoods."""
+    return F.array_max(F.array(*_gaussian_scores(state, features)))
+
+
+def gaussian_class(state: Sequence[tuple], features: Sequence[str]) -> Column:
+    """The class of the largest likelihood (ties: the smaller class), as one expression without a join."""
+    best = gaussian_score(state, features)
     out = F.lit(None)
-    for s, (cls, _, _) in reversed(list(zip(scores, state, strict=True))):
-        out = F.when(s["score"] == best, F.lit(cls)).otherwise(out)
+    for score, (cls, _, _) in reversed(list(zip(_gaussian_scores(state, features), state, strict=True))):
+        out = F.when(score == best, F.lit(cls)).otherwise(out)
     return out
 
 
