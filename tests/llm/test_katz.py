@@ -4,6 +4,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +136,33 @@ def test_names_of_ngrams_are_sent_as_steps(spark, monkeypatch):
         # a bucket's n-grams are numbered from 1: the last step but for the bucket's own number leads to one of them
         assert len(count) == 0 or int(names.sum()) <= sum(len(katz.get(a["payload"])[0]) for a in answers) * model.plan.buckets + r["bucket"]
         assert (names[1:] % model.plan.buckets == 0).all() and (names > 0).all()
+
+
+def test_only_histories_that_back_off_have_their_sums_sent(spark, monkeypatch):
+    """Documents that are learnt need no weight; a history that was not learnt is not asked about."""
+    monkeypatch.setattr(katz, "CHUNK_TOKENS", 1)  # a chunk for each document
+    learnt = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 1]
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1]
+    rows = [(i, f"a b c{i} d e{i % 7}") for i in learnt[:40]] + [(held[0], "a b new words here"), (held[1], "x y z")]
+    model = katz.learn(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2), order=3)
+    chunk_of = {r["chunk"]: katz.get(r["docs"])[0][0] for r in model.chunks.collect()}
+    sent = {}
+    for level in (2, 3):
+        for r in model.levels[level - 1].where("kind = 'answer'").collect():
+            count, _, small, types, *_ = katz.get(r["payload"])
+            sent[level, chunk_of[r["chunk"]]] = (len(count), len(small), len(types))
+    for i in learnt[:40]:
+        assert sent[2, i] == (6, 6, 0) and sent[3, i] == (6, 6, 0)
+    assert sent[2, held[0]] == (3, 3, 1)  # <s> a, a b, b new: new, words and here were not learnt
+    assert sent[3, held[0]] == (3, 3, 1)  # the third is a b new
+    assert sent[2, held[1]] == (1, 1, 1) and sent[3, held[1]] == (1, 1, 1)  # the start alone
+    got = {r.doc_id: r.score for r in model.scores().collect()}
+    assert all(got[r[0]] == pytest.approx(r[6], rel=1e-9) for r in brute(rows, 3))
+
+
+@pytest.mark.parametrize("top", [3, 2**40, 2**64 - 1])
+def test_distinct_values_are_those_of_numpy(top):
+    values = np.random.default_rng(0).integers(0, top, 1000, np.uint64, endpoint=True)
+    for a in (values, values[:1], values[:0], np.sort(values)):
+        for got, want in zip(katz._distinct(a), np.unique(a, return_index=True, return_inverse=True), strict=True):
+            assert (got == want).all()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import posixpath
 import uuid
 from collections.abc import Callable, Iterator
@@ -47,6 +48,12 @@ def keep_table(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Files of shuffles go when the driver collects its garbage, on a small driver long after their table is written: ask for it."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def keep_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     """As ``keep_table``, bucketed by ``key``, so that joins and groups by it need not shuffle the table again."""
     spark = df.sparkSession

@@ -6,12 +6,13 @@ higher order has Good-Turing discounted counts, and gives the mass it saves to
 the order below through a weight that makes every history sum to exactly 1.
 
 Work is dealt twice. A *chunk* holds the tokens of some documents, about
-``CHUNK_TOKENS``. For each order it asks once for each distinct n-gram in it,
+``CHUNK_TOKENS``. For each order it asks once for each distinct n-gram in it
+whose history was learnt (after any other the order below decides),
 whatever number of times that occurs, so a frequent word or pair costs one
 request a chunk. A *bucket* owns the n-grams of some histories: it sums the
 training counts that chunks send, stores the table of its n-grams, and answers
-each chunk with counts and with sums over the histories. Those sums (counts,
-types, lower-order mass) add up, so a history with more than a bucket's share
+each chunk with counts and, for histories that back off in it, with sums. Those sums
+(types, lower-order mass) add up, so a history with more than a bucket's share
 of the tokens is split over several buckets by the word that follows, and each chunk
 adds the parts. The chunk then evaluates its tokens recursively.
 Requests and answers are compact arrays in binary columns, dealt by Spark.
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.columns import coded, get, put, steps
-from tidewater.llm.common import bounded_batches, keep_bucketed, keep_table, map_batches, texts_of
+from tidewater.llm.common import bounded_batches, drop_shuffles, keep_bucketed, keep_table, map_batches, texts_of
 
 CHUNK_TOKENS = 1_000_000
 BUCKET_TOKENS = 1_500_000
@@ -128,20 +129,43 @@ class Plan:
     discounts: tuple[tuple[float, ...], ...] = ()  # of orders 2, 3, ...
 
     def unit(self, level: int) -> float:
-        """Lower-order probabilities of level 2 are odd multiples of this; others are sent as discounted counts."""
+        """Lower-order probabilities of level 2 are odd multiples of this; others are discounted counts."""
         return 0.5 / (self.n + 0.5 * (self.v + 1)) if level == 2 else 0.0
 
 
 def _masses(values: np.ndarray, unit: float) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities, few of them different, as codes and values; values in units where there is one."""
+    """Sums of lower-order probabilities, few of them different, as codes and values; of level 2 whole numbers of units."""
     codes, values = coded(values)
-    return codes, _small(np.rint(values / unit).astype(np.uint64)) if unit else values
+    return codes, _small(values.astype(np.uint64)) if unit else values
 
 
 def _masses_of(codes: np.ndarray, values: np.ndarray, unit: float) -> np.ndarray:
     return values[codes] * unit if unit else values[codes]
 
 
+def _cuts(counts: np.ndarray, flat: np.ndarray, discounts: tuple[float, ...]) -> np.ndarray:
+    """What comes off each count; half a count where the history has no small count."""
+    off = np.array([0.0, *(r * (1 - d) for r, d in enumerate(discounts, 1)), 0.0])
+    return np.where(flat, np.minimum(counts, 0.5), off[np.minimum(counts, len(discounts) + 1)])
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``np.unique`` with first positions and inverse; where both fit, value and position are sorted as one number."""
+    bits = max(1, (len(values) - 1).bit_length())
+    if not len(values) or int(values.max()) < 1 << (64 - bits):
+        packed = (values << np.uint64(bits)) | np.arange(len(values), dtype=np.uint64)
+        packed.sort()
+        order, ordered = (packed & np.uint64((1 << bits) - 1)).astype(np.int64), packed >> np.uint64(bits)
+    else:
+        order = np.argsort(values, kind="stable")
+        ordered = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    inverse = np.empty(len(values), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], inverse
+
+
 def good_turing(of_counts: list[float]) -> tuple[float, ...]:
     """Discount factors of counts 1 to k by Katz's formula from n_1 to n_{k+1}.
 
@@ -179,6 +203,7 @@ def word_requests(chunks: DataFrame, plan: Plan) -> DataFrame:
 
 def _by_bucket(buckets: np.ndarray, n: int):
     """(bucket, positions in it) of every bucket that occurs."""
+    buckets = buckets.astype(np.uint16 if n <= 1 << 16 else np.uint64)
     order = np.argsort(buckets, kind="stable")
     ends = np.searchsorted(buckets[order], np.arange(n + 1))
     for b in np.flatnonzero(np.diff(ends)):
@@ -246,7 +271,13 @@ class ChunkState:
         self.p = self.base
         self.gram = self.word[self.tokens]  # name of the n-gram that ends at each token
         self.gram_count = self.count[self.tokens]
-        self.top = self.scale = None
+        self.code = 2 * self.gram_count  # of each token's n-gram: twice its count, and 1 if its history is flat
+        self.scale = None
+        by_name = np.argsort(self.word)
+        self.word_by_name = self.word[by_name]
+        place = np.empty(len(by_name), np.uint64)
+        place[by_name] = np.arange(len(by_name), dtype=np.uint64)
+        self.place = place[self.tokens]  # of each token's word in the order of names
         self.level = 1
 
     @property
@@ -254,56 +285,57 @@ class ChunkState:
         return self.plan.unit(self.level + 1)
 
     def _pairs(self) -> None:
-        """The distinct (history, word) of the next level, in order of local numbers."""
+        """The distinct (history, word) of the next level, in order of their names.
+
+        Only of learnt histories: after any other the order below decides.
+        """
         before = np.concatenate([[np.uint64(START)], self.gram[:-1]])
         before[self.first] = START
         times = np.concatenate([[0], self.gram_count[:-1]])
         times[self.first] = self.plan.starts
-        self.history, of_history, local = np.unique(before, return_index=True, return_inverse=True)
-        self.history_count = times[of_history]
-        pair = (local.astype(np.uint64) << np.uint64(32)) | self.tokens.astype(np.uint64)
-        pair, at, self.pair_of_token = np.unique(pair, return_index=True, return_inverse=True)
-        self.pair_history = (pair >> np.uint64(32)).astype(np.int64)
-        self.pair_word = self.word[(pair & np.uint64(0xFFFFFFFF)).astype(np.int64)]
-        self.pair_lower = self.p[at]
-        if self.top is not None:
-            self.pair_top, self.history_scale = self.top[at], self.scale[of_history]
-        # a history with more than a bucket's share is split by the word that follows
-        self.splits = np.clip(np.ceil(self.history_count / self.plan.hot), 1, self.plan.buckets).astype(np.uint64)
-        shift = self.pair_word // np.uint64(self.plan.buckets) % self.splits[self.pair_history]
-        self.pair_bucket = (self.history[self.pair_history] + shift) % np.uint64(self.plan.buckets)
+        self.asked = np.flatnonzero(times > 0)
+        self.history, of_history, local = _distinct(before[self.asked])
+        self.history_count = times[self.asked[of_history]]
+        bits = np.uint64(max(1, len(self.word_by_name).bit_length()))
+        pair, at, self.pair_of_token = _distinct((local.astype(np.uint64) << bits) | self.place[self.asked])
+        self.pair_history = (pair >> bits).astype(np.int64)
+        self.pair_word = self.word_by_name[(pair & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)]
+        self.pair_lower, self.pair_code = self.p[self.asked[at]], self.code[self.asked[at]]
+        if self.scale is not None:
+            self.history_scale = self.scale[self.asked[of_history]]
 
     def _layout(self):
-        """(bucket, positions of its histories, positions of its pairs, pairs of each history).
+        """(bucket, positions of its histories, which of them are split, positions of its pairs, pairs of each history).
 
-        Every bucket that has a part of a history is asked about the history,
-        also where this chunk has no pair in that part.
+        A history with more than a bucket's share is split by the word that follows. Every bucket that has
+        a part of a history is asked about the history, also where this chunk has no pair in that part.
         """
         n = np.uint64(self.plan.buckets)
-        part_history = np.repeat(np.arange(len(self.history)), self.splits.astype(np.int64))
-        begin = np.cumsum(self.splits.astype(np.int64)) - self.splits.astype(np.int64)
+        splits = np.clip(np.ceil(self.history_count / self.plan.hot), 1, self.plan.buckets).astype(np.int64)
+        part_history = np.repeat(np.arange(len(self.history)), splits)
+        begin = np.cumsum(splits) - splits
         shift = (np.arange(len(part_history)) - begin[part_history]).astype(np.uint64)
         part_bucket = (self.history[part_history] + shift) % n
-        pairs = dict(_by_bucket(self.pair_bucket, self.plan.buckets))
+        part_of_pair = begin[self.pair_history] + (
+            self.pair_word // n % splits[self.pair_history].astype(np.uint64)).astype(np.int64)
+        each = np.bincount(part_of_pair, minlength=len(part_history))
+        pairs = dict(_by_bucket(part_bucket[part_of_pair], self.plan.buckets))
         for b, parts in _by_bucket(part_bucket, self.plan.buckets):
-            histories = part_history[parts]  # ascending, for names ascend with positions
-            mine = pairs.get(b, np.zeros(0, np.int64))
-            mine = mine[np.lexsort((self.pair_word[mine], self.pair_history[mine]))]
-            each = np.searchsorted(self.pair_history[mine], histories, "right") \
-                - np.searchsorted(self.pair_history[mine], histories, "left")
-            yield b, histories, mine, each
+            histories = part_history[parts]  # ascending, as are the pairs: both in order of names
+            yield b, histories, splits[histories] > 1, pairs.get(b, np.zeros(0, np.int64)), each[parts]
 
     def requests(self):
         self._pairs()
-        counts = np.bincount(self.pair_of_token[self.train], minlength=len(self.pair_word))
-        for b, histories, mine, each in self._layout():
+        counts = np.bincount(self.pair_of_token[self.train[self.asked]], minlength=len(self.pair_word))
+        for b, histories, split, mine, each in self._layout():
             words = self.pair_word[mine]
             gaps = np.diff(words, prepend=np.uint64(0))  # wraps around where a history begins
             begin = (np.cumsum(each) - each)[each > 0]
             gaps[begin] = words[begin]
-            lower = self.pair_lower if self.top is None else self.pair_top
-            yield b, put(steps(self.history[histories]), each.astype(np.uint32), gaps,
-                         counts[mine].astype(np.uint32), *_masses(lower[mine], self.unit))
+            here = counts[mine]
+            # only learnt pairs have a lower mass, and each is learnt in some chunk
+            yield b, put(_small(steps(self.history[histories])), _small(each), _small(gaps), _small(here),
+                         _small(self.pair_code[mine[here > 0]]), np.flatnonzero(split).astype(np.uint32))
 
     def answers(self, payloads: dict[int, bytes], discounts: tuple[float, ...]) -> None:
         """Answers of the next level: counts of pairs and sums of histories; moves one level up."""
@@ -311,82 +343,102 @@ class ChunkState:
         k = len(discounts)
         count = np.zeros(len(self.pair_word), np.int64)
         gram = np.zeros(len(self.pair_word), np.uint64)
-        sums = np.zeros((len(self.history), k + 3))  # total, types, lower mass, types of count 1 to k
-        for b, histories, mine, _ in self._layout():
-            count[mine], names, *columns, parts, values = get(payloads[b])
-            gram[mine] = np.cumsum(names, dtype=np.uint64)
-            sums[histories, :2] += np.column_stack(columns[:2])
-            sums[histories, 3:] += np.column_stack(columns[2:])
-            sums[histories, 2] += _masses_of(parts, values, self.unit)
-        if self.top is not None:
-            sums[:, 2] /= self.history_scale
-        total, types, lower = sums[:, 0], sums[:, 1], sums[:, 2]
+        flat = np.ones(len(self.history), bool)  # no small count: half a count comes off each type
+        lower = np.zeros(len(self.history))
+        types = np.zeros((len(self.history), k + 1))  # all, of count 1 to k
+        for b, histories, split, mine, each in self._layout():
+            here, names, small, *columns, parts, values = get(payloads[b])
+            count[mine] = here
+            if len(names):
+                gram[mine[here > 0]] = np.cumsum(names, dtype=np.uint64)
+            flat[histories] &= small == 0
+            wanted = histories[_backing_off(here, each, split)]
+            types[wanted] += np.column_stack(columns)
+            lower[wanted] += _masses_of(parts, values, self.unit)
+        if self.scale is not None:
+            lower /= self.history_scale
         off = np.array([r * (1 - d) for r, d in enumerate(discounts, 1)])
-        saved = sums[:, 3:] @ off
-        flat = (saved <= 0) & (total > 0)  # no small count: half a count comes off each type
-        saved = np.where(flat, 0.5 * types, saved)
-        seen = np.maximum(total, 1)
-        weight = np.where(total > 0, saved / seen / np.maximum(1 - lower, 1e-300), 1.0)
-        cut = np.concatenate([[0.0], off, [0.0]])[np.minimum(count, k + 1)]
-        cut = np.where(flat[self.pair_history], np.minimum(count, 0.5), cut)
-        p = np.where(count > 0, (count - cut) / seen[self.pair_history],
-                     weight[self.pair_history] * self.pair_lower)
-        # an n-gram learnt one level up is learnt here, so its lower mass is (count - cut) / seen: few values to send,
-        # and one divisor for each history
-        self.top = np.where(count > 0, count - cut, 0.0)[self.pair_of_token]
-        self.scale = seen[self.pair_history][self.pair_of_token]
-        self.p = p[self.pair_of_token]
-        self.gram = gram[self.pair_of_token]
-        self.gram_count = count[self.pair_of_token]
+        saved = np.where(flat, 0.5 * types[:, 0], types[:, 1:] @ off)
+        weight = saved / self.history_count / np.maximum(1 - lower, 1e-300)  # of the histories that back off here
+        flat, seen = flat[self.pair_history], self.history_count[self.pair_history]
+        p = np.where(count > 0, (count - _cuts(count, flat, discounts)) / seen, weight[self.pair_history] * self.pair_lower)
+
+        def of_tokens(of_pairs, other):
+            out = np.full(len(self.tokens), other, of_pairs.dtype)
+            out[self.asked] = of_pairs[self.pair_of_token]
+            return out
+
+        # an n-gram learnt one level up is learnt here, so its lower mass is (count - cut) / seen: a small number to
+        # send, and one divisor for each history
+        self.p = self.p.copy()
+        self.p[self.asked] = p[self.pair_of_token]
+        self.code = of_tokens(2 * count + flat, 0)
+        self.scale = of_tokens(seen, 1)
+        self.gram = of_tokens(gram, 0)
+        self.gram_count = of_tokens(count, 0)
         self.level += 1
 
 
+def _backing_off(counts: np.ndarray, each: np.ndarray, split: np.ndarray) -> np.ndarray:
+    """Which histories of a request have their sums sent: those after which a word of the chunk was not
+    learnt, for no others need the weight, and split ones, for such a word may be in another part."""
+    of = np.repeat(np.arange(len(each)), each)
+    return (np.bincount(of[counts == 0], minlength=len(each)) > 0) | split
+
+
 def pair_answers(requests: DataFrame, plan: Plan, level: int) -> DataFrame:
     """One bucket of a level: its table of n-grams, and answers to each chunk."""
     k, unit, more = LARGEST_DISCOUNTED, plan.unit(level), level < plan.order  # more: names are needed
 
+    def lower_of(codes):
+        if level == 2:  # the unigram level, in units
+            return codes + 1.0
+        counts = codes // 2
+        return counts - _cuts(counts, codes % 2 == 1, plan.discounts[level - 3])
+
     def run(key, table):
         bucket = key[0].as_py()
         asked = []
         for row in table.to_pylist():
-            h, each, gaps, counts, *lower = get(row["payload"])
-            h = np.cumsum(h, dtype=np.uint64)
+            h, each, gaps, counts, codes, parts = get(row["payload"])
             words = np.cumsum(gaps, dtype=np.uint64)
             begin = np.cumsum(each, dtype=np.int64) - each
             offset = np.where(begin > 0, words[np.maximum(begin, 1) - 1], 0).astype(np.uint64) if len(words) else h * 0
-            words = words - np.repeat(offset, each)
-            asked.append((row["chunk"], h, each, words, counts, _masses_of(*lower, unit)))
-        history = np.concatenate([np.repeat(x[1], x[2]) for x in asked])
+            split = np.zeros(len(h), bool)
+            split[parts] = True
+            asked.append((row["chunk"], np.cumsum(h, dtype=np.uint64), each, words - np.repeat(offset, each), counts,
+                          codes, split))
+        known, _, history_of = _distinct(np.concatenate([x[1] for x in asked]))
         word = np.concatenate([x[3] for x in asked])
-        order = np.lexsort((word, history))
-        new = np.ones(len(order), bool)
-        new[1:] = (np.diff(history[order]) != 0) | (np.diff(word[order]) != 0)
-        gram_of = np.empty(len(order), np.int64)
-        gram_of[order] = np.cumsum(new) - 1
-        first = order[new]
-        total = np.bincount(gram_of, np.concatenate([x[4] for x in asked]), len(first)).astype(np.int64)
-        lower = np.concatenate([x[5] for x in asked])[first]
-        names = np.arange(1, len(first) + 1, dtype=np.uint64) * np.uint64(plan.buckets) + np.uint64(bucket)
-
-        known = np.unique(np.concatenate([x[1] for x in asked]))
-        of = np.searchsorted(known, history[first])
+        bits = np.uint64(int(word.max(initial=0)).bit_length())
+        gram, _, gram_of = _distinct(
+            (np.repeat(history_of, np.concatenate([x[2] for x in asked])).astype(np.uint64) << bits) | word)
+        of, word = (gram >> bits).astype(np.int64), gram & ((np.uint64(1) << bits) - np.uint64(1))
+        counts = np.concatenate([x[4] for x in asked])
+        total = np.bincount(gram_of, counts, len(gram)).astype(np.int64)
         learnt = total > 0
-        add = lambda values: np.bincount(of, values, len(known))
-        sums = [add(total), add(learnt)] + [add(total == r) for r in range(1, k + 1)]
-        mass = add(np.where(learnt, lower, 0.0))
-        stored = np.flatnonzero(learnt)
+        code = np.zeros(len(gram), np.int64)
+        code[gram_of[counts > 0]] = np.concatenate([x[5] for x in asked])
+        names = np.cumsum(learnt, dtype=np.uint64) * np.uint64(plan.buckets) + np.uint64(bucket)
+
+        of_count = np.bincount(of * (k + 2) + np.minimum(total, k + 1), minlength=len(known) * (k + 2)).reshape(-1, k + 2)
+        small = of_count[:, 1:k + 1].any(axis=1).astype(np.uint8)
+        sums = [of_count[:, 1:].sum(axis=1), *of_count[:, 1:k + 1].T]
+        mass = np.bincount(of[learnt], lower_of(code[learnt]), len(known))
         rows = [{"kind": "model", "bucket": bucket, "chunk": -1,
-                 "payload": put(steps(history[first][stored]), word[first][stored], total[stored].astype(np.uint32)),
+                 "payload": put(steps(known[of[learnt]]), word[learnt], total[learnt].astype(np.uint32)),
                  "sums": [float((total == r).sum()) for r in range(1, k + 2)]}]
-        at = 0
-        for chunk, h, _, words, _, _ in asked:
+        at = at_history = 0
+        for chunk, h, each, words, _, _, split in asked:
             i = gram_of[at:at + len(words)]
-            at += len(words)
-            j = np.searchsorted(known, h)
+            j = history_of[at_history:at_history + len(h)]
+            at, at_history = at + len(words), at_history + len(h)
+            here = total[i]
             # a chunk asks in order of history and word, as n-grams are named, so its names ascend: small steps
-            name = steps(names[i]) if more else np.zeros(len(i), np.uint64)
+            name = _small(steps(names[i[here > 0]])) if more else np.zeros(0, np.uint32)
+            m = j[_backing_off(here, each, split)]
             rows.append({"kind": "answer", "bucket": bucket, "chunk": chunk, "sums": None,
-                         "payload": put(_small(total[i]), name, *[_small(s[j]) for s in sums], *_masses(mass[j], unit))})
+                         "payload": put(_small(here), name, small[j], *[_small(s[m]) for s in sums], *_masses(mass[m], unit))})
         return pa.Table.from_pylist(rows, schema=ANSWER_SCHEMA)
 
     return requests.groupBy("bucket").applyInArrow(run, ANSWERS)
@@ -467,11 +519,13 @@ def learn(docs: DataFrame, order: int = 2, key: str = "doc_id", text: str = "tex
     plan = Plan(order, max(1, math.ceil((size[0] or 0) / BUCKET_TOKENS)), BUCKET_TOKENS, size[1] or 0)
     levels = [keep_table(word_answers(word_requests(chunks, plan), plan), "katz-1", "kind")]
     of_model = levels[0].where("kind = 'model'").agg(F.sum(F.col("sums")[0]), F.sum(F.col("sums")[1])).first()
+    drop_shuffles(docs.sparkSession)
     plan = replace(plan, n=of_model[0] or 0.0, v=of_model[1] or 0.0)
     for level in range(2, order + 1):
         requests = _with_answers(chunks, levels, plan, _requests_of, REQUESTS)
         levels.append(keep_table(pair_answers(requests, plan, level), f"katz-{level}", "kind"))
         of_counts = levels[-1].where("kind = 'model'").agg(
             *[F.sum(F.col("sums")[r]) for r in range(LARGEST_DISCOUNTED + 1)]).first()
+        drop_shuffles(docs.sparkSession)
         plan = replace(plan, discounts=(*plan.discounts, good_turing([x or 0.0 for x in of_counts])))
     return Model(chunks, levels, plan)
