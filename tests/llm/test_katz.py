@@ -166,3 +166,12 @@ def test_distinct_values_are_those_of_numpy(top):
     for a in (values, values[:1], values[:0], np.sort(values)):
         for got, want in zip(katz._distinct(a), np.unique(a, return_index=True, return_inverse=True), strict=True):
             assert (got == want).all()
+
+
+def test_multiples_are_kept_as_quotients():
+    """Names step by multiples of the number of buckets: the quotients take the space, the products are read."""
+    quotients = np.random.default_rng(0).integers(1, 200, 10_000).astype(np.uint32)
+    plain, kept = katz.put(quotients.astype(np.uint64) * np.uint64(91)), katz.put((quotients, 91), quotients)
+    products, same = katz.get(kept)
+    assert products.dtype == np.uint64 and (products == katz.get(plain)[0]).all() and (same == quotients).all()
+    assert len(katz.put((quotients, 91))) < 0.8 * len(plain)

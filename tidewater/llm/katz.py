@@ -334,8 +334,11 @@ class ChunkState:
             gaps[begin] = words[begin]
             here = counts[mine]
             # only learnt pairs have a lower mass, and each is learnt in some chunk
-            yield b, put(_small(steps(self.history[histories])), _small(each), _small(gaps), _small(here),
-                         _small(self.pair_code[mine[here > 0]]), np.flatnonzero(split).astype(np.uint32))
+            # a bucket's histories have its number as the rest of their names, but for split ones
+            n = np.uint64(self.plan.buckets)
+            yield b, put((_small(steps(self.history[histories] // n)), self.plan.buckets), _small(each), _small(gaps),
+                         _small(here), _small(self.pair_code[mine[here > 0]]),
+                         np.flatnonzero(split).astype(np.uint32), _small(self.history[histories[split]] % n))
 
     def answers(self, payloads: dict[int, bytes], discounts: tuple[float, ...]) -> None:
         """Answers of the next level: counts of pairs and sums of histories; moves one level up."""
@@ -350,7 +353,7 @@ class ChunkState:
             here, names, small, *columns, parts, values = get(payloads[b])
             count[mine] = here
             if len(names):
-                gram[mine[here > 0]] = np.cumsum(names, dtype=np.uint64)
+                gram[mine[here > 0]] = np.cumsum(names, dtype=np.uint64) + np.uint64(b)
             flat[histories] &= small == 0
             wanted = histories[_backing_off(here, each, split)]
             types[wanted] += np.column_stack(columns)
@@ -400,13 +403,16 @@ def pair_answers(requests: DataFrame, plan: Plan, level: int) -> DataFrame:
         bucket = key[0].as_py()
         asked = []
         for row in table.to_pylist():
-            h, each, gaps, counts, codes, parts = get(row["payload"])
+            h, each, gaps, counts, codes, parts, rest = get(row["payload"])
+            h = np.cumsum(h, dtype=np.uint64)
             words = np.cumsum(gaps, dtype=np.uint64)
             begin = np.cumsum(each, dtype=np.int64) - each
             offset = np.where(begin > 0, words[np.maximum(begin, 1) - 1], 0).astype(np.uint64) if len(words) else h * 0
             split = np.zeros(len(h), bool)
             split[parts] = True
-            asked.append((row["chunk"], np.cumsum(h, dtype=np.uint64), each, words - np.repeat(offset, each), counts,
+            h += np.uint64(bucket)
+            h[split] += rest.astype(np.uint64) - np.uint64(bucket)  # the difference may wrap around, the sum does not
+            asked.append((row["chunk"], h, each, words - np.repeat(offset, each), counts,
                           codes, split))
         known, _, history_of = _distinct(np.concatenate([x[1] for x in asked]))
         word = np.concatenate([x[3] for x in asked])
@@ -419,7 +425,7 @@ def pair_answers(requests: DataFrame, plan: Plan, level: int) -> DataFrame:
         learnt = total > 0
         code = np.zeros(len(gram), np.int64)
         code[gram_of[counts > 0]] = np.concatenate([x[5] for x in asked])
-        names = np.cumsum(learnt, dtype=np.uint64) * np.uint64(plan.buckets) + np.uint64(bucket)
+        number = np.cumsum(learnt, dtype=np.uint64)  # an n-gram's name is its number times the buckets, plus the bucket
 
         of_count = np.bincount(of * (k + 2) + np.minimum(total, k + 1), minlength=len(known) * (k + 2)).reshape(-1, k + 2)
         small = of_count[:, 1:k + 1].any(axis=1).astype(np.uint8)
@@ -435,7 +441,7 @@ def pair_answers(requests: DataFrame, plan: Plan, level: int) -> DataFrame:
             at, at_history = at + len(words), at_history + len(h)
             here = total[i]
             # a chunk asks in order of history and word, as n-grams are named, so its names ascend: small steps
-            name = _small(steps(names[i[here > 0]])) if more else np.zeros(0, np.uint32)
+            name = (_small(steps(number[i[here > 0]])) if more else np.zeros(0, np.uint32), plan.buckets)
             m = j[_backing_off(here, each, split)]
             rows.append({"kind": "answer", "bucket": bucket, "chunk": chunk, "sums": None,
                          "payload": put(_small(here), name, small[j], *[_small(s[m]) for s in sums], *_masses(mass[m], unit))})
