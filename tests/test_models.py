@@ -270,3 +270,31 @@ def test_as_many_fits_as_the_cores_hold_tasks_of(spark, monkeypatch):
     assert models.fits_at_once(laid) == max(2, min(4, cores // laid.rdd.getNumPartitions()))
     assert models.fits_at_once(rows.repartition(1)) == max(2, min(4, cores))
     assert models.fits_at_once(rows.repartition(4 * cores)) == 2
+
+
+def test_rows_alike_lie_together_in_a_forests_tasks(spark, monkeypatch):
+    """Each task keeps the rows it had, sorted by the named features and then by the key; a small table is left as it lies."""
+    rows = spark.range(3000).select(F.concat_ws("|", F.col("id") % 4, "id").alias("_rid"), (F.col("id") * 7 % 5).alias("a"),
+                                    F.when(F.col("id") % 3 > 0, F.col("id") % 2).alias("b")).repartition(6)
+
+    def parts(df):
+        return [[(r["a"], r["b"] is not None, r["b"], r["_rid"]) for r in part] for part in df.rdd.glom().collect()]
+
+    assert parts(models.forest_layout(rows, "_rid", ["a", "b"])) == parts(rows)
+    monkeypatch.setattr(models, "FEW_ROWS", 100)
+    plain, sorted_ = parts(models.forest_layout(rows, "_rid")), parts(models.forest_layout(rows, "_rid", ["a", "b"]))
+    assert [sorted(p, key=lambda r: (r[0], r[1], r[2] or 0, r[3])) for p in plain] == sorted_
+    assert parts(models.forest_layout(rows.repartition(3), "_rid", ["a", "b"])) == sorted_
+
+
+def test_forests_on_many_rows_hold_less_in_a_task(spark, ftable, monkeypatch):
+    """The statistics of a pass are bounded on many rows; the forecaster is as whole, its fits have all their trees."""
+    assert models.tree_memory_mb(ftable) == models.TREE_MEMORY_MB
+    monkeypatch.setattr(models, "FEW_ROWS", 10)
+    assert models.tree_memory_mb(ftable) == models.MANY_ROWS_TREE_MEMORY_MB < models.TREE_MEMORY_MB
+    grown = []
+    monkeypatch.setattr(models, "fit_pipeline", lambda df, features, est, fit=models.fit_pipeline: grown.append(
+        (est.getMaxMemoryInMB(), est.getCacheNodeIds())) or fit(df, features, est))
+    fitted, evals = forecast.train_forecaster(ftable, n_trees=3)
+    assert grown == 4 * [(models.MANY_ROWS_TREE_MEMORY_MB, True)]
+    assert [fitted[h].stages[-1].getNumTrees for h in (5, 10, 20, 30)] == [3, 3, 3, 3] and evals.count() == 4
